@@ -31,6 +31,8 @@ from pricefold.schema import EPSILON, METHOD_BATCH
 # the choice is total even when (match, source, event time) repeats.
 LATEST_ORDER = ["event_time_ms", "real_time_ms", "odds_home", "odds_draw", "odds_away"]
 OUTCOMES = ("home", "draw", "away")
+# Columns detection needs; the rest is pruned before the shuffle.
+DETECT_COLUMNS = ["match_id", "bookmaker"] + LATEST_ORDER
 
 
 def _now(now_ms) -> Column:
@@ -52,15 +54,21 @@ def latest_odds(odds: DataFrame, keys: Sequence[str] = ("match_id",), source: st
     the remaining columns break any remaining tie so the result is
     deterministic.
 
-    ``strategy="aggregate"`` (default) is a partial + final aggregation;
-    ``strategy="window"`` is ``row_number() = 1`` (Spark adds a partial
-    ``WindowGroupLimit`` before the shuffle).  Both are exact; the aggregate
-    plan was measured faster on the bench views.
+    ``strategy="aggregate"`` (default) is a partial + final aggregation, safe
+    when one key holds a large share of the rows.  ``strategy="window"`` is
+    ``row_number() = 1`` (Spark adds a partial ``WindowGroupLimit`` before the
+    shuffle).  ``strategy="colocated"`` shuffles once on the first key and
+    does everything after it without another exchange; use it only when the
+    input is already partitioned by that key (a bucketed table, or a log
+    keyed by match), since it gets no map-side reduction.
     """
     keys = list(keys)
     group = keys + [source]
     order = [c for c in LATEST_ORDER if c in odds.columns]
     rest = [c for c in odds.columns if c not in group and c not in order]
+    if strategy == "colocated":
+        odds = odds.repartition(keys[0])
+        strategy = "window"
     if strategy == "window":
         w = Window.partitionBy(*group).orderBy(*[F.col(c).desc() for c in order + rest])
         return odds.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
@@ -115,7 +123,7 @@ def detect_snapshot(odds: DataFrame, now_ms=None, min_books: int = 2, eps: float
                     method: str = METHOD_BATCH, strategy: str = "aggregate") -> DataFrame:
     """The whole input as one snapshot: latest price per source, best per
     outcome, opportunities where ``1/h + 1/d + 1/a < 1``."""
-    best = best_prices(latest_odds(valid_odds(odds), strategy=strategy))
+    best = best_prices(latest_odds(valid_odds(odds).select(*DETECT_COLUMNS), strategy=strategy))
     return opportunities(best, now_ms=now_ms, method=method, min_books=min_books, eps=eps)
 
 
@@ -130,7 +138,8 @@ def detect_window(odds: DataFrame, width_ms: int, time_col: str = "real_time_ms"
     """Tumbling-window detection: every window of ``width_ms`` on
     ``time_col`` is judged alone (stateless), like a polling consumer that
     reads only the updates of its period.  Adds ``window_start_ms``."""
-    keyed = valid_odds(odds).withColumn("window_start_ms", window_start(time_col, width_ms))
+    keyed = (valid_odds(odds).withColumn("window_start_ms", window_start(time_col, width_ms))
+             .select("window_start_ms", *DETECT_COLUMNS))
     keys = ["window_start_ms", "match_id"]
     best = best_prices(latest_odds(keyed, keys=keys), keys=keys)
     return opportunities(best, now_ms=now_ms, method=method, min_books=min_books, eps=eps,
@@ -149,7 +158,7 @@ def optimal_stakes(opps: DataFrame, total_stake: float = 100.0) -> DataFrame:
 
 def match_book_count(odds: DataFrame, min_books: int = 2) -> DataFrame:
     """Sources per match after de-duplication, matches with >= ``min_books``."""
-    latest = latest_odds(valid_odds(odds))
+    latest = latest_odds(valid_odds(odds).select(*DETECT_COLUMNS))
     return (latest.groupBy("match_id").agg(F.count(F.lit(1)).alias("n_books"))
             .where(F.col("n_books") >= min_books))
 
@@ -161,7 +170,7 @@ def price_maps(odds: DataFrame, as_text: bool = False) -> DataFrame:
     the number of sources.  ``as_text`` renders each map as
     ``source=price`` pairs sorted by source, separated by ``;``.
     """
-    latest = latest_odds(valid_odds(odds))
+    latest = latest_odds(valid_odds(odds).select(*DETECT_COLUMNS))
     aggs = []
     for o in OUTCOMES:
         entries = F.array_sort(F.collect_list(F.struct(F.col("bookmaker").alias("k"), F.col(f"odds_{o}").alias("v"))))

@@ -11,7 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pricefold.functions import text as T
+from pricefold.operators import clean as C
 from pricefold.operators import detect as D
+from pricefold.operators import report as R
+from pricefold.schema import BOOKMAKERS
+from pricefold.sources import kafka as K
 from pricefold.plans import oracle as O
 from pricefold.sources import views as V
 
@@ -104,6 +109,276 @@ def q_optimal_stakes(spark, sf):
     return D.optimal_stakes(D.detect_snapshot(V.odds_li(spark, sf), now_ms=O.NOW_MS), 100.0)
 
 
+# ------------------------------------------------------------ cleaning ----
+
+def _reason_sql() -> str:
+    return """CASE WHEN match_id IS NULL THEN 'missing_match_id'
+    WHEN bookmaker IS NULL THEN 'missing_bookmaker'
+    WHEN odds_home IS NULL OR odds_draw IS NULL OR odds_away IS NULL THEN 'missing_odds'
+    WHEN isnan(odds_home) OR isnan(odds_draw) OR isnan(odds_away) THEN 'nan_odds'
+    WHEN NOT (odds_home > 1.0e0 AND odds_draw > 1.0e0 AND odds_away > 1.0e0) THEN 'odds_not_above_1' END"""
+
+
+@register("quarantine", f"""
+SELECT match_id, bookmaker, real_time_ms, reason FROM (
+  SELECT *, {_reason_sql()} AS reason FROM ({O.ODDS_EV})) WHERE reason IS NOT NULL""")
+def q_quarantine(spark, sf):
+    _, bad = C.split_valid(V.odds_ev(spark, sf))
+    return bad.select("match_id", "bookmaker", "real_time_ms", "reason")
+
+
+@register("decode_events", f"SELECT * FROM ({O.ODDS_EV}) WHERE match_id IS NOT NULL")
+def q_decode_events(spark, sf):
+    return K.decode_events(K.encode_events(V.odds_ev(spark, sf)))
+
+
+def _wide_books_sql(only_valid: bool) -> str:
+    parts = []
+    for i, b in enumerate(BOOKMAKERS):
+        h = f"0.95e0 + l_quantity / {20.0 + i}e0"
+        d = f"2.0e0 + l_discount * {16.0 + i}e0"
+        a = f"1.5e0 + l_tax * {30.0 + i}e0"
+        cond = f"(l_suppkey + {i}) % 2 = 0"
+        if only_valid:
+            cond += f" AND {h} > 1.0e0 AND {d} > 1.0e0 AND {a} > 1.0e0"
+        parts.append(f"""SELECT concat('L', CAST(l_orderkey AS VARCHAR), '-', CAST(l_linenumber AS VARCHAR)) AS row_id,
+  '{b}' AS bookmaker, {h} AS odds_home, {d} AS odds_draw, {a} AS odds_away FROM lineitem WHERE {cond}""")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("unpivot_books", _wide_books_sql(True))
+def q_unpivot_books(spark, sf):
+    return C.unpivot_books(V.wide_books_from_lineitem(V.table(spark, sf, "lineitem")), keep=["row_id"])
+
+
+@register("book_coverage", "SELECT bookmaker, count(*) FILTER (WHERE odds_home IS NOT NULL AND odds_draw IS NOT NULL"
+          " AND odds_away IS NOT NULL) AS matches_with_odds FROM (" + _wide_books_sql(False) + ") GROUP BY bookmaker")
+def q_book_coverage(spark, sf):
+    return C.book_coverage(V.wide_books_from_lineitem(V.table(spark, sf, "lineitem")))
+
+
+@register("match_ids", """
+SELECT o_orderkey,
+  concat(c_mktsegment, '-', strftime(o_orderdate, '%Y-%m-%d'), '-',
+         replace(replace(c_name, ' ', '_'), '/', '-'), '-',
+         replace(replace(o_orderpriority, ' ', '_'), '/', '-')) AS match_id,
+  strftime(o_orderdate, '%Y-%m-%d') AS match_date,
+  epoch_us(o_orderdate) // 1000 AS kickoff_ms
+FROM orders JOIN customer ON o_custkey = c_custkey""")
+def q_match_ids(spark, sf):
+    o = V.table(spark, sf, "orders")
+    c = V.table(spark, sf, "customer")
+    j = o.join(c, o.o_custkey == c.c_custkey)
+    return j.select("o_orderkey",
+                    T.build_match_id("c_mktsegment", T.iso_date("o_orderdate"), "c_name", "o_orderpriority")
+                    .alias("match_id"),
+                    T.iso_date("o_orderdate").alias("match_date"), T.epoch_ms("o_orderdate").alias("kickoff_ms"))
+
+
+_KICKOFF_TEXT_SQL = """
+SELECT o_orderkey,
+  CASE WHEN o_orderkey % 2 = 0 THEN strftime(o_orderdate, '%d/%m/%Y') ELSE strftime(o_orderdate, '%d/%m/%y') END AS date_text,
+  CASE o_orderkey % 3 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE
+    concat(lpad(CAST(o_custkey % 24 AS VARCHAR), 2, '0'), ':', lpad(CAST(o_custkey % 60 AS VARCHAR), 2, '0')) END AS time_text
+FROM orders"""
+
+
+@register("parse_kickoff", f"""
+SELECT o_orderkey, date_text, time_text, epoch_us(k) // 1000 AS kickoff_ms, strftime(k, '%Y-%m-%d') AS match_date
+FROM (SELECT *, CASE WHEN length(trim(date_text)) = 10
+    THEN try_strptime(trim(date_text) || ' ' || coalesce(nullif(trim(time_text), ''), '12:00'), '%d/%m/%Y %H:%M')
+    ELSE try_strptime(trim(date_text) || ' ' || coalesce(nullif(trim(time_text), ''), '12:00'), '%d/%m/%y %H:%M') END AS k
+  FROM ({_KICKOFF_TEXT_SQL}))""")
+def q_parse_kickoff(spark, sf):
+    o = V.table(spark, sf, "orders")
+    date_text = F.when(F.col("o_orderkey") % 2 == 0, F.date_format("o_orderdate", "dd/MM/yyyy")) \
+        .otherwise(F.date_format("o_orderdate", "dd/MM/yy"))
+    hm = F.concat(F.lpad((F.col("o_custkey") % 24).cast("string"), 2, "0"), F.lit(":"),
+                  F.lpad((F.col("o_custkey") % 60).cast("string"), 2, "0"))
+    time_text = F.when(F.col("o_orderkey") % 3 == 0, F.lit(None).cast("string")) \
+        .when(F.col("o_orderkey") % 3 == 1, F.lit("")).otherwise(hm)
+    t = o.select("o_orderkey", date_text.alias("date_text"), time_text.alias("time_text"))
+    k = T.parse_kickoff("date_text", "time_text")
+    return t.select("o_orderkey", "date_text", "time_text", T.epoch_ms(k).alias("kickoff_ms"),
+                    T.iso_date(k).alias("match_date"))
+
+
+# ------------------------------------------------------------- reports ----
+
+@register("count_by_group", f"SELECT match_date, count(DISTINCT match_id) AS matches FROM ({O.ODDS_EV}) GROUP BY match_date")
+def q_count_by_group(spark, sf):
+    return R.count_by_group(V.odds_ev(spark, sf), "match_date")
+
+
+@register("distinct_counts", f"""
+SELECT count(*) AS updates, count(DISTINCT match_id) AS matches, count(DISTINCT bookmaker) AS bookmakers,
+       count(DISTINCT match_date) AS match_dates FROM ({O.ODDS_EV})""")
+def q_distinct_counts(spark, sf):
+    return R.distinct_counts(V.odds_ev(spark, sf))
+
+
+@register("arb_rate", f"""
+SELECT scanned, opportunities, CASE WHEN scanned > 0 THEN 100.0e0 * opportunities / scanned END AS rate_pct FROM (
+  SELECT count(*) FILTER (WHERE n_books >= 2) AS scanned,
+         count(*) FILTER (WHERE n_books >= 2 AND profit_margin > {O.EPS}) AS opportunities
+  FROM ({O.scored_sql(O.best_sql(O.latest_sql(O.ODDS_EV)))}))""")
+def q_arb_rate(spark, sf):
+    return R.arb_rate(V.odds_ev(spark, sf))
+
+
+def _two_methods(spark, sf):
+    odds = V.odds_ev(spark, sf)
+    snap = D.detect_snapshot(odds, now_ms=O.NOW_MS, method="snapshot")
+    win = D.detect_window(odds, HOUR_MS, time_col="event_time_ms", now_ms=O.NOW_MS, method="window").drop(
+        "window_start_ms")
+    return win, snap
+
+
+_WIN_OPPS = O.opps_sql(O.window_src(O.ODDS_EV, HOUR_MS, "event_time_ms"), keys="window_start_ms, match_id",
+                       method="window")
+_SNAP_OPPS = O.opps_sql(O.ODDS_EV, method="snapshot")
+
+
+@register("opp_count", f"""
+SELECT method, count(*) AS opps FROM (SELECT method FROM ({_WIN_OPPS}) UNION ALL SELECT method FROM ({_SNAP_OPPS}))
+GROUP BY method""")
+def q_opp_count(spark, sf):
+    win, snap = _two_methods(spark, sf)
+    return R.opp_count(win.unionByName(snap))
+
+
+@register("overlap", f"""
+WITH a AS (SELECT DISTINCT match_id AS k FROM ({_WIN_OPPS})), b AS (SELECT DISTINCT match_id AS k FROM ({_SNAP_OPPS}))
+SELECT count(*) FILTER (WHERE a.k IS NOT NULL AND b.k IS NULL) AS only_a,
+       count(*) FILTER (WHERE b.k IS NOT NULL AND a.k IS NULL) AS only_b,
+       count(*) FILTER (WHERE a.k IS NOT NULL AND b.k IS NOT NULL) AS both,
+       count(*) AS total_unique, count(a.k) AS n_a, count(b.k) AS n_b
+FROM a FULL OUTER JOIN b ON a.k = b.k""")
+def q_overlap(spark, sf):
+    win, snap = _two_methods(spark, sf)
+    return R.overlap(win, snap)
+
+
+@register("top_margins", f"""
+SELECT row_number() OVER (ORDER BY profit_margin DESC, match_id) AS rank, profit_margin * 100.0e0 AS margin_pct,
+  match_id, best_odds_home, best_book_home, best_odds_draw, best_book_draw, best_odds_away, best_book_away
+FROM ({O.opps_sql(O.ODDS_LI)}) ORDER BY profit_margin DESC, match_id LIMIT 10""")
+def q_top_margins(spark, sf):
+    return R.top_margins(D.detect_snapshot(V.odds_li(spark, sf), now_ms=O.NOW_MS), 10)
+
+
+@register("chronological_head", f"""
+SELECT * FROM ({O.ODDS_EV}) ORDER BY event_time_ms, match_id, bookmaker, real_time_ms LIMIT 100""")
+def q_chronological_head(spark, sf):
+    return R.chronological_head(V.odds_ev(spark, sf), 100)
+
+
+@register("replay_schedule", f"""
+WITH odds AS ({O.ODDS_EV}), t AS (SELECT DISTINCT match_date, event_time_ms FROM odds),
+g AS (SELECT match_date, event_time_ms,
+        (event_time_ms - lag(event_time_ms) OVER (PARTITION BY match_date ORDER BY event_time_ms)) / 1000.0e0 AS gap_s
+      FROM t),
+s AS (SELECT match_date, event_time_ms, CASE WHEN gap_s > 0 THEN least(gap_s / 60.0e0, 5.0e0) ELSE 0.0e0 END AS sleep_s
+      FROM g),
+c AS (SELECT match_date, event_time_ms, round(sum(sleep_s) OVER (PARTITION BY match_date ORDER BY event_time_ms
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS offset_s FROM s)
+SELECT o.match_id, o.bookmaker, o.match_date, o.event_time_ms, o.real_time_ms, c.offset_s
+FROM odds o JOIN c USING (match_date, event_time_ms)""")
+def q_replay_schedule(spark, sf):
+    return R.replay_schedule(V.odds_ev(spark, sf), speed=60.0, cap_s=5.0)
+
+
+# run metrics ---------------------------------------------------------------
+
+def _pct_sql(col: str, name: str) -> str:
+    return ", ".join(f"round(quantile_cont({col}, {p}), 6) AS {name}_{s}"
+                     for p, s in (("0.5", "p50"), ("0.95", "p95"), ("0.99", "p99")))
+
+
+_SUMMARY_SQL = f"""
+SELECT ms.tag, ms.method AS label, batches, events, opps,
+  proc_ms_p50, proc_ms_p95, proc_ms_p99, lat_ms_p50, lat_ms_p95, lat_ms_p99,
+  CASE WHEN batches >= 2 AND w1 > w0 THEN events / ((w1 - w0) / 1000.0e0) END AS throughput_ev_s
+FROM (SELECT tag, method, count(*) AS batches, CAST(sum(rows_read) AS BIGINT) AS events,
+        CAST(sum(opps_found) AS BIGINT) AS opps, {_pct_sql('processing_ms', 'proc_ms')},
+        min(wall_time_ms) AS w0, max(wall_time_ms) AS w1
+      FROM ({O.RUN_METRICS}) GROUP BY tag, method) ms
+LEFT JOIN (SELECT tag, method, {_pct_sql('e2e_latency_ms', 'lat_ms')} FROM ({O.RUN_OPPS}) GROUP BY tag, method) ls
+  ON ms.tag = ls.tag AND ms.method = ls.method"""
+
+
+def _summary(spark, sf):
+    return R.run_summary(V.run_metrics(spark, sf), V.run_opps(spark, sf))
+
+
+@register("run_summary", _SUMMARY_SQL)
+def q_run_summary(spark, sf):
+    return _summary(spark, sf)
+
+
+@register("run_percentiles", "\nUNION ALL\n".join(
+    f"SELECT tag, method, {p}e0 AS p, round(quantile_cont(processing_ms, {p}), 6) AS value "
+    f"FROM ({O.RUN_METRICS}) GROUP BY tag, method" for p in ("0.5", "0.95", "0.99")))
+def q_run_percentiles(spark, sf):
+    return R.run_percentiles(V.run_metrics(spark, sf))
+
+
+@register("method_ratio", "\nUNION ALL\n".join(
+    f"""SELECT tag, '{m}' AS metric, max(CASE WHEN label = 'batch' THEN CAST({m} AS DOUBLE) END) AS batch_value,
+  max(CASE WHEN label = 'stream' THEN CAST({m} AS DOUBLE) END) AS stream_value,
+  CASE WHEN max(CASE WHEN label = 'stream' THEN CAST({m} AS DOUBLE) END) = 0 THEN NULL
+       ELSE max(CASE WHEN label = 'batch' THEN CAST({m} AS DOUBLE) END)
+          / max(CASE WHEN label = 'stream' THEN CAST({m} AS DOUBLE) END) END AS ratio
+FROM ({_SUMMARY_SQL}) GROUP BY tag""" for m in R.SUMMARY_METRICS))
+def q_method_ratio(spark, sf):
+    return R.method_ratio(_summary(spark, sf))
+
+
+@register("run_compare", f"""
+SELECT tag, label, events, opps, lat_ms_p50 AS lat_p50_ms, lat_ms_p95 AS lat_p95_ms, proc_ms_p50 AS proc_p50_ms,
+       proc_ms_p95 AS proc_p95_ms, throughput_ev_s AS throughput FROM ({_SUMMARY_SQL})""")
+def q_run_compare(spark, sf):
+    s = _summary(spark, sf)
+    # one summary per tag, then the union (as when each run is summarised alone)
+    per_tag = [s.where(F.col("tag") == t) for t in ("h1", "h2")]
+    return R.run_compare(per_tag)
+
+
+@register("pivot_metric", f"""
+SELECT tag, max(CASE WHEN label = 'batch' THEN lat_ms_p50 END) AS batch,
+       max(CASE WHEN label = 'stream' THEN lat_ms_p50 END) AS stream FROM ({_SUMMARY_SQL}) GROUP BY tag""")
+def q_pivot_metric(spark, sf):
+    return R.pivot_metric(_summary(spark, sf), "lat_ms_p50")
+
+
+@register("latency_cdf", f"""
+SELECT tag, method, e2e_latency_ms / 1000.0e0 AS x,
+  row_number() OVER (PARTITION BY tag, method ORDER BY e2e_latency_ms) / count(*) OVER (PARTITION BY tag, method) AS cdf
+FROM ({O.RUN_OPPS})""")
+def q_latency_cdf(spark, sf):
+    return R.latency_cdf(V.run_opps(spark, sf))
+
+
+@register("run_timeline", f"""
+SELECT tag, method, batch, (wall_time_ms - min(wall_time_ms) OVER (PARTITION BY tag, method)) / 1000.0e0 AS t_s,
+       rows_read FROM ({O.RUN_METRICS})""")
+def q_run_timeline(spark, sf):
+    return R.run_timeline(V.run_metrics(spark, sf))
+
+
+@register("box_stats", f"""
+WITH m AS ({O.RUN_METRICS}),
+q AS (SELECT tag, method, quantile_cont(processing_ms, 0.25) AS q1, quantile_cont(processing_ms, 0.5) AS med,
+             quantile_cont(processing_ms, 0.75) AS q3 FROM m GROUP BY tag, method)
+SELECT tag, method, round(any_value(q1), 6) AS q1, round(any_value(med), 6) AS median, round(any_value(q3), 6) AS q3,
+  min(CAST(processing_ms AS DOUBLE)) FILTER (WHERE processing_ms >= q1 - 1.5e0 * (q3 - q1)) AS whisker_low,
+  max(CAST(processing_ms AS DOUBLE)) FILTER (WHERE processing_ms <= q3 + 1.5e0 * (q3 - q1)) AS whisker_high,
+  count(*) FILTER (WHERE processing_ms < q1 - 1.5e0 * (q3 - q1) OR processing_ms > q3 + 1.5e0 * (q3 - q1)) AS n_outliers
+FROM m JOIN q USING (tag, method) GROUP BY tag, method""")
+def q_box_stats(spark, sf):
+    return R.box_stats(V.run_metrics(spark, sf))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

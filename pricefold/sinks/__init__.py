@@ -1 +1,3 @@
-
+from pricefold.sinks.writers import (  # noqa: F401
+    tag_results, write_comparison, write_metrics, write_opps, write_run_config, write_summary,
+)

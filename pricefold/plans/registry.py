@@ -379,6 +379,48 @@ def q_box_stats(spark, sf):
     return R.box_stats(V.run_metrics(spark, sf))
 
 
+# ----------------------------------------------------------- streaming ----
+
+_STREAM_COLS = ("match_id, best_book_home, best_odds_home, best_book_draw, best_odds_draw, best_book_away, "
+                "best_odds_away, profit_margin, implied_prob_sum, max_real_time_ms")
+EV_BOOKS = ("click", "error", "purchase", "signup", "view")  # the sources of odds_ev (event types)
+
+
+def _stream_input(spark, sf, name: str, files: int = 8) -> tuple[str, str]:
+    """Write ``odds_ev`` as ``files`` parquet files (all updates of a match
+    in one file) under a new folder of the shared checkpoint folder."""
+    from pricefold.session import run_dir
+    base = run_dir(spark, name)
+    V.odds_ev(spark, sf).repartition(files, "match_id").write.parquet(f"{base}/in")
+    return base, f"{base}/in"
+
+
+@register("detect_stream", f"SELECT 'stream' AS method, {_STREAM_COLS} FROM ({O.opps_sql(O.ODDS_EV)})")
+def q_detect_stream(spark, sf):
+    """Stateful stream over odds_ev, two files per trigger.  Each match's
+    updates share a trigger, so its one emission equals the snapshot's."""
+    from pricefold.streaming import stream as S
+    base, src = _stream_input(spark, sf, "detect_stream")
+    q = S.start(S.detect_stream(S.file_stream(spark, src, max_files_per_trigger=2)), f"{base}/out", f"{base}/ckpt")
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("method", *[c.strip() for c in _STREAM_COLS.split(",")])
+
+
+@register("price_view_stream", f"""
+SELECT match_id, n_books, best_book_home, best_odds_home, best_book_draw, best_odds_draw, best_book_away,
+       best_odds_away, max_real_time_ms FROM ({O.best_sql(O.latest_sql(O.ODDS_EV))})""")
+def q_price_view_stream(spark, sf):
+    """Native (no Python) current-price view, update mode, upserts per
+    trigger; the final view per match equals the batch best prices."""
+    from pricefold.streaming import stream as S
+    base, src = _stream_input(spark, sf, "price_view_stream")
+    view = S.price_view_stream(S.file_stream(spark, src, max_files_per_trigger=2), EV_BOOKS)
+    S.start_upserts(view, f"{base}/out", f"{base}/ckpt").awaitTermination()
+    return S.current_view(spark, f"{base}/out").select(
+        "match_id", "n_books", "best_book_home", "best_odds_home", "best_book_draw", "best_odds_draw",
+        "best_book_away", "best_odds_away", "max_real_time_ms")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

@@ -70,3 +70,38 @@ def run_dir(spark: SparkSession, name: str) -> str:
     import uuid
     base = checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``pricefold`` importable in executor Python workers.
+
+    Needed only by the paths that run Python on executors (the streaming
+    state processor).  The package is zipped once per application on the
+    driver and registered with ``addPyFile`` (the same mechanism as
+    ``--py-files``), so it reaches every executor, including replacements.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    out = os.path.join(tempfile.mkdtemp(prefix="pricefold-pyfiles-"), "pricefold.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg_dir):
+            if "__pycache__" in d:
+                continue
+            for f in files:
+                if f.endswith(".py"):
+                    p = os.path.join(d, f)
+                    z.write(p, os.path.relpath(p, root))
+    sc.addPyFile(out)
+    # The driver-side helper process of transformWithState takes PYTHONPATH
+    # from the function environment rather than from the added files.
+    prev = sc.environment.get("PYTHONPATH")
+    sc.environment["PYTHONPATH"] = out if not prev else out + os.pathsep + prev
+    _SHIPPED.add(app)

@@ -102,3 +102,53 @@ FROM ({scored}) WHERE n_books >= 2 AND profit_margin > {EPS}"""
 def window_src(src: str, width_ms: int, time_col: str) -> str:
     return f"""SELECT *, {time_col} - (({time_col} % {width_ms}) + {width_ms}) % {width_ms} AS window_start_ms
 FROM ({src})"""
+
+
+def timeline_sql(src: str) -> str:
+    """Evaluation after every accepted update, via DuckDB's ASOF JOIN."""
+    return f"""
+WITH v AS (SELECT match_id, bookmaker, odds_home, odds_draw, odds_away, event_time_ms, real_time_ms,
+                  real_time_ms AS arrival FROM ({src}) WHERE {VALID}),
+a AS (SELECT * FROM (SELECT *, max(event_time_ms) OVER (PARTITION BY match_id, bookmaker ORDER BY arrival
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM v)
+      WHERE prev IS NULL OR event_time_ms >= prev),
+books AS (SELECT DISTINCT match_id, bookmaker AS src FROM a),
+e AS (SELECT p.match_id, p.arrival AS p, p.bookmaker AS upd_book, p.event_time_ms AS upd_et, b.src
+      FROM a p JOIN books b ON p.match_id = b.match_id),
+j AS (SELECT e.*, x.odds_home, x.odds_draw, x.odds_away, x.real_time_ms FROM e ASOF JOIN a x
+      ON e.match_id = x.match_id AND e.src = x.bookmaker AND e.p >= x.arrival),
+m AS (SELECT *, max(odds_home) OVER w AS mh, max(odds_draw) OVER w AS md, max(odds_away) OVER w AS ma
+      FROM j WINDOW w AS (PARTITION BY match_id, p)),
+g AS (SELECT match_id, p AS arrival, any_value(upd_book) AS bookmaker, any_value(upd_et) AS event_time_ms,
+        count(*) AS n_books,
+        min(src) FILTER (WHERE odds_home = mh) AS best_book_home, max(odds_home) AS best_odds_home,
+        min(src) FILTER (WHERE odds_draw = md) AS best_book_draw, max(odds_draw) AS best_odds_draw,
+        min(src) FILTER (WHERE odds_away = ma) AS best_book_away, max(odds_away) AS best_odds_away,
+        max(real_time_ms) AS max_real_time_ms
+      FROM m GROUP BY match_id, p),
+s AS (SELECT *, 1.0e0 / best_odds_home + 1.0e0 / best_odds_draw + 1.0e0 / best_odds_away AS implied_prob_sum FROM g)
+SELECT *, 1.0e0 - implied_prob_sum AS profit_margin,
+       n_books >= 2 AND 1.0e0 - implied_prob_sum > {EPS} AS is_arbitrage FROM s"""
+
+
+def emit_sql(src: str, tol: str = "1.0e-4") -> str:
+    """Change-only emission as a recursive fold over each match's timeline."""
+    return f"""
+WITH RECURSIVE t AS (SELECT *, row_number() OVER (PARTITION BY match_id ORDER BY arrival) AS rn
+                     FROM ({timeline_sql(src)})),
+f AS (
+  SELECT match_id, rn,
+    CASE WHEN n_books >= 2 AND profit_margin > {EPS} THEN profit_margin END AS memo,
+    (n_books >= 2 AND profit_margin > {EPS}) AS emit
+  FROM t WHERE rn = 1
+  UNION ALL
+  SELECT t.match_id, t.rn,
+    CASE WHEN t.n_books < 2 THEN f.memo
+         WHEN NOT (t.profit_margin > {EPS}) THEN NULL
+         WHEN f.memo IS NULL OR abs(f.memo - t.profit_margin) >= {tol} THEN t.profit_margin
+         ELSE f.memo END,
+    (t.n_books >= 2 AND t.profit_margin > {EPS} AND (f.memo IS NULL OR abs(f.memo - t.profit_margin) >= {tol}))
+  FROM f JOIN t ON t.match_id = f.match_id AND t.rn = f.rn + 1)
+SELECT t.match_id, t.arrival, t.profit_margin, t.implied_prob_sum, t.best_book_home, t.best_odds_home,
+       t.best_book_draw, t.best_odds_draw, t.best_book_away, t.best_odds_away
+FROM f JOIN t ON f.match_id = t.match_id AND f.rn = t.rn WHERE f.emit"""

@@ -15,6 +15,7 @@ from pricefold.functions import text as T
 from pricefold.operators import clean as C
 from pricefold.operators import detect as D
 from pricefold.operators import report as R
+from pricefold.operators import timeline as TL
 from pricefold.schema import BOOKMAKERS
 from pricefold.sources import kafka as K
 from pricefold.plans import oracle as O
@@ -379,6 +380,18 @@ def q_box_stats(spark, sf):
     return R.box_stats(V.run_metrics(spark, sf))
 
 
+# ----------------------------------------------------------- timelines ----
+
+@register("arbitrage_timeline", O.timeline_sql(O.ODDS_EV))
+def q_arbitrage_timeline(spark, sf):
+    return TL.arbitrage_timeline(V.odds_ev(spark, sf))
+
+
+@register("emit_on_change", O.emit_sql(O.ODDS_EV))
+def q_emit_on_change(spark, sf):
+    return TL.emit_on_change(TL.arbitrage_timeline(V.odds_ev(spark, sf)))
+
+
 # ----------------------------------------------------------- streaming ----
 
 _STREAM_COLS = ("match_id, best_book_home, best_odds_home, best_book_draw, best_odds_draw, best_book_away, "

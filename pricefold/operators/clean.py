@@ -79,9 +79,10 @@ def strict(odds: DataFrame) -> DataFrame:
     """Fail the job on the first unusable update (the source system's
     behaviour), through a JVM-side ``raise_error``."""
     reason = invalid_reason()
-    return odds.withColumn(
-        "_chk", F.when(reason.isNotNull(), F.raise_error(F.concat(F.lit("invalid odds update: "), reason)))
-    ).drop("_chk")
+    # a predicate, so the optimizer cannot prune the check away
+    check = F.when(reason.isNotNull(), F.raise_error(F.concat(F.lit("invalid odds update: "), reason))) \
+        .otherwise(F.lit(True))
+    return odds.where(check)
 
 
 def matches_to_events(wide: DataFrame, league_col: str = "league",

@@ -419,6 +419,17 @@ def q_detect_stream(spark, sf):
     return spark.read.parquet(f"{base}/out").select("method", *[c.strip() for c in _STREAM_COLS.split(",")])
 
 
+@register("detect_stream_native", f"SELECT 'stream' AS method, {_STREAM_COLS} FROM ({O.opps_sql(O.ODDS_EV)})")
+def q_detect_stream_native(spark, sf):
+    """Native stream (no Python), update mode, upserts per trigger; with each
+    match inside one trigger its latest opportunity equals the snapshot's."""
+    from pricefold.streaming import stream as S
+    base, src = _stream_input(spark, sf, "detect_stream_native")
+    opps = S.detect_stream_native(S.file_stream(spark, src, max_files_per_trigger=2), EV_BOOKS)
+    S.start_upserts(opps, f"{base}/out", f"{base}/ckpt").awaitTermination()
+    return S.current_view(spark, f"{base}/out").select("method", *[c.strip() for c in _STREAM_COLS.split(",")])
+
+
 @register("price_view_stream", f"""
 SELECT match_id, n_books, best_book_home, best_odds_home, best_book_draw, best_odds_draw, best_book_away,
        best_odds_away, max_real_time_ms FROM ({O.best_sql(O.latest_sql(O.ODDS_EV))})""")

@@ -239,3 +239,68 @@ def make_state_fn(arrival: Sequence[str] = ("real_time_ms",), tolerance: float =
         yield _one_row(row, cols)
 
     return fn
+
+
+# --- the same logic on plain rows (transformWithState, no pandas) ---------------
+# Building a pandas frame per key costs far more than the rule itself on the
+# few rows a key has per trigger; the Row-based API skips that conversion.
+
+def apply_row_updates(stored: dict[str, tuple], rows: list, arrival: Sequence[str] = ()) -> tuple[dict[str, tuple], bool]:
+    """``apply_updates`` for a list of Rows (already materialised)."""
+    if arrival and len(rows) > 1:
+        rows = sorted(rows, key=lambda r: tuple(r[c] for c in arrival))
+    out = dict(stored)
+    touched = False
+    for r in rows:
+        b = r["bookmaker"]
+        cur = out.get(b)
+        if cur is None or r["event_time_ms"] >= cur[0]:
+            out[b] = (int(r["event_time_ms"]), float(r["odds_home"]), float(r["odds_draw"]),
+                      float(r["odds_away"]), int(r["real_time_ms"]))
+            touched = True
+    return out, touched
+
+
+class OddsRowProcessor(StatefulProcessor):
+    """``OddsProcessor`` on Rows: one state value per match (the sources'
+    latest prices packed in arrays plus the memo), one read and one write
+    per evaluated key and trigger."""
+
+    def __init__(self, arrival: Sequence[str] = ("real_time_ms",), tolerance: float = EMIT_TOLERANCE,
+                 eps: float = EPSILON, state_ttl_ms: int | None = None, method: str = METHOD_STREAM):
+        self.arrival = list(arrival)
+        self.tolerance = tolerance
+        self.eps = eps
+        self.ttl = state_ttl_ms
+        self.method = method
+        self.cols = [c.name for c in EVAL_SCHEMA.fields]
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("match", STATE_SCHEMA, self.ttl)
+
+    def handleInputRows(self, key, rows, timerValues):
+        from pyspark.sql import Row
+        prev = self.state.get()
+        stored, memo = _unpack(prev) if prev is not None else ({}, None)
+        books, touched = apply_row_updates(stored, list(rows), self.arrival)
+        if not touched:
+            return
+        now = int(time.time() * 1000)
+        res = evaluate(books, self.eps)
+        emit = False
+        if res is not None:
+            if res["profit_margin"] <= self.eps:
+                memo = None
+            elif memo is None or abs(memo - res["profit_margin"]) >= self.tolerance:
+                emit = True
+                memo = res["profit_margin"]
+        self.state.update(_pack(books, memo))
+        row = {c: None for c in self.cols}
+        row.update({"emit": emit, "method": self.method, "match_id": key[0]})
+        if res is not None:
+            row.update(res)
+            row.update({"detected_at_ms": now, "e2e_latency_ms": now - res["max_real_time_ms"]})
+        yield Row(**{c: row[c] for c in self.cols})
+
+    def close(self) -> None:
+        pass

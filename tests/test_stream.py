@@ -99,7 +99,7 @@ def write_triggers(indir, trigs, start=0):
         os.utime(p, (1_000_000_000 + k, 1_000_000_000 + k))
 
 
-def run(spark, base, engine="group_state"):
+def run(spark, base, engine="rows"):
     src = S.file_stream(spark, f"{base}/in", max_files_per_trigger=1)
     q = S.start(S.detect_stream(src, engine=engine), f"{base}/out", f"{base}/ckpt")
     q.awaitTermination()
@@ -112,7 +112,7 @@ def test_twin_expectations():
     assert counts == EXPECTED_COUNTS
 
 
-@pytest.mark.parametrize("engine", ["group_state", "processor"])
+@pytest.mark.parametrize("engine", ["rows", "group_state", "processor"])
 def test_stream_matches_twin(spark, tmp, engine):
     trigs = triggers()
     write_triggers(f"{tmp}/in", trigs)
@@ -149,3 +149,15 @@ def test_metrics_listener_and_price_view(spark, tmp):
     assert cur["late"].best_odds_home == NO_A[0]      # newest event time wins in the native view
     assert cur["equal"].best_odds_home == OPP_A[0]    # equal event time: later send time wins
     assert cur["split"].n_books == 2
+
+
+def test_native_stream_reports_current_opportunities(spark, tmp):
+    trigs = triggers()
+    write_triggers(f"{tmp}/in", trigs)
+    opps = S.detect_stream_native(S.file_stream(spark, f"{tmp}/in", max_files_per_trigger=1), ["A", "B"])
+    S.start_upserts(opps, f"{tmp}/out", f"{tmp}/ckpt").awaitTermination()
+    log = spark.read.parquet(f"{tmp}/out")
+    # every trigger in which a match is an opportunity reports it (no suppression)
+    per_match = {r.match_id: r["count"] for r in log.groupBy("match_id").count().collect()}
+    assert per_match.get("steady") == 3 and per_match.get("drift") == 4
+    assert "transient" not in per_match and "late" not in per_match

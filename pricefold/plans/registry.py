@@ -204,6 +204,36 @@ def q_parse_kickoff(spark, sf):
                     T.iso_date(k).alias("match_date"))
 
 
+def _csv_events_sql() -> str:
+    kick = ("epoch_us(l_shipdate) // 1000 + CASE WHEN l_partkey % 3 = 0 THEN 43200000 "
+            "ELSE (l_partkey % 24) * 3600000 + (l_suppkey % 60) * 60000 END")
+    parts = []
+    for i, b in enumerate(BOOKMAKERS):
+        h = f"0.95e0 + l_quantity / {20.0 + i}e0"
+        d = f"2.0e0 + l_discount * {16.0 + i}e0"
+        a = f"1.5e0 + l_tax * {30.0 + i}e0"
+        parts.append(f"""SELECT concat('L', l_returnflag, '-', strftime(l_shipdate, '%Y-%m-%d'), '-Team_',
+    CAST(l_partkey % 50 AS VARCHAR), '-Club-', CAST(l_suppkey % 40 AS VARCHAR)) AS match_id,
+  concat('L', l_returnflag) AS league, concat('Team ', CAST(l_partkey % 50 AS VARCHAR)) AS home_team,
+  concat('Club/', CAST(l_suppkey % 40 AS VARCHAR)) AS away_team, strftime(l_shipdate, '%Y-%m-%d') AS match_date,
+  '{b}' AS bookmaker, {h} AS odds_home, {d} AS odds_draw, {a} AS odds_away, {kick} AS event_time_ms
+FROM lineitem WHERE (l_suppkey + {i}) % 2 = 0 AND {h} > 1.0e0 AND {d} > 1.0e0 AND {a} > 1.0e0""")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("csv_events", _csv_events_sql())
+def q_csv_events(spark, sf):
+    """Wide match rows written as CSV files, read back by header group, then
+    unpivoted, validated and keyed: the historical-file ingestion path."""
+    from pricefold.session import run_dir
+    from pricefold.sources import files as FS
+    path = run_dir(spark, "csv_events") + "/raw"
+    V.wide_matches_from_lineitem(V.table(spark, sf, "lineitem")).write.option("header", True).csv(path)
+    ev = C.matches_to_events(FS.read_odds_csv(spark, path), league_col="Div")
+    return ev.select("match_id", "league", "home_team", "away_team", "match_date", "bookmaker",
+                     "odds_home", "odds_draw", "odds_away", "event_time_ms")
+
+
 # ------------------------------------------------------------- reports ----
 
 @register("count_by_group", f"SELECT match_date, count(DISTINCT match_id) AS matches FROM ({O.ODDS_EV}) GROUP BY match_date")
@@ -430,6 +460,23 @@ def q_detect_stream_native(spark, sf):
     return S.current_view(spark, f"{base}/out").select("method", *[c.strip() for c in _STREAM_COLS.split(",")])
 
 
+@register("detect_polling", f"""
+SELECT method, match_id, best_book_home, best_odds_home, best_book_draw, best_odds_draw, best_book_away,
+       best_odds_away, profit_margin, implied_prob_sum, max_event_time_ms, max_real_time_ms
+FROM ({O.opps_sql(O.ODDS_EV)})""")
+def q_detect_polling(spark, sf):
+    """Polling consumer over a file stream: each trigger judged alone.  All
+    updates of a match share a file, hence a trigger."""
+    from pricefold.streaming import stream as S
+    base, src = _stream_input(spark, sf, "detect_polling")
+    S.start_polling(S.file_stream(spark, src, max_files_per_trigger=2), f"{base}/out", f"{base}/ckpt",
+                    metrics_path=f"{base}/metrics").awaitTermination()
+    return spark.read.parquet(f"{base}/out").select(
+        "method", "match_id", "best_book_home", "best_odds_home", "best_book_draw", "best_odds_draw",
+        "best_book_away", "best_odds_away", "profit_margin", "implied_prob_sum", "max_event_time_ms",
+        "max_real_time_ms")
+
+
 @register("price_view_stream", f"""
 SELECT match_id, n_books, best_book_home, best_odds_home, best_book_draw, best_odds_draw, best_book_away,
        best_odds_away, max_real_time_ms FROM ({O.best_sql(O.latest_sql(O.ODDS_EV))})""")

@@ -121,3 +121,30 @@ def wide_books_from_lineitem(lineitem: DataFrame) -> DataFrame:
             F.when(present, (F.lit(1.5) + F.col("l_tax") * F.lit(30.0 + i)).cast("string")).alias(a),
         ]
     return lineitem.select(*cols)
+
+
+def wide_matches_from_lineitem(lineitem: DataFrame) -> DataFrame:
+    """Historical-file shaped text table from ``lineitem``: ``Div``, ``Date``
+    (``dd/MM/yyyy`` or ``dd/MM/yy``), ``Time`` (blank for a third of the rows),
+    team names with a space and a slash, and the six bookmakers' price
+    triples as text (three present per row)."""
+    from pricefold.schema import BOOKMAKERS
+    date_text = F.when(F.col("l_linenumber") % 2 == 0, F.date_format("l_shipdate", "dd/MM/yyyy")) \
+        .otherwise(F.date_format("l_shipdate", "dd/MM/yy"))
+    hm = F.concat(F.lpad((F.col("l_partkey") % 24).cast("string"), 2, "0"), F.lit(":"),
+                  F.lpad((F.col("l_suppkey") % 60).cast("string"), 2, "0"))
+    cols = [
+        F.concat(F.lit("L"), F.col("l_returnflag")).alias("Div"),
+        date_text.alias("Date"),
+        F.when(F.col("l_partkey") % 3 == 0, F.lit("")).otherwise(hm).alias("Time"),
+        F.concat(F.lit("Team "), (F.col("l_partkey") % 50).cast("string")).alias("HomeTeam"),
+        F.concat(F.lit("Club/"), (F.col("l_suppkey") % 40).cast("string")).alias("AwayTeam"),
+    ]
+    for i, (_, (h, d, a)) in enumerate(BOOKMAKERS.items()):
+        present = ((F.col("l_suppkey") + F.lit(i)) % 2) == 0
+        cols += [
+            F.when(present, (F.lit(0.95) + F.col("l_quantity") / F.lit(20.0 + i)).cast("string")).alias(h),
+            F.when(present, (F.lit(2.0) + F.col("l_discount") * F.lit(16.0 + i)).cast("string")).alias(d),
+            F.when(present, (F.lit(1.5) + F.col("l_tax") * F.lit(30.0 + i)).cast("string")).alias(a),
+        ]
+    return lineitem.select(*cols)

@@ -170,8 +170,9 @@ def test_polling_consumer_judges_each_trigger_alone(spark, tmp):
                         metrics_path=f"{tmp}/metrics")
     q.awaitTermination()
     got = {r.match_id for r in spark.read.parquet(f"{tmp}/out").collect()}
-    assert "split" not in got            # its two sources arrive in different triggers
-    assert {"steady", "drift", "vanish", "equal"} <= got
+    # "split" and "equal" get their second source in a later trigger, which
+    # a per-trigger judge sees alone
+    assert got == {"steady", "drift", "vanish"}
     m = sorted(spark.read.json(f"{tmp}/metrics").collect(), key=lambda r: r.batch)
     assert [r.rows_decoded for r in m] == [len(t) for t in trigs]
     assert all(r.rows_read <= r.rows_decoded for r in m)

@@ -1,6 +1,6 @@
 """Cross-source arbitrage detection as DataFrame operators.
 
-Pipeline (one lazy plan, one action)::
+Plan (one lazy plan, one action)::
 
     odds --valid--> latest_odds --(match)--> best_prices --> opportunities
 

@@ -237,7 +237,7 @@ def top_margins(opps: DataFrame, n: int = 10) -> DataFrame:
     top = opps.orderBy(F.desc("profit_margin"), "match_id").limit(n)
     w = Window.orderBy(F.desc("profit_margin"), "match_id")  # over at most n rows
     return top.select(
-        F.row_number().over(w).alias("rank"), (F.col("profit_margin") * F.lit(100.0)).alias("margin_pct"),
+        F.row_number().over(w).cast("bigint").alias("rank"), (F.col("profit_margin") * F.lit(100.0)).alias("margin_pct"),
         "match_id", "best_odds_home", "best_book_home", "best_odds_draw", "best_book_draw",
         "best_odds_away", "best_book_away")
 

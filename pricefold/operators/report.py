@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricefold.operators import detect as D
+from pricefold.operators.scan import running
 from pricefold.schema import EPSILON, METHOD_BATCH, METHOD_STREAM
 
 PCTS = (0.5, 0.95, 0.99)
@@ -110,23 +111,21 @@ def pivot_metric(summary: DataFrame, metric: str, labels: Sequence[str] = (METHO
 
 
 def latency_cdf(opps: DataFrame, value: str = "e2e_latency_ms", keys: Sequence[str] = ("tag", "method"),
-                scale: float = 1000.0) -> DataFrame:
+                scale: float = 1000.0, chunk: int = 1000) -> DataFrame:
     """Empirical CDF: for the i-th smallest of n values, ``y = i / n``
     (ties get distinct y), ``x = value / scale`` (ms → s).
 
     Built from counts per distinct value: a running sum over the distinct
-    values gives each value's first rank, and each value's rows are
-    regenerated in chunks of at most ``CDF_CHUNK``, so no group of rows is
-    sorted or collected in one task.
+    values (a chunked scan, ``chunk`` value units per chunk) gives each
+    value's first rank, and each value's rows are regenerated in chunks of
+    at most ``CDF_CHUNK``, so no group of rows is sorted or collected in one
+    task.
     """
     keys = list(keys)
     counts = opps.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("c"))
-    w = Window.partitionBy(*keys).orderBy(value)
-    ranked = counts.select(
-        *keys, value, "c",
-        (F.coalesce(F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).alias("before"),
-        F.sum("c").over(Window.partitionBy(*keys)).alias("n"),
-    )
+    totals = counts.groupBy(*keys).agg(F.sum("c").alias("n"))
+    ranked = running(counts, keys, value, "c", "sum", "before", chunk, inclusive=False) \
+        .withColumn("before", F.coalesce("before", F.lit(0))).join(totals, keys)
     chunks = ranked.select(*keys, value, "before", "c", "n",
                            F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("c") - 1) / F.lit(CDF_CHUNK)).cast("bigint"))).alias("k"))
     rows = chunks.select(
@@ -249,25 +248,27 @@ def chronological_head(odds: DataFrame, n: int | None = 100) -> DataFrame:
     return ordered if n is None else ordered.limit(n)
 
 
-def replay_schedule(odds: DataFrame, speed: float, cap_s: float = 5.0, partition: str = "match_date") -> DataFrame:
+def replay_schedule(odds: DataFrame, speed: float, cap_s: float = 5.0, partition: str = "match_date",
+                    chunk: int = 3_600_000) -> DataFrame:
     """Replay offsets per ``partition`` (e.g. day): between consecutive
     distinct kickoff times the replay waits ``gap / speed`` seconds, at most
     ``cap_s``, and nothing when ``speed <= 0``.  ``offset_s`` is the running
     sum, the same for all updates sharing a kickoff time.
 
     Works on distinct (partition, time) pairs, so many updates at one
-    instant never pile up in one window task.
+    instant never pile up in one task, and the running values are chunked
+    scans (``chunk`` ms per chunk), so a busy day is split too.
     """
     times = odds.select(partition, "event_time_ms").distinct()
-    w = Window.partitionBy(partition).orderBy("event_time_ms")
-    gap_s = (F.col("event_time_ms") - F.lag("event_time_ms").over(w)) / F.lit(1000.0)
+    # previous distinct time = running max of earlier times (chunked scan)
+    times = running(times, [partition], "event_time_ms", "event_time_ms", "max", "_prev_t", chunk, inclusive=False)
+    gap_s = (F.col("event_time_ms") - F.col("_prev_t")) / F.lit(1000.0)
     if speed > 0:
         sleep = F.when(gap_s > 0, F.least(gap_s / F.lit(float(speed)), F.lit(float(cap_s)))).otherwise(F.lit(0.0))
     else:
         sleep = F.lit(0.0)
     sched = times.select(partition, "event_time_ms", sleep.alias("sleep_s"))
-    sched = sched.select(partition, "event_time_ms",
-                         F.round(F.sum("sleep_s").over(w.rowsBetween(Window.unboundedPreceding, 0)), ROUND)
-                         .alias("offset_s"))
+    sched = running(sched, [partition], "event_time_ms", "sleep_s", "sum", "_off", chunk)
+    sched = sched.select(partition, "event_time_ms", F.round("_off", ROUND).alias("offset_s"))
     return odds.select("match_id", "bookmaker", partition, "event_time_ms", "real_time_ms").join(
         sched, [partition, "event_time_ms"])

@@ -5,12 +5,14 @@ arrival order, independent of trigger boundaries:
 
 1. acceptance (late data): an update is accepted iff its event time is >=
    the largest event time of the earlier arrivals of the same (match,
-   source) - a running ``max`` window;
+   source) - a running ``max``;
 2. at every accepted update ``p`` each source of the match contributes its
    latest accepted price as of ``p``: the evaluation points are joined with
-   the match's distinct sources and a ``last(..., ignorenulls)`` window over
+   the match's distinct sources and a running ``last non-null`` over
    (match, source) in arrival order carries the price forward (an as-of
    lookup).  Rows: updates x sources of the match, never update x update;
+   both running values are chunked scans (``operators.scan``), so a hot
+   (match, source) is spread over tasks;
 3. a grouped aggregation per evaluation point gives the best prices.
 
 ``emit_on_change`` applies the change-only emission rule over the timeline.
@@ -32,8 +34,9 @@ from pyspark.sql import types as T
 
 from pricefold.functions.odds import implied_prob_sum, profit_margin
 from pricefold.operators.detect import DETECT_COLUMNS, OUTCOMES, valid_odds
+from pricefold.operators.scan import running
 from pricefold.schema import EMIT_TOLERANCE, EPSILON
-from pricefold.session import ship_package
+from pricefold.session import checkpoint_dir, ship_package
 
 TIMELINE_COLUMNS = [
     "match_id", "arrival", "bookmaker", "event_time_ms", "n_books",
@@ -42,24 +45,33 @@ TIMELINE_COLUMNS = [
 ]
 
 
-def accepted_updates(odds: DataFrame, arrival: str = "real_time_ms") -> DataFrame:
+# Arrival range per chunk of the skew-safe scans (``operators.scan``): with
+# millisecond send times about 17 minutes, with log offsets 1M messages.
+CHUNK = 1 << 20
+
+
+def accepted_updates(odds: DataFrame, arrival: str = "real_time_ms", chunk: int = CHUNK) -> DataFrame:
     """Valid updates that a keyed latest-value state would accept: event time
-    newer than or equal to every earlier arrival of the same source."""
+    newer than or equal to every earlier arrival of the same source.  The
+    running max is a chunked scan, so a hot (match, source) is split."""
     v = valid_odds(odds).select(*DETECT_COLUMNS, *([arrival] if arrival not in DETECT_COLUMNS else []))
     v = v.withColumn("arrival", F.col(arrival))
-    w = Window.partitionBy("match_id", "bookmaker").orderBy("arrival").rowsBetween(Window.unboundedPreceding, -1)
-    v = v.withColumn("_prev", F.max("event_time_ms").over(w))
+    v = running(v, ["match_id", "bookmaker"], "arrival", "event_time_ms", "max", "_prev", chunk, inclusive=False)
     return v.where(F.col("_prev").isNull() | (F.col("event_time_ms") >= F.col("_prev"))).drop("_prev")
 
 
-def arbitrage_timeline(odds: DataFrame, arrival: str = "real_time_ms", eps: float = EPSILON) -> DataFrame:
+def arbitrage_timeline(odds: DataFrame, arrival: str = "real_time_ms", eps: float = EPSILON,
+                       chunk: int = CHUNK) -> DataFrame:
     """One row per accepted update: the match's state right after it.
 
     ``arrival`` must order the updates of a match (unique within a match).
     ``n_books`` counts the sources with a price so far; ``is_arbitrage``
     needs at least two.
     """
-    acc = accepted_updates(odds, arrival)
+    # used three times below: computed once and written to the shared
+    # checkpoint folder (reliable: survives executor loss, cuts the lineage)
+    checkpoint_dir(odds.sparkSession)
+    acc = accepted_updates(odds, arrival, chunk).checkpoint(eager=True)
     books = acc.select("match_id", F.col("bookmaker").alias("src")).distinct()
     points = acc.select("match_id", F.col("arrival").alias("p"), F.col("bookmaker").alias("upd_book"),
                         F.col("event_time_ms").alias("upd_event_time"))
@@ -73,13 +85,14 @@ def arbitrage_timeline(odds: DataFrame, arrival: str = "real_time_ms", eps: floa
         "match_id", "bookmaker", "arrival", F.lit(0).alias("kind"),
         F.lit(None).cast("string").alias("upd_book"), F.lit(None).cast("bigint").alias("upd_event_time"),
         *[F.col(f"odds_{o}") for o in OUTCOMES], "real_time_ms")
-    w = (Window.partitionBy("match_id", "bookmaker").orderBy("arrival", "kind")
-         .rowsBetween(Window.unboundedPreceding, 0))
-    asof = prices.unionByName(probes).select(
-        "match_id", "bookmaker", "arrival", "kind", "upd_book", "upd_event_time",
-        *[F.last(f"odds_{o}", ignorenulls=True).over(w).alias(f"odds_{o}") for o in OUTCOMES],
-        F.last("real_time_ms", ignorenulls=True).over(w).alias("real_time_ms"),
-    ).where((F.col("kind") == 1) & F.col("odds_home").isNotNull())
+    # as-of: last price of each source at or before every probe; a price row
+    # sorts before the probe of the same arrival (order = 2 * arrival + kind)
+    both = prices.unionByName(probes).withColumn("_ord", F.col("arrival") * 2 + F.col("kind"))
+    px = F.when(F.col("kind") == 0, F.struct(*[F.col(f"odds_{o}") for o in OUTCOMES], F.col("real_time_ms")))
+    asof = running(both, ["match_id", "bookmaker"], "_ord", px, "last", "_px", 2 * chunk)
+    asof = asof.where((F.col("kind") == 1) & F.col("_px").isNotNull()).select(
+        "match_id", "bookmaker", "arrival", "upd_book", "upd_event_time",
+        *[F.col(f"_px.odds_{o}").alias(f"odds_{o}") for o in OUTCOMES], F.col("_px.real_time_ms").alias("real_time_ms"))
     aggs = [F.count(F.lit(1)).alias("n_books")]
     for o in OUTCOMES:
         aggs.append(F.min(F.struct((-F.col(f"odds_{o}")).alias("neg"), F.col("bookmaker").alias("book"))).alias(f"_{o}"))

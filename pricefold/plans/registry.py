@@ -49,6 +49,14 @@ def q_detect_snapshot_li(spark, sf):
     return D.detect_snapshot(V.odds_li(spark, sf), now_ms=O.NOW_MS)
 
 
+@register("detect_snapshot_li_x10", O.opps_sql(
+    "SELECT * REPLACE (concat('c', CAST(c AS VARCHAR), '-', match_id) AS match_id) FROM ("
+    f"SELECT *, unnest(range(10)) AS c FROM ({O.ODDS_LI}))"))
+def q_detect_snapshot_li_x10(spark, sf):
+    """Scaling run: ten copies of the lineitem odds with distinct match ids."""
+    return D.detect_snapshot(V.replicate(V.odds_li(spark, sf), 10), now_ms=O.NOW_MS)
+
+
 @register("detect_window", O.opps_sql(O.window_src(O.ODDS_EV, HOUR_MS, "event_time_ms"),
                                       keys="window_start_ms, match_id", extra="window_start_ms, "))
 def q_detect_window(spark, sf):

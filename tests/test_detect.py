@@ -181,3 +181,37 @@ def test_quarantine_reasons(spark):
     assert reasons == {2: "missing_match_id", 3: "missing_bookmaker", 4: "missing_odds", 5: "nan_odds",
                        6: "odds_not_above_1"}
     assert F is not None
+
+
+def test_hot_match_with_a_third_of_all_rows(spark):
+    """One match holds a third of the updates (many per source, out of
+    order): detection and the chunked timeline stay exact."""
+    import random
+    from pricefold.operators import timeline as TL
+    rnd = random.Random(3)
+    rows = []
+    for i in range(300):
+        if i % 3 == 0:
+            rows.append(("hot", rnd.choice("ABCD"), rnd.uniform(1.5, 4), rnd.uniform(1.5, 4), rnd.uniform(1.5, 4),
+                         rnd.randint(0, 20), i))
+        else:
+            rows.append((f"m{i % 17}", rnd.choice("AB"), rnd.uniform(1.5, 4), rnd.uniform(1.5, 4),
+                         rnd.uniform(1.5, 4), rnd.randint(0, 20), i))
+    df = odds_rows(spark, rows).repartition(7)
+    # reference: plain Python latest-per-source and best prices
+    latest = {}
+    for m, b, h, d, a, e, r in rows:
+        cur = latest.get((m, b))
+        if cur is None or (e, r, h, d, a) > cur[:5]:
+            latest[(m, b)] = (e, r, h, d, a)
+    best = {}
+    for (m, b), (e, r, h, d, a) in latest.items():
+        cur = best.setdefault(m, [0.0, 0.0, 0.0, 0])
+        cur[0], cur[1], cur[2], cur[3] = max(cur[0], h), max(cur[1], d), max(cur[2], a), cur[3] + 1
+    expect = {m: 1.0 - ((1.0 / v[0]) + (1.0 / v[1]) + (1.0 / v[2])) for m, v in best.items() if v[3] >= 2}
+    expect = {m: x for m, x in expect.items() if x > 1e-9}
+    got = {r.match_id: r.profit_margin for r in D.detect_snapshot(df, now_ms=0).collect()}
+    assert got == expect
+    tl_small = TL.arbitrage_timeline(df, chunk=5)  # the hot match spans many chunks
+    tl_big = TL.arbitrage_timeline(df)
+    assert sorted(map(tuple, tl_small.collect())) == sorted(map(tuple, tl_big.collect()))

@@ -63,8 +63,9 @@ def book_coverage(wide: DataFrame, books: Mapping[str, tuple[str, str, str]] = B
     counts = long.groupBy("bookmaker").agg(
         F.count_if(F.col("odds_home").isNotNull() & F.col("odds_draw").isNotNull()
                    & F.col("odds_away").isNotNull()).alias("matches_with_odds"))
-    # ``names`` has one row per configured bookmaker: a fixed, tiny side.
-    return (F.broadcast(names).join(counts, "bookmaker", "left")
+    # ``counts`` has at most one row per configured bookmaker (unpivot emits
+    # only those), so its size is bounded: broadcast it to the preserved side
+    return (names.join(F.broadcast(counts), "bookmaker", "left")
             .select("bookmaker", F.coalesce("matches_with_odds", F.lit(0)).cast("bigint").alias("matches_with_odds")))
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from pricefold.operators.detect import DETECT_COLUMNS, valid_odds
-from pricefold.session import ship_package
+from pricefold.session import ROCKSDB_PROVIDER, ship_package
 from pricefold.schema import EMIT_TOLERANCE, EPSILON, ODDS_SCHEMA, STREAM_OPP_COLUMNS
 from pricefold.streaming.processor import (
     EVAL_SCHEMA, STATE_SCHEMA, OddsProcessor, OddsRowProcessor, make_state_fn,
@@ -49,7 +49,13 @@ def detect_stream(odds: DataFrame, arrival: Sequence[str] = ("real_time_ms",), t
     Row engine was measured fastest: building a pandas frame per key costs
     more than the rule on the few rows a key has per trigger.
     """
-    ship_package(odds.sparkSession)
+    spark = odds.sparkSession
+    ship_package(spark)
+    if engine in ("rows", "processor"):
+        # transformWithState keeps its state in RocksDB; a session conf that
+        # applies to queries started from now on (a restarted query keeps
+        # the provider recorded in its checkpoint)
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     arrival = [c for c in arrival if c not in DETECT_COLUMNS]
     observed = odds.observe(INPUT_METRICS, F.count(F.lit(1)).alias("rows_decoded"))
     valid = valid_odds(observed).select(*DETECT_COLUMNS, *arrival)

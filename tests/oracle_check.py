@@ -77,10 +77,17 @@ def compare(spark, sf_dir, names=None):
 
 
 if __name__ == "__main__":
-    from pricefold.session import session
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = session("local[8]", conf={"spark.sql.shuffle.partitions": "8"})
-    res = compare(spark, sf, sys.argv[2:] or None)
+    args = sys.argv[1:]
+    plain = "--plain" in args  # a bare session, as the driver builds it
+    args = [a for a in args if a != "--plain"]
+    sf = args[0] if args else "/root/testdata/sf0.01"
+    if plain:
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8").getOrCreate()
+    else:
+        from pricefold.session import session
+        spark = session("local[8]", conf={"spark.sql.shuffle.partitions": "8"})
+    res = compare(spark, sf, args[1:] or None)
     for k, v in res.items():
         print(f"{k:28s} {v}")
     bad = [k for k, v in res.items() if v[0] == "MISMATCH"]

@@ -68,8 +68,9 @@ def odds_li(spark: SparkSession, sf_dir: str) -> DataFrame:
 def replicate(odds: DataFrame, copies: int) -> DataFrame:
     """``copies`` copies of an odds table with distinct match ids (``c<i>-``
     prefix), for scaling runs; a generator, not a join."""
+    from pricefold.operators.detect import spread
     c = F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("_copy")
-    return odds.select("*", c).withColumn(
+    return spread(odds).select("*", c).withColumn(
         "match_id", F.concat(F.lit("c"), F.col("_copy").cast("string"), F.lit("-"), F.col("match_id"))).drop("_copy")
 
 

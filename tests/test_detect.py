@@ -81,7 +81,7 @@ def test_window_and_colocated_strategies_agree(spark):
     rows = golden_events() + [("x", "A", 2.1, 3.3, 4.4, 1, 1), ("x", "A", 2.2, 3.3, 4.4, 1, 1)]
     df = odds_rows(spark, rows)
     base = D.detect_snapshot(df, now_ms=0)
-    for strategy in ("window", "colocated"):
+    for strategy in ("aggregate", "colocated"):
         other = D.detect_snapshot(df, now_ms=0, strategy=strategy)
         assert base.exceptAll(other).count() == 0 and other.exceptAll(base).count() == 0
 

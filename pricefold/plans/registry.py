@@ -157,7 +157,7 @@ def _wide_books_sql(only_valid: bool) -> str:
 
 @register("unpivot_books", _wide_books_sql(True))
 def q_unpivot_books(spark, sf):
-    return C.unpivot_books(V.wide_books_from_lineitem(V.table(spark, sf, "lineitem")), keep=["row_id"])
+    return C.unpivot_books(V.wide_books_from_lineitem(D.spread(V.table(spark, sf, "lineitem"))), keep=["row_id"])
 
 
 @register("book_coverage", "SELECT bookmaker, count(*) FILTER (WHERE odds_home IS NOT NULL AND odds_draw IS NOT NULL"
@@ -236,7 +236,8 @@ def q_csv_events(spark, sf):
     from pricefold.session import run_dir
     from pricefold.sources import files as FS
     path = run_dir(spark, "csv_events") + "/raw"
-    V.wide_matches_from_lineitem(V.table(spark, sf, "lineitem")).write.option("header", True).csv(path)
+    # spread: the parallel write yields several files, so the read is parallel too
+    V.wide_matches_from_lineitem(D.spread(V.table(spark, sf, "lineitem"))).write.option("header", True).csv(path)
     ev = C.matches_to_events(FS.read_odds_csv(spark, path), league_col="Div")
     return ev.select("match_id", "league", "home_team", "away_team", "match_date", "bookmaker",
                      "odds_home", "odds_draw", "odds_away", "event_time_ms")

@@ -47,7 +47,8 @@ def read_odds_csv(spark: SparkSession, raw_dir: str, pattern: str = "*.csv") ->
     * rows with more fields than the header are dropped, rows with fewer
       are padded with NULL (``pandas`` ``on_bad_lines="skip"`` semantics):
       the schema carries one extra trailing column and only rows where it
-      is NULL are kept;
+      is NULL are kept (an over-long row whose surplus fields are all empty
+      cannot be told from a full one and is kept);
     * ``league`` and ``season`` come from the file name ``<league>_<season>.csv``,
       ``source_file`` keeps the name.
 

@@ -40,7 +40,9 @@ def detect_stream(odds: DataFrame, arrival: Sequence[str] = ("real_time_ms",), t
     ``arrival``: columns giving the arrival order inside a trigger (e.g.
     ``("partition", "offset")`` for a message log, whose producer keys by
     match so one match stays in one partition).  ``state_ttl_ms`` bounds the
-    state of matches that stop receiving updates (off by default).
+    state of matches that stop receiving updates (off by default); expiry
+    runs in processing-time mode, so use it with a processing-time trigger
+    (``availableNow`` keeps scheduling timer batches in that mode).
 
     Engines (same semantics and output): ``"rows"`` (default) runs
     ``transformWithState`` on Rows with one packed state value per match;

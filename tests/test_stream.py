@@ -176,3 +176,32 @@ def test_polling_consumer_judges_each_trigger_alone(spark, tmp):
     m = sorted(spark.read.json(f"{tmp}/metrics").collect(), key=lambda r: r.batch)
     assert [r.rows_decoded for r in m] == [len(t) for t in trigs]
     assert all(r.rows_read <= r.rows_decoded for r in m)
+
+
+def test_message_log_source_with_offset_order(spark, tmp):
+    """Kafka-shaped records (key, value JSON, partition, offset) in files:
+    decode, order by (partition, offset), same emissions as the twin."""
+    import json as _json
+    from pricefold.schema import KAFKA_SOURCE_SCHEMA
+    from pricefold.sources import kafka
+    arrow = pa.schema([("key", pa.binary()), ("value", pa.binary()), ("topic", pa.string()),
+                       ("partition", pa.int32()), ("offset", pa.int64()), ("timestamp", pa.timestamp("us")),
+                       ("timestampType", pa.int32())])
+    trigs = triggers()
+    os.makedirs(f"{tmp}/log", exist_ok=True)
+    for k, rows in enumerate(trigs):
+        recs = []
+        for m, b, h, d, a, e, r in rows:
+            v = {"match_id": m, "bookmaker": b, "odds_home": h, "odds_draw": d, "odds_away": a,
+                 "event_time_ms": e, "real_time_ms": 0}  # send time unknown: offsets give the order
+            recs.append({"key": m.encode(), "value": _json.dumps(v).encode(), "topic": "odds", "partition": 0,
+                         "offset": r, "timestamp": None, "timestampType": 0})
+        p = os.path.join(f"{tmp}/log", f"t{k:04d}.parquet")
+        pq.write_table(pa.Table.from_pylist(recs[::-1], schema=arrow), p)  # file order != offset order
+        os.utime(p, (1_000_000_000 + k, 1_000_000_000 + k))
+    src = kafka.decode_events(S.file_stream(spark, f"{tmp}/log", max_files_per_trigger=1, schema=KAFKA_SOURCE_SCHEMA),
+                              keep_source_cols=True)
+    q = S.start(S.detect_stream(src, arrival=("partition", "offset")), f"{tmp}/out", f"{tmp}/ckpt")
+    q.awaitTermination()
+    got = sorted((r.match_id, r.profit_margin) for r in spark.read.parquet(f"{tmp}/out").collect())
+    assert got == sorted(twin(trigs))

@@ -82,7 +82,8 @@ def apply_updates(stored: dict[str, tuple], rows: pd.DataFrame,
     ib, ie, ih, idr, ia, ir = (pos["bookmaker"], pos["event_time_ms"], pos["odds_home"], pos["odds_draw"],
                                pos["odds_away"], pos["real_time_ms"])
     if arrival and n > 1:
-        ks = [pos[c] for c in arrival]
+        # ties on the arrival key fall back to the batch order (event time, prices)
+        ks = [pos[c] for c in arrival] + [ie, ih, idr, ia]
         order = sorted(range(n), key=lambda i: tuple(vals[i][k] for k in ks))
     else:
         order = range(n)
@@ -248,7 +249,9 @@ def make_state_fn(arrival: Sequence[str] = ("real_time_ms",), tolerance: float =
 def apply_row_updates(stored: dict[str, tuple], rows: list, arrival: Sequence[str] = ()) -> tuple[dict[str, tuple], bool]:
     """``apply_updates`` for a list of Rows (already materialised)."""
     if arrival and len(rows) > 1:
-        rows = sorted(rows, key=lambda r: tuple(r[c] for c in arrival))
+        # ties on the arrival key fall back to the batch order (event time, prices)
+        tie = ("event_time_ms", "odds_home", "odds_draw", "odds_away")
+        rows = sorted(rows, key=lambda r: tuple(r[c] for c in arrival) + tuple(r[c] for c in tie))
     out = dict(stored)
     touched = False
     for r in rows:

@@ -47,6 +47,8 @@ def spread(df: DataFrame) -> DataFrame:
     is read by one task); otherwise return it unchanged.  A large input
     already has many splits, so this costs nothing at scale.  The check
     reads the plan's partition count (file listing), not the data."""
+    if df.isStreaming:
+        return df  # a stream's partitions are set by its source and trigger
     n = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(n) if df.rdd.getNumPartitions() < n else df
 

@@ -28,3 +28,12 @@ def test_scan_reads_only_needed_columns(spark):
     text = " ".join(scan)
     assert "l_extendedprice" not in text and "l_returnflag" not in text
     assert "l_quantity" in text
+
+
+def test_spread_only_for_single_split_inputs(spark):
+    small = spark.range(10).coalesce(1)
+    assert D.spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    wide = spark.range(100).repartition(spark.sparkContext.defaultParallelism + 3)
+    assert D.spread(wide) is wide
+    stream = spark.readStream.format("rate").load()
+    assert D.spread(stream) is stream

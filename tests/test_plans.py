@@ -37,3 +37,8 @@ def test_spread_only_for_single_split_inputs(spark):
     assert D.spread(wide) is wide
     stream = spark.readStream.format("rate").load()
     assert D.spread(stream) is stream
+
+
+def test_latest_uses_partial_window_group_limit(spark):
+    p = plan(D.detect_snapshot(V.odds_li(spark, SF), now_ms=0))
+    assert "WindowGroupLimit" in p and "Partial" in p, p

@@ -82,6 +82,9 @@ def ship_package(spark: SparkSession) -> None:
     state processor).  The package is zipped once per application on the
     driver and registered with ``addPyFile`` (the same mechanism as
     ``--py-files``), so it reaches every executor, including replacements.
+    The zip is a code artifact on the driver that Spark's file server hands
+    out; no data is ever written to a machine-local folder.  Deployments
+    that submit the package with ``--py-files`` do not need this.
     """
     sc = spark.sparkContext
     app = sc.applicationId

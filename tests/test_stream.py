@@ -205,3 +205,31 @@ def test_message_log_source_with_offset_order(spark, tmp):
     q.awaitTermination()
     got = sorted((r.match_id, r.profit_margin) for r in spark.read.parquet(f"{tmp}/out").collect())
     assert got == sorted(twin(trigs))
+
+
+def test_stream_run_feeds_the_run_summary(spark, tmp):
+    """Trigger metrics of a real stream run and its emissions summarised by
+    the reporting layer (the listener receives progress asynchronously)."""
+    import time as _time
+    from pyspark.sql import functions as F
+    from pricefold.operators import report as R
+    trigs = triggers()
+    write_triggers(f"{tmp}/in", trigs)
+    lst = S.MetricsListener()
+    spark.streams.addListener(lst)
+    try:
+        q = S.start(S.detect_stream(S.file_stream(spark, f"{tmp}/in", max_files_per_trigger=1)),
+                    f"{tmp}/out", f"{tmp}/ckpt")
+        q.awaitTermination()
+        deadline = _time.time() + 30
+        while len([r for r in lst.records if r["query_id"] == str(q.id)]) < len(trigs) and _time.time() < deadline:
+            _time.sleep(0.5)
+    finally:
+        spark.streams.removeListener(lst)
+    metrics = lst.to_frame(spark, str(q.id)).withColumn("tag", F.lit("t")).withColumn("method", F.lit("stream"))
+    opps = spark.read.parquet(f"{tmp}/out").withColumn("tag", F.lit("t"))
+    s = R.run_summary(metrics, opps).collect()[0]
+    assert s.batches == len(trigs)
+    assert s.events == sum(len(t) for t in trigs)
+    assert s.opps == len(twin(trigs))
+    assert s.lat_ms_p50 is not None and s.proc_ms_p50 > 0

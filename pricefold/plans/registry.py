@@ -69,6 +69,15 @@ def q_detect_window_daily(spark, sf):
     return D.detect_window(V.odds_ev(spark, sf), DAY_MS, time_col="event_time_ms", now_ms=O.NOW_MS)
 
 
+@register("detect_window_arrival", O.opps_sql(O.window_src(O.ODDS_EV, 1000, "real_time_ms"),
+                                              keys="window_start_ms, match_id", extra="window_start_ms, "))
+def q_detect_window_arrival(spark, sf):
+    """Polling-period windows on the arrival (send) clock, as a consumer that
+    reads only each period's new updates: a match whose sources arrive in
+    different periods is judged on each part alone."""
+    return D.detect_window(V.odds_ev(spark, sf), 1000, time_col="real_time_ms", now_ms=O.NOW_MS)
+
+
 @register("latest_odds", O.latest_sql(O.ODDS_EV))
 def q_latest_odds(spark, sf):
     return D.latest_odds(D.valid_odds(V.odds_ev(spark, sf)))

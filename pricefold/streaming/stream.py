@@ -251,14 +251,22 @@ class MetricsListener(StreamingQueryListener):
             "wall_time_ms": int(ts.timestamp() * 1000) + dur,
         })
 
-    def to_frame(self, spark: SparkSession, query_id: str | None = None) -> DataFrame:
+    def to_frame(self, spark: SparkSession, query_id: str | None = None, tag: str | None = None,
+                 method: str | None = None) -> DataFrame:
+        """Metric records as a DataFrame; with ``tag``/``method`` it is ready
+        for ``report.run_summary``."""
         recs = [r for r in self.records if query_id is None or r["query_id"] == query_id]
         recs = sorted(recs, key=lambda r: (r["query_id"], r["spark_batch_id"]))
         rows = [(i + 1, r["spark_batch_id"], r["rows_read"], r["touched_matches"], r["opps_found"],
                  r["processing_ms"], r["wall_time_ms"]) for i, r in enumerate(recs)]
-        return spark.createDataFrame(rows, "batch bigint, spark_batch_id bigint, rows_read bigint, "
-                                           "touched_matches bigint, opps_found bigint, processing_ms bigint, "
-                                           "wall_time_ms bigint")
+        df = spark.createDataFrame(rows, "batch bigint, spark_batch_id bigint, rows_read bigint, "
+                                         "touched_matches bigint, opps_found bigint, processing_ms bigint, "
+                                         "wall_time_ms bigint")
+        if tag is not None:
+            df = df.withColumn("tag", F.lit(tag))
+        if method is not None:
+            df = df.withColumn("method", F.lit(method))
+        return df
 
     def to_json_lines(self) -> str:
         return "\n".join(json.dumps(r) for r in self.records)

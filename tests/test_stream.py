@@ -226,7 +226,7 @@ def test_stream_run_feeds_the_run_summary(spark, tmp):
             _time.sleep(0.5)
     finally:
         spark.streams.removeListener(lst)
-    metrics = lst.to_frame(spark, str(q.id)).withColumn("tag", F.lit("t")).withColumn("method", F.lit("stream"))
+    metrics = lst.to_frame(spark, str(q.id), tag="t", method="stream")
     opps = spark.read.parquet(f"{tmp}/out").withColumn("tag", F.lit("t"))
     s = R.run_summary(metrics, opps).collect()[0]
     assert s.batches == len(trigs)

@@ -233,3 +233,30 @@ def test_stream_run_feeds_the_run_summary(spark, tmp):
     assert s.events == sum(len(t) for t in trigs)
     assert s.opps == len(twin(trigs))
     assert s.lat_ms_p50 is not None and s.proc_ms_p50 > 0
+
+
+def test_price_view_final_state_equals_batch_when_matches_span_triggers(spark, tmp):
+    """odds_ev split by arrival ranges (a match's updates land in different
+    triggers): the native view's final state equals the batch best prices."""
+    from pyspark.sql import functions as F
+    from conftest import SF001
+    from pricefold.operators import detect as D
+    from pricefold.plans.registry import EV_BOOKS
+    from pricefold.sources import views as V
+    odds = V.odds_ev(spark, SF001)
+    bounds = [0, 250, 500, 750, 10**9]
+    for k in range(4):
+        part = odds.where((F.col("real_time_ms") >= bounds[k]) & (F.col("real_time_ms") < bounds[k + 1]))
+        part.coalesce(1).write.parquet(f"{tmp}/parts/p{k}")
+        src = [f for f in os.listdir(f"{tmp}/parts/p{k}") if f.endswith(".parquet")][0]
+        os.makedirs(f"{tmp}/in", exist_ok=True)
+        os.link(f"{tmp}/parts/p{k}/{src}", f"{tmp}/in/t{k:04d}.parquet")
+        os.utime(f"{tmp}/in/t{k:04d}.parquet", (1_000_000_000 + k, 1_000_000_000 + k))
+    view = S.price_view_stream(S.file_stream(spark, f"{tmp}/in", max_files_per_trigger=1), EV_BOOKS)
+    S.start_upserts(view, f"{tmp}/out", f"{tmp}/ckpt").awaitTermination()
+    cols = ["match_id", "n_books", "best_book_home", "best_odds_home", "best_book_draw", "best_odds_draw",
+            "best_book_away", "best_odds_away", "max_real_time_ms"]
+    got = S.current_view(spark, f"{tmp}/out").select(*cols)
+    want = D.best_prices(D.latest_odds(D.valid_odds(odds))).select(*cols)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert spark.read.parquet(f"{tmp}/out").select("batch_id").distinct().count() == 4

@@ -267,8 +267,14 @@ class ShingleJoin:
                 .join(tried, ["a", "b"], "left_anti"))
         rest = stage(rest, self.folder, "rest")
         if not rest.isEmpty():
-            links = links.union(self._verified(rest, "rest").where("linked").select("a", "b"))
-            roots = connected_components(links, f"{self.folder}/round2")
+            late = self._verified(rest, "rest").where("linked").select("a", "b")
+            for c in ("a", "b"):  # links between the components of round one
+                late = (late.join(roots.select(F.col("node").alias(c), "root"), c, "left")
+                        .withColumn(c, F.coalesce("root", c)).drop("root"))
+            joined = connected_components(late, f"{self.folder}/round2").withColumnRenamed("root", "top")
+            old = roots.join(joined.withColumnRenamed("node", "root"), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+            new = joined.join(roots, "node", "left_anti").select("node", F.col("top").alias("root"))
+            roots = stage(old.union(new), self.folder, "roots")
         return rows, roots
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pricefold.llm.shared import table
 
@@ -25,3 +26,28 @@ def register(name: str, sql: str | None = None):
 def op6(spark: SparkSession, sf: str) -> DataFrame:
     from pricefold.llm.jaccard import shingle_components
     return shingle_components(table(spark, sf, "documents"), num=90, den=100, width=3)
+
+
+_LOW = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ITEM_WORDS = r"regexp_extract_all({0}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@register("op3_decontamination", f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_ITEM_WORDS.format(_LOW.format("coalesce(text, '')"))} AS w FROM documents),
+b AS (SELECT item_id, {_ITEM_WORDS.format(_LOW.format("coalesce(text, '')"))} AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS g FROM (
+    SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)),
+dw AS (SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS g FROM (
+    SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+occ AS (SELECT r, i, n, item_id FROM dw JOIN win USING (n, g)),
+hit AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT r, i, n FROM occ)) GROUP BY r),
+it AS (SELECT r, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS items
+       FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS x FROM occ WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN it USING (r)""")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    from pricefold.llm.suffix import contamination
+    found = contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"), width=10)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))

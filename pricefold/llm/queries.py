@@ -51,3 +51,16 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
     found = contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"), width=10)
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def _remainder(column: str, divisor: int):
+    """crc32 of an id as text, modulo ``divisor`` (a null id: as empty text)."""
+    return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % divisor
+
+
+@register("op1_kneser_ney")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    from pricefold.llm import ngram
+    docs = table(spark, sf, "documents").withColumn("held_out", _remainder("doc_id", 7) == 2)
+    model = ngram.train(docs.where(~F.col("held_out")), order=2)
+    return ngram.score(docs, model, keep=["doc_id", "held_out"])

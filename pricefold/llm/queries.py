@@ -64,3 +64,10 @@ def op1(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").withColumn("held_out", _remainder("doc_id", 7) == 2)
     model = ngram.train(docs.where(~F.col("held_out")), order=2)
     return ngram.score(docs, model, keep=["doc_id", "held_out"])
+
+
+@register("op8_quality_rules")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    from pricefold.llm.rules import quality_verdicts
+    found = quality_verdicts(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")

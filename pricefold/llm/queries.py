@@ -71,3 +71,45 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
     from pricefold.llm.rules import quality_verdicts
     found = quality_verdicts(table(spark, sf, "documents"), table(spark, sf, "labels"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def _secret_oracle() -> str:
+    from pricefold.llm.secrets import RULES
+    quoted = lambda s: "'" + s.replace("'", "''") + "'"
+    parts = " UNION ALL ".join(
+        f"SELECT r, {i} AS k, {quoted(x.kind)} AS kind, {x.least} AS least, string_split_regex(t, {quoted(x.pattern)}) AS p, "
+        f"regexp_extract_all(t, {quoted(x.pattern)}, 0) AS m, regexp_extract_all(t, {quoted(x.pattern)}, {x.group}) AS g "
+        f"FROM d WHERE regexp_matches(t, {quoted(x.pattern)})" for i, x in enumerate(RULES))
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({parts}),
+e AS (SELECT r, k, kind, least, p, m, g, unnest(range(1, len(m) + 1)) AS i FROM m),
+s AS (SELECT r, k, kind, list_sum(list_transform(p[1:i], x -> length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], x -> length(x))), 0) AS a,
+             length(m[i]) AS n FROM e WHERE length(g[i]) >= least),
+t AS (SELECT r, k, kind, concat(kind, ':', CAST(a AS BIGINT), ':', CAST(a + n AS BIGINT)) AS span, CAST(a AS BIGINT) AS a FROM s),
+f AS (SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+             count(*) FILTER (kind = 'hex') AS n_hex, string_agg(span, ',' ORDER BY a, k) FILTER (k < 3) AS base,
+             string_agg(span, ',' ORDER BY a, k) AS spans FROM t GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN f USING (r)"""
+
+
+@register("op9_secret_scan", _secret_oracle())
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    from pricefold.llm.secrets import find_secrets, span_list
+    found = find_secrets(table(spark, sf, "documents"))
+    of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = ["assign", "access", "hex"]
+    return found.select("doc_id", *map(of, base), F.sha2(span_list(F.col("spans"), base), 256).alias("base_sha256"),
+                        span_list(F.col("spans")).alias("spans"))
+
+
+@register("op7_quality_classifier")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    from pricefold.llm import classifier
+    docs = table(spark, sf, "documents").withColumn("held_out", _remainder("doc_id", 5) == 0)
+    labels = table(spark, sf, "labels").where(_remainder("doc_id", 5) != 0)
+    model = classifier.fit(docs.where(~F.col("held_out")), labels)
+    return (classifier.score(docs, model, keep=["doc_id", "held_out"])
+            .withColumn("predicted", (F.col("score") >= classifier.THRESHOLD).cast("int")))

@@ -92,14 +92,19 @@ class Chunk:
         s, e = np.flatnonzero(begin), np.flatnonzero(end) + 1
         return s, e, np.searchsorted(s, self.off)
 
-    def hashes(self, s: np.ndarray, e: np.ndarray) -> np.ndarray:
-        """64-bit hash of each span ``data[s:e]``."""
+    def residues(self, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+        """Hash of each span ``data[s:e]`` before mixing: its high bits are
+        the better ones."""
         n = len(self.data)
         with np.errstate(over="ignore"):
             if self._sums is None:
                 self._sums = np.zeros(n + 1, np.uint64)
                 np.cumsum(_TABLE[self.data] * _power(_P, n), out=self._sums[1:])
-            return mix((self._sums[e] - self._sums[s]) * _power(_PINV, n + 1)[s])
+            return (self._sums[e] - self._sums[s]) * _power(_PINV, n + 1)[s]
+
+    def hashes(self, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+        """64-bit hash of each span ``data[s:e]``."""
+        return mix(self.residues(s, e))
 
 
 def chunks(texts: pa.Array, limit: int = CHUNK, fold: bool = False) -> Iterator[Chunk]:

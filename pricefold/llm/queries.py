@@ -84,7 +84,7 @@ def _secret_oracle() -> str:
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
 m AS ({parts}),
 e AS (SELECT r, k, kind, least, p, m, g, unnest(range(1, len(m) + 1)) AS i FROM m),
-s AS (SELECT r, k, kind, list_sum(list_transform(p[1:i], x -> length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], x -> length(x))), 0) AS a,
+s AS (SELECT r, k, kind, list_sum(list_transform(p[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS a,
              length(m[i]) AS n FROM e WHERE length(g[i]) >= least),
 t AS (SELECT r, k, kind, concat(kind, ':', CAST(a AS BIGINT), ':', CAST(a + n AS BIGINT)) AS span, CAST(a AS BIGINT) AS a FROM s),
 f AS (SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
@@ -113,3 +113,22 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
     model = classifier.fit(docs.where(~F.col("held_out")), labels)
     return (classifier.score(docs, model, keep=["doc_id", "held_out"])
             .withColumn("predicted", (F.col("score") >= classifier.THRESHOLD).cast("int")))
+
+
+_BASE32 = "||".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, {i}, 5))::INTEGER >> {s}) & 31) + 1, 1)"
+                    for i in range(1, 41, 5) for s in (15, 10, 5, 0))
+
+
+@register("op2_warc_captures", f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS x, sha1(coalesce(html, '')) AS h FROM pages),
+q AS (SELECT *, max(page_id) OVER (PARTITION BY x) AS m FROM p)
+SELECT page_id, CAST(strlen(x) AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN page_id = m THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = m THEN NULL ELSE m END AS refers_to FROM q""")
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    from pricefold.llm import warc
+    files = warc.write_warc(table(spark, sf, "pages"), min_bytes=0)
+    found = warc.captures(warc.read_warc(files, payloads=False))
+    return found.select(warc.metadata_field("page-id").alias("page_id"), F.col("response.payload_bytes"),
+                        F.col("response.payload_digest"), F.col("response.warc_type").alias("record_type"),
+                        warc.metadata_field("refers-to-page").alias("refers_to"))

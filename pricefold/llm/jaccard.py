@@ -11,7 +11,9 @@ copies is ever made:
    first ``|A| - o + l`` and ``|B| - o + l`` shingles share at least l of them.
    Each class picks its own l: a longer prefix costs postings, but asks for l
    shared shingles before a pair is verified.  The estimated document
-   frequencies price both.  A pair uses the smaller l of its two classes.
+   frequencies price both.  A pair uses the smaller l of its two classes; it is
+   proposed by a shingle of both prefixes for l = 1, then its shared shingles
+   are counted in the prefixes for its own l.
 4. Round one compares every class only with the anchor of each posting list
    (the class in whose order the shingle comes first), which is linear in the
    postings and collapses large groups of near copies.  Round two compares
@@ -41,6 +43,8 @@ SKETCH_BITS, BLOCK_BITS = 22, 16
 EXTENSIONS = np.array([1, 2, 3, 4, 6, 8])
 POSTING_COST, VERIFY_COST = 1.0, 0.05
 FILTER_BITS = 24
+#: A class in postings and pairs: 56 bits of its 128-bit key.  Links are made between whole keys.
+ID = "cast(conv(hex(substring(key, 1, 7)), 16, 10) as bigint)"
 
 
 def _sets(chunk: Chunk, width: int) -> Iterator[np.ndarray]:
@@ -163,11 +167,11 @@ def _prefixes(width: int, num: int, den: int, classes, mean: float):
     return run
 
 
-def _wanted(keys: DataFrame) -> np.ndarray:
-    """Fixed-size bit filter over the leading bits of class keys (2 MB)."""
-    word = F.conv(F.hex(F.substring("key", 1, 3)), 16, 10).cast("long")
-    rows = (keys.select((F.shiftright(word, 6)).alias("w"), F.expr("shiftleft(1L, cast(conv(hex(substring(key, 1, 3)), 16, 10) as int) & 63)").alias("bit"))
-            .groupBy("w").agg(F.bit_or("bit").alias("bits")).collect())
+def _wanted(ids: DataFrame) -> np.ndarray:
+    """Fixed-size bit filter over the leading bits of class ids (2 MB)."""
+    lead = F.shiftright("id", 56 - FILTER_BITS).cast("int")
+    rows = (ids.select(F.shiftright(lead, 6).alias("w"), lead.alias("lead")).groupBy("w")
+            .agg(F.bit_or(F.expr("shiftleft(1L, lead & 63)")).alias("bits")).collect())
     bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)
     for r in rows:
         bits[r["w"]] = r["bits"]
@@ -179,19 +183,20 @@ def _full_sets(width: int, bits):
         table = bits.value
         for batch in batches:
             for c in chunks(batch.column("text"), fold=True):
-                key, sets = [], []
+                ids, key, sets = [], [], []
                 for u in _sets(c, width):
                     k = _key(u)
                     if k is not None:
                         lead = int.from_bytes(k[:3], "big")
                         if int(table[lead >> 6]) >> (lead & 63) & 1:
+                            ids.append(int.from_bytes(k[:7], "big"))
                             key.append(k)
                             sets.append(u)
                 if key:
                     first = np.cumsum([0, *map(len, sets)])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(key, pa.binary()), lists(np.concatenate(sets).view(np.int64), first, pa.int64())],
-                        ["key", "tokens"])
+                        [pa.array(ids, pa.int64()), pa.array(key, pa.binary()),
+                         lists(np.concatenate(sets).view(np.int64), first, pa.int64())], ["id", "key", "tokens"])
 
     return run
 
@@ -206,34 +211,45 @@ class ShingleJoin:
         self.rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"),
                                 F.xxhash64(F.col(text).cast("string")).alias("text_hash"))
 
-    def _fits(self, a: str, b: str) -> str:
+    def _fits(self, a: str, b: str, ell: str = "1") -> str:
         """Sizes and positions under which a shared shingle counts for a pair."""
         num, den = self.num, self.den
         need = f"(({num}L * ({a}.n + {b}.n) + {num + den - 1}) div {num + den})"
-        ell = f"least({a}.ell, {b}.ell)"
         return (f"{den}L * least({a}.n, {b}.n) >= {num}L * greatest({a}.n, {b}.n) "
                 f"and {a}.pos < {a}.n - {need} + {ell} and {b}.pos < {b}.n - {need} + {ell}")
 
+    def _proposed(self, joined: DataFrame, post: DataFrame, name: str) -> DataFrame:
+        """Distinct pairs (a, b) of a join of postings x and y that share as
+        many prefix shingles as the smaller l of the two asks for."""
+        pairs = stage(joined.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"),
+                                    F.least("x.ell", "y.ell").alias("l")).distinct(), self.folder, f"proposed_{name}")
+        more = (pairs.where("l > 1").alias("p").join(post.alias("x"), F.expr("p.a = x.id"))
+                .join(post.alias("y"), F.expr("p.b = y.id and x.token = y.token"))
+                .where(self._fits("x", "y", "p.l")).groupBy("a", "b", "l").agg(F.count(F.lit(1)).alias("c")).where("c >= l"))
+        return pairs.where("l = 1").select("a", "b").union(more.select("a", "b"))
+
     def _verified(self, pairs: DataFrame, name: str) -> DataFrame:
-        """Pairs (a, b) with whether they link, decided on their whole sets."""
-        keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-        bits = self.spark.sparkContext.broadcast(_wanted(keys))
-        sets = stage(self.texts.mapInArrow(_full_sets(self.width, bits), "key binary, tokens array<bigint>")
-                     .join(keys, "key", "left_semi").dropDuplicates(["key"]), self.folder, f"sets_{name}")
-        a = sets.select(F.col("key").alias("a"), F.col("tokens").alias("ta"))
-        b = sets.select(F.col("key").alias("b"), F.col("tokens").alias("tb"))
+        """Pairs (a, b) with their keys and whether they link, decided on their
+        whole sets."""
+        ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+        bits = self.spark.sparkContext.broadcast(_wanted(ids))
+        sets = (self.texts.mapInArrow(_full_sets(self.width, bits), "id long, key binary, tokens array<bigint>")
+                .join(ids, "id", "left_semi").groupBy("id", "key").agg(F.first("tokens").alias("tokens")))
+        a = sets.select(F.col("id").alias("a"), F.col("key").alias("ka"), F.col("tokens").alias("ta"))
+        b = sets.select(F.col("id").alias("b"), F.col("key").alias("kb"), F.col("tokens").alias("tb"))
         both = F.size(F.array_intersect("ta", "tb"))
         either = F.size("ta") + F.size("tb") - both
         return stage(pairs.select("a", "b").join(a, "a").join(b, "b")
-                     .select("a", "b", (self.den * both.cast("long") >= self.num * either.cast("long")).alias("linked")),
+                     .select("a", "b", "ka", "kb", (self.den * both.cast("long") >= self.num * either.cast("long")).alias("linked")),
                      self.folder, f"verified_{name}")
 
     def _postings(self, profile: DataFrame) -> DataFrame:
+        """Prefix shingles that several classes have: (id, n, ell, pos, token)."""
         classes, mean = _frequency_classes(profile)
         held = self.spark.sparkContext.broadcast(classes)
         heads = self.texts.mapInArrow(_prefixes(self.width, self.num, self.den, held, mean),
                                       "key binary, n int, ell int, tokens array<bigint>").dropDuplicates(["key"])
-        post = heads.select("key", "n", "ell", F.posexplode("tokens").alias("pos", "token"))
+        post = heads.select(F.expr(ID).alias("id"), "n", "ell", F.posexplode("tokens").alias("pos", "token"))
         shared = F.count(F.lit(1)).over(W.partitionBy("token"))
         return stage(post.withColumn("df", shared).where("df > 1").drop("df"), self.folder, "postings")
 
@@ -243,31 +259,26 @@ class ShingleJoin:
         rows = profile.where("block is null").select("doc_id", "n", "key", "text_hash")
         post = self._postings(profile)
 
-        anchor = post.groupBy("token").agg(F.min(F.struct("pos", "n", "key", "ell")).alias("t")).select("token", "t.*")
-        star = (post.alias("x").join(anchor.alias("y"), "token").where("x.key <> y.key and " + self._fits("x", "y"))
-                .select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct())
-        star = stage(star, self.folder, "star")
+        anchor = post.groupBy("token").agg(F.min(F.struct("pos", "n", "id", "ell")).alias("t")).select("token", "t.*")
+        star = stage(self._proposed(post.alias("x").join(anchor.alias("y"), "token").where("x.id <> y.id and " + self._fits("x", "y")),
+                                    post, "star"), self.folder, "star")
         if star.isEmpty():
             return rows, None
         tried = self._verified(star, "star")
-        links = tried.where("linked").select("a", "b")
+        links = tried.where("linked").select(F.col("ka").alias("a"), F.col("kb").alias("b"))
         roots = connected_components(links, f"{self.folder}/round1")
 
-        comp = (post.join(roots.withColumnRenamed("node", "key"), "key", "left")
-                .withColumn("comp", F.coalesce("root", "key")).drop("root"))
+        of = roots.select(F.expr(ID.replace("key", "node")).alias("id"), F.expr(ID.replace("key", "root")).alias("comp"))
+        comp = post.join(of, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
         parts = comp.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("c"))
         main = (parts.groupBy("token").agg(F.max(F.struct("c", "comp")).alias("m"), F.count(F.lit(1)).alias("k"))
                 .where("k > 1").select("token", F.col("m.comp").alias("main")))
         open_lists = stage(comp.join(main, "token"), self.folder, "open")
         rest = (open_lists.where("comp <> main").alias("x").join(open_lists.alias("y"), "token")
-                .where("x.comp <> y.comp and (y.comp = y.main or x.key < y.key) and " + self._fits("x", "y"))
-                .select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b"),
-                        F.least("x.ell", "y.ell").alias("ell")))
-        rest = (rest.groupBy("a", "b", "ell").agg(F.count(F.lit(1)).alias("c")).where("c >= ell").select("a", "b")
-                .join(tried, ["a", "b"], "left_anti"))
-        rest = stage(rest, self.folder, "rest")
+                .where("x.comp <> y.comp and (y.comp = y.main or x.id < y.id) and " + self._fits("x", "y")))
+        rest = stage(self._proposed(rest, post, "rest").join(tried, ["a", "b"], "left_anti"), self.folder, "rest")
         if not rest.isEmpty():
-            late = self._verified(rest, "rest").where("linked").select("a", "b")
+            late = self._verified(rest, "rest").where("linked").select(F.col("ka").alias("a"), F.col("kb").alias("b"))
             for c in ("a", "b"):  # links between the components of round one
                 late = (late.join(roots.select(F.col("node").alias(c), "root"), c, "left")
                         .withColumn(c, F.coalesce("root", c)).drop("root"))

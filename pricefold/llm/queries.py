@@ -132,3 +132,10 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(warc.metadata_field("page-id").alias("page_id"), F.col("response.payload_bytes"),
                         F.col("response.payload_digest"), F.col("response.warc_type").alias("record_type"),
                         warc.metadata_field("refers-to-page").alias("refers_to"))
+
+
+@register("op10_token_counts")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    from pricefold.llm.shared import public_model
+    from pricefold.llm.viterbi import token_counts
+    return token_counts(table(spark, sf, "documents"), public_model())

@@ -65,3 +65,17 @@ def fresh(names: Iterable[str], name: str) -> str:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def read_model(path: str, most: int = 64 << 20) -> bytes:
+    """A tokenizer's vocabulary file, to be broadcast: of at most ``most`` bytes."""
+    size = os.path.getsize(path)
+    if size > most:
+        raise ValueError(f"{path} has {size} bytes; at most {most} are broadcast")
+    with open(path, "rb") as f:
+        return f.read()
+
+
+def public_model(name: str = "piece_bpe_32k.model") -> str:
+    """Default place of the public vocabularies: $TOKENIZER_DIR or /opt/tokenizers."""
+    return os.path.join(os.environ.get("TOKENIZER_DIR", "/opt/tokenizers"), name)

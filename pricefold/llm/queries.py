@@ -149,3 +149,29 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
     rows = sample.decode(sample.encode(docs, public_model()), public_model())
     return rows.select("doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"),
                        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
+
+
+def _license_oracle() -> str:
+    from pricefold.llm.licenses import _LOWER, _OTHER, _UPPER, TEMPLATES, THRESHOLD, bigrams
+    quoted = lambda s: "'" + s.replace("'", "''") + "'"
+    # translate() maps each character; other ASCII characters become spaces
+    low = f"translate(coalesce(text, ''), {quoted(_UPPER + _OTHER)}, {quoted(_LOWER + ' ' * len(_OTHER))})"
+    held = ", ".join(f"({quoted(n)}, [{', '.join(map(quoted, bigrams(b)))}])" for n, b in TEMPLATES)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {low} AS x FROM documents),
+u AS (SELECT r, unnest(string_split(x, chr(10))) AS u FROM d UNION SELECT r, unnest(string_split_regex(x, '\\n *\\n')) FROM d
+      UNION SELECT r, x FROM d),
+w AS (SELECT r, list_filter(string_split(replace(u, chr(10), ' '), ' '), lambda y: y <> '') AS w FROM u),
+b AS (SELECT r, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS b FROM w WHERE len(w) > 1),
+t AS (SELECT * FROM (VALUES {held}) AS t(name, g)),
+m AS (SELECT r, name, 2.0::DOUBLE * len(list_intersect(b, g)) / (len(b) + len(g)) AS dice FROM b, t
+      WHERE len(b) BETWEEN 0.5 * len(g) AND 2 * len(g) AND list_has_any(b, g)),
+f AS (SELECT r, max(dice) AS dice, string_agg(DISTINCT name, ',' ORDER BY name) AS licenses FROM m WHERE dice >= {THRESHOLD} GROUP BY r),
+n AS (SELECT r, min(name) AS license FROM m JOIN f USING (r, dice) GROUP BY r)
+SELECT doc_id, license, dice, coalesce(licenses, '') AS licenses FROM d LEFT JOIN f USING (r) LEFT JOIN n USING (r)"""
+
+
+@register("op5_license_scan", _license_oracle())
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    from pricefold.llm.licenses import find_licenses
+    return find_licenses(table(spark, sf, "documents"))

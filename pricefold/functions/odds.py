@@ -31,14 +31,24 @@ def valid_prices(home="odds_home", draw="odds_draw", away="odds_away") -> Column
     return valid_price(home) & valid_price(draw) & valid_price(away)
 
 
+def usable(home="odds_home", draw="odds_draw", away="odds_away", match_id="match_id", bookmaker="bookmaker",
+           event_time="event_time_ms", send_time="real_time_ms") -> Column:
+    """An update that detection can use: keyed, with both times, and three
+    prices above 1.0.  The rows that ``invalid_reason`` gives no reason for."""
+    present = [_c(c).isNotNull() for c in (match_id, bookmaker, event_time, send_time)]
+    return present[0] & present[1] & present[2] & present[3] & valid_prices(home, draw, away)
+
+
 def invalid_reason(home="odds_home", draw="odds_draw", away="odds_away",
-                   match_id="match_id", bookmaker="bookmaker") -> Column:
+                   match_id="match_id", bookmaker="bookmaker",
+                   event_time="event_time_ms", send_time="real_time_ms") -> Column:
     """Why a row goes to quarantine; NULL for a valid row."""
     h, d, a = _c(home), _c(draw), _c(away)
     nulls = h.isNull() | d.isNull() | a.isNull()
     nans = F.isnan(h) | F.isnan(d) | F.isnan(a)
     return (F.when(_c(match_id).isNull(), F.lit("missing_match_id"))
             .when(_c(bookmaker).isNull(), F.lit("missing_bookmaker"))
+            .when(_c(event_time).isNull() | _c(send_time).isNull(), F.lit("missing_time"))
             .when(nulls, F.lit("missing_odds"))
             .when(nans, F.lit("nan_odds"))
             .when(~valid_prices(home, draw, away), F.lit("odds_not_above_1")))

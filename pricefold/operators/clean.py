@@ -13,7 +13,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricefold.functions.odds import invalid_reason, valid_prices
+from pricefold.functions.odds import invalid_reason, usable, valid_prices
 from pricefold.functions.text import build_match_id, epoch_ms, iso_date, parse_kickoff
 from pricefold.schema import BOOKMAKERS, MISSING_TEAM, ODDS_FIELDS
 
@@ -48,30 +48,36 @@ def unpivot_books(wide: DataFrame, keep: list[str] | tuple[str, ...] = (),
     return out.where(valid_prices()) if only_valid else out
 
 
+def _filled(df: DataFrame, name: str):
+    """Whether a raw cell holds anything: text that is not a number counts."""
+    c = F.col(f"`{name}`")
+    return (F.trim(c) != "") if dict(df.dtypes)[name] == "string" else c.isNotNull()
+
+
 def book_coverage(wide: DataFrame, books: Mapping[str, tuple[str, str, str]] = BOOKMAKERS) -> DataFrame:
-    """Per bookmaker: rows where all three price cells are non-empty.
+    """Per bookmaker, most covered first: rows where all three price cells are
+    non-empty.  A bookmaker whose columns are absent counts 0.  No price test
+    is applied (coverage, not validity).
 
-    A bookmaker whose columns are absent counts 0.  No price test is applied
-    (coverage, not validity).
+    One row of counts is aggregated (map-side) and turned into one row per
+    configured bookmaker; ties are in name order.
     """
-    spark = wide.sparkSession
-    names = spark.createDataFrame([(b,) for b in books], "bookmaker string")
-    long = unpivot_books(wide, books=books, only_valid=False) if any(
-        all(c in wide.columns for c in cols) for cols in books.values()) else None
-    if long is None:
-        return names.withColumn("matches_with_odds", F.lit(0).cast("bigint"))
-    counts = long.groupBy("bookmaker").agg(
-        F.count_if(F.col("odds_home").isNotNull() & F.col("odds_draw").isNotNull()
-                   & F.col("odds_away").isNotNull()).alias("matches_with_odds"))
-    # ``counts`` has at most one row per configured bookmaker (unpivot emits
-    # only those), so its size is bounded: broadcast it to the preserved side
-    return (names.join(F.broadcast(counts), "bookmaker", "left")
-            .select("bookmaker", F.coalesce("matches_with_odds", F.lit(0)).cast("bigint").alias("matches_with_odds")))
+    counts = []
+    for b, cols in books.items():
+        if all(c in wide.columns for c in cols):
+            whole = _filled(wide, cols[0]) & _filled(wide, cols[1]) & _filled(wide, cols[2])
+            counts.append((b, F.count_if(F.coalesce(whole, F.lit(False)))))
+        else:
+            counts.append((b, F.count_if(F.lit(False))))
+    row = wide.agg(*[c.alias(f"_{i}") for i, (_, c) in enumerate(counts)])
+    pairs = F.array(*[F.struct(F.lit(b).alias("bookmaker"), F.col(f"_{i}").alias("matches_with_odds"))
+                      for i, (b, _) in enumerate(counts)])
+    return row.select(F.inline(pairs)).orderBy(F.desc("matches_with_odds"), "bookmaker")
 
 
 def split_valid(odds: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid, quarantine).  Quarantine rows carry a ``reason`` column."""
-    valid = odds.where(F.col("match_id").isNotNull() & F.col("bookmaker").isNotNull() & valid_prices())
+    valid = odds.where(usable())
     bad = odds.withColumn("reason", invalid_reason()).where(F.col("reason").isNotNull())
     return valid, bad
 

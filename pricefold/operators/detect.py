@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricefold.functions.odds import (
-    implied_prob_sum, now_ms as _now_ms, profit_margin, stake, valid_prices,
+    implied_prob_sum, now_ms as _now_ms, profit_margin, stake, usable,
 )
 from pricefold.schema import EPSILON, METHOD_BATCH
 
@@ -41,25 +41,13 @@ def _now(now_ms) -> Column:
     return now_ms if isinstance(now_ms, Column) else F.lit(int(now_ms)).cast("bigint")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over the cluster when the input has fewer
-    partitions than the default parallelism (a small file, or one row group,
-    is read by one task); otherwise return it unchanged.  A large input
-    already has many splits, so this costs nothing at scale.  The check
-    reads the plan's partition count (file listing), not the data."""
-    if df.isStreaming:
-        return df  # a stream's partitions are set by its source and trigger
-    n = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
-
-
 def valid_odds(odds: DataFrame) -> DataFrame:
-    """Rows usable for detection: keyed, and all three prices numbers > 1.0."""
-    return odds.where(F.col("match_id").isNotNull() & F.col("bookmaker").isNotNull() & valid_prices())
+    """Rows usable for detection: keyed, timed, and all three prices numbers > 1.0."""
+    return odds.where(usable())
 
 
 def latest_odds(odds: DataFrame, keys: Sequence[str] = ("match_id",), source: str = "bookmaker",
-                strategy: str = "window") -> DataFrame:
+                strategy: str = "window", input_partitions: int | None = None) -> DataFrame:
     """Latest update per (``keys``, ``source``).
 
     Order: event time, send time, then home/draw/away price, all descending;
@@ -76,6 +64,9 @@ def latest_odds(odds: DataFrame, keys: Sequence[str] = ("match_id",), source: st
     does everything after it without another exchange; use it only when the
     input is already partitioned by that key (a bucketed table, or a log
     keyed by match), since it gets no map-side reduction.
+
+    ``input_partitions`` (off by default) deals the raw rows round-robin to so
+    many tasks first; only for an input that is one unsplittable file.
     """
     keys = list(keys)
     group = keys + [source]
@@ -84,8 +75,8 @@ def latest_odds(odds: DataFrame, keys: Sequence[str] = ("match_id",), source: st
     if strategy == "colocated":
         odds = odds.repartition(keys[0])
         strategy = "window"
-    else:
-        odds = spread(odds)
+    elif input_partitions:
+        odds = odds.repartition(input_partitions)
     if strategy == "window":
         w = Window.partitionBy(*group).orderBy(*[F.col(c).desc() for c in order + rest])
         return odds.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")

@@ -5,11 +5,11 @@ Inputs are DataFrames of trigger metrics (``batch, rows_read, opps_found,
 processing_ms, wall_time_ms``) and opportunity records, grouped by
 ``keys`` (default: ``tag`` and ``method``), so one call reports many runs.
 
-Scale notes: percentiles are Spark's exact ``percentile`` (its buffer holds
-distinct values with counts, merged map-side); the CDF is built from
-per-value counts and expanded in bounded chunks, never by sorting all rows
-of a group in one task; per-group minima are joined back rather than taken
-with an unbounded window.
+Scale notes: percentiles and the CDF are built from counts per distinct value
+(merged map-side) and a chunked running sum of them, never by sorting or
+holding all rows of a group in one task; the CDF's rows are made in bounded
+chunks, dealt over tasks first; per-group values go back to the rows by a
+salted join, so a run's rows are not shuffled to one task.
 """
 
 from __future__ import annotations
@@ -28,8 +28,42 @@ ROUND = 6
 CDF_CHUNK = 65536
 
 
-def _pcts(col: str) -> Column:
-    return F.percentile(F.col(col), F.array(*[F.lit(p) for p in PCTS]))
+SALTS = 32
+VALUE_CHUNK = 1000
+
+
+def quantiles(df: DataFrame, value: str, keys: Sequence[str], ps: Sequence[float] = PCTS,
+              chunk: int = VALUE_CHUNK) -> DataFrame:
+    """Exact, linearly interpolated quantiles of an integer column per group:
+    ``keys``, ``q0``, ``q1``, ...; NULLs do not count.
+
+    Distinct values with their counts are ranked by a chunked running sum
+    (``chunk`` value units per chunk); rank ``p * (n - 1)`` lies between two of
+    them.  Groups are as many as runs; their values are spread over tasks.
+    """
+    keys = list(keys)
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("bigint").alias("_v")).agg(
+        F.count(F.lit(1)).alias("_c"))
+    totals = counts.groupBy(*keys).agg(F.sum("_c").alias("_n"))
+    ranked = spread_join(running(counts, keys, "_v", "_c", "sum", "_upto", chunk), totals, keys, "_v")
+    v, aggs = F.col("_v").cast("double"), []
+    holds = lambda r: (F.col("_upto") - F.col("_c") <= r) & (r < F.col("_upto"))
+    for i, p in enumerate(ps):
+        at = F.lit(float(p)) * (F.col("_n") - 1)
+        aggs += [F.max(F.when(holds(F.floor(at)), v)).alias(f"_lo{i}"), F.max(F.when(holds(F.ceil(at)), v)).alias(f"_hi{i}"),
+                 F.max(at - F.floor(at)).alias(f"_f{i}")]
+    q = ranked.groupBy(*keys).agg(*aggs)
+    return q.select(*keys, *[((1 - F.col(f"_f{i}")) * F.col(f"_lo{i}") + F.col(f"_f{i}") * F.col(f"_hi{i}")).alias(f"q{i}")
+                             for i in range(len(ps))])
+
+
+def spread_join(rows: DataFrame, per_group: DataFrame, keys: Sequence[str], by: str) -> DataFrame:
+    """``rows`` joined with one row per group, a group's rows split over
+    ``SALTS`` tasks by the hash of column ``by`` (a small right side is
+    broadcast by adaptive execution, whose size check that is)."""
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int"))
+    copies = per_group.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(copies, [*keys, "_salt"]).drop("_salt")
 
 
 def run_summary(metrics: DataFrame, opps: DataFrame, keys: Sequence[str] = ("tag", "method")) -> DataFrame:
@@ -45,20 +79,20 @@ def run_summary(metrics: DataFrame, opps: DataFrame, keys: Sequence[str] = ("tag
         F.count(F.lit(1)).alias("batches"),
         F.sum("rows_read").cast("bigint").alias("events"),
         F.sum("opps_found").cast("bigint").alias("opps"),
-        _pcts("processing_ms").alias("_proc"),
         F.min("wall_time_ms").alias("_w0"), F.max("wall_time_ms").alias("_w1"),
     )
-    lat = opps.groupBy(*keys).agg(_pcts("e2e_latency_ms").alias("_lat"))
+    proc, lat = (quantiles(d, v, keys).select(*keys, *[F.col(f"q{i}").alias(f"_{n}{i}") for i in range(len(PCTS))])
+                 for d, v, n in ((metrics, "processing_ms", "p"), (opps, "e2e_latency_ms", "l")))
     span_s = (F.col("_w1") - F.col("_w0")) / F.lit(1000.0)
     thr = F.when((F.col("batches") >= 2) & (F.col("_w1") > F.col("_w0")), F.col("events") / span_s)
     label = keys[-1]
     cols = [F.col(k) for k in keys[:-1]] + [F.col(label).alias("label"), "batches", "events", "opps"]
     for i, p in enumerate(("p50", "p95", "p99")):
-        cols.append(F.round(F.col("_proc")[i], ROUND).alias(f"proc_ms_{p}"))
+        cols.append(F.round(F.col(f"_p{i}"), ROUND).alias(f"proc_ms_{p}"))
     for i, p in enumerate(("p50", "p95", "p99")):
-        cols.append(F.round(F.col("_lat")[i], ROUND).alias(f"lat_ms_{p}"))
+        cols.append(F.round(F.col(f"_l{i}"), ROUND).alias(f"lat_ms_{p}"))
     cols.append(thr.alias("throughput_ev_s"))
-    return m.join(lat, keys, "left").select(*cols)
+    return m.join(proc, keys, "left").join(lat, keys, "left").select(*cols)
 
 
 def run_percentiles(metrics: DataFrame, value: str = "processing_ms",
@@ -66,10 +100,8 @@ def run_percentiles(metrics: DataFrame, value: str = "processing_ms",
     """Exact, linearly interpolated p50/p95/p99 of ``value`` per group, one
     row per percentile."""
     keys = list(keys)
-    agg = metrics.groupBy(*keys).agg(_pcts(value).alias("_p"))
-    ps = F.array(*[F.lit(p) for p in PCTS])
-    return agg.select(*keys, F.inline(F.arrays_zip(ps.alias("p"), F.col("_p").alias("value")))).select(
-        *keys, "p", F.round("value", ROUND).alias("value"))
+    pairs = F.array(*[F.struct(F.lit(p).alias("p"), F.round(f"q{i}", ROUND).alias("value")) for i, p in enumerate(PCTS)])
+    return quantiles(metrics, value, keys).select(*keys, F.inline(pairs))
 
 
 SUMMARY_METRICS = ["batches", "events", "opps", "proc_ms_p50", "proc_ms_p95", "proc_ms_p99",
@@ -118,17 +150,18 @@ def latency_cdf(opps: DataFrame, value: str = "e2e_latency_ms", keys: Sequence[s
     Built from counts per distinct value: a running sum over the distinct
     values (a chunked scan, ``chunk`` value units per chunk) gives each
     value's first rank, and each value's rows are regenerated in chunks of
-    at most ``CDF_CHUNK``, so no group of rows is sorted or collected in one
-    task.
+    at most ``CDF_CHUNK``, shuffled by (value, chunk) first, so no group of
+    rows is sorted, collected or made in one task.
     """
     keys = list(keys)
     counts = opps.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("c"))
     totals = counts.groupBy(*keys).agg(F.sum("c").alias("n"))
-    ranked = running(counts, keys, value, "c", "sum", "before", chunk, inclusive=False) \
-        .withColumn("before", F.coalesce("before", F.lit(0))).join(totals, keys)
+    ranked = running(counts, keys, value, "c", "sum", "before", chunk, inclusive=False).withColumn("before", F.coalesce("before", F.lit(0)))
+    ranked = spread_join(ranked, totals, keys, value)
     chunks = ranked.select(*keys, value, "before", "c", "n",
                            F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("c") - 1) / F.lit(CDF_CHUNK)).cast("bigint"))).alias("k"))
-    rows = chunks.select(
+    # a hot value's chunks are dealt over tasks before their rows are made
+    rows = chunks.repartition(*keys, value, "k").select(
         *keys, value, "n",
         F.explode(F.sequence(F.col("before") + F.col("k") * CDF_CHUNK + 1,
                              F.least(F.col("before") + F.col("c"),
@@ -141,7 +174,7 @@ def run_timeline(metrics: DataFrame, keys: Sequence[str] = ("tag", "method")) ->
     """Seconds since the run's first trigger, with rows read per trigger."""
     keys = list(keys)
     start = metrics.groupBy(*keys).agg(F.min("wall_time_ms").alias("_w0"))
-    return metrics.join(start, keys).select(
+    return spread_join(metrics, start, keys, "batch").select(
         *keys, "batch", ((F.col("wall_time_ms") - F.col("_w0")) / F.lit(1000.0)).alias("t_s"), "rows_read")
 
 
@@ -150,18 +183,18 @@ def box_stats(metrics: DataFrame, value: str = "processing_ms", keys: Sequence[s
     """Quartiles, whiskers (furthest data point within ``whis`` IQR of the
     box) and outlier count per group."""
     keys = list(keys)
-    q = metrics.groupBy(*keys).agg(
-        F.percentile(F.col(value), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"))
-    q = q.select(*keys, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
+    q = quantiles(metrics, value, keys, (0.25, 0.5, 0.75)).toDF(*keys, "q1", "median", "q3")
     lo = F.col("q1") - F.lit(whis) * (F.col("q3") - F.col("q1"))
     hi = F.col("q3") + F.lit(whis) * (F.col("q3") - F.col("q1"))
     v = F.col(value).cast("double")
-    j = metrics.select(*keys, value).join(q, keys)
+    # one row per distinct value, with how often it occurs
+    j = metrics.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    j = spread_join(j, q, keys, value)
     return j.groupBy(*keys).agg(
         F.round(F.first("q1"), ROUND).alias("q1"), F.round(F.first("median"), ROUND).alias("median"),
         F.round(F.first("q3"), ROUND).alias("q3"),
         F.min(F.when(v >= lo, v)).alias("whisker_low"), F.max(F.when(v <= hi, v)).alias("whisker_high"),
-        F.count_if((v < lo) | (v > hi)).alias("n_outliers"),
+        F.coalesce(F.sum(F.when((v < lo) | (v > hi), F.col("_c"))), F.lit(0)).alias("n_outliers"),
     )
 
 
@@ -170,7 +203,7 @@ def box_outliers(metrics: DataFrame, value: str = "processing_ms", keys: Sequenc
     """The outlier rows themselves (a filter, not a collected list)."""
     keys = list(keys)
     stats = box_stats(metrics, value, keys, whis)
-    return metrics.join(stats, keys).where(
+    return spread_join(metrics, stats, keys, value).where(
         (F.col(value) < F.col("whisker_low")) | (F.col(value) > F.col("whisker_high"))).select(*keys, value)
 
 

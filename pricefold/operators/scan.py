@@ -16,7 +16,9 @@ The chunks of a hot key land in different tasks (the shuffle is on key and
 chunk).  ``width`` should be chosen so that a chunk holds a bounded number of
 rows (e.g. a range of offsets, or of milliseconds at the peak rate).
 Supported: ``max``, ``sum`` and ``last`` (last non-null value, any type).
-``t`` must be unique within a key for the result to be deterministic.
+``t`` is an integer; rows with equal ``t`` are peers and get the same value
+(inclusive: of all rows up to ``t``, else of all before it).  ``last`` needs at
+most one non-null value per key and ``t`` to be deterministic.
 """
 
 from __future__ import annotations
@@ -38,9 +40,8 @@ def running(df: DataFrame, keys: Sequence[str], order: str, value: str | Column,
     keys = list(keys)
     v = value if isinstance(value, Column) else F.col(value)
     d = df.withColumn("_scan_v", v).withColumn("_scan_c", _chunk(order, width))
-    end = 0 if inclusive else -1
     base = Window.partitionBy(*keys, "_scan_c").orderBy(order)
-    w_in = base.rowsBetween(Window.unboundedPreceding, end)
+    w_in = base.rangeBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1)
     w_all = base.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     w_ch = Window.partitionBy(*keys).orderBy("_scan_c").rowsBetween(Window.unboundedPreceding, -1)
     if how == "max":

@@ -3,23 +3,25 @@
 ``arbitrage_timeline`` evaluates a match after every accepted update, in
 arrival order, independent of trigger boundaries:
 
-1. acceptance (late data): an update is accepted iff its event time is >=
+1. updates of one (match, source, arrival) are one: the newest.  An update
+   delivered twice so counts once, whether its arrival repeats or not;
+2. acceptance (late data): an update is accepted iff its event time is >=
    the largest event time of the earlier arrivals of the same (match,
    source) - a running ``max``;
-2. at every accepted update ``p`` each source of the match contributes its
-   latest accepted price as of ``p``: the evaluation points are joined with
-   the match's distinct sources and a running ``last non-null`` over
-   (match, source) in arrival order carries the price forward (an as-of
+3. every accepted update is joined once with the match's distinct sources; the
+   price stands on the update's own source, and a running ``last non-null``
+   over (match, source) carries each source's price forward (an as-of
    lookup).  Rows: updates x sources of the match, never update x update;
    both running values are chunked scans (``operators.scan``), so a hot
    (match, source) is spread over tasks;
-3. a grouped aggregation per evaluation point gives the best prices.
+4. a grouped aggregation per evaluation point gives the best prices.
 
 ``emit_on_change`` applies the change-only emission rule over the timeline.
-That rule depends on the last *emitted* margin, a sequential fold, so it
-runs as ``mapInPandas`` over partitions shuffled by match and sorted by
-(match, arrival): a match's rows arrive contiguous and ordered, and memory
-is bounded by the Arrow batch, never by a whole match.
+That rule depends on the last *emitted* margin, a sequential fold, but only
+within a stretch of opportunities: whatever comes after a vanished one starts
+anew.  A running sum numbers the stretches, and only opportunity rows go to
+``mapInPandas``, keyed by (match, stretch) and sorted by arrival: memory is
+bounded by the Arrow batch, and a hot match is as many keys as it has stretches.
 """
 
 from __future__ import annotations
@@ -33,10 +35,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricefold.functions.odds import implied_prob_sum, profit_margin
-from pricefold.operators.detect import DETECT_COLUMNS, OUTCOMES, valid_odds
+from pricefold.operators.detect import OUTCOMES, valid_odds
 from pricefold.operators.scan import running
 from pricefold.schema import EMIT_TOLERANCE, EPSILON
-from pricefold.session import checkpoint_dir, ship_package
+from pricefold.session import ship_package
 
 TIMELINE_COLUMNS = [
     "match_id", "arrival", "bookmaker", "event_time_ms", "n_books",
@@ -52,54 +54,38 @@ CHUNK = 1 << 20
 
 def accepted_updates(odds: DataFrame, arrival: str = "real_time_ms", chunk: int = CHUNK) -> DataFrame:
     """Valid updates that a keyed latest-value state would accept: event time
-    newer than or equal to every earlier arrival of the same source.  The
-    running max is a chunked scan, so a hot (match, source) is split."""
-    v = valid_odds(odds).select(*DETECT_COLUMNS, *([arrival] if arrival not in DETECT_COLUMNS else []))
-    v = v.withColumn("arrival", F.col(arrival))
+    newer than or equal to every earlier arrival of the same source.  One row
+    per (match, source, arrival), the newest of several by event time, send
+    time and prices.  The running max is a chunked scan, so a hot (match,
+    source) is split."""
+    rest = ["event_time_ms", "real_time_ms", *[f"odds_{o}" for o in OUTCOMES]]
+    v = valid_odds(odds).where(F.col(arrival).isNotNull()).withColumn("arrival", F.col(arrival).cast("bigint"))
+    v = v.groupBy("match_id", "bookmaker", "arrival").agg(F.max(F.struct(*rest)).alias("_u"))
+    v = v.select("match_id", "bookmaker", "arrival", "_u.*")
     v = running(v, ["match_id", "bookmaker"], "arrival", "event_time_ms", "max", "_prev", chunk, inclusive=False)
     return v.where(F.col("_prev").isNull() | (F.col("event_time_ms") >= F.col("_prev"))).drop("_prev")
 
 
 def arbitrage_timeline(odds: DataFrame, arrival: str = "real_time_ms", eps: float = EPSILON,
                        chunk: int = CHUNK) -> DataFrame:
-    """One row per accepted update: the match's state right after it.
+    """One row per accepted update: the match's state right after all updates
+    of its arrival.
 
-    ``arrival`` must order the updates of a match (unique within a match).
-    ``n_books`` counts the sources with a price so far; ``is_arbitrage``
-    needs at least two.
+    ``arrival`` orders the updates of a match.  ``n_books`` counts the distinct
+    sources with a price so far; ``is_arbitrage`` needs at least two.
     """
-    # used three times below: computed once and written to the shared
-    # checkpoint folder (reliable: survives executor loss, cuts the lineage)
-    checkpoint_dir(odds.sparkSession)
-    acc = accepted_updates(odds, arrival, chunk).checkpoint(eager=True)
+    acc = accepted_updates(odds, arrival, chunk)
     books = acc.select("match_id", F.col("bookmaker").alias("src")).distinct()
-    points = acc.select("match_id", F.col("arrival").alias("p"), F.col("bookmaker").alias("upd_book"),
-                        F.col("event_time_ms").alias("upd_event_time"))
     # evaluation rows: one per (accepted update, source of the match)
-    probes = points.join(books, "match_id").select(
-        "match_id", F.col("src").alias("bookmaker"), F.col("p").alias("arrival"), F.lit(1).alias("kind"),
-        "upd_book", "upd_event_time",
-        *[F.lit(None).cast("double").alias(f"odds_{o}") for o in OUTCOMES],
-        F.lit(None).cast("bigint").alias("real_time_ms"))
-    prices = acc.select(
-        "match_id", "bookmaker", "arrival", F.lit(0).alias("kind"),
-        F.lit(None).cast("string").alias("upd_book"), F.lit(None).cast("bigint").alias("upd_event_time"),
-        *[F.col(f"odds_{o}") for o in OUTCOMES], "real_time_ms")
-    # as-of: last price of each source at or before every probe; a price row
-    # sorts before the probe of the same arrival (order = 2 * arrival + kind)
-    both = prices.unionByName(probes).withColumn("_ord", F.col("arrival") * 2 + F.col("kind"))
-    px = F.when(F.col("kind") == 0, F.struct(*[F.col(f"odds_{o}") for o in OUTCOMES], F.col("real_time_ms")))
-    asof = running(both, ["match_id", "bookmaker"], "_ord", px, "last", "_px", 2 * chunk)
-    asof = asof.where((F.col("kind") == 1) & F.col("_px").isNotNull()).select(
-        "match_id", "bookmaker", "arrival", "upd_book", "upd_event_time",
-        *[F.col(f"_px.odds_{o}").alias(f"odds_{o}") for o in OUTCOMES], F.col("_px.real_time_ms").alias("real_time_ms"))
+    px = F.when(F.col("src") == F.col("bookmaker"), F.struct(*[F.col(f"odds_{o}") for o in OUTCOMES], F.col("real_time_ms")))
+    rows = acc.join(books, "match_id").select("match_id", "src", "arrival", "bookmaker", "event_time_ms", px.alias("px"))
+    asof = running(rows, ["match_id", "src"], "arrival", "px", "last", "_px", chunk).where(F.col("_px").isNotNull())
     aggs = [F.count(F.lit(1)).alias("n_books")]
     for o in OUTCOMES:
-        aggs.append(F.min(F.struct((-F.col(f"odds_{o}")).alias("neg"), F.col("bookmaker").alias("book"))).alias(f"_{o}"))
-    aggs.append(F.max("real_time_ms").alias("max_real_time_ms"))
-    ev = asof.groupBy("match_id", "arrival", "upd_book", "upd_event_time").agg(*aggs)
-    cols = [F.col("match_id"), F.col("arrival"), F.col("upd_book").alias("bookmaker"),
-            F.col("upd_event_time").alias("event_time_ms"), F.col("n_books")]
+        aggs.append(F.min(F.struct((-F.col(f"_px.odds_{o}")).alias("neg"), F.col("src").alias("book"))).alias(f"_{o}"))
+    aggs.append(F.max("_px.real_time_ms").alias("max_real_time_ms"))
+    ev = asof.groupBy("match_id", "arrival", "bookmaker", "event_time_ms").agg(*aggs)
+    cols = [F.col(c) for c in ("match_id", "arrival", "bookmaker", "event_time_ms", "n_books")]
     for o in OUTCOMES:
         cols += [F.col(f"_{o}.book").alias(f"best_book_{o}"), (-F.col(f"_{o}.neg")).alias(f"best_odds_{o}")]
     cols.append(F.col("max_real_time_ms"))
@@ -122,38 +108,34 @@ EMIT_SCHEMA = T.StructType([
 ])
 
 
-def _emit_fold(tolerance: float, eps: float):
+def _emit_fold(tolerance: float):
     names = [f.name for f in EMIT_SCHEMA.fields]
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cur, memo = None, None  # carried across batches: a match may span two
+        cur, memo = None, 0.0  # carried across batches: a stretch may span two
         for pdf in batches:
-            m = pdf["match_id"].tolist()
-            nb = pdf["n_books"].to_numpy()
-            mg = pdf["profit_margin"].to_numpy()
+            margin = pdf["profit_margin"].to_numpy()
             keep = np.zeros(len(pdf), dtype=bool)
-            for i in range(len(pdf)):
-                if m[i] != cur:
-                    cur, memo = m[i], None
-                if nb[i] < 2:
-                    continue  # not evaluated: memo kept
-                if not mg[i] > eps:
-                    memo = None
-                elif memo is None or abs(memo - mg[i]) >= tolerance:
-                    keep[i] = True
-                    memo = float(mg[i])
+            for i, key in enumerate(zip(pdf["match_id"], pdf["stretch"])):
+                if key != cur or abs(memo - margin[i]) >= tolerance:
+                    cur, memo, keep[i] = key, float(margin[i]), True
             if keep.any():
                 yield pdf.loc[keep, names]
 
     return fold
 
 
-def emit_on_change(timeline: DataFrame, tolerance: float = EMIT_TOLERANCE, eps: float = EPSILON) -> DataFrame:
+def emit_on_change(timeline: DataFrame, tolerance: float = EMIT_TOLERANCE, eps: float = EPSILON,
+                   chunk: int = CHUNK) -> DataFrame:
     """Change-only emissions over ``arbitrage_timeline`` output: emit when
     an opportunity's margin differs by at least ``tolerance`` from the
     margin emitted last for the match; a vanished opportunity clears it;
-    fewer than two sources leaves it unchanged."""
+    fewer than two sources leaves it unchanged.  Updates of one arrival have
+    one state and emit once."""
     ship_package(timeline.sparkSession)  # the fold runs in executor Python workers
-    ordered = (timeline.select("match_id", "arrival", "n_books", *[f.name for f in EMIT_SCHEMA.fields[2:]])
-               .repartition("match_id").sortWithinPartitions("match_id", "arrival"))
-    return ordered.mapInPandas(_emit_fold(tolerance, eps), EMIT_SCHEMA)
+    state = timeline.where("n_books >= 2").select(*[f.name for f in EMIT_SCHEMA.fields]).dropDuplicates(["match_id", "arrival"])
+    gone = (~(F.col("profit_margin") > F.lit(eps))).cast("bigint")
+    state = running(state, ["match_id"], "arrival", gone, "sum", "stretch", chunk)
+    ordered = (state.where(F.col("profit_margin") > F.lit(eps)).repartition("match_id", "stretch")
+               .sortWithinPartitions("match_id", "stretch", "arrival"))
+    return ordered.mapInPandas(_emit_fold(tolerance), EMIT_SCHEMA)

@@ -53,11 +53,12 @@ SELECT CASE WHEN dayofmonth(ts) <= 15 THEN 'h1' ELSE 'h2' END AS tag,
        CASE WHEN event_id % 2 = 0 THEN 'batch' ELSE 'stream' END AS method,
        concat('U', CAST(user_id AS VARCHAR)) AS match_id,
        CAST(floor(value * 1000.0e0) AS BIGINT) AS e2e_latency_ms
-FROM events WHERE event_type = 'purchase'
+FROM events
 """
 
 VALID = """odds_home > 1.0e0 AND NOT isnan(odds_home) AND odds_draw > 1.0e0 AND NOT isnan(odds_draw)
- AND odds_away > 1.0e0 AND NOT isnan(odds_away) AND match_id IS NOT NULL AND bookmaker IS NOT NULL"""
+ AND odds_away > 1.0e0 AND NOT isnan(odds_away) AND match_id IS NOT NULL AND bookmaker IS NOT NULL
+ AND event_time_ms IS NOT NULL AND real_time_ms IS NOT NULL"""
 
 
 def latest_sql(src: str, keys: str = "match_id") -> str:

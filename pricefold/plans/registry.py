@@ -132,6 +132,7 @@ def q_optimal_stakes(spark, sf):
 def _reason_sql() -> str:
     return """CASE WHEN match_id IS NULL THEN 'missing_match_id'
     WHEN bookmaker IS NULL THEN 'missing_bookmaker'
+    WHEN event_time_ms IS NULL OR real_time_ms IS NULL THEN 'missing_time'
     WHEN odds_home IS NULL OR odds_draw IS NULL OR odds_away IS NULL THEN 'missing_odds'
     WHEN isnan(odds_home) OR isnan(odds_draw) OR isnan(odds_away) THEN 'nan_odds'
     WHEN NOT (odds_home > 1.0e0 AND odds_draw > 1.0e0 AND odds_away > 1.0e0) THEN 'odds_not_above_1' END"""
@@ -166,7 +167,7 @@ def _wide_books_sql(only_valid: bool) -> str:
 
 @register("unpivot_books", _wide_books_sql(True))
 def q_unpivot_books(spark, sf):
-    return C.unpivot_books(V.wide_books_from_lineitem(D.spread(V.table(spark, sf, "lineitem"))), keep=["row_id"])
+    return C.unpivot_books(V.wide_books_from_lineitem(V.table(spark, sf, "lineitem")), keep=["row_id"])
 
 
 @register("book_coverage", "SELECT bookmaker, count(*) FILTER (WHERE odds_home IS NOT NULL AND odds_draw IS NOT NULL"
@@ -245,8 +246,7 @@ def q_csv_events(spark, sf):
     from pricefold.session import run_dir
     from pricefold.sources import files as FS
     path = run_dir(spark, "csv_events") + "/raw"
-    # spread: the parallel write yields several files, so the read is parallel too
-    V.wide_matches_from_lineitem(D.spread(V.table(spark, sf, "lineitem"))).write.option("header", True).csv(path)
+    V.wide_matches_from_lineitem(V.table(spark, sf, "lineitem")).write.option("header", True).csv(path)
     ev = C.matches_to_events(FS.read_odds_csv(spark, path), league_col="Div")
     return ev.select("match_id", "league", "home_team", "away_team", "match_date", "bookmaker",
                      "odds_home", "odds_draw", "odds_away", "event_time_ms")
@@ -387,10 +387,7 @@ def q_method_ratio(spark, sf):
 SELECT tag, label, events, opps, lat_ms_p50 AS lat_p50_ms, lat_ms_p95 AS lat_p95_ms, proc_ms_p50 AS proc_p50_ms,
        proc_ms_p95 AS proc_p95_ms, throughput_ev_s AS throughput FROM ({_SUMMARY_SQL})""")
 def q_run_compare(spark, sf):
-    s = _summary(spark, sf)
-    # one summary per tag, then the union (as when each run is summarised alone)
-    per_tag = [s.where(F.col("tag") == t) for t in ("h1", "h2")]
-    return R.run_compare(per_tag)
+    return R.run_compare([_summary(spark, sf)])
 
 
 @register("pivot_metric", f"""

@@ -2,8 +2,8 @@
 
 Library code never hard-codes cluster sizing.  ``session()`` is a
 convenience for tests, the bench and local runs: it sets only what is unset,
-so a cluster's own configuration (shuffle partitions, checkpoint folder,
-state store) always wins.
+so a cluster's own configuration (shuffle partitions, adaptive execution,
+checkpoint folder, state store) wins.
 """
 
 from __future__ import annotations
@@ -34,27 +34,36 @@ DEFAULT_CONF = {
 
 
 def session(master: str | None = None, app: str = "pricefold", conf: dict | None = None) -> SparkSession:
+    """A session with ``conf`` and, for keys that neither it, the submitted
+    configuration nor a running session sets, ``DEFAULT_CONF``.  Only the
+    session time zone is always set: the date rules are defined in UTC."""
+    from pyspark import SparkConf
+
+    active = SparkSession.getActiveSession()
+    known = {**dict(SparkConf().getAll()), **(dict(active.sparkContext.getConf().getAll()) if active else {})}
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for k, v in {**DEFAULT_CONF, **REQUIRED_CONF, **(conf or {})}.items():
+    for k, v in {**{k: v for k, v in DEFAULT_CONF.items() if k not in known}, **REQUIRED_CONF, **(conf or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    for k, v in REQUIRED_CONF.items():
-        spark.conf.set(k, v)
-    spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
+    if spark.sparkContext.master.startswith("local"):
+        spark.sparkContext.setLogLevel("ERROR")
+        checkpoint_dir(spark)
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set (a shared filesystem path).  Only when it is
-    unset, as in unit tests, a fresh local folder is created and registered.
+    On a cluster this must be set (a shared filesystem path): unset, it raises.
+    On a local master, as in unit tests, a fresh local folder is made for it.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}")
         d = tempfile.mkdtemp(prefix="pricefold-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:

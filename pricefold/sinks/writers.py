@@ -22,13 +22,14 @@ def write_metrics(metrics: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def write_summary(summary: DataFrame, path: str, partition_by: str | None = "tag") -> None:
-    """Summary rows as JSON; undefined values stay NULL (never the text NaN)."""
+    """Summary rows as JSON; undefined values stay NULL (never the text NaN).
+    Only the partitions of the tags written are replaced."""
     num = [f.name for f in summary.schema.fields if f.dataType.typeName() == "double"]
     clean = summary.select(*[F.when(F.isnan(c), F.lit(None)).otherwise(F.col(c)).alias(c) if c in num else c
                              for c in summary.columns])
     w = clean.write.mode("overwrite")
     if partition_by and partition_by in summary.columns:
-        w = w.partitionBy(partition_by)
+        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(partition_by)
     w.json(path)
 
 

@@ -1,10 +1,15 @@
-"""File sources: historical match CSVs, JSON-lines results, summaries."""
+"""File sources: historical match CSVs, JSON-lines results, summaries.
+
+Paths go through the Hadoop file system that their scheme names (or the
+default one), the same as Spark's readers use, so local, ``hdfs://`` and object
+store paths behave alike.
+"""
 
 from __future__ import annotations
 
-import glob
-import os
+import csv
 from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,28 +18,30 @@ from pyspark.sql import types as T
 from pricefold.functions.text import file_stem_parts
 
 EXTRA_COL = "_extra"
+_BOM = "﻿"
 
 
-def _is_local(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def _list(spark: SparkSession, raw_dir: str, pattern: str) -> list[str]:
-    """File names only (metadata, bounded by the file count)."""
-    if _is_local(raw_dir):
-        return sorted(glob.glob(os.path.join(raw_dir.replace("file:", ""), pattern)))
-    listing = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-               .load(raw_dir).select("path"))  # content is not read when not selected
-    return sorted(r.path for r in listing.collect())
+def _found(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
+    """(path, bytes) of everything that a path or glob pattern names: metadata
+    only, bounded by the file count."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted((s.getPath().toString(), s.getLen() if s.isFile() else -1) for s in fs.globStatus(path) or [])
 
 
-def _header(spark: SparkSession, path: str) -> list[str]:
-    """Column names of one CSV (its first line, BOM removed)."""
-    if _is_local(path):
-        with open(path.replace("file:", ""), encoding="utf-8-sig", errors="replace") as f:
-            line = f.readline().rstrip("\r\n")
-        return [c.strip() for c in line.split(",")]
-    return spark.read.option("header", True).csv(path).columns
+def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """Column names of one CSV: its first record, parsed as CSV (quoted names
+    may hold commas and line ends), byte-order mark removed."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(spark._jsc.hadoopConfiguration()).open(p)
+    try:
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        lines = iter(reader.readLine, None)
+        first = next(csv.reader(line + "\n" for line in lines), [])
+    finally:
+        stream.close()
+    return tuple(name.lstrip(_BOM).strip() for name in first)
 
 
 def read_odds_csv(spark: SparkSession, raw_dir: str, pattern: str = "*.csv") -> DataFrame:
@@ -43,30 +50,32 @@ def read_odds_csv(spark: SparkSession, raw_dir: str, pattern: str = "*.csv") ->
     * files are grouped by header; each group is one distributed read with
       an explicit schema, and the groups are unioned by column name (a single
       multi-path read with different headers would shift values silently);
+      headers are the files' first records, opened several at a time;
     * a UTF-8 byte-order mark is removed;
     * rows with more fields than the header are dropped, rows with fewer
-      are padded with NULL (``pandas`` ``on_bad_lines="skip"`` semantics):
-      the schema carries one extra trailing column and only rows where it
-      is NULL are kept (an over-long row whose surplus fields are all empty
-      cannot be told from a full one and is kept);
+      are padded with NULL: the schema carries one extra trailing column and
+      only rows where it is NULL are kept (an over-long row whose surplus
+      fields are all empty cannot be told from a full one and is kept);
     * ``league`` and ``season`` come from the file name ``<league>_<season>.csv``,
       ``source_file`` keeps the name.
 
-    Fails when the folder has no matching file.
+    Raises FileNotFoundError when the folder has no matching file.
     """
-    paths = _list(spark, raw_dir, pattern)
+    paths = [p for p, _ in _found(spark, f"{raw_dir.rstrip('/')}/{pattern}")]
     if not paths:
-        raise FileNotFoundError(f"No CSVs found in {raw_dir}")
+        raise FileNotFoundError(f"{raw_dir} holds no {pattern} file")
+    with ThreadPoolExecutor(16) as pool:
+        headers = list(pool.map(lambda p: _header(spark, p), paths))
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for p in paths:
-        groups[tuple(_header(spark, p))].append(p)
+    for p, header in zip(paths, headers):
+        groups[header].append(p)
     frames = []
     for header, files in groups.items():
         names = [h if h else f"_c{i}" for i, h in enumerate(header)]
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names]
                               + [T.StructField(EXTRA_COL, T.StringType())])
         df = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-              .option("encoding", "UTF-8").csv(files))
+              .option("encoding", "UTF-8").option("enforceSchema", True).csv(files))
         df = df.where(F.col(EXTRA_COL).isNull()).drop(EXTRA_COL)
         fn = F.col("_metadata.file_name")
         league, season = file_stem_parts(fn)
@@ -80,7 +89,7 @@ def read_odds_csv(spark: SparkSession, raw_dir: str, pattern: str = "*.csv") ->
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """JSON lines with a fixed schema; a missing or empty path gives an
     empty typed frame; blank lines are skipped."""
-    if not glob.glob(path) or all(os.path.isfile(p) and os.path.getsize(p) == 0 for p in glob.glob(path)):
+    if all(size == 0 for _, size in _found(spark, path)):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).json(path)
 
@@ -88,7 +97,7 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 def read_summary(spark: SparkSession, path: str, tag: str, schema: T.StructType | None = None) -> DataFrame:
     """A summary document (JSON array of rows) with a ``tag`` column; fails
     when the file is missing."""
-    if not glob.glob(path):
+    if not _found(spark, path):
         raise FileNotFoundError(f"summary missing for tag {tag!r}: {path}")
     r = spark.read.option("multiLine", True)
     if schema is not None:

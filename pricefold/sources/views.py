@@ -68,9 +68,8 @@ def odds_li(spark: SparkSession, sf_dir: str) -> DataFrame:
 def replicate(odds: DataFrame, copies: int) -> DataFrame:
     """``copies`` copies of an odds table with distinct match ids (``c<i>-``
     prefix), for scaling runs; a generator, not a join."""
-    from pricefold.operators.detect import spread
     c = F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("_copy")
-    return spread(odds).select("*", c).withColumn(
+    return odds.select("*", c).withColumn(
         "match_id", F.concat(F.lit("c"), F.col("_copy").cast("string"), F.lit("-"), F.col("match_id"))).drop("_copy")
 
 
@@ -92,8 +91,8 @@ def run_metrics_from_events(events: DataFrame) -> DataFrame:
 
 
 def run_opps_from_events(events: DataFrame) -> DataFrame:
-    """Opportunity latency records derived from ``events`` (purchases)."""
-    return events.where(F.col("event_type") == "purchase").select(
+    """Opportunity latency records derived from ``events``, one per event."""
+    return events.select(
         F.when(F.dayofmonth("ts") <= 15, F.lit("h1")).otherwise(F.lit("h2")).alias("tag"),
         F.when(F.col("event_id") % 2 == 0, F.lit("batch")).otherwise(F.lit("stream")).alias("method"),
         F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("match_id"),

@@ -48,10 +48,10 @@ def invalid_reason(home="odds_home", draw="odds_draw", away="odds_away",
     nans = F.isnan(h) | F.isnan(d) | F.isnan(a)
     return (F.when(_c(match_id).isNull(), F.lit("missing_match_id"))
             .when(_c(bookmaker).isNull(), F.lit("missing_bookmaker"))
-            .when(_c(event_time).isNull() | _c(send_time).isNull(), F.lit("missing_time"))
             .when(nulls, F.lit("missing_odds"))
             .when(nans, F.lit("nan_odds"))
-            .when(~valid_prices(home, draw, away), F.lit("odds_not_above_1")))
+            .when(~valid_prices(home, draw, away), F.lit("odds_not_above_1"))
+            .when(_c(event_time).isNull() | _c(send_time).isNull(), F.lit("missing_time")))
 
 
 def implied_prob_sum(home="best_odds_home", draw="best_odds_draw", away="best_odds_away") -> Column:

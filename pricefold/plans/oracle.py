@@ -133,10 +133,51 @@ SELECT *, 1.0e0 - implied_prob_sum AS profit_margin,
 
 
 def emit_sql(src: str, tol: str = "1.0e-4") -> str:
-    """Change-only emission as a recursive fold over each match's timeline."""
+    """Change-only emission over each match's timeline, one per arrival."""
+    one = f"SELECT * FROM ({timeline_sql(src)}) QUALIFY row_number() OVER (PARTITION BY match_id, arrival ORDER BY bookmaker) = 1"
+    return f"""
+SELECT match_id, arrival, profit_margin, implied_prob_sum, best_book_home, best_odds_home,
+       best_book_draw, best_odds_draw, best_book_away, best_odds_away FROM ({fold_sql(one, tol)})"""
+
+
+def delivered_sql(triggers: int = 4) -> str:
+    """``odds_ev`` as a log delivers it in ``triggers`` arrival ranges: a tenth
+    of the updates comes again one trigger later, and a fiftieth has a twin
+    without event time and with better prices."""
+    return f"""
+SELECT * FROM (SELECT *, (real_time_ms * {triggers}) // ((SELECT max(event_id) FROM events) + 1) AS trig FROM ({ODDS_EV}))
+UNION ALL
+SELECT *, least((real_time_ms * {triggers}) // ((SELECT max(event_id) FROM events) + 1) + 1, {triggers - 1}) FROM ({ODDS_EV})
+WHERE real_time_ms % 10 = 0
+UNION ALL
+SELECT * REPLACE (CAST(NULL AS BIGINT) AS event_time_ms, odds_home * 10.0e0 AS odds_home),
+       (real_time_ms * {triggers}) // ((SELECT max(event_id) FROM events) + 1) FROM ({ODDS_EV}) WHERE real_time_ms % 50 = 0"""
+
+
+def stream_sql(triggers: int = 4, now_ms: int = NOW_MS) -> str:
+    """Emissions of the stateful stream: the state at every trigger's end, the
+    matches it touched, and the change-only fold over them."""
+    best = best_sql(f"SELECT * FROM st SEMI JOIN touched USING (k, match_id)", "k, match_id")
+    return f"""
+WITH v AS (SELECT * FROM ({delivered_sql(triggers)}) WHERE {VALID}),
+ks AS (SELECT unnest(range({triggers})) AS k),
+st AS (SELECT k, match_id, bookmaker, odds_home, odds_draw, odds_away, event_time_ms, real_time_ms FROM v JOIN ks ON v.trig <= k
+       QUALIFY row_number() OVER (PARTITION BY k, match_id, bookmaker
+         ORDER BY event_time_ms DESC, trig DESC, real_time_ms DESC, odds_home DESC, odds_draw DESC, odds_away DESC) = 1),
+touched AS (SELECT DISTINCT trig AS k, match_id FROM (
+  SELECT *, max(event_time_ms) OVER (PARTITION BY match_id, bookmaker ORDER BY trig
+    RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM v) WHERE prev IS NULL OR event_time_ms >= prev),
+e AS (SELECT *, k AS arrival FROM ({scored_sql(best)}))
+SELECT 'stream' AS method, match_id, best_book_home, best_odds_home, best_book_draw, best_odds_draw, best_book_away,
+       best_odds_away, profit_margin, implied_prob_sum, CAST({now_ms} AS BIGINT) AS detected_at_ms, max_real_time_ms,
+       CAST({now_ms} AS BIGINT) - max_real_time_ms AS e2e_latency_ms FROM ({fold_sql("SELECT * FROM e")})"""
+
+
+def fold_sql(timeline: str, tol: str = "1.0e-4") -> str:
+    """Change-only emission as a recursive fold over each match's evaluations."""
     return f"""
 WITH RECURSIVE t AS (SELECT *, row_number() OVER (PARTITION BY match_id ORDER BY arrival) AS rn
-                     FROM ({timeline_sql(src)})),
+                     FROM ({timeline})),
 f AS (
   SELECT match_id, rn,
     CASE WHEN n_books >= 2 AND profit_margin > {EPS} THEN profit_margin END AS memo,
@@ -150,6 +191,4 @@ f AS (
          ELSE f.memo END,
     (t.n_books >= 2 AND t.profit_margin > {EPS} AND (f.memo IS NULL OR abs(f.memo - t.profit_margin) >= {tol}))
   FROM f JOIN t ON t.match_id = f.match_id AND t.rn = f.rn + 1)
-SELECT t.match_id, t.arrival, t.profit_margin, t.implied_prob_sum, t.best_book_home, t.best_odds_home,
-       t.best_book_draw, t.best_odds_draw, t.best_book_away, t.best_odds_away
-FROM f JOIN t ON f.match_id = t.match_id AND f.rn = t.rn WHERE f.emit"""
+SELECT t.* FROM f JOIN t ON f.match_id = t.match_id AND f.rn = t.rn WHERE f.emit"""

@@ -132,10 +132,10 @@ def q_optimal_stakes(spark, sf):
 def _reason_sql() -> str:
     return """CASE WHEN match_id IS NULL THEN 'missing_match_id'
     WHEN bookmaker IS NULL THEN 'missing_bookmaker'
-    WHEN event_time_ms IS NULL OR real_time_ms IS NULL THEN 'missing_time'
     WHEN odds_home IS NULL OR odds_draw IS NULL OR odds_away IS NULL THEN 'missing_odds'
     WHEN isnan(odds_home) OR isnan(odds_draw) OR isnan(odds_away) THEN 'nan_odds'
-    WHEN NOT (odds_home > 1.0e0 AND odds_draw > 1.0e0 AND odds_away > 1.0e0) THEN 'odds_not_above_1' END"""
+    WHEN NOT (odds_home > 1.0e0 AND odds_draw > 1.0e0 AND odds_away > 1.0e0) THEN 'odds_not_above_1'
+    WHEN event_time_ms IS NULL OR real_time_ms IS NULL THEN 'missing_time' END"""
 
 
 @register("quarantine", f"""
@@ -146,6 +146,15 @@ def q_quarantine(spark, sf):
     return bad.select("match_id", "bookmaker", "real_time_ms", "reason")
 
 
+@register("quarantine_log", f"""
+SELECT match_id, bookmaker, real_time_ms, trig, reason FROM (
+  SELECT *, {_reason_sql()} AS reason FROM ({O.delivered_sql(4)})) WHERE reason IS NOT NULL""")
+def q_quarantine_log(spark, sf):
+    """Quarantine of a delivered log: untimed updates have a reason too."""
+    _, bad = C.split_valid(V.delivered(V.odds_ev(spark, sf), 4))
+    return bad.select("match_id", "bookmaker", "real_time_ms", "trig", "reason")
+
+
 @register("decode_events", f"SELECT * FROM ({O.ODDS_EV}) WHERE match_id IS NOT NULL")
 def q_decode_events(spark, sf):
     return K.decode_events(K.encode_events(V.odds_ev(spark, sf)))
@@ -437,74 +446,133 @@ def q_emit_on_change(spark, sf):
     return TL.emit_on_change(TL.arbitrage_timeline(V.odds_ev(spark, sf)))
 
 
+@register("arbitrage_timeline_redelivered", O.timeline_sql(O.ODDS_EV))
+def q_arbitrage_timeline_redelivered(spark, sf):
+    """Every message delivered twice gives the timeline of one delivery."""
+    odds = V.odds_ev(spark, sf)
+    return TL.arbitrage_timeline(odds.unionByName(odds))
+
+
+@register("emit_on_change_redelivered", O.emit_sql(O.ODDS_EV))
+def q_emit_on_change_redelivered(spark, sf):
+    odds = V.odds_ev(spark, sf)
+    return TL.emit_on_change(TL.arbitrage_timeline(odds.unionByName(odds)))
+
+
 # ----------------------------------------------------------- streaming ----
 
-_STREAM_COLS = ("match_id, best_book_home, best_odds_home, best_book_draw, best_odds_draw, best_book_away, "
-                "best_odds_away, profit_margin, implied_prob_sum, max_real_time_ms")
-EV_BOOKS = ("click", "error", "purchase", "signup", "view")  # the sources of odds_ev (event types)
+TRIGGERS = 4
 
 
-def _stream_input(spark, sf, name: str, files: int = 8) -> tuple[str, str]:
-    """Write ``odds_ev`` as ``files`` parquet files (all updates of a match
-    in one file) under a new folder of the shared checkpoint folder."""
+def _stream_input(spark, sf, name: str, triggers: int = TRIGGERS) -> tuple[str, str, int]:
+    """Write ``odds_ev`` to a new folder of the shared checkpoint folder as a
+    log delivers it, one arrival range after the other: matches span ranges,
+    a tenth of the updates comes again one range later, and a fiftieth has a
+    twin without event time.  Files per range follow the cluster's
+    parallelism; returns the folders and that number."""
     from pricefold.session import run_dir
-    base = run_dir(spark, name)
-    V.odds_ev(spark, sf).repartition(files, "match_id").write.parquet(f"{base}/in")
-    return base, f"{base}/in"
+    base, log = run_dir(spark, name), V.delivered(V.odds_ev(spark, sf), triggers)
+    files = spark.sparkContext.defaultParallelism
+    for k in range(triggers):
+        log.where(F.col("trig") == k).drop("trig").repartition(files).write.mode("append").parquet(f"{base}/in")
+    return base, f"{base}/in", files
 
 
-@register("detect_stream", f"SELECT 'stream' AS method, {_STREAM_COLS} FROM ({O.opps_sql(O.ODDS_EV)})")
+@register("detect_stream", O.stream_sql(TRIGGERS))
 def q_detect_stream(spark, sf):
-    """Stateful stream over odds_ev, two files per trigger.  Each match's
-    updates share a trigger, so its one emission equals the snapshot's."""
+    """Stateful stream over four arrival ranges with late, repeated and
+    untimed updates; all columns, on a fixed clock."""
     from pricefold.streaming import stream as S
-    base, src = _stream_input(spark, sf, "detect_stream")
-    q = S.start(S.detect_stream(S.file_stream(spark, src, max_files_per_trigger=2)), f"{base}/out", f"{base}/ckpt")
-    q.awaitTermination()
-    return spark.read.parquet(f"{base}/out").select("method", *[c.strip() for c in _STREAM_COLS.split(",")])
+    base, src, files = _stream_input(spark, sf, "detect_stream")
+    opps = S.detect_stream(S.file_stream(spark, src, max_files_per_trigger=files), now_ms=O.NOW_MS)
+    S.start(opps, f"{base}/out", f"{base}/ckpt").awaitTermination()
+    return spark.read.parquet(f"{base}/out")
 
 
-@register("detect_stream_native", f"SELECT 'stream' AS method, {_STREAM_COLS} FROM ({O.opps_sql(O.ODDS_EV)})")
+@register("detect_stream_native", O.opps_sql(O.ODDS_EV, method="stream"))
 def q_detect_stream_native(spark, sf):
-    """Native stream (no Python), update mode, upserts per trigger; with each
-    match inside one trigger its latest opportunity equals the snapshot's."""
+    """Native stream (no Python): after the last trigger the opportunities that
+    stand are the snapshot's, those that vanished on the way are gone."""
     from pricefold.streaming import stream as S
-    base, src = _stream_input(spark, sf, "detect_stream_native")
-    opps = S.detect_stream_native(S.file_stream(spark, src, max_files_per_trigger=2), EV_BOOKS)
-    S.start_upserts(opps, f"{base}/out", f"{base}/ckpt").awaitTermination()
-    return S.current_view(spark, f"{base}/out").select("method", *[c.strip() for c in _STREAM_COLS.split(",")])
+    base, src, files = _stream_input(spark, sf, "detect_stream_native")
+    prices = S.latest_prices_stream(S.file_stream(spark, src, max_files_per_trigger=files))
+    S.start_upserts(prices, f"{base}/out", f"{base}/ckpt").awaitTermination()
+    return S.current_opportunities(spark, f"{base}/out", now_ms=O.NOW_MS)
 
 
-@register("detect_polling", f"""
-SELECT method, match_id, best_book_home, best_odds_home, best_book_draw, best_odds_draw, best_book_away,
-       best_odds_away, profit_margin, implied_prob_sum, max_event_time_ms, max_real_time_ms
-FROM ({O.opps_sql(O.ODDS_EV)})""")
-def q_detect_polling(spark, sf):
-    """Polling consumer over a file stream: each trigger judged alone.  All
-    updates of a match share a file, hence a trigger."""
+_POLL_COLS = ("method, match_id, best_book_home, best_odds_home, best_book_draw, best_odds_draw, best_book_away, "
+              "best_odds_away, profit_margin, implied_prob_sum, max_event_time_ms, max_real_time_ms")
+
+
+def _polled(spark, sf, name: str) -> str:
     from pricefold.streaming import stream as S
-    base, src = _stream_input(spark, sf, "detect_polling")
-    S.start_polling(S.file_stream(spark, src, max_files_per_trigger=2), f"{base}/out", f"{base}/ckpt",
+    base, src, files = _stream_input(spark, sf, name)
+    S.start_polling(S.file_stream(spark, src, max_files_per_trigger=files), f"{base}/out", f"{base}/ckpt",
                     metrics_path=f"{base}/metrics").awaitTermination()
-    return spark.read.parquet(f"{base}/out").select(
-        "method", "match_id", "best_book_home", "best_odds_home", "best_book_draw", "best_odds_draw",
-        "best_book_away", "best_odds_away", "profit_margin", "implied_prob_sum", "max_event_time_ms",
-        "max_real_time_ms")
+    return base
+
+
+@register("detect_polling", f"""
+SELECT trig AS batch_id, {_POLL_COLS} FROM ({O.opps_sql(O.delivered_sql(TRIGGERS), keys='trig, match_id', extra='trig, ')})""")
+def q_detect_polling(spark, sf):
+    """Polling consumer over a file stream: each trigger judged alone."""
+    base = _polled(spark, sf, "detect_polling")
+    return spark.read.parquet(f"{base}/out").select(F.col("batch_id").cast("bigint"), *[c.strip() for c in _POLL_COLS.split(",")])
+
+
+@register("polling_metrics", f"""
+WITH d AS ({O.delivered_sql(TRIGGERS)}),
+o AS ({O.opps_sql(O.delivered_sql(TRIGGERS), keys='trig, match_id', extra='trig, ')}),
+l AS ({O.latest_sql(O.delivered_sql(TRIGGERS), 'trig, match_id')})
+SELECT t.trig AS batch, (SELECT count(*) FROM d WHERE d.trig = t.trig) AS rows_decoded,
+       (SELECT count(*) FROM l WHERE l.trig = t.trig) AS rows_read, (SELECT count(*) FROM o WHERE o.trig = t.trig) AS opps_found
+FROM (SELECT DISTINCT trig FROM d) t""")
+def q_polling_metrics(spark, sf):
+    """The metric record of every trigger, written and read back."""
+    base = _polled(spark, sf, "polling_metrics")
+    return spark.read.json(f"{base}/metrics").select("batch", "rows_decoded", "rows_read", "opps_found")
 
 
 @register("price_view_stream", f"""
 SELECT match_id, n_books, best_book_home, best_odds_home, best_book_draw, best_odds_draw, best_book_away,
-       best_odds_away, max_real_time_ms FROM ({O.best_sql(O.latest_sql(O.ODDS_EV))})""")
+       best_odds_away, max_event_time_ms, max_real_time_ms FROM ({O.best_sql(O.latest_sql(O.ODDS_EV))})""")
 def q_price_view_stream(spark, sf):
-    """Native (no Python) current-price view, update mode, upserts per
-    trigger; the final view per match equals the batch best prices."""
+    """Native (no Python) current prices per (match, source), update mode, the
+    log compacted once; the final view equals the batch best prices."""
     from pricefold.streaming import stream as S
-    base, src = _stream_input(spark, sf, "price_view_stream")
-    view = S.price_view_stream(S.file_stream(spark, src, max_files_per_trigger=2), EV_BOOKS)
+    base, src, files = _stream_input(spark, sf, "price_view_stream")
+    view = S.latest_prices_stream(S.file_stream(spark, src, max_files_per_trigger=files))
     S.start_upserts(view, f"{base}/out", f"{base}/ckpt").awaitTermination()
-    return S.current_view(spark, f"{base}/out").select(
-        "match_id", "n_books", "best_book_home", "best_odds_home", "best_book_draw", "best_odds_draw",
-        "best_book_away", "best_odds_away", "max_real_time_ms")
+    S.compact(spark, f"{base}/out")
+    return S.current_prices(spark, f"{base}/out")
+
+
+# ------------------------------------------------------------------ sinks ----
+
+@register("summary_sink", _SUMMARY_SQL)
+def q_summary_sink(spark, sf):
+    """Summary documents written tag by tag and read back: a later write
+    replaces its own tag only."""
+    from pricefold.session import run_dir
+    from pricefold.sinks import writers as WR
+    path, s = run_dir(spark, "summary_sink") + "/summary", _summary(spark, sf)
+    WR.write_summary(s, path)
+    first = s.agg(F.min("tag")).first()[0]
+    WR.write_summary(s.where(F.col("tag") == first), path)
+    return spark.read.schema(s.schema).json(path)
+
+
+@register("tagged_results", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS tag, match_id, profit_margin FROM ({O.opps_sql(O.ODDS_EV)})" for t in ("first", "second")))
+def q_tagged_results(spark, sf):
+    """Result sets of two runs kept under their tags."""
+    from pricefold.session import run_dir
+    from pricefold.sinks import writers as WR
+    root = run_dir(spark, "tagged_results")
+    opps = D.detect_snapshot(V.odds_ev(spark, sf), now_ms=O.NOW_MS)
+    for tag in ("first", "second", "first"):
+        WR.tag_results({"opps": opps}, tag, root)
+    return spark.read.parquet(f"{root}/opps").select("tag", "match_id", "profit_margin")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -38,10 +38,10 @@ def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
     try:
         reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
         lines = iter(reader.readLine, None)
-        first = next(csv.reader(line + "\n" for line in lines), [])
+        first = next(csv.reader((line.lstrip(_BOM) if k == 0 else line) + "\n" for k, line in enumerate(lines)), [])
     finally:
         stream.close()
-    return tuple(name.lstrip(_BOM).strip() for name in first)
+    return tuple(name.strip() for name in first)
 
 
 def read_odds_csv(spark: SparkSession, raw_dir: str, pattern: str = "*.csv") -> DataFrame:

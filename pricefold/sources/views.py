@@ -73,6 +73,19 @@ def replicate(odds: DataFrame, copies: int) -> DataFrame:
         "match_id", F.concat(F.lit("c"), F.col("_copy").cast("string"), F.lit("-"), F.col("match_id"))).drop("_copy")
 
 
+def delivered(odds: DataFrame, ranges: int) -> DataFrame:
+    """``odds`` as a log delivers it in ``ranges`` equal arrival ranges (column
+    ``trig``): a tenth of the updates comes again one range later, and a
+    fiftieth has a twin without event time and with better prices."""
+    top = odds.agg(F.max("real_time_ms").alias("_top"))  # one row
+    log = odds.join(F.broadcast(top)).withColumn(
+        "trig", F.expr(f"(real_time_ms * {int(ranges)}) div (_top + 1)")).drop("_top")
+    again = log.where("real_time_ms % 10 = 0").withColumn("trig", F.least(F.col("trig") + 1, F.lit(ranges - 1)))
+    untimed = (log.where("real_time_ms % 50 = 0").withColumn("event_time_ms", F.lit(None).cast("bigint"))
+               .withColumn("odds_home", F.col("odds_home") * 10.0))
+    return log.unionByName(again).unionByName(untimed)
+
+
 def run_metrics_from_events(events: DataFrame) -> DataFrame:
     """Trigger-metric records derived from ``events``.
 

@@ -1,48 +1,37 @@
-"""Keyed streaming state for arbitrage detection (``transformWithStateInPandas``).
+"""Keyed streaming state for arbitrage detection (``transformWithState``).
 
 One processor instance serves the keys (match ids) of one state-store
-partition on an executor.  Per key it keeps
-
-* ``latest``: ``MapState`` bookmaker -> (event time, home, draw, away, send
-  time) of the newest accepted update; at most one entry per source;
-* ``memo``: ``ValueState`` with the margin emitted last.
-
-Per micro-batch and key (after all rows of the key in the trigger are
-applied, in arrival order):
-
-1. an update replaces the stored one of its bookmaker iff its event time is
-   newer **or equal**; older ones are rejected (late data);
-2. only keys with at least one accepted update are evaluated;
-3. with fewer than two bookmakers nothing happens (the memo is kept);
-4. no opportunity (margin <= eps) clears the memo;
-5. an opportunity is emitted unless it is within ``tolerance`` of the last
+partition on an executor.  Per match it keeps one packed value: each source's
+newest accepted price, and the margin emitted last.
+
+A trigger's rows of a match are folded in any order with one entry per source:
+what counts of them is, for each source, the row of the greatest (event time,
+arrival, prices).  It replaces the stored one iff its event time is newer **or
+equal** - the same state as applying all rows in arrival order, where older
+ones are rejected (late data) - and the match is evaluated iff any source's
+row did.  Then
+
+1. with fewer than two sources nothing happens (the memo is kept);
+2. no opportunity (margin <= eps) clears the memo;
+3. an opportunity is emitted unless it is within ``tolerance`` of the last
    emitted margin.
 
-The processor outputs one row per evaluated key with ``emit`` telling
-whether it is an emission, so the query can count evaluated keys.
+The processor outputs one row per evaluated match with ``emit`` telling
+whether it is an emission, so the query can count evaluated matches.
 """
 
 from __future__ import annotations
 
 import time
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Sequence
 
-import numpy as np
-import pandas as pd
+from pyspark.sql import Row
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from pricefold.schema import EMIT_TOLERANCE, EPSILON, METHOD_STREAM
 
-LATEST_VALUE_SCHEMA = T.StructType([
-    T.StructField("event_time_ms", T.LongType()),
-    T.StructField("odds_home", T.DoubleType()),
-    T.StructField("odds_draw", T.DoubleType()),
-    T.StructField("odds_away", T.DoubleType()),
-    T.StructField("real_time_ms", T.LongType()),
-])
-BOOK_KEY_SCHEMA = T.StructType([T.StructField("bookmaker", T.StringType())])
-MEMO_SCHEMA = T.StructType([T.StructField("margin", T.DoubleType())])
+PRICE = ("event_time_ms", "odds_home", "odds_draw", "odds_away", "real_time_ms")
 
 EVAL_SCHEMA = T.StructType([
     T.StructField("emit", T.BooleanType()),
@@ -63,44 +52,33 @@ EVAL_SCHEMA = T.StructType([
 ])
 
 
-def apply_updates(stored: dict[str, tuple], rows: pd.DataFrame,
-                  arrival: Sequence[str] = ()) -> tuple[dict[str, tuple], bool]:
-    """Apply one trigger's rows of one key to its stored latest prices.
+STATE_SCHEMA = T.StructType([
+    T.StructField("books", T.ArrayType(T.StringType())),
+    T.StructField("event_time_ms", T.ArrayType(T.LongType())),
+    T.StructField("odds_home", T.ArrayType(T.DoubleType())),
+    T.StructField("odds_draw", T.ArrayType(T.DoubleType())),
+    T.StructField("odds_away", T.ArrayType(T.DoubleType())),
+    T.StructField("real_time_ms", T.ArrayType(T.LongType())),
+    T.StructField("memo", T.DoubleType()),
+])
+
 
-    Rows are taken in arrival order (``arrival`` columns; none = as given).
-    A row replaces its source's stored price iff its event time is newer or
-    equal.  Returns the new map and whether any row was accepted.  One
-    linear pass over the rows as a plain array: a key has few rows per
-    trigger, and pandas per-call overhead would dominate.
-    """
-    n = len(rows)
-    out = dict(stored)
-    if n == 0:
-        return out, False
-    pos = {c: i for i, c in enumerate(rows.columns)}
-    vals = rows.to_numpy(dtype=object)
-    ib, ie, ih, idr, ia, ir = (pos["bookmaker"], pos["event_time_ms"], pos["odds_home"], pos["odds_draw"],
-                               pos["odds_away"], pos["real_time_ms"])
-    if arrival and n > 1:
-        # ties on the arrival key fall back to the batch order (event time, prices)
-        ks = [pos[c] for c in arrival] + [ie, ih, idr, ia]
-        order = sorted(range(n), key=lambda i: tuple(vals[i][k] for k in ks))
-    else:
-        order = range(n)
-    touched = False
-    for i in order:
-        r = vals[i]
-        cur = out.get(r[ib])
-        if cur is None or r[ie] >= cur[0]:
-            out[r[ib]] = (int(r[ie]), float(r[ih]), float(r[idr]), float(r[ia]), int(r[ir]))
-            touched = True
-    return out, touched
+def newest(rows: Iterable, arrival: Sequence[str]) -> dict[str, tuple]:
+    """Per source the price of its greatest row by (event time, arrival,
+    prices); one pass, one entry per source."""
+    best: dict[str, tuple] = {}
+    for r in rows:
+        rank = (r["event_time_ms"], *(r[c] for c in arrival), r["odds_home"], r["odds_draw"], r["odds_away"])
+        held = best.get(r["bookmaker"])
+        if held is None or rank > held[0]:
+            best[r["bookmaker"]] = (rank, tuple(r[c] for c in PRICE))
+    return {book: price for book, (_, price) in best.items()}
 
 
-def _one_row(row: dict, cols: list[str]) -> pd.DataFrame:
-    """A one-row frame built from an object array (much cheaper than from a
-    dict for a single row)."""
-    return pd.DataFrame(np.array([[row[c] for c in cols]], dtype=object), columns=cols, copy=False)
+def merged(stored: dict[str, tuple], fresh: dict[str, tuple]) -> dict[str, tuple] | None:
+    """The state after a trigger; None if no row was accepted."""
+    taken = {b: p for b, p in fresh.items() if b not in stored or p[0] >= stored[b][0]}
+    return {**stored, **taken} if taken else None
 
 
 def evaluate(books: dict[str, tuple], eps: float = EPSILON) -> dict | None:
@@ -124,186 +102,48 @@ def evaluate(books: dict[str, tuple], eps: float = EPSILON) -> dict | None:
     return res
 
 
-class OddsProcessor(StatefulProcessor):
-    """Latest price per source, change-only arbitrage emission per match."""
-
-    def __init__(self, arrival: Sequence[str] = ("real_time_ms",), tolerance: float = EMIT_TOLERANCE,
-                 eps: float = EPSILON, state_ttl_ms: int | None = None, method: str = METHOD_STREAM):
-        self.arrival = list(arrival)
-        self.tolerance = tolerance
-        self.eps = eps
-        self.ttl = state_ttl_ms
-        self.method = method
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.latest = handle.getMapState("latest", BOOK_KEY_SCHEMA, LATEST_VALUE_SCHEMA, self.ttl)
-        self.memo = handle.getValueState("memo", MEMO_SCHEMA, self.ttl)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        # The rows of one key in one trigger (bounded by the trigger size).
-        chunks = list(rows)
-        pdf = chunks[0] if len(chunks) == 1 else pd.concat(chunks, ignore_index=True)
-        stored = {k[0]: tuple(v) for k, v in self.latest.iterator()} if self.latest.exists() else {}
-        books, touched = apply_updates(stored, pdf, self.arrival)
-        if not touched:
-            return
-        for b, v in books.items():
-            if stored.get(b) != v:
-                self.latest.updateValue((b,), v)
-        now = timerValues.getCurrentProcessingTimeInMs() if timerValues is not None else -1
-        if now is None or now <= 0:
-            now = int(time.time() * 1000)
-        res = evaluate(books, self.eps)
-        emit = False
-        if res is not None:
-            if res["profit_margin"] <= self.eps:
-                self.memo.clear()
-            else:
-                prev = self.memo.get() if self.memo.exists() else None
-                if prev is None or abs(prev[0] - res["profit_margin"]) >= self.tolerance:
-                    emit = True
-                    self.memo.update((res["profit_margin"],))
-        row = {c.name: None for c in EVAL_SCHEMA.fields}
-        row.update({"emit": emit, "method": self.method, "match_id": key[0]})
-        if res is not None:
-            row.update(res)
-            row.update({"detected_at_ms": now, "e2e_latency_ms": now - res["max_real_time_ms"]})
-        yield _one_row(row, [c.name for c in EVAL_SCHEMA.fields])
-
-    def close(self) -> None:
-        pass
-
-
-# --- the same logic for applyInPandasWithState --------------------------------
-# The state of a key travels with its rows in the Arrow batch, so there is no
-# per-access round trip to the state store; measured several times faster
-# than the MapState processor above on the bench streams.
-
-STATE_SCHEMA = T.StructType([
-    T.StructField("books", T.ArrayType(T.StringType())),
-    T.StructField("event_time_ms", T.ArrayType(T.LongType())),
-    T.StructField("odds_home", T.ArrayType(T.DoubleType())),
-    T.StructField("odds_draw", T.ArrayType(T.DoubleType())),
-    T.StructField("odds_away", T.ArrayType(T.DoubleType())),
-    T.StructField("real_time_ms", T.ArrayType(T.LongType())),
-    T.StructField("memo", T.DoubleType()),
-])
-
-
-def _unpack(state_tuple) -> tuple[dict[str, tuple], float | None]:
-    books, et, h, d, a, rt, memo = state_tuple
-    stored = {b: (int(et[i]), float(h[i]), float(d[i]), float(a[i]), int(rt[i])) for i, b in enumerate(books)}
-    return stored, (None if memo is None or memo != memo else float(memo))
-
-
-def _pack(books: dict[str, tuple], memo: float | None) -> tuple:
-    names = sorted(books)
-    return (names, [books[b][0] for b in names], [books[b][1] for b in names], [books[b][2] for b in names],
-            [books[b][3] for b in names], [books[b][4] for b in names], memo)
-
-
-def make_state_fn(arrival: Sequence[str] = ("real_time_ms",), tolerance: float = EMIT_TOLERANCE,
-                  eps: float = EPSILON, state_ttl_ms: int | None = None, method: str = METHOD_STREAM):
-    """Function for ``applyInPandasWithState`` with the semantics of
-    ``OddsProcessor``; with ``state_ttl_ms`` an idle match's state is
-    dropped after that much processing time."""
-    arrival = list(arrival)
-    cols = [c.name for c in EVAL_SCHEMA.fields]
-
-    def fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        chunks = list(pdfs)
-        pdf = chunks[0] if len(chunks) == 1 else pd.concat(chunks, ignore_index=True)
-        stored, memo = _unpack(state.get) if state.exists else ({}, None)
-        books, touched = apply_updates(stored, pdf, arrival)
-        if not touched:
-            return
-        now = int(time.time() * 1000)
-        res = evaluate(books, eps)
-        emit = False
-        if res is not None:
-            if res["profit_margin"] <= eps:
-                memo = None
-            elif memo is None or abs(memo - res["profit_margin"]) >= tolerance:
-                emit = True
-                memo = res["profit_margin"]
-        state.update(_pack(books, memo))
-        if state_ttl_ms:
-            state.setTimeoutDuration(int(state_ttl_ms))
-        row = {c: None for c in cols}
-        row.update({"emit": emit, "method": method, "match_id": key[0]})
-        if res is not None:
-            row.update(res)
-            row.update({"detected_at_ms": now, "e2e_latency_ms": now - res["max_real_time_ms"]})
-        yield _one_row(row, cols)
-
-    return fn
-
-
-# --- the same logic on plain rows (transformWithState, no pandas) ---------------
-# Building a pandas frame per key costs far more than the rule itself on the
-# few rows a key has per trigger; the Row-based API skips that conversion.
-
-def apply_row_updates(stored: dict[str, tuple], rows: list, arrival: Sequence[str] = ()) -> tuple[dict[str, tuple], bool]:
-    """``apply_updates`` for a list of Rows (already materialised)."""
-    if arrival and len(rows) > 1:
-        # ties on the arrival key fall back to the batch order (event time, prices)
-        tie = ("event_time_ms", "odds_home", "odds_draw", "odds_away")
-        rows = sorted(rows, key=lambda r: tuple(r[c] for c in arrival) + tuple(r[c] for c in tie))
-    out = dict(stored)
-    touched = False
-    for r in rows:
-        b = r["bookmaker"]
-        cur = out.get(b)
-        if cur is None or r["event_time_ms"] >= cur[0]:
-            out[b] = (int(r["event_time_ms"]), float(r["odds_home"]), float(r["odds_draw"]),
-                      float(r["odds_away"]), int(r["real_time_ms"]))
-            touched = True
-    return out, touched
-
-
 class OddsRowProcessor(StatefulProcessor):
-    """``OddsProcessor`` on Rows: one state value per match (the sources'
-    latest prices packed in arrays plus the memo), one read and one write
-    per evaluated key and trigger."""
+    """Latest price per source, change-only arbitrage emission per match: one
+    read and one write of the packed state per evaluated match and trigger.
+    ``now_ms`` fixes the clock, for replays and tests."""
 
     def __init__(self, arrival: Sequence[str] = ("real_time_ms",), tolerance: float = EMIT_TOLERANCE,
-                 eps: float = EPSILON, state_ttl_ms: int | None = None, method: str = METHOD_STREAM):
+                 eps: float = EPSILON, state_ttl_ms: int | None = None, method: str = METHOD_STREAM,
+                 now_ms: int | None = None):
         self.arrival = list(arrival)
         self.tolerance = tolerance
         self.eps = eps
         self.ttl = state_ttl_ms
         self.method = method
+        self.now_ms = now_ms
         self.cols = [c.name for c in EVAL_SCHEMA.fields]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("match", STATE_SCHEMA, self.ttl)
 
     def handleInputRows(self, key, rows, timerValues):
-        from pyspark.sql import Row
-        prev = self.state.get()
-        stored, memo = _unpack(prev) if prev is not None else ({}, None)
-        books, touched = apply_row_updates(stored, list(rows), self.arrival)
-        if not touched:
+        held = self.state.get()
+        stored, memo = {}, None
+        if held is not None:
+            books, *prices, memo = held
+            stored = {b: tuple(p) for b, *p in zip(books, *prices)}
+        books = merged(stored, newest(rows, self.arrival))
+        if books is None:
             return
-        now = int(time.time() * 1000)
-        res = evaluate(books, self.eps)
+        now = int(time.time() * 1000) if self.now_ms is None else self.now_ms
+        found = evaluate(books, self.eps)
         emit = False
-        if res is not None:
-            if res["profit_margin"] <= self.eps:
+        if found is not None:
+            margin = found["profit_margin"]
+            if margin <= self.eps:
                 memo = None
-            elif memo is None or abs(memo - res["profit_margin"]) >= self.tolerance:
-                emit = True
-                memo = res["profit_margin"]
-        self.state.update(_pack(books, memo))
-        row = {c: None for c in self.cols}
-        row.update({"emit": emit, "method": self.method, "match_id": key[0]})
-        if res is not None:
-            row.update(res)
-            row.update({"detected_at_ms": now, "e2e_latency_ms": now - res["max_real_time_ms"]})
-        yield Row(**{c: row[c] for c in self.cols})
+            elif memo is None or abs(memo - margin) >= self.tolerance:
+                emit, memo = True, margin
+            found |= {"detected_at_ms": now, "e2e_latency_ms": now - found["max_real_time_ms"]}
+        names = list(books)
+        self.state.update((names, *(list(column) for column in zip(*(books[b] for b in names))), memo))
+        row = {"emit": emit, "method": self.method, "match_id": key[0], **(found or {})}
+        yield Row(**{c: row.get(c) for c in self.cols})
 
     def close(self) -> None:
         pass

@@ -1,10 +1,12 @@
 """Structured Streaming detection.
 
-``detect_stream`` is the stateful path (``OddsProcessor`` in the executors'
-state store, keyed by match); ``price_view_stream`` is the native path (a
-streaming aggregation, no Python) that keeps the current best price per
-match for a known set of sources.  Both read any streaming DataFrame with
-the odds columns: a Kafka source after ``decode_events``, or a file source.
+``detect_stream`` is the stateful path (``OddsRowProcessor`` in the executors'
+state store, keyed by match).  ``latest_prices_stream`` is the native path (a
+streaming aggregation per (match, source), no Python): its upsert log holds the
+newest price of every source, from which ``current_prices`` and the batch rule
+give best prices and opportunities at any time.  Both read any streaming
+DataFrame with the odds columns: a Kafka source after ``decode_events``, or a
+file source.
 
 Trigger metrics come from named ``observe`` metrics in each
 ``StreamingQueryProgress`` (rows decoded, valid rows, evaluated matches,
@@ -15,6 +17,7 @@ metric records.  No data row goes through the driver.
 from __future__ import annotations
 
 import json
+from datetime import datetime
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,60 +27,43 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pricefold.operators.detect import DETECT_COLUMNS, valid_odds
 from pricefold.session import ROCKSDB_PROVIDER, ship_package
 from pricefold.schema import EMIT_TOLERANCE, EPSILON, ODDS_SCHEMA, STREAM_OPP_COLUMNS
-from pricefold.streaming.processor import (
-    EVAL_SCHEMA, STATE_SCHEMA, OddsProcessor, OddsRowProcessor, make_state_fn,
-)
+from pricefold.streaming.processor import EVAL_SCHEMA, OddsRowProcessor
 
 INPUT_METRICS = "pricefold_input"
+VALID_METRICS = "pricefold_valid"
 EVAL_METRICS = "pricefold_eval"
 
 
 def detect_stream(odds: DataFrame, arrival: Sequence[str] = ("real_time_ms",), tolerance: float = EMIT_TOLERANCE,
                   eps: float = EPSILON, state_ttl_ms: int | None = None, with_evaluations: bool = False,
-                  engine: str = "rows") -> DataFrame:
+                  now_ms: int | None = None) -> DataFrame:
     """Change-only arbitrage emissions of a stream of odds updates.
 
     ``arrival``: columns giving the arrival order inside a trigger (e.g.
     ``("partition", "offset")`` for a message log, whose producer keys by
-    match so one match stays in one partition).  ``state_ttl_ms`` bounds the
-    state of matches that stop receiving updates (off by default); expiry
-    runs in processing-time mode, so use it with a processing-time trigger
-    (``availableNow`` keeps scheduling timer batches in that mode).
-
-    Engines (same semantics and output): ``"rows"`` (default) runs
-    ``transformWithState`` on Rows with one packed state value per match;
-    ``"group_state"`` runs ``applyInPandasWithState``; ``"processor"`` runs
-    ``transformWithStateInPandas`` with ``MapState``/``ValueState``.  The
-    Row engine was measured fastest: building a pandas frame per key costs
-    more than the rule on the few rows a key has per trigger.
+    match so one match stays in one partition).  Updates that
+    ``valid_odds`` rejects, such as those without a time, are dropped.
+    ``state_ttl_ms`` drops a match's whole state when no update of it was
+    accepted for that long (off by default); expiry runs in processing-time
+    mode, so use it with a processing-time trigger (``availableNow`` keeps
+    scheduling timer batches in that mode).  ``now_ms`` fixes the clock.
     """
     spark = odds.sparkSession
     ship_package(spark)
-    if engine in ("rows", "processor"):
-        # transformWithState keeps its state in RocksDB; a session conf that
-        # applies to queries started from now on (a restarted query keeps
-        # the provider recorded in its checkpoint)
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-    arrival = [c for c in arrival if c not in DETECT_COLUMNS]
-    observed = odds.observe(INPUT_METRICS, F.count(F.lit(1)).alias("rows_decoded"))
-    valid = valid_odds(observed).select(*DETECT_COLUMNS, *arrival)
+    # transformWithState keeps its state in RocksDB; a session conf that
+    # applies to queries started from now on (a restarted query keeps
+    # the provider recorded in its checkpoint)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     order = list(arrival) or ["real_time_ms"]
-    if engine == "rows":
-        evals = valid.groupBy("match_id").transformWithState(
-            statefulProcessor=OddsRowProcessor(arrival=order, tolerance=tolerance, eps=eps, state_ttl_ms=state_ttl_ms),
-            outputStructType=EVAL_SCHEMA, outputMode="Append",
-            timeMode="ProcessingTime" if state_ttl_ms else "None")
-    elif engine == "processor":
-        evals = valid.groupBy("match_id").transformWithStateInPandas(
-            statefulProcessor=OddsProcessor(arrival=order, tolerance=tolerance, eps=eps, state_ttl_ms=state_ttl_ms),
-            outputStructType=EVAL_SCHEMA, outputMode="Append",
-            # Processing-time mode schedules extra no-data batches for
-            # timers; it is needed only to expire state by TTL.
-            timeMode="ProcessingTime" if state_ttl_ms else "None")
-    else:
-        evals = valid.groupBy("match_id").applyInPandasWithState(
-            make_state_fn(order, tolerance, eps, state_ttl_ms), EVAL_SCHEMA, STATE_SCHEMA, "append",
-            "ProcessingTimeTimeout" if state_ttl_ms else "NoTimeout")
+    extra = [c for c in order if c not in DETECT_COLUMNS]
+    observed = odds.observe(INPUT_METRICS, F.count(F.lit(1)).alias("rows_decoded"))
+    valid = valid_odds(observed).select(*DETECT_COLUMNS, *extra).observe(VALID_METRICS, F.count(F.lit(1)).alias("rows_valid"))
+    evals = valid.groupBy("match_id").transformWithState(
+        statefulProcessor=OddsRowProcessor(arrival=order, tolerance=tolerance, eps=eps, state_ttl_ms=state_ttl_ms, now_ms=now_ms),
+        outputStructType=EVAL_SCHEMA, outputMode="Append",
+        # Processing-time mode schedules extra no-data batches for
+        # timers; it is needed only to expire state by TTL.
+        timeMode="ProcessingTime" if state_ttl_ms else "None")
     evals = evals.observe(EVAL_METRICS, F.count(F.lit(1)).alias("touched_matches"),
                           F.count_if(F.col("emit")).alias("opps_found"))
     if with_evaluations:
@@ -85,50 +71,12 @@ def detect_stream(odds: DataFrame, arrival: Sequence[str] = ("real_time_ms",), t
     return evals.where(F.col("emit")).select(*STREAM_OPP_COLUMNS)
 
 
-def price_view_stream(odds: DataFrame, books: Sequence[str]) -> DataFrame:
-    """Current latest price per named source and best price per outcome,
-    per match, as a native streaming aggregation (update or complete mode).
-
-    Sources outside ``books`` are ignored.  Latest = newest event time, then
-    send time, then prices.
-    """
-    names = sorted(books)
-    val = "struct(odds_home, odds_draw, odds_away, event_time_ms, real_time_ms)"
-    order = "struct(event_time_ms, real_time_ms, odds_home, odds_draw, odds_away)"
-    aggs = []
-    for i, b in enumerate(names):
-        lit = b.replace("'", "\\'")
-        aggs.append(F.expr(f"max_by({val}, {order}) FILTER (WHERE bookmaker = '{lit}')").alias(f"_b{i}"))
-    agg = valid_odds(odds).groupBy("match_id").agg(*aggs)
-    cols = [F.col("match_id")]
-    present = [F.col(f"_b{i}").isNotNull().cast("int") for i in range(len(names))]
-    cols.append(sum(present[1:], present[0]).cast("bigint").alias("n_books"))
-    for o in ("home", "draw", "away"):
-        vals = [F.col(f"_b{i}.odds_{o}") for i in range(len(names))]
-        best = F.greatest(*vals) if len(vals) > 1 else vals[0]
-        book = F.lit(None).cast("string")
-        for i in reversed(range(len(names))):
-            book = F.when(vals[i] == best, F.lit(names[i])).otherwise(book)
-        cols += [book.alias(f"best_book_{o}"), best.alias(f"best_odds_{o}")]
-    cols.append(F.greatest(*[F.col(f"_b{i}.real_time_ms") for i in range(len(names))]).alias("max_real_time_ms")
-                if len(names) > 1 else F.col("_b0.real_time_ms").alias("max_real_time_ms"))
-    for i, b in enumerate(names):
-        cols.append(F.col(f"_b{i}").alias(f"book_{i}"))
-    return agg.select(*cols)
-
-
-def detect_stream_native(odds: DataFrame, books: Sequence[str], eps: float = EPSILON) -> DataFrame:
-    """Opportunities per trigger without Python: the native price view plus
-    the margin rule, in update mode.  Every trigger reports each updated
-    match that is an opportunity (no change-only suppression; that needs the
-    stateful ``detect_stream``)."""
-    from pricefold.functions.odds import implied_prob_sum, profit_margin
-    view = price_view_stream(odds, books).where(F.col("n_books") >= 2)
-    scored = view.withColumn("implied_prob_sum", implied_prob_sum()).withColumn("profit_margin", profit_margin())
-    return scored.where(F.col("profit_margin") > F.lit(eps)).select(
-        F.lit("stream").alias("method"), "match_id", "best_book_home", "best_odds_home", "best_book_draw",
-        "best_odds_draw", "best_book_away", "best_odds_away", "profit_margin", "implied_prob_sum",
-        "max_real_time_ms")
+def latest_prices_stream(odds: DataFrame) -> DataFrame:
+    """Newest price of every (match, source) as a native streaming aggregation
+    (update mode): newest event time, then send time, then prices.  Whatever
+    sources come are kept; state is one row per (match, source)."""
+    newest = F.max(F.struct("event_time_ms", "real_time_ms", "odds_home", "odds_draw", "odds_away")).alias("_p")
+    return valid_odds(odds).groupBy("match_id", "bookmaker").agg(newest).select("match_id", "bookmaker", "_p.*")
 
 
 def file_stream(spark: SparkSession, path: str, fmt: str = "parquet", max_files_per_trigger: int | None = None,
@@ -155,19 +103,53 @@ def start_upserts(df: DataFrame, path: str, checkpoint: str, trigger: dict | Non
     """Update-mode aggregation output appended per trigger with its batch id
     (idempotent: a replayed batch id overwrites its own folder)."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(
-            f"{path}/batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{path}/log/batch_id={batch_id}")
 
     return (df.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
             .foreachBatch(write).trigger(**(trigger or {"availableNow": True})).start())
 
 
-def current_view(spark: SparkSession, path: str, key: str = "match_id") -> DataFrame:
-    """Latest row per key of an upsert log written by ``start_upserts``."""
-    log = spark.read.parquet(path)
-    cols = [c for c in log.columns if c not in (key, "batch_id")]
+def _folders(spark: SparkSession, pattern: str) -> list[int]:
+    """Numbers at the end of the folder names that match a pattern."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p) or []
+    return sorted(int(s.getPath().getName().rpartition("=")[2]) for s in found)
+
+
+def current_view(spark: SparkSession, path: str, keys: Sequence[str] = ("match_id", "bookmaker")) -> DataFrame:
+    """Latest row per key of an upsert log written by ``start_upserts``: the
+    newest snapshot of ``compact`` and the triggers after it."""
+    snapshots = _folders(spark, f"{path}/snapshot/upto=*")
+    log = spark.read.option("basePath", f"{path}/log").parquet(f"{path}/log")
+    if snapshots:
+        upto = snapshots[-1]
+        held = spark.read.parquet(f"{path}/snapshot/upto={upto}").withColumn("batch_id", F.lit(upto))
+        log = log.where(F.col("batch_id") > upto).unionByName(held)
+    cols = [c for c in log.columns if c not in (*keys, "batch_id")]
     packed = F.max_by(F.struct(*cols), F.col("batch_id")).alias("_r")
-    return log.groupBy(key).agg(packed).select(key, *[F.col(f"_r.{c}").alias(c) for c in cols])
+    return log.groupBy(*keys).agg(packed).select(*keys, "_r.*")
+
+
+def compact(spark: SparkSession, path: str, keys: Sequence[str] = ("match_id", "bookmaker")) -> int:
+    """Write the view of all triggers so far as a snapshot, so that later views
+    read it and newer triggers only; returns the last trigger in it.  Nothing
+    is deleted: older folders may be, by whatever retention applies."""
+    upto = _folders(spark, f"{path}/log/batch_id=*")[-1]
+    current_view(spark, path, keys).write.mode("overwrite").parquet(f"{path}/snapshot/upto={upto}")
+    return upto
+
+
+def current_prices(spark: SparkSession, path: str) -> DataFrame:
+    """Best prices per match from an upsert log of ``latest_prices_stream``."""
+    from pricefold.operators.detect import best_prices
+    return best_prices(current_view(spark, path))
+
+
+def current_opportunities(spark: SparkSession, path: str, now_ms=None, eps: float = EPSILON) -> DataFrame:
+    """Opportunities that stand now, with both latency columns: the batch rule
+    over the newest prices, so one that has vanished is not among them."""
+    from pricefold.operators.detect import opportunities
+    return opportunities(current_prices(spark, path), now_ms=now_ms, method="stream", eps=eps)
 
 
 def start_polling(odds: DataFrame, path: str, checkpoint: str, metrics_path: str | None = None,
@@ -187,17 +169,17 @@ def start_polling(odds: DataFrame, path: str, checkpoint: str, metrics_path: str
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         import time
         t0 = time.time()
-        o_in, o_snap = Observation(f"in_{batch_id}"), Observation(f"snap_{batch_id}")
+        o_in, o_snap, o_opps = (Observation(f"{n}_{batch_id}") for n in ("in", "snap", "opps"))
         src = batch.observe(o_in, F.count(F.lit(1)).alias("rows_decoded"))
         latest = D.latest_odds(D.valid_odds(src).select(*D.DETECT_COLUMNS)).observe(
             o_snap, F.count(F.lit(1)).alias("rows_snapshot"))
         opps = D.opportunities(D.best_prices(latest), method="batch", min_books=min_books, eps=eps)
-        opps = opps.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        opps = opps.withColumn("batch_id", F.lit(batch_id).cast("bigint")).observe(
+            o_opps, F.count(F.lit(1)).alias("opps_found"))
         opps.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
         if metrics_path:
-            n_opps = batch.sparkSession.read.parquet(f"{path}/batch_id={batch_id}").count()
             rec = [(int(batch_id), int(o_in.get["rows_decoded"]), int(o_snap.get.get("rows_snapshot", 0)),
-                    int(n_opps), int((time.time() - t0) * 1000), int(time.time() * 1000))]
+                    int(o_opps.get.get("opps_found", 0)), int((time.time() - t0) * 1000), int(time.time() * 1000))]
             batch.sparkSession.createDataFrame(
                 rec, "batch bigint, rows_decoded bigint, rows_read bigint, opps_found bigint, "
                      "processing_ms bigint, wall_time_ms bigint").write.mode("overwrite").json(
@@ -213,13 +195,24 @@ def run_for(query: StreamingQuery, seconds: float) -> None:
         query.stop()
 
 
+def run_triggers(query: StreamingQuery, n: int, poll_s: float = 0.1) -> None:
+    """Bounded run: stop the query once ``n`` triggers have completed (or it
+    ends by itself)."""
+    while query.isActive:
+        last = query.lastProgress
+        if last is not None and last["batchId"] + 1 >= n:
+            query.stop()
+            return
+        query.awaitTermination(poll_s)
+
+
 class MetricsListener(StreamingQueryListener):
     """Collects one metric record per trigger of the watched queries.
 
     Records: batch (1-based), spark_batch_id, rows_read (decoded rows),
     rows_valid, touched_matches, opps_found, processing_ms (trigger
-    duration), wall_time_ms (trigger end).  Metadata only: one small record
-    per trigger.
+    duration), wall_time_ms (trigger end).  A trigger without new data is a
+    record of 0 rows.  Metadata only: one small record per trigger.
     """
 
     def __init__(self):
@@ -229,7 +222,11 @@ class MetricsListener(StreamingQueryListener):
         pass
 
     def onQueryIdle(self, event) -> None:
-        pass
+        when = datetime.strptime(event.timestamp.replace("Z", "+0000"), "%Y-%m-%dT%H:%M:%S.%f%z")
+        last = max((r["spark_batch_id"] for r in self.records if r["query_id"] == str(event.id)), default=-1)
+        self.records.append({"query_id": str(event.id), "spark_batch_id": last, "rows_read": 0, "rows_valid": 0,
+                             "touched_matches": 0, "opps_found": 0, "processing_ms": 0,
+                             "wall_time_ms": int(when.timestamp() * 1000)})
 
     def onQueryTerminated(self, event) -> None:
         pass
@@ -237,14 +234,14 @@ class MetricsListener(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         p = event.progress
         obs = p.observedMetrics or {}
-        inp = obs.get(INPUT_METRICS)
+        inp, ok = obs.get(INPUT_METRICS), obs.get(VALID_METRICS)
         ev = obs.get(EVAL_METRICS)
-        from datetime import datetime
         ts = datetime.strptime(p.timestamp.replace("Z", "+0000"), "%Y-%m-%dT%H:%M:%S.%f%z")
         dur = int(p.durationMs.get("triggerExecution", 0)) if p.durationMs else 0
         self.records.append({
             "query_id": str(p.id), "spark_batch_id": int(p.batchId),
             "rows_read": int(inp["rows_decoded"]) if inp is not None else int(p.numInputRows),
+            "rows_valid": int(ok["rows_valid"]) if ok is not None else None,
             "touched_matches": int(ev["touched_matches"]) if ev is not None else None,
             "opps_found": int(ev["opps_found"]) if ev is not None else None,
             "processing_ms": dur,
@@ -256,10 +253,10 @@ class MetricsListener(StreamingQueryListener):
         """Metric records as a DataFrame; with ``tag``/``method`` it is ready
         for ``report.run_summary``."""
         recs = [r for r in self.records if query_id is None or r["query_id"] == query_id]
-        recs = sorted(recs, key=lambda r: (r["query_id"], r["spark_batch_id"]))
-        rows = [(i + 1, r["spark_batch_id"], r["rows_read"], r["touched_matches"], r["opps_found"],
+        recs = sorted(recs, key=lambda r: (r["query_id"], r["wall_time_ms"]))
+        rows = [(i + 1, r["spark_batch_id"], r["rows_read"], r["rows_valid"], r["touched_matches"], r["opps_found"],
                  r["processing_ms"], r["wall_time_ms"]) for i, r in enumerate(recs)]
-        df = spark.createDataFrame(rows, "batch bigint, spark_batch_id bigint, rows_read bigint, "
+        df = spark.createDataFrame(rows, "batch bigint, spark_batch_id bigint, rows_read bigint, rows_valid bigint, "
                                          "touched_matches bigint, opps_found bigint, processing_ms bigint, "
                                          "wall_time_ms bigint")
         if tag is not None:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from pricefold.functions import text as T
 from pricefold.operators import clean as C
+from pricefold.schema import BOOKMAKERS as BOOKS
 from pricefold.sources import files, kafka
 
 
@@ -162,3 +163,39 @@ def test_read_jsonl_missing_and_summary(spark, tmp_path):
     got = files.read_summary(spark, str(s), "fast").collect()
     assert {(r.label, r.tag) for r in got} == {("batch", "fast"), ("stream", "fast")}
     assert os.path.exists(str(s)) and F is not None
+
+
+def test_coverage_counts_text_cells_and_sorts(spark):
+    cols = [c for triple in BOOKS.values() for c in triple]
+    rows = [("abc", "2", "3") + (None,) * (len(cols) - 3), (" ", "2", "3") + ("1", "x", "y") + (None,) * (len(cols) - 6),
+            ("1", "2", "3") + ("1", "x", "y") + (None,) * (len(cols) - 6), ("1", "2", "3") + (None,) * (len(cols) - 3)]
+    wide = spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in cols))
+    got = [tuple(r) for r in C.book_coverage(wide).collect()]
+    names = list(BOOKS)
+    assert got[:2] == [(names[0], 3), (names[1], 2)]
+    assert got[2:] == sorted((n, 0) for n in names[2:])
+
+
+def test_csv_headers_quotes_two_layouts_and_uris(spark, tmp):
+    import os
+    from pricefold.sources import files as FS
+    os.makedirs(f"{tmp}/raw")
+    with open(f"{tmp}/raw/E0_2021.csv", "w", encoding="utf-8-sig") as f:
+        f.write('"Div","Date","Home,Team","B365H"\nE0,01/02/2021,"A, B",2.0\nE0,bad,C,2.0,extra\nE0,03/02/2021\n')
+    with open(f"{tmp}/raw/SP1_2122.csv", "w") as f:
+        f.write("Date,Div,B365H\n04/02/2022,SP1,3.0\n")
+    for base in (f"{tmp}/raw", f"file://{tmp}/raw"):
+        df = FS.read_odds_csv(spark, base)
+        got = {(r["Div"], r["Date"]): r for r in df.collect()}
+        assert "Home,Team" in df.columns and set(got) == {("E0", "01/02/2021"), ("E0", "03/02/2021"), ("SP1", "04/02/2022")}
+        assert got["E0", "01/02/2021"]["Home,Team"] == "A, B" and got["E0", "03/02/2021"]["B365H"] is None
+        assert (got["SP1", "04/02/2022"].league, got["SP1", "04/02/2022"].season) == ("SP1", "2122")
+    with open(f"{tmp}/x.jsonl", "w") as f:
+        f.write('{"a": 1}\n\n{"a": 2}\n')
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("a", T.LongType())])
+    assert FS.read_jsonl(spark, f"{tmp}/x.jsonl", schema).count() == FS.read_jsonl(spark, f"file://{tmp}/x.jsonl", schema).count() == 2
+    assert FS.read_jsonl(spark, f"file://{tmp}/none.jsonl", schema).count() == 0
+    with open(f"{tmp}/s.json", "w") as f:
+        f.write('[{"a": 1}]')
+    assert FS.read_summary(spark, f"file://{tmp}/s.json", "t").collect()[0].tag == "t"

@@ -99,9 +99,9 @@ def write_triggers(indir, trigs, start=0):
         os.utime(p, (1_000_000_000 + k, 1_000_000_000 + k))
 
 
-def run(spark, base, engine="rows"):
+def run(spark, base):
     src = S.file_stream(spark, f"{base}/in", max_files_per_trigger=1)
-    q = S.start(S.detect_stream(src, engine=engine), f"{base}/out", f"{base}/ckpt")
+    q = S.start(S.detect_stream(src), f"{base}/out", f"{base}/ckpt")
     q.awaitTermination()
     return sorted((r.match_id, r.profit_margin) for r in spark.read.parquet(f"{base}/out").collect())
 
@@ -112,11 +112,40 @@ def test_twin_expectations():
     assert counts == EXPECTED_COUNTS
 
 
-@pytest.mark.parametrize("engine", ["rows", "group_state", "processor"])
-def test_stream_matches_twin(spark, tmp, engine):
+def test_stream_matches_twin_and_survives_untimed_updates(spark, tmp):
+    trigs = triggers()
+    bad = [("split", "A", 9.0, 9.0, 9.0, None, 10**6), ("late", "B", 9.0, 9.0, 9.0, 11, None)]
+    write_triggers(f"{tmp}/in", [trigs[0] + bad, *trigs[1:]])
+    assert run(spark, tmp) == sorted(twin(trigs))
+
+
+def test_order_free_fold_equals_arrival_order():
+    import random
+    from pricefold.streaming.processor import merged, newest
+    rnd = random.Random(4)
+    for _ in range(300):
+        stored = {b: (rnd.randint(1, 5), 2.0, 2.0, 2.0, 0) for b in "AB" if rnd.random() < 0.7}
+        rows = [{"bookmaker": rnd.choice("ABC"), "event_time_ms": rnd.randint(1, 6), "odds_home": rnd.random(),
+                 "odds_draw": 1.5, "odds_away": 1.5, "real_time_ms": i} for i in range(rnd.randint(0, 6))]
+        want, touched = dict(stored), False
+        for r in rows:
+            if r["bookmaker"] not in want or r["event_time_ms"] >= want[r["bookmaker"]][0]:
+                touched = True
+                want[r["bookmaker"]] = tuple(r[c] for c in ("event_time_ms", "odds_home", "odds_draw", "odds_away", "real_time_ms"))
+        rnd.shuffle(rows)
+        got = merged(stored, newest(rows, ["real_time_ms"]))
+        assert got == (want if touched else None)
+
+
+def test_processing_time_trigger_stops_after_n_triggers(spark, tmp):
     trigs = triggers()
     write_triggers(f"{tmp}/in", trigs)
-    assert run(spark, tmp, engine) == sorted(twin(trigs))
+    src = S.file_stream(spark, f"{tmp}/in", max_files_per_trigger=1)
+    q = S.start(S.detect_stream(src, state_ttl_ms=3_600_000), f"{tmp}/out", f"{tmp}/ckpt",
+                trigger={"processingTime": "100 milliseconds"})
+    S.run_triggers(q, len(trigs) + 1)
+    assert not q.isActive
+    assert sorted((r.match_id, r.profit_margin) for r in spark.read.parquet(f"{tmp}/out").collect()) == sorted(twin(trigs))
 
 
 def test_restart_from_checkpoint(spark, tmp):
@@ -138,29 +167,31 @@ def test_metrics_listener_and_price_view(spark, tmp):
         src = S.file_stream(spark, f"{tmp}/in", max_files_per_trigger=1)
         q = S.start(S.detect_stream(src), f"{tmp}/out", f"{tmp}/ckpt")
         q.awaitTermination()
-        view = S.price_view_stream(S.file_stream(spark, f"{tmp}/in", max_files_per_trigger=1), ["A", "B"])
+        view = S.latest_prices_stream(S.file_stream(spark, f"{tmp}/in", max_files_per_trigger=1))
         S.start_upserts(view, f"{tmp}/view", f"{tmp}/vckpt").awaitTermination()
     finally:
         spark.streams.removeListener(lst)
     m = lst.to_frame(spark, str(q.id)).collect()
     assert [r.rows_read for r in m] == [len(t) for t in trigs]
     assert sum(r.opps_found for r in m) == len(twin(trigs))
-    cur = {r.match_id: r for r in S.current_view(spark, f"{tmp}/view").collect()}
+    cur = {r.match_id: r for r in S.current_prices(spark, f"{tmp}/view").collect()}
     assert cur["late"].best_odds_home == NO_A[0]      # newest event time wins in the native view
     assert cur["equal"].best_odds_home == OPP_A[0]    # equal event time: later send time wins
     assert cur["split"].n_books == 2
 
 
-def test_native_stream_reports_current_opportunities(spark, tmp):
+def test_native_view_drops_vanished_opportunities(spark, tmp):
     trigs = triggers()
-    write_triggers(f"{tmp}/in", trigs)
-    opps = S.detect_stream_native(S.file_stream(spark, f"{tmp}/in", max_files_per_trigger=1), ["A", "B"])
-    S.start_upserts(opps, f"{tmp}/out", f"{tmp}/ckpt").awaitTermination()
-    log = spark.read.parquet(f"{tmp}/out")
-    # every trigger in which a match is an opportunity reports it (no suppression)
-    per_match = {r.match_id: r["count"] for r in log.groupBy("match_id").count().collect()}
-    assert per_match.get("steady") == 3 and per_match.get("drift") == 4
-    assert "transient" not in per_match and "late" not in per_match
+    for k in range(len(trigs)):
+        write_triggers(f"{tmp}/in", trigs[k:k + 1], start=k)
+        prices = S.latest_prices_stream(S.file_stream(spark, f"{tmp}/in"))
+        S.start_upserts(prices, f"{tmp}/out", f"{tmp}/ckpt").awaitTermination()
+        if k == 1:  # the home price of "vanish" fell in this trigger
+            now = {r.match_id for r in S.current_opportunities(spark, f"{tmp}/out", now_ms=0).collect()}
+            assert "vanish" not in now and "split" in now
+            assert S.compact(spark, f"{tmp}/out") == 1
+    final = {r.match_id for r in S.current_opportunities(spark, f"{tmp}/out", now_ms=0).collect()}
+    assert final == {"split", "steady", "drift", "vanish", "equal"}
 
 
 def test_polling_consumer_judges_each_trigger_alone(spark, tmp):
@@ -241,7 +272,6 @@ def test_price_view_final_state_equals_batch_when_matches_span_triggers(spark, t
     from pyspark.sql import functions as F
     from conftest import SF001
     from pricefold.operators import detect as D
-    from pricefold.plans.registry import EV_BOOKS
     from pricefold.sources import views as V
     odds = V.odds_ev(spark, SF001)
     bounds = [0, 250, 500, 750, 10**9]
@@ -252,11 +282,11 @@ def test_price_view_final_state_equals_batch_when_matches_span_triggers(spark, t
         os.makedirs(f"{tmp}/in", exist_ok=True)
         os.link(f"{tmp}/parts/p{k}/{src}", f"{tmp}/in/t{k:04d}.parquet")
         os.utime(f"{tmp}/in/t{k:04d}.parquet", (1_000_000_000 + k, 1_000_000_000 + k))
-    view = S.price_view_stream(S.file_stream(spark, f"{tmp}/in", max_files_per_trigger=1), EV_BOOKS)
+    view = S.latest_prices_stream(S.file_stream(spark, f"{tmp}/in", max_files_per_trigger=1))
     S.start_upserts(view, f"{tmp}/out", f"{tmp}/ckpt").awaitTermination()
     cols = ["match_id", "n_books", "best_book_home", "best_odds_home", "best_book_draw", "best_odds_draw",
             "best_book_away", "best_odds_away", "max_real_time_ms"]
-    got = S.current_view(spark, f"{tmp}/out").select(*cols)
+    got = S.current_prices(spark, f"{tmp}/out").select(*cols)
     want = D.best_prices(D.latest_odds(D.valid_odds(odds))).select(*cols)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-    assert spark.read.parquet(f"{tmp}/out").select("batch_id").distinct().count() == 4
+    assert spark.read.parquet(f"{tmp}/out/log").select("batch_id").distinct().count() == 4

@@ -36,7 +36,7 @@ def texts(seed, n=60):
     return out + ["", None, "\n\n", "a b c a b c", "a\na\na", "a a a a", "one"]
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("seed", [1, 2])
 def test_statistics_equal_brute_force(spark, seed):
     rows = [(i if i != 4 else None, t) for i, t in enumerate(texts(seed))]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_words", F.lit("x")).repartition(3)

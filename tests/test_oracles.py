@@ -16,7 +16,7 @@ def test_entry_smoke(spark):
 def test_all_registered_queries_match_oracle(spark):
     from __spark_entry__ import oracle_sql, queries
     assert set(oracle_sql()) <= set(queries())
-    res = compare(spark, SF)
+    res = compare(spark, SF, list(oracle_sql()))
     bad = {k: v for k, v in res.items() if v[0] == "MISMATCH"}
     assert not bad, bad
 

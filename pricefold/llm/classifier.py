@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from pricefold.llm.shared import fresh, scratch, stage
+from pricefold.llm.shared import drawn, fresh, scratch, stage
 from pricefold.llm.tokens import BYTES, NON_SPACE, Chunk, chunks, mix, sums
 
 BITS, DIM, GRAMS = 17, 8, (2, 3, 4)
@@ -124,13 +124,14 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str =
     marks = (labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("label"))
              .where("id is not null and label in (0, 1)").distinct())
     sizes = docs.select(F.col(doc_id).alias("id"), F.octet_length(F.col(text).cast("string")).cast("long").alias("size"))
-    drawn = (sizes.where("size is not null").groupBy("id").agg(F.max("size").alias("size")).join(marks, "id")
-             .select("id", "label", "size", F.xxhash64("id").alias("h")).orderBy("h", "label").limit(MAX_ROWS))
-    order = W.orderBy("h", "label")  # over MAX_ROWS rows at most
-    drawn = stage(drawn.withColumn("bytes", F.sum("size").over(order)).withColumn("rank", F.row_number().over(order))
-                  .where(f"bytes <= {MAX_BYTES} or rank = 1").select("id", "label", "rank"), folder, "drawn")
+    known = (sizes.where("size is not null").groupBy("id").agg(F.max("size").alias("size")).join(marks, "id")
+             .select("id", "label", "size", F.xxhash64("id", "label").alias("h")))
+    order = W.orderBy("h")  # over MAX_ROWS rows at most
+    sample = drawn(stage(known, folder, "known"), "h", MAX_ROWS)
+    sample = stage(sample.withColumn("bytes", F.sum("size").over(order)).withColumn("rank", F.row_number().over(order))
+                  .where(f"bytes <= {MAX_BYTES} or rank = 1").select("id", "label", "rank"), folder, "sample")
     rows = (docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"))
-            .join(F.broadcast(drawn), "id").select("text", "label", "rank")
+            .join(F.broadcast(sample), "id").select("text", "label", "rank")
             .mapInArrow(_sparse, "label int, rank int, idx binary, cnt binary").collect())
     rows.sort(key=lambda r: (r["rank"], r["idx"]))
     return SubwordModel.fit([(r["label"], np.frombuffer(r["idx"], np.int32), np.frombuffer(r["cnt"], np.int32)) for r in rows])

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricefold.llm.shared import scratch, stage
+from pricefold.llm.shared import drawn, scratch, stage
 from pricefold.llm.tokens import BYTES, NON_SPACE, Chunk, chunks, owner, sums, windows
 
 TREES, SAMPLE, FIT_ROWS = 100, 256, 6400
@@ -196,7 +196,8 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, text: str = "text", doc
     stats = stage(rule_statistics(docs, text, doc_id), folder, "statistics").withColumn("base_failed", _base_failed())
     # the base rules have judged the failed ones; the forest is of the rest
     passed = stats.where(~F.col("base_failed"))
-    seen = passed.orderBy(F.xxhash64("doc_id", *BASE)).select(*BASE, *EXTRA).limit(FIT_ROWS).toPandas()
+    rows = drawn(passed.withColumn("h", F.xxhash64("doc_id", *BASE)), "h", FIT_ROWS).select("h", *BASE, *EXTRA)
+    seen = stage(rows, folder, "seen").toPandas().sort_values(["h", *BASE, *EXTRA])
     forest = IsolationForest(features({k: seen[k].to_numpy() for k in BASE + EXTRA}))
     held = spark.sparkContext.broadcast(forest)
     scored = stage(stats.mapInArrow(_scored(held, stats.columns), ", ".join(

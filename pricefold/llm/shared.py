@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 from collections.abc import Iterable
 from urllib.parse import unquote, urlparse
@@ -63,6 +64,15 @@ def fresh(names: Iterable[str], name: str) -> str:
     return name
 
 
+def drawn(rows: DataFrame, by: str, most: int) -> DataFrame:
+    """A sample of at most ``most`` rows, those least by the hash column ``by``.
+    A share of the hash range that holds about four times as many is cut out
+    first, so no task ranks more than a few rows for each row of the sample."""
+    share = min(1.0, 4 * most / max(rows.count(), 1))
+    few = rows.where(F.pmod(by, F.lit(1 << 20)) < math.ceil(share * (1 << 20)))
+    return few.orderBy(F.pmod(by, F.lit(1 << 20)), by).limit(most)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

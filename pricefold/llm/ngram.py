@@ -97,21 +97,27 @@ class HashArrays:
 
 def _word_counts(batches):
     """(hash, count) of words and ends, summed over what a task holds."""
-    keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    keys, counts, pending = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
 
-    def rows():
-        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], ["h", "c"])
+    def rows(k, n):
+        return pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(n)], ["h", "c"])
 
     for batch in batches:
         for c in chunks(batch.column("text"), fold=True):
             s, e, _ = c.spans(NON_SPACE)
             u, n = np.unique(c.hashes(s, e), return_counts=True)
-            keys, counts = _summed(np.concatenate([keys, u, END]), np.concatenate([counts, n, [len(c)]]))
-            if len(keys) > FLUSH:
-                yield rows()
-                keys, counts = keys[:0], counts[:0]
-    if len(keys):
-        yield rows()
+            keys += [u, END]
+            counts += [n, np.array([len(c)])]
+            pending += len(u)
+            if pending > FLUSH // 4:
+                k, n = _summed(np.concatenate(keys), np.concatenate(counts))
+                if len(k) > FLUSH:
+                    yield rows(k, n)
+                    k, n = k[:0], n[:0]
+                keys, counts, pending = [k], [n], 0
+    k, n = _summed(np.concatenate(keys), np.concatenate(counts))
+    if len(k):
+        yield rows(k, n)
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -305,7 +311,7 @@ def _merge_contexts(folder: str, order: int):
 
 def _by_shard(blocks: DataFrame, bits: int) -> DataFrame:
     """Blocks dealt to one task per shard, a shard's blocks one after another."""
-    return blocks.repartition(1 << bits, "shard").sortWithinPartitions("shard")
+    return blocks.repartitionById(1 << bits, F.col("shard")).sortWithinPartitions("shard")
 
 
 def discounts(n: np.ndarray) -> np.ndarray:
@@ -368,7 +374,7 @@ def train(docs: DataFrame, order: int = 2, text: str = "text") -> KneserNey:
     bits = _bits(text_bytes(docs))
     words = docs.mapInArrow(_word_counts, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
     words = words.select(F.shiftrightunsigned("h", 64 - bits).cast("int").alias("shard"), "h", "c")
-    done = (words.repartition(1 << bits, "shard").sortWithinPartitions("shard", "h")
+    done = (words.repartitionById(1 << bits, F.col("shard")).sortWithinPartitions("shard", "h")
             .mapInArrow(_write_vocab(f"{folder}/vocab"), "shard int, words long, tokens long").collect())
     model = KneserNey(folder, order, bits, bits, {r["shard"]: r["words"] for r in done}, sum(r["tokens"] for r in done), [])
     vocab = model.vocabulary()

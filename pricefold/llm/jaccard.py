@@ -84,7 +84,7 @@ def _profile(width: int):
                     key.append(_key(u))
                     seen.append(u)
                 all_seen = np.concatenate(seen) >> np.uint64(64 - SKETCH_BITS)
-                counts += np.bincount(all_seen.astype(np.int64), minlength=len(counts)).astype(np.uint32)
+                np.add.at(counts, all_seen.astype(np.int64), 1)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(c.start, len(c)), pa.array(n, pa.int32()), pa.array(key, pa.binary()),
                      batch.column("text_hash").slice(c.start, len(c)), pa.nulls(len(c), pa.int32()),

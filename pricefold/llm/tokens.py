@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK = 1 << 22
+CHUNK = 1 << 20
 
 _P = 0x9E3779B97F4A7C15
 _PINV = pow(_P, -1, 1 << 64)

@@ -207,8 +207,9 @@ def captures(records: DataFrame) -> DataFrame:
         return (records.where(F.col("warc_type") == kind).where("concurrent_to is not null").groupBy(F.col("concurrent_to").alias("record_id"))
                 .agg(F.max(whole).alias(kind)))
 
-    main = records.where(F.col("warc_type").isin("response", "revisit")).select("record_id", whole.alias("response"))
-    return main.join(beside("request"), "record_id", "left").join(beside("metadata"), "record_id", "left")
+    # merge joins: the planner takes the records to be as few as their files and would broadcast them
+    main = records.where(F.col("warc_type").isin("response", "revisit")).select("record_id", whole.alias("response")).hint("merge")
+    return main.join(beside("request").hint("merge"), "record_id", "left").join(beside("metadata").hint("merge"), "record_id", "left")
 
 
 def metadata_field(name: str) -> Column:

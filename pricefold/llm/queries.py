@@ -145,10 +145,8 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     from pricefold.llm import sample
     from pricefold.llm.shared import public_model
-    docs = table(spark, sf, "documents").select("doc_id", "text")
-    rows = sample.decode(sample.encode(docs, public_model()), public_model())
-    return rows.select("doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"),
-                       F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
+    rows = sample.encode(table(spark, sf, "documents").select("doc_id", "text"), public_model(), lossless="lossless")
+    return rows.select("doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"), "lossless")
 
 
 def _license_oracle() -> str:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricefold.llm.lattice import Lattice, Pieces, pieces
+from pricefold.llm.lattice import Lattice, Pieces, PieceTable, looked_up, pieces
 from pricefold.llm.shared import fresh, read_model
 from pricefold.llm.tokens import BYTES, Chunk, chunks, combine, lists, mix
 
@@ -35,9 +35,10 @@ _U = np.uint64
 
 class Sampler:
     def __init__(self, vocab: Pieces, alpha: float = ALPHA):
-        self.vocab, self.alpha = vocab, alpha
-        self.automaton = vocab.automaton(np.flatnonzero(vocab.plain))
-        self.lengths = np.array([len(p) for p in vocab.names])
+        self.vocab, self.alpha, self.table = vocab, alpha, PieceTable(vocab)
+        self.size = np.array([len(b) for b in vocab.bytes])
+        self.start = np.cumsum(self.size) - self.size
+        self.spelling = np.frombuffer(b"".join(vocab.bytes), np.uint8)
 
     def forward(self, g: Lattice) -> np.ndarray:
         """For each arc, the probability that a segmentation of all up to its
@@ -62,15 +63,18 @@ class Sampler:
         and where each occurrence's begin.  ``unit``: the occurrence's unit;
         ``key``: what seeds its draws."""
         share = self.forward(g)
-        ladder = g.group + np.minimum(share, 1.0)  # ascending over all arcs
         last_arc = np.append(g.heads[1:], len(g.first)) - 1
-        starts = g.ends - g.size + 1
         live, at = np.arange(len(unit)), g.ends[unit]
         drawn, steps = [], np.zeros(len(unit), np.int64)
         while len(live):
             group = g.group_of[at]
-            u = (combine(key[live], (at - starts[unit[live]]).astype(np.uint64)) >> _U(11)).astype(np.float64) / 2.0**53
-            arc = np.clip(np.searchsorted(ladder, group + u, "right"), g.heads[group], last_arc[group])
+            u = (combine(key[live], (at - g.start[unit[live]]).astype(np.uint64)) >> _U(11)).astype(np.float64) / 2.0**53
+            arc, end = g.heads[group], last_arc[group]
+            beyond = np.flatnonzero((share[arc] <= u) & (arc < end))
+            while len(beyond):  # a character ends a few arcs
+                arc[beyond] += 1
+                on = arc[beyond]
+                beyond = beyond[(share[on] <= u[beyond]) & (on < end[beyond])]
             drawn.append((live, arc))
             steps[live] += 1
             more = ~g.root[g.first[arc]]
@@ -81,37 +85,50 @@ class Sampler:
             out[bound[who + 1] - 1 - k] = arc
         return out, bound
 
-    def spelled(self, g: Lattice) -> tuple[np.ndarray, np.ndarray]:
+    def spelled(self, g: Lattice, data: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Piece ids of every arc, joined, and where each arc's begin."""
         bound = np.cumsum(np.append(0, g.cost))
-        ids = np.zeros(bound[-1], np.int32)
-        known = g.piece >= 0
-        ids[bound[:-1][known]] = g.piece[known]
-        for k in np.flatnonzero(~known):
-            raw = chr(g.code[g.last[k]]).encode("utf-8", "surrogatepass")
-            ids[bound[k] : bound[k + 1]] = self.vocab.byte_id[np.frombuffer(raw, np.uint8)]
+        ids = np.repeat(g.piece, g.cost).astype(np.int32)
+        lost = np.flatnonzero(ids < 0)
+        arc = np.searchsorted(bound, lost, "right") - 1
+        ids[lost] = self.vocab.byte_id[data[heads[g.last[arc]] + lost - bound[arc]]]
         return ids, bound
 
     def encode(self, c: Chunk, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Piece ids of all texts of a chunk, and where each text's begin."""
         s, e, first = units(c)
         text = np.repeat(np.arange(len(c)), np.diff(first))
-        opens = np.zeros(len(s), bool)
-        opens[first[:-1][np.diff(first) > 0]] = True  # a text's first unit has one more space
-        # a unit and how many spaces it opens with, the given one included
+        opens = np.zeros(len(s), np.int64)
+        opens[first[:-1][np.diff(first) > 0]] = 1  # a text's first unit has one more space
         name = combine(c.hashes(s, e), opens.astype(np.uint64))
         _, at, back = np.unique(name, return_index=True, return_inverse=True)
-        raw = c.data.tobytes()
-        g = Lattice([(" " if opens[i] else "") + raw[s[i] : e[i]].decode("utf-8", "replace") for i in at], self.vocab,
-                    self.automaton, self.lengths)
+        # the distinct units, joined
+        size = (e - s + opens)[at]
+        off = np.cumsum(np.append(0, size))
+        data = c.data[np.maximum(np.arange(off[-1]) + np.repeat(s[at] - opens[at] - off[:-1], size), 0)]
+        data[off[:-1][opens[at] == 1]] = 32
+        g, heads = looked_up(Chunk(0, len(at), data, off), self.vocab, self.table)
         number = np.arange(len(s)) - first[:-1][text]
         arcs, bound = self.draw(g, back.reshape(-1), combine(key[text], number.astype(np.uint64)))
-        ids, where = self.spelled(g)
-        size = (where[1:] - where[:-1])[arcs]
-        ends = np.cumsum(np.append(0, size))
-        out = ids[np.arange(ends[-1]) + np.repeat(where[arcs] - ends[:-1], size)]
+        ids, where = self.spelled(g, data, heads)
+        cost = g.cost[arcs]
+        ends = np.cumsum(np.append(0, cost))
+        out = ids[np.arange(ends[-1]) + np.repeat(where[arcs] - ends[:-1], cost)]
         return out, ends[bound[first]]
 
+    def decode(self, ids: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes that the ids spell, less each text's opening space, and where
+        each text's begin."""
+        ends = np.cumsum(np.append(0, self.size[ids]))
+        raw = self.spelling[np.arange(ends[-1]) + np.repeat(self.start[ids] - ends[:-1], self.size[ids])]
+        first = ends[bound]
+        some = np.diff(first) > 0
+        drop = first[:-1][some]
+        drop = drop[raw[drop] == 32]
+        keep = np.ones(len(raw), bool)
+        keep[drop] = False
+        return raw[keep], first - np.searchsorted(drop, first)
+
 
 def units(c: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of units (a run of spaces and what follows it), and
@@ -124,7 +141,7 @@ def units(c: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return s, np.append(s[1:], len(c.data)), np.searchsorted(s, c.off)
 
 
-def _encoded(held, column: str, key: str, seed: int, alpha: float, names: list[str]):
+def _encoded(held, column: str, key: str, seed: int, alpha: float, names: list[str], check: bool):
     def run(batches):
         sampler = Sampler(pieces(held.value), alpha)
         for batch in batches:
@@ -136,47 +153,47 @@ def _encoded(held, column: str, key: str, seed: int, alpha: float, names: list[s
                 got = lists(ids, bound, pa.int32())
                 if null[c.start : c.stop].any():
                     got = pa.ListArray.from_arrays(got.offsets, got.values, mask=pa.array(null[c.start : c.stop]))
-                yield pa.RecordBatch.from_arrays([*part.columns, got], names)
+                columns = [*part.columns, got]
+                if check:
+                    raw, off = sampler.decode(ids, bound)
+                    columns.append(pa.array([bool(np.array_equal(raw[off[i] : off[i + 1]], c.data[c.off[i] : c.off[i + 1]]))
+                                             for i in range(len(c))]))
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     return run
 
 
 def encode(docs: DataFrame, model_file: str, text: str = "text", row_key: str = "doc_id", seed: int = 0, alpha: float = ALPHA,
-           ids: str = "ids") -> DataFrame:
+           ids: str = "ids", lossless: str | None = None) -> DataFrame:
     """``docs`` with ``ids``, a sampled segmentation of the whole text.
 
     ``row_key`` and ``seed`` alone decide the draws: repeated rows get the same
     segmentation, another seed another one; null keys share one key.  ``alpha``
     flattens (0: all segmentations alike) or sharpens the distribution.  Null
     texts get null ids, empty ones no ids; an empty table gives no rows.
+    ``lossless`` names a column for whether decoding gives the text back.
     """
     held = docs.sparkSession.sparkContext.broadcast(read_model(model_file))
     key = fresh([*docs.columns, ids], "row_key")
     rows = docs.withColumn(key, F.xxhash64(F.col(row_key).cast("string")))
-    names = [*docs.columns, ids]
+    names = [*docs.columns, ids, *([lossless] if lossless else [])]
     kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema)
-    return rows.mapInArrow(_encoded(held, text, key, seed, alpha, names), kept + f"`{ids}` array<int>")
+    return rows.mapInArrow(_encoded(held, text, key, seed, alpha, names, bool(lossless)),
+                           kept + f"`{ids}` array<int>" + (f", `{lossless}` boolean" if lossless else ""))
 
 
 def _decoded(held, column: str, names: list[str]):
     def run(batches):
-        vocab = pieces(held.value)
-        size = np.array([len(b) for b in vocab.bytes])
-        start = np.cumsum(size) - size
-        spelled = np.frombuffer(b"".join(vocab.bytes), np.uint8)
+        sampler = Sampler(pieces(held.value))
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
                 part = batch.slice(a, 256)
                 got = part.column(column)
-                ids = got.flatten().to_numpy().astype(np.int64)
                 n = np.array([0 if x is None else x for x in got.value_lengths().to_pylist()], np.int64)
-                bound = np.cumsum(np.append(0, n))
-                ends = np.cumsum(np.append(0, size[ids]))
-                raw = spelled[np.arange(ends[-1]) + np.repeat(start[ids] - ends[:-1], size[ids])].tobytes()
-                text = []
-                for i, null in enumerate(got.is_null().to_pylist()):
-                    t = raw[ends[bound[i]] : ends[bound[i + 1]]].decode("utf-8", "replace")
-                    text.append(None if null else t[1:] if t[:1] == " " else t)
+                raw, off = sampler.decode(got.flatten().to_numpy().astype(np.int64), np.cumsum(np.append(0, n)))
+                raw = raw.tobytes()
+                text = [None if null else raw[off[i] : off[i + 1]].decode("utf-8", "replace")
+                        for i, null in enumerate(got.is_null().to_pylist())]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(text, pa.string())], names)
 
     return run

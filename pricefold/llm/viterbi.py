@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricefold.llm.lattice import SPACE, Lattice, Pieces, pieces
+from pricefold.llm.lattice import SPACE, Pieces, pieces, searched
 from pricefold.llm.shared import fresh, read_model
 from pricefold.llm.tokens import BYTES, Chunk, chunks, sums
 
@@ -42,7 +42,7 @@ class Counter:
 
     def solve(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Pieces and score of the best path of each unit."""
-        g = Lattice(units, self.vocab, self.automaton, self.lengths)
+        g = searched(units, self.vocab, self.automaton, self.lengths)
         best, count = np.zeros(g.n), np.zeros(g.n, np.int64)
         for groups, arcs in g.steps():
             cand = g.before(best, arcs) + g.weight[arcs]

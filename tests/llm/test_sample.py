@@ -64,6 +64,8 @@ def test_round_trip_is_lossless_and_reproducible(spark):
     rows = [(i, t) for i, t in enumerate(texts(1))] + [(None, None), (None, "null key"), (3, "again"), (3, "again")]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row_key", F.lit("x"))
     one = encode(df.repartition(1), public_model())
+    told = encode(df, public_model(), lossless="same")
+    assert told.columns == [*df.columns, "ids", "same"] and all(r.same for r in told.collect())
     got = decode(one, public_model())
     assert got.columns == [*df.columns, "ids", "decoded"]
     for r in got.collect():

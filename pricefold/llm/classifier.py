@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from pricefold.llm.shared import drawn, fresh, scratch, stage
+from pricefold.llm.shared import drawn, fresh, scratch, stage, tidy
 from pricefold.llm.tokens import BYTES, NON_SPACE, Chunk, chunks, mix, sums
 
 BITS, DIM, GRAMS = 17, 8, (2, 3, 4)
@@ -55,6 +55,7 @@ def buckets(c: Chunk) -> tuple[list[np.ndarray], list[np.ndarray]]:
     return found, firsts
 
 
+@tidy
 def _sparse(batches):
     """Sample texts -> distinct buckets and counts, as bytes."""
     for batch in batches:
@@ -145,7 +146,7 @@ def _scored(held, column: str, names: list[str]):
                 part = batch.slice(c.start, len(c)).drop_columns([column])
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(model.score(c), pa.float64())], names)
 
-    return run
+    return tidy(run)
 
 
 def score(docs: DataFrame, model: SubwordModel, text: str = "text", keep: list[str] = ("doc_id",)) -> DataFrame:
@@ -166,7 +167,7 @@ def _accepted(held, column: str, threshold: float):
             if keep:
                 yield batch.filter(pa.array(np.concatenate(keep)))
 
-    return run
+    return tidy(run)
 
 
 def accept(docs: DataFrame, model: SubwordModel, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:

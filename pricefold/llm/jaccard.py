@@ -34,7 +34,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pricefold.llm.components import connected_components
-from pricefold.llm.shared import scratch, stage
+from pricefold.llm.shared import scratch, stage, tidy
 from pricefold.llm.tokens import NON_SPACE, Chunk, chunks, combine, lists, windows
 
 #: Counters of the frequency estimate: 2**22, in blocks of 2**16 (fixed size: 4 MB once they are classes).
@@ -97,9 +97,10 @@ def _profile(width: int):
                      pa.array([b], pa.int32()), pa.array([blocks[b].tobytes()], pa.binary())],
                     ["doc_id", "n", "key", "text_hash", "block", "counts"])
 
-    return run
+    return tidy(run)
 
 
+@tidy
 def _add_blocks(batches):
     """Counters of one block per row -> their sums, one row per block seen."""
     total: dict[int, np.ndarray] = {}
@@ -164,7 +165,7 @@ def _prefixes(width: int, num: int, den: int, classes, mean: float):
                         [pa.array(key, pa.binary()), pa.array(n, pa.int32()), pa.array(ell, pa.int32()),
                          lists(np.concatenate(toks).view(np.int64), first, pa.int64())], ["key", "n", "ell", "tokens"])
 
-    return run
+    return tidy(run)
 
 
 def _wanted(ids: DataFrame) -> np.ndarray:
@@ -198,7 +199,7 @@ def _full_sets(width: int, bits):
                         [pa.array(ids, pa.int64()), pa.array(key, pa.binary()),
                          lists(np.concatenate(sets).view(np.int64), first, pa.int64())], ["id", "key", "tokens"])
 
-    return run
+    return tidy(run)
 
 
 class ShingleJoin:

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricefold.llm.shared import fresh, mapped_path, scratch, stage, text_bytes, write_atomic
+from pricefold.llm.shared import fresh, mapped_path, scratch, stage, text_bytes, tidy, write_atomic
 from pricefold.llm.tokens import NON_SPACE, Chunk, chunks, combine, mix, sums
 
 _U = np.uint64
@@ -95,6 +95,7 @@ class HashArrays:
 
 # --------------------------------------------------------------- counting --
 
+@tidy
 def _word_counts(batches):
     """(hash, count) of words and ends, summed over what a task holds."""
     keys, counts, pending = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
@@ -152,7 +153,7 @@ def _write_vocab(folder: str):
         if parts:
             yield flush(now, parts)
 
-    return run
+    return tidy(run)
 
 
 class Vocabulary:
@@ -254,7 +255,7 @@ def _count_grams(vocab: Vocabulary, order: int, bits: int):
             _, grams, vals = _grouped(grams, vals)
             yield from _blocks(grams, vals.astype(np.float32), bits)
 
-    return run
+    return tidy(run)
 
 
 def _shards(batches, order: int, width: int):
@@ -296,7 +297,7 @@ def _merge_order(folder: str, order: int, bits: int):
                 [pa.array([shard], pa.int32()), pa.nulls(1, pa.binary()), pa.array([total.tobytes()], pa.binary()),
                  pa.array([COUNTS], pa.int32())], ["shard", "grams", "vals", "kind"])
 
-    return run
+    return tidy(run)
 
 
 def _merge_contexts(folder: str, order: int):
@@ -306,7 +307,7 @@ def _merge_contexts(folder: str, order: int):
             _save(folder, shard, keys=key, sums=sums_)
             yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32())], ["shard"])
 
-    return run
+    return tidy(run)
 
 
 def _by_shard(blocks: DataFrame, bits: int) -> DataFrame:
@@ -426,7 +427,7 @@ def _score(folder: str, column: str):
                      pa.array(np.full(len(c), model.tokens), pa.int64()), pa.array(sums(base, bound), pa.float64()),
                      pa.array(sums(score, bound), pa.float64())], [*part.schema.names, *SCORES])
 
-    return run
+    return tidy(run)
 
 
 def score(docs: DataFrame, model: KneserNey, text: str = "text", keep: list[str] = ("doc_id",)) -> DataFrame:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricefold.llm.shared import drawn, scratch, stage
+from pricefold.llm.shared import drawn, scratch, stage, tidy
 from pricefold.llm.tokens import BYTES, NON_SPACE, Chunk, chunks, owner, sums, windows
 
 TREES, SAMPLE, FIT_ROWS = 100, 256, 6400
@@ -80,6 +80,7 @@ def statistics(c: Chunk) -> dict[str, np.ndarray]:
             "n_lines": np.bincount(of, minlength=n), "n_upper": per_text(_UPPER), "n_distinct": sums(distinct, first)}
 
 
+@tidy
 def _statistics(batches):
     for batch in batches:
         for c in chunks(batch.column("text")):
@@ -178,7 +179,7 @@ def _scored(held, names: list[str]):
                 x = features({k: batch.column(k).to_numpy() for k in BASE + EXTRA})
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(forest.score(x))], [*names, "anomaly"])
 
-    return run
+    return tidy(run)
 
 
 def quality_verdicts(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id",

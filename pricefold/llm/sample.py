@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricefold.llm.lattice import Lattice, Pieces, PieceTable, looked_up, pieces
-from pricefold.llm.shared import fresh, read_model
+from pricefold.llm.shared import fresh, prepare, read_model, tidy
 from pricefold.llm.tokens import BYTES, Chunk, chunks, combine, lists, mix
 
 CHUNK = 1 << 21
@@ -160,7 +160,7 @@ def _encoded(held, column: str, key: str, seed: int, alpha: float, names: list[s
                                              for i in range(len(c))]))
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    return run
+    return tidy(run)
 
 
 def encode(docs: DataFrame, model_file: str, text: str = "text", row_key: str = "doc_id", seed: int = 0, alpha: float = ALPHA,
@@ -173,6 +173,7 @@ def encode(docs: DataFrame, model_file: str, text: str = "text", row_key: str =
     texts get null ids, empty ones no ids; an empty table gives no rows.
     ``lossless`` names a column for whether decoding gives the text back.
     """
+    prepare(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(read_model(model_file))
     key = fresh([*docs.columns, ids], "row_key")
     rows = docs.withColumn(key, F.xxhash64(F.col(row_key).cast("string")))
@@ -196,12 +197,13 @@ def _decoded(held, column: str, names: list[str]):
                         for i, null in enumerate(got.is_null().to_pylist())]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(text, pa.string())], names)
 
-    return run
+    return tidy(run)
 
 
 def decode(rows: DataFrame, model_file: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """``rows`` with ``text``, what the piece ids spell, less the opening
     space.  Null ids give null, no ids an empty text."""
+    prepare(rows.sparkSession)
     held = rows.sparkSession.sparkContext.broadcast(read_model(model_file))
     kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema)
     return rows.mapInArrow(_decoded(held, ids, [*rows.columns, text]), kept + f"`{text}` string")

@@ -13,9 +13,48 @@ from pyspark.sql import functions as F
 from pricefold.session import run_dir, ship_package
 
 
+#: Rows of an Arrow batch: Spark's default of 10,000 whole texts is a lot for a worker.
+BATCH_ROWS, _BATCH_KEY = 1000, "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def prepare(spark: SparkSession) -> None:
+    """Ship the package to the executors and, unless the session has its own
+    setting, make Arrow batches small."""
+    ship_package(spark)
+    if spark.conf.get(_BATCH_KEY) == "10000":
+        spark.conf.set(_BATCH_KEY, str(BATCH_ROWS))
+
+
+def tidy(run):
+    """A task function that gives unused memory back when its input ends: an
+    idle worker is kept for the next task and would hold it meanwhile."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            _release()
+
+    return wrapped
+
+
+def _release() -> None:
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder under the shared folder of ``spark.checkpoint.dir``."""
-    ship_package(spark)
+    prepare(spark)
     return run_dir(spark, name)
 
 

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricefold.llm.shared import mapped_path, scratch, write_atomic
+from pricefold.llm.shared import mapped_path, scratch, tidy, write_atomic
 from pricefold.llm.tokens import ALNUM, Chunk, chunks, lists, owner, sums
 
 SHARD = 1 << 20
@@ -79,7 +79,7 @@ def _write_blocks(folder: str, width: int):
         if items:
             yield pa.RecordBatch.from_arrays([pa.array([write(items, words, k)])], ["path"])
 
-    return run
+    return tidy(run)
 
 
 class Block:
@@ -277,7 +277,7 @@ def _screen(paths: list[str], width: int):
                      lists(np.array([y for x in names for y in x], dtype=object), ends, pa.string())],
                     ["doc_id", "n_words", "n_hit", "items"])
 
-    return run
+    return tidy(run)
 
 
 def contamination(docs: DataFrame, bench: DataFrame, width: int = 10, text: str = "text", doc_id: str = "doc_id",
@@ -329,7 +329,7 @@ def _matches(paths: list[str], width: int, least: int):
                          batch.column("doc_id").take(pa.array(d + c.start)), pa.array(at[head] - first[d], pa.int64()),
                          pa.array(length, pa.int64())], ["item_id", "item_word", "doc_id", "doc_word", "n_words"])
 
-    return run
+    return tidy(run)
 
 
 def longest_matches(docs: DataFrame, bench: DataFrame, width: int = 10, least: int = 1, text: str = "text",
@@ -359,7 +359,7 @@ def _clean(paths: list[str], width: int, column: str):
             if keep:
                 yield batch.filter(pa.array(np.concatenate(keep)))
 
-    return run
+    return tidy(run)
 
 
 def decontaminate(docs: DataFrame, bench: DataFrame, width: int = 10, text: str = "text", item_text: str = "text",

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricefold.llm.lattice import SPACE, Pieces, pieces, searched
-from pricefold.llm.shared import fresh, read_model
+from pricefold.llm.shared import fresh, prepare, read_model, tidy
 from pricefold.llm.tokens import BYTES, Chunk, chunks, sums
 
 CACHE = 1 << 19  # distinct units whose counts a task keeps
@@ -108,7 +108,7 @@ def _counted(held, column: str, names: list[str]):
                 part = batch.slice(c.start, len(c)).drop_columns([column])
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(n, pa.int64()), pa.array(x, pa.float64())], names)
 
-    return run
+    return tidy(run)
 
 
 def token_counts(docs: DataFrame, model_file: str, text: str = "text", keep: list[str] = ("doc_id",)) -> DataFrame:
@@ -116,6 +116,7 @@ def token_counts(docs: DataFrame, model_file: str, text: str = "text", keep: lis
     ``best_score``, the sum of its units' best scores.  Null and empty texts
     have no tokens; an empty table gives no rows; repeated rows are rows of
     their own."""
+    prepare(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(read_model(model_file))
     column, names = fresh([*keep, "n_tokens", "best_score"], "text"), [*keep, "n_tokens", "best_score"]
     rows = docs.select(*keep, F.coalesce(F.col(text).cast("string"), F.lit("")).alias(column))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricefold.llm.shared import mapped_path, scratch, stage, write_atomic
+from pricefold.llm.shared import mapped_path, scratch, stage, tidy, write_atomic
 
 FILE_BYTES = 16 << 20  # compressed size at which a file is closed
 LEVEL = 5
@@ -98,7 +98,7 @@ def _write(folder: str, date: str, file_bytes: int):
         if n:
             yield close()
 
-    return run
+    return tidy(run)
 
 
 def write_warc(pages: DataFrame, min_bytes: int = 0, page_id: str = "page_id", url: str = "url", html: str = "html",
@@ -182,7 +182,7 @@ def _read(payloads: bool):
                     if rows:
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
-    return run
+    return tidy(run)
 
 
 def read_warc(files: DataFrame, payloads: bool = True) -> DataFrame:

@@ -33,15 +33,28 @@ from pricefold.llm.trigrams import trigram_query
 class Rule:
     """Matches of ``pattern`` whose ``group`` has ``least`` characters; others
     are dropped after matching.  ``strict`` is the pattern with that length in
-    it, where the two differ."""
+    it, where the two differ.  ``early``: replaced before the other rules, which
+    could otherwise replace a part of a match and hide the rest."""
 
     kind: str
     pattern: str
     group: int = 0
     least: int = 1
     strict: str | None = None
+    early: bool = False
 
 
+_B64 = "A-Za-z0-9+/="
+_KEY = r"[A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
+# From BEGIN through END, whatever lies between but another such line; without
+# END through the armor headers and the base64 lines that follow (indented ones
+# in a bounded loop, as loops are recursive in Java; or with written-out line ends).
+_PRIVATE_KEY = (
+    rf"-----BEGIN {_KEY}(?:[^-]*(?:-{{1,4}}[^-]+){{0,200}}-----END {_KEY}"
+    rf"|(?:[ \t]*\r?\n[ \t]*[A-Za-z][A-Za-z0-9-]*:[^\r\n]*){{0,9}}[ \t\r\n]+[{_B64}]{{16,}}"
+    rf"(?:[{_B64}\r\n]*[{_B64}](?:\r?\n|$)|(?:[ \t]*\r?\n[ \t]+[{_B64}]+){{1,400}})?"
+    rf"|(?:\\[rn])+[{_B64}\\]*)?")
+
 # The base rules in their listed order, then further secret
 # formats.  A run such as [0-9a-f]+ of 32 or more is written [0-9a-f]{32,}:
 # runs are maximal, so the matches that count are the same.
@@ -53,7 +66,7 @@ RULES = [
     Rule("code_host", r"gh[opsu]_[A-Za-z0-9]{36,}"),
     Rule("chat", r"xox[abps]-[A-Za-z0-9-]{15,}"),
     Rule("payment", r"[sr]k_live_[A-Za-z0-9]{16,}"),
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("private_key", _PRIVATE_KEY, early=True),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}[.]eyJ[A-Za-z0-9_-]{8,}[.][A-Za-z0-9_-]{16,}"),
 ]
 
@@ -148,11 +161,11 @@ def redact(docs: DataFrame, rules: list[Rule] = RULES, mark: str = "[SECRET]", t
            n_chars: str | None = "n_chars") -> DataFrame:
     """``docs`` with every secret replaced by ``mark``, all columns as they are;
     ``n_chars``, where there is such a column, follows a changed text.  Rules
-    are applied in order, each only to its candidates."""
+    are applied in order, early ones first, each only to its candidates."""
     scan = _Scan(docs, rules, text, doc_id)
     chosen = scan.chosen(docs, doc_id)
     new = F.col(f"d.`{text}`")
-    for i, r in enumerate(rules):
+    for i, r in sorted(enumerate(rules), key=lambda x: not x[1].early):
         new = F.when(scan.runs(i), F.regexp_replace(new, r.strict or r.pattern, mark)).otherwise(new)
     names = docs.columns
     rows = chosen.select(*(F.col(f"d.`{c}`") for c in names), new.alias("__new"))

@@ -74,6 +74,39 @@ def test_redaction_leaves_no_base_secret_and_no_other_change(spark):
             assert brute(got[i].text) == "" and "[SECRET]" in got[i].text and got[i].n_chars == len(got[i].text)
 
 
+def key_texts():
+    """(text, what redaction leaves of it): whole keys of several lines."""
+    rnd = random.Random(8)
+    lines = ["".join(rnd.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=64)) for _ in range(25)] + ["Zm9vYmFy=="]
+    body = "\n".join(lines)
+    out = []
+    for name in ("RSA PRIVATE KEY", "PRIVATE KEY", "PGP PRIVATE KEY BLOCK"):
+        a, z = f"-----BEGIN {name}-----", f"-----END {name}-----"
+        head = "\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n\n"
+        for whole in (f"{a}\n{body}\n{z}", f"{a}{head}{body}\n{z}", f"{a}\r\n{body}\r\n{z}", a + "\\n" + "\\n".join(lines) + "\\n" + z,
+                      a + "\n  " + "\n  ".join(lines) + "\n  " + z):
+            out += [(f"before\n{whole}\nafter it", "before\n[SECRET]\nafter it"), (f'secret = "{whole}" end', 'secret = "[SECRET]" end'),
+                    (f"{whole}\nmid-dle\n{whole}", "[SECRET]\nmid-dle\n[SECRET]")]
+        # without END: through the last base64 line
+        out += [(f"x {a}\n{body}\nHello there, all", "x [SECRET]Hello there, all"), (f"x {a}{head}{body}", "x [SECRET]"),
+                (f"x {a}\n  " + "\n  ".join(lines), "x [SECRET]"), (f'x "{a}\\n' + "\\n".join(lines) + '", y', 'x "[SECRET]", y'),
+                (f"{a} is how it starts", "[SECRET] is how it starts"), (f"{a}\n" + body * 400, "[SECRET]"),
+                (f"{a}" + f"\n  {lines[0]}" * 400, "[SECRET]"), (f"{a}" + " - a" * 100_000, "[SECRET]" + " - a" * 100_000)]
+    return out
+
+
+def test_whole_private_keys_are_found_and_redacted(spark):
+    cases = key_texts()
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in redact(df).collect()}
+    for i, (t, left) in enumerate(cases):
+        assert got[i] == left, t[:80]
+    found = {r.doc_id: r.s for r in find_secrets(df).select("doc_id", span_list(F.col("spans"), ["private_key"]).alias("s")).collect()}
+    pattern = next(r.pattern for r in RULES if r.kind == "private_key")
+    for i, (t, _) in enumerate(cases):
+        assert found[i] == ",".join(f"private_key:{m.start()}:{m.end()}" for m in re.finditer(pattern, t)) != ""
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string, n_chars long")
     assert find_secrets(df).count() == 0 and redact(df).count() == 0

@@ -6,7 +6,10 @@ gives the label.  Vectors and output weights are learned together by plain
 stochastic gradient descent in numpy, one text per step.
 
 The model is fitted on a bounded sample of labelled rows: at most ``MAX_ROWS``
-of them and ``MAX_BYTES`` of text, drawn by a hash of doc_id.  Tasks turn the
+of them and ``MAX_BYTES`` of text, drawn by a hash of doc_id.  Texts of more
+than ``LONG`` bytes share a quarter of these bytes first, then take what the
+others leave, shortest first, so none keeps the rest of the sample out; a text
+longer than ``MAX_BYTES`` itself is not learned from.  Tasks turn the
 sample into sparse counts; only those reach the driver.  Scoring reads every
 text whole: since output follows average, each vector enters by one number, so
 a text costs one table lookup per word and n-gram.
@@ -24,7 +27,7 @@ from pricefold.llm.shared import drawn, fresh, scratch, stage, tidy
 from pricefold.llm.tokens import BYTES, NON_SPACE, Chunk, chunks, mix, sums
 
 BITS, DIM, GRAMS = 17, 8, (2, 3, 4)
-MAX_ROWS, MAX_BYTES = 4000, 12 << 20
+MAX_ROWS, MAX_BYTES, LONG = 4000, 12 << 20, 12 << 14
 EPOCHS, RATE = 12, 2.0
 THRESHOLD = 0.3
 
@@ -119,7 +122,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str =
     """Learn ``label`` (0 or 1) from the labelled rows of ``docs``.
 
     Rows with a null doc_id, label or text are not learned from; a doc_id with
-    both labels counts for both; without any row all scores are 1/2.
+    both labels counts for both; without any row all scores are 1/2.  Texts of
+    more than ``MAX_BYTES`` are passed over.
     """
     folder = scratch(docs.sparkSession, "classifier")
     marks = (labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("label"))
@@ -127,10 +131,14 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str =
     sizes = docs.select(F.col(doc_id).alias("id"), F.octet_length(F.col(text).cast("string")).cast("long").alias("size"))
     known = (sizes.where("size is not null").groupBy("id").agg(F.max("size").alias("size")).join(marks, "id")
              .select("id", "label", "size", F.xxhash64("id", "label").alias("h")))
-    order = W.orderBy("h")  # over MAX_ROWS rows at most
-    sample = drawn(stage(known, folder, "known"), "h", MAX_ROWS)
-    sample = stage(sample.withColumn("bytes", F.sum("size").over(order)).withColumn("rank", F.row_number().over(order))
-                  .where(f"bytes <= {MAX_BYTES} or rank = 1").select("id", "label", "rank"), folder, "sample")
+    sample = drawn(stage(known.where(F.col("size") <= MAX_BYTES), folder, "known"), "h", MAX_ROWS)
+    # over MAX_ROWS rows at most: long texts up to a quarter of the bytes, the others, the remaining long ones
+    long = F.when(F.col("size") > LONG, F.col("size"))
+    quarter = F.sum(long).over(W.orderBy(long.asc_nulls_last(), "h").rowsBetween(W.unboundedPreceding, 0)) <= MAX_BYTES // 4
+    turn = F.when(long.isNull(), 1).when(quarter, 0).otherwise(2)
+    order = W.orderBy("turn", long.asc_nulls_last(), "h").rowsBetween(W.unboundedPreceding, 0)
+    sample = sample.withColumn("turn", turn).withColumn("bytes", F.sum("size").over(order)).where(F.col("bytes") <= MAX_BYTES)
+    sample = stage(sample.withColumn("rank", F.row_number().over(W.orderBy("h"))).select("id", "label", "rank"), folder, "sample")
     rows = (docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"))
             .join(F.broadcast(sample), "id").select("text", "label", "rank")
             .mapInArrow(_sparse, "label int, rank int, idx binary, cnt binary").collect())

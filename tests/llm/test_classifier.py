@@ -71,6 +71,32 @@ def test_fit_is_reproducible_whatever_the_partitions(spark):
     assert a.bias == b.bias and (a.weight == b.weight).all()
 
 
+def sampled(spark, monkeypatch, rows, marks):
+    """Number of features and label of each row the model is fitted on."""
+    seen = []
+    monkeypatch.setattr(C, "MAX_BYTES", 40_000)
+    monkeypatch.setattr(C, "LONG", 4_000)
+    monkeypatch.setattr(C.SubwordModel, "fit", staticmethod(lambda r: seen.extend((len(x[1]), x[0]) for x in r)))
+    C.fit(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(marks, "doc_id long, quality int"))
+    return seen
+
+
+@pytest.mark.parametrize("rank", [0, 1, 30, 59])
+def test_one_giant_text_at_any_rank_leaves_the_sample_whole(spark, monkeypatch, rank):
+    rows, marks = corpus(3, 60)
+    df = spark.createDataFrame(marks, "id long, label int")
+    ids = [r.id for r in df.orderBy(F.xxhash64("id", "label")).collect()]
+    giant = [(i, t if i != ids[rank] else "x" * 50_000) for i, t in rows]
+    assert len(sampled(spark, monkeypatch, giant, marks)) == 59
+
+
+def test_long_texts_and_short_ones_are_both_learned_from(spark, monkeypatch):
+    rows, marks = corpus(4, 60)
+    rows = [(i, t if i % 3 else f"{t} {'# $ ' * 1500}") for i, t in rows]  # label 0: 20 texts of 6,000 bytes
+    seen = sampled(spark, monkeypatch, rows, marks)
+    assert sum(label for _, label in seen) == 40 and sum(not label for _, label in seen) >= 3
+
+
 def test_no_labels_and_empty_table(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     labels = spark.createDataFrame([], "doc_id long, quality int")

@@ -366,7 +366,7 @@ class KneserNey:
         return np.log10(p)
 
 
-def train(docs: DataFrame, order: int = 2, text: str = "text") -> KneserNey:
+def train(docs: DataFrame, order: int = 3, text: str = "text") -> KneserNey:
     """Count a model of the texts of all rows.  Null texts count as empty: an
     end only.  An empty table gives a model of no words (all scores uniform)."""
     spark = docs.sparkSession

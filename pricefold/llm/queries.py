@@ -62,7 +62,7 @@ def _remainder(column: str, divisor: int):
 def op1(spark: SparkSession, sf: str) -> DataFrame:
     from pricefold.llm import ngram
     docs = table(spark, sf, "documents").withColumn("held_out", _remainder("doc_id", 7) == 2)
-    model = ngram.train(docs.where(~F.col("held_out")), order=2)
+    model = ngram.train(docs.where(~F.col("held_out")), order=3)
     return ngram.score(docs, model, keep=["doc_id", "held_out"])
 
 

@@ -120,3 +120,13 @@ def test_query_contract_and_better_than_base(spark):
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 7 == 2)
     held = [r for r in rows if r.held_out]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+def test_query_looks_at_two_words_of_context(spark):
+    from pricefold.llm.queries import QUERIES
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    got = {r.doc_id: (r.score, r.held_out) for r in QUERIES["op1_kneser_ney"](spark, "/root/testdata/sf0.001").collect()}
+    held = spark.createDataFrame([(i, h) for i, (_, h) in got.items()], "doc_id long, held_out boolean")
+    model = ngram.train(docs.join(held.where("not held_out"), "doc_id", "left_semi"), 3)
+    want = {r.doc_id: r.score for r in ngram.score(docs, model).collect()}
+    assert {i: s for i, (s, _) in got.items()} == pytest.approx(want)

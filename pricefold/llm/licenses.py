@@ -23,6 +23,24 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+_BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+        "conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and "
+        "the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of "
+        "conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.")
+_BSD_NAMES = ("3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+              "derived from this software without specific prior written permission.")
+_BSD_DISCLAIMER = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, "
+    "BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT "
+    "SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL "
+    "DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS "
+    "INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE "
+    "OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+_GPL = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+        "published by the Free Software Foundation, either version {} of the License, or (at your option) any later version.")
+_GPL_ONLY = ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License "
+             "version {} as published by the Free Software Foundation.")
+
 # Names and texts of license notices and short licenses.
 TEMPLATES = [
     ("MIT", "Released under the MIT License."),
@@ -42,18 +60,22 @@ TEMPLATES = [
                    "KIND, either express or implied. See the License for the specific language governing permissions and "
                    "limitations under the License."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
-                "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
-                "option) any later version."),
+    ("GPL-3.0", _GPL.format(3)),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0", _GPL.format(2)),
+    ("GPL-2.0", _GPL_ONLY.format(2)),
+    ("GPL-3.0", _GPL_ONLY.format(3)),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
-                     "that the following conditions are met: Redistributions of source code must retain the above copyright "
-                     "notice, this list of conditions and the following disclaimer. Redistributions in binary form must "
-                     "reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
-                     "documentation and/or other materials provided with the distribution."),
+    ("BSD-2-Clause", _BSD),
+    ("BSD-2-Clause", f"{_BSD} {_BSD_DISCLAIMER}"),
+    ("BSD-2-Clause", "SPDX-License-Identifier: BSD-2-Clause"),
+    ("BSD-3-Clause", f"{_BSD} {_BSD_NAMES}"),
+    ("BSD-3-Clause", f"{_BSD} {_BSD_NAMES} {_BSD_DISCLAIMER}"),
+    ("BSD-3-Clause", _BSD_NAMES),
+    ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
             "granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),

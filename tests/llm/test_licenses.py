@@ -64,3 +64,36 @@ def test_empty_cases_and_native_plan(spark):
     assert find_licenses(df.limit(0)).count() == 0
     assert [tuple(r) for r in find_licenses(df, templates=[("x", "one")]).collect()] == [(1, None, None, "")]
     assert not re.search("Python|Pandas|Arrow|Exchange", find_licenses(df)._jdf.queryExecution().executedPlan().toString())
+
+
+BSD_HEAD = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:"
+BSD_1 = ("1. Redistributions of source code must retain the above copyright notice, this\n   list of conditions and the following "
+         "disclaimer.")
+BSD_2 = ("2. Redistributions in binary form must reproduce the above copyright notice,\n   this list of conditions and the following "
+         "disclaimer in the documentation\n   and/or other materials provided with the distribution.")
+BSD_3 = ("3. Neither the name of the copyright holder nor the names of its\n   contributors may be used to endorse or promote products "
+         "derived from\n   this software without specific prior written permission.")
+BSD_END = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY,
+OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+GPL = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version {} of the License, or
+(at your option) any later version."""
+
+
+def test_standard_texts_have_their_own_version(spark):
+    owner = "Copyright (c) 2020, Example Inc.\nAll rights reserved."
+    cases = [("BSD-2-Clause", "\n\n".join([owner, BSD_HEAD, BSD_1, BSD_2, BSD_END])),
+             ("BSD-3-Clause", "\n\n".join([owner, BSD_HEAD, BSD_1, BSD_2, BSD_3, BSD_END])),
+             ("GPL-2.0", "a program\n\n" + GPL.format(2) + "\n\nmore text"), ("GPL-3.0", GPL.format(3)),
+             ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2.")]
+    got = find_licenses(spark.createDataFrame([(i, t) for i, (_, t) in enumerate(cases)], "doc_id int, text string")).collect()
+    assert {r.doc_id: r.license for r in got} == {i: name for i, (name, _) in enumerate(cases)}

@@ -173,3 +173,72 @@ SELECT doc_id, license, dice, coalesce(licenses, '') AS licenses FROM d LEFT JOI
 def op5(spark: SparkSession, sf: str) -> DataFrame:
     from pricefold.llm.licenses import find_licenses
     return find_licenses(table(spark, sf, "documents"))
+
+
+@register("op11_fingerprints")
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    from pricefold.llm import fingerprints as fp
+    found = fp.neighbours(table(spark, sf, "documents"))
+    return found.select("doc_id", "n_chars", "edited_sha256", fp.as_text("fingerprint").alias("fingerprint"),
+                        fp.as_text("edited_fingerprint").alias("edited_fingerprint"), "near_edited", "near_next")
+
+
+# unsigned crc32 of a decimal number's digits, bit by bit
+_CRC32 = ("xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({0}, ''), lambda x: CAST(ascii(x) AS BIGINT))), "
+          "lambda a, x: list_reduce(list_prepend(xor(a, x), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), "
+          "lambda b, z: CASE WHEN b & 1 = 1 THEN xor(b >> 1, 3988292384::BIGINT) ELSE b >> 1 END)), 4294967295::BIGINT)")
+
+
+@register("op12_conversation_trie", f"""
+WITH t AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS p,
+             coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL),
+h AS (SELECT c, c - c % 100 AS b, {_CRC32.format('CAST(c AS VARCHAR)')} % 6 AS h FROM (SELECT DISTINCT c FROM t)),
+s AS (SELECT t.c, p, r, x FROM t JOIN h USING (c) WHERE p > h UNION ALL SELECT h.c, p, r, x FROM h JOIN t ON t.c = h.b AND p <= h),
+k AS (SELECT c, row_number() OVER w AS d, length(x) AS n,
+             string_agg(sha256(concat(length(r), ':', r, x)), '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS g
+      FROM s WINDOW w AS (PARTITION BY c ORDER BY p)),
+e AS MATERIALIZED (SELECT c, d, n, sha256(g) AS g FROM k UNION ALL SELECT c, 0, 0, '' FROM h),
+m AS (SELECT c, max(d) AS d FROM e GROUP BY c),
+v AS (SELECT g, min(c) AS c, min(d) AS d, count(*) AS n_convs, min(n) AS n FROM e GROUP BY g),
+q AS (SELECT v.g, e.g AS pg FROM v JOIN e ON e.c = v.c AND e.d = v.d - 1),
+kid AS (SELECT pg AS g, count(*) AS n_children FROM q GROUP BY pg),
+sub AS (SELECT a.g, count(*) FILTER (kid.g IS NULL) AS n_leaves, sum((v.n_convs - 1) * v.n) AS saved
+        FROM v LEFT JOIN kid USING (g) JOIN e a ON a.c = v.c AND a.d <= v.d GROUP BY a.g),
+fin AS (SELECT g, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS ends FROM e JOIN m USING (c, d) GROUP BY g)
+SELECT v.c AS conv_id, v.d AS depth, pv.c AS parent_conv_id, v.n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+       CAST(saved AS BIGINT) AS saved_tokens, coalesce(ends, sha256('')) AS ends_sha256
+FROM v JOIN sub USING (g) LEFT JOIN kid USING (g) LEFT JOIN fin USING (g) LEFT JOIN q USING (g) LEFT JOIN v pv ON pv.g = q.pg""")
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    from pricefold.llm.trie import conversation_trie
+    return conversation_trie(table(spark, sf, "conversations"))
+
+
+def _cluster_oracle(k: int = 8, rounds: int = 10, dims: int = 64) -> str:
+    """Every round spelt out: squared distances, floored means, empty centroids kept."""
+    x = "CAST(x AS DOUBLE)"
+    parts = [f"""
+v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * {x}) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite({x}))) = {dims}),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS j, v AS c FROM v ORDER BY j LIMIT {k})"""]
+    near = """SELECT r, j, f FROM (SELECT r, j, list_sum(list_transform(range(1, {0} + 1), lambda i: (v[i] - c[i]) * (v[i] - c[i]))) AS f
+  FROM v, c{1}) QUALIFY row_number() OVER (PARTITION BY r ORDER BY f, j) = 1"""
+    for n in range(rounds):
+        parts.append(f"""
+a{n} AS MATERIALIZED ({near.format(dims, n)}),
+c{n + 1} AS MATERIALIZED (SELECT j, coalesce(m, c) AS c FROM c{n} LEFT JOIN (
+  SELECT j, list((s - ((s % n) + n) % n) // n ORDER BY i) AS m FROM (
+    SELECT j, i, sum(v[i]) AS s, count(*) AS n FROM (SELECT j, v, unnest(range(1, {dims + 1})) AS i FROM a{n} JOIN v USING (r)) GROUP BY j, i)
+  GROUP BY j) USING (j))""")
+    return "WITH" + ",".join(parts) + f""",
+f AS MATERIALIZED ({near.format(dims, rounds)})
+SELECT vec_id, CAST(j AS INTEGER) AS cluster, CAST(f AS BIGINT) AS distance, CAST(sum(f) OVER (PARTITION BY j) AS BIGINT) AS cluster_inertia,
+       CAST(sum(f) OVER () AS BIGINT) AS inertia, sha256(array_to_string(list_transform(c, lambda y: CAST(CAST(y AS BIGINT) AS VARCHAR)), ',')) AS centroid_sha256
+FROM f JOIN v USING (r) JOIN c{rounds} USING (j)"""
+
+
+@register("op13_centroid_clustering", _cluster_oracle())
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    from pricefold.llm import centroids
+    found = centroids.cluster(table(spark, sf, "embeddings"))
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+                        centroids.centroid_hash().alias("centroid_sha256"))

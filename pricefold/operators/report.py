@@ -3,13 +3,14 @@ overlap between methods, coverage and rankings.
 
 Inputs are DataFrames of trigger metrics (``batch, rows_read, opps_found,
 processing_ms, wall_time_ms``) and opportunity records, grouped by
-``keys`` (default: ``tag`` and ``method``), so one call reports many runs.
-
-Scale notes: percentiles and the CDF are built from counts per distinct value
-(merged map-side) and a chunked running sum of them, never by sorting or
-holding all rows of a group in one task; the CDF's rows are made in bounded
-chunks, dealt over tasks first; per-group values go back to the rows by a
-salted join, so a run's rows are not shuffled to one task.
+``keys`` (default: ``tag`` and ``method``), so one call reports many runs.  A
+NULL key is a group like any other; measured values may be of any numeric type.
+
+Scale notes: percentiles and the CDF rank distinct values, counted map-side
+and cut into narrow value ranges (``ranked_values``), so no task sorts or holds a
+group's rows; the CDF's rows are made in bounded chunks, dealt over tasks
+first; per-group values go back to the rows by a salted join, so a run's rows
+are not shuffled to one task.
 """
 
 from __future__ import annotations
@@ -29,41 +30,80 @@ CDF_CHUNK = 65536
 
 
 SALTS = 32
-VALUE_CHUNK = 1000
+#: Value ranges per power of two that ``ranked_values`` tells apart.
+RANGES_PER_OCTAVE = 1 << 16
+
+
+def value_range(v: Column, per_octave: int = RANGES_PER_OCTAVE) -> Column:
+    """A bigint that never falls as the double ``v`` rises: its power of two in
+    ``per_octave`` steps, mirrored for negative values; infinities and NaN (the
+    greatest) have numbers of their own."""
+    top = F.lit(1 << 62)
+    size = F.floor((F.log2(F.abs(v)) + F.lit(1076.0)) * F.lit(float(per_octave))).cast("bigint")
+    inf = F.abs(v) == F.lit(float("inf"))
+    far = F.when(inf, top).otherwise(size)
+    return F.when(F.isnan(v), top + 1).when(v == 0, F.lit(0).cast("bigint")).when(v > 0, far).otherwise(-far)
+
+
+def ranked_values(df: DataFrame, value: str, keys: Sequence[str], per_octave: int = RANGES_PER_OCTAVE) -> DataFrame:
+    """Distinct values of a numeric column per group with their ranks: ``_g``
+    (struct of ``keys``: equal also where a key is NULL), ``_v`` (double), ``_c``
+    (rows), ``_before`` (rows of smaller values) and ``_n`` (rows of the group).
+    NULL values do not count.
+
+    Rows are counted per distinct value map-side.  A running sum orders the
+    values of one narrow range of values, and the carry into a range is a running
+    sum over the ranges' totals, so no task sees a whole group's values.
+    Four shuffles, none of rows.
+    """
+    v = F.col(value).cast("double") + F.lit(0.0)  # -0.0 and 0.0 are one value
+    rows = df.where(F.col(value).isNotNull()).select(F.struct(*keys).alias("_g"), v.alias("_v"))
+    # never null, so that the join below adds no filter and both its sides share their shuffles
+    piece = F.coalesce(value_range(F.col("_v"), per_octave), F.lit(0))
+    counts = rows.groupBy("_g", piece.alias("_b"), "_v").agg(F.count(F.lit(1)).alias("_c"))
+    inside = Window.partitionBy("_g", "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    within = counts.repartition("_g", "_b").withColumn("_upto", F.sum("_c").over(inside))
+    group = Window.partitionBy("_g")
+    carried = within.groupBy("_g", "_b").agg(F.max("_upto").alias("_all")).select(
+        "_g", "_b", F.sum("_all").over(group).alias("_n"),
+        F.sum("_all").over(group.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)).alias("_end"), "_all")
+    carried = carried.select("_g", "_b", "_n", (F.col("_end") - F.col("_all")).alias("_carry"))
+    return within.join(carried, ["_g", "_b"]).select(
+        "_g", "_v", "_c", (F.col("_carry") + F.col("_upto") - F.col("_c")).alias("_before"), "_n")
 
 
 def quantiles(df: DataFrame, value: str, keys: Sequence[str], ps: Sequence[float] = PCTS,
-              chunk: int = VALUE_CHUNK) -> DataFrame:
-    """Exact, linearly interpolated quantiles of an integer column per group:
-    ``keys``, ``q0``, ``q1``, ...; NULLs do not count.
+              per_octave: int = RANGES_PER_OCTAVE) -> DataFrame:
+    """Exact, linearly interpolated quantiles of a numeric column per group:
+    ``keys``, ``q0``, ``q1``, ...; NULLs do not count, NaN is the greatest value.
 
-    Distinct values with their counts are ranked by a chunked running sum
-    (``chunk`` value units per chunk); rank ``p * (n - 1)`` lies between two of
-    them.  Groups are as many as runs; their values are spread over tasks.
+    Rank ``p * (n - 1)`` lies between two of the ranked distinct values; only
+    the values that hold a wanted rank reach the last, tiny shuffle.
     """
-    keys = list(keys)
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("bigint").alias("_v")).agg(
-        F.count(F.lit(1)).alias("_c"))
-    totals = counts.groupBy(*keys).agg(F.sum("_c").alias("_n"))
-    ranked = spread_join(running(counts, keys, "_v", "_c", "sum", "_upto", chunk), totals, keys, "_v")
-    v, aggs = F.col("_v").cast("double"), []
-    holds = lambda r: (F.col("_upto") - F.col("_c") <= r) & (r < F.col("_upto"))
+    ranked = ranked_values(df, value, keys, per_octave)
+    aggs, holds = [], lambda r: (F.col("_before") <= r) & (r < F.col("_before") + F.col("_c"))
+    wanted = F.lit(False)
     for i, p in enumerate(ps):
         at = F.lit(float(p)) * (F.col("_n") - 1)
-        aggs += [F.max(F.when(holds(F.floor(at)), v)).alias(f"_lo{i}"), F.max(F.when(holds(F.ceil(at)), v)).alias(f"_hi{i}"),
+        lo, hi = holds(F.floor(at)), holds(F.ceil(at))
+        wanted = wanted | lo | hi
+        aggs += [F.max(F.when(lo, F.col("_v"))).alias(f"_lo{i}"), F.max(F.when(hi, F.col("_v"))).alias(f"_hi{i}"),
                  F.max(at - F.floor(at)).alias(f"_f{i}")]
-    q = ranked.groupBy(*keys).agg(*aggs)
-    return q.select(*keys, *[((1 - F.col(f"_f{i}")) * F.col(f"_lo{i}") + F.col(f"_f{i}") * F.col(f"_hi{i}")).alias(f"q{i}")
-                             for i in range(len(ps))])
+    q = ranked.where(wanted).groupBy("_g").agg(*aggs)
+    between = [F.when(F.col(f"_f{i}") == 0, F.col(f"_lo{i}")).otherwise(
+        (1 - F.col(f"_f{i}")) * F.col(f"_lo{i}") + F.col(f"_f{i}") * F.col(f"_hi{i}")).alias(f"q{i}") for i in range(len(ps))]
+    return q.select("_g.*", *between)
 
 
 def spread_join(rows: DataFrame, per_group: DataFrame, keys: Sequence[str], by: str) -> DataFrame:
-    """``rows`` joined with one row per group, a group's rows split over
-    ``SALTS`` tasks by the hash of column ``by`` (a small right side is
-    broadcast by adaptive execution, whose size check that is)."""
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int"))
-    copies = per_group.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies, [*keys, "_salt"]).drop("_salt")
+    """``rows`` joined with one row per group (NULL keys match), a group's rows
+    split over ``SALTS`` tasks by the hash of column ``by`` (a small right side
+    is broadcast by adaptive execution, whose size check that is)."""
+    group = F.struct(*keys).alias("_g")  # structs compare NULL fields as equal
+    salted = rows.select("*", group, F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int").alias("_salt"))
+    copies = per_group.select(group, *[c for c in per_group.columns if c not in keys],
+                              F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    return salted.join(copies, ["_g", "_salt"]).drop("_g", "_salt")
 
 
 def run_summary(metrics: DataFrame, opps: DataFrame, keys: Sequence[str] = ("tag", "method")) -> DataFrame:
@@ -83,6 +123,10 @@ def run_summary(metrics: DataFrame, opps: DataFrame, keys: Sequence[str] = ("tag
     )
     proc, lat = (quantiles(d, v, keys).select(*keys, *[F.col(f"q{i}").alias(f"_{n}{i}") for i in range(len(PCTS))])
                  for d, v, n in ((metrics, "processing_ms", "p"), (opps, "e2e_latency_ms", "l")))
+    # one row per group from all three: grouping, unlike a join, matches NULL keys
+    parts = m.unionByName(proc, allowMissingColumns=True).unionByName(lat, allowMissingColumns=True)
+    names = [c for c in parts.columns if c not in keys]
+    both = parts.groupBy(*keys).agg(*[F.max(c).alias(c) for c in names]).where(F.col("batches").isNotNull())
     span_s = (F.col("_w1") - F.col("_w0")) / F.lit(1000.0)
     thr = F.when((F.col("batches") >= 2) & (F.col("_w1") > F.col("_w0")), F.col("events") / span_s)
     label = keys[-1]
@@ -92,7 +136,7 @@ def run_summary(metrics: DataFrame, opps: DataFrame, keys: Sequence[str] = ("tag
     for i, p in enumerate(("p50", "p95", "p99")):
         cols.append(F.round(F.col(f"_l{i}"), ROUND).alias(f"lat_ms_{p}"))
     cols.append(thr.alias("throughput_ev_s"))
-    return m.join(proc, keys, "left").join(lat, keys, "left").select(*cols)
+    return both.select(*cols)
 
 
 def run_percentiles(metrics: DataFrame, value: str = "processing_ms",
@@ -143,31 +187,24 @@ def pivot_metric(summary: DataFrame, metric: str, labels: Sequence[str] = (METHO
 
 
 def latency_cdf(opps: DataFrame, value: str = "e2e_latency_ms", keys: Sequence[str] = ("tag", "method"),
-                scale: float = 1000.0, chunk: int = 1000) -> DataFrame:
+                scale: float = 1000.0) -> DataFrame:
     """Empirical CDF: for the i-th smallest of n values, ``y = i / n``
     (ties get distinct y), ``x = value / scale`` (ms → s).
 
-    Built from counts per distinct value: a running sum over the distinct
-    values (a chunked scan, ``chunk`` value units per chunk) gives each
-    value's first rank, and each value's rows are regenerated in chunks of
-    at most ``CDF_CHUNK``, shuffled by (value, chunk) first, so no group of
-    rows is sorted, collected or made in one task.
+    Built from the ranked distinct values: each value's rows are regenerated
+    in chunks of at most ``CDF_CHUNK``, shuffled by (value, chunk) first, so no
+    group of rows is sorted, collected or made in one task.
     """
-    keys = list(keys)
-    counts = opps.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("c"))
-    totals = counts.groupBy(*keys).agg(F.sum("c").alias("n"))
-    ranked = running(counts, keys, value, "c", "sum", "before", chunk, inclusive=False).withColumn("before", F.coalesce("before", F.lit(0)))
-    ranked = spread_join(ranked, totals, keys, value)
-    chunks = ranked.select(*keys, value, "before", "c", "n",
-                           F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("c") - 1) / F.lit(CDF_CHUNK)).cast("bigint"))).alias("k"))
+    ranked = ranked_values(opps, value, keys)
+    chunks = ranked.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_c") - 1) / F.lit(CDF_CHUNK)).cast("bigint"))).alias("k"))
     # a hot value's chunks are dealt over tasks before their rows are made
-    rows = chunks.repartition(*keys, value, "k").select(
-        *keys, value, "n",
-        F.explode(F.sequence(F.col("before") + F.col("k") * CDF_CHUNK + 1,
-                             F.least(F.col("before") + F.col("c"),
-                                     F.col("before") + (F.col("k") + 1) * CDF_CHUNK))).alias("i"))
-    return rows.select(*keys, (F.col(value) / F.lit(scale)).alias("x"),
-                       (F.col("i").cast("double") / F.col("n")).alias("cdf"))
+    rows = chunks.repartition("_g", "_v", "k").select(
+        "_g", "_v", "_n",
+        F.explode(F.sequence(F.col("_before") + F.col("k") * CDF_CHUNK + 1,
+                             F.least(F.col("_before") + F.col("_c"),
+                                     F.col("_before") + (F.col("k") + 1) * CDF_CHUNK))).alias("i"))
+    return rows.select("_g.*", (F.col("_v") / F.lit(scale)).alias("x"),
+                       (F.col("i").cast("double") / F.col("_n")).alias("cdf"))
 
 
 def run_timeline(metrics: DataFrame, keys: Sequence[str] = ("tag", "method")) -> DataFrame:

@@ -30,16 +30,20 @@ from pyspark.sql import functions as F
 
 
 def _chunk(order: str, width: int) -> Column:
-    return F.floor(F.col(order) / F.lit(int(width))).cast("bigint")
+    """Never null (rows without an order come first), so that the join of the
+    carries adds no filter and both its sides share one shuffle."""
+    return F.coalesce(F.floor(F.col(order) / F.lit(int(width))).cast("bigint"), F.lit(-(1 << 63)))
 
 
 def running(df: DataFrame, keys: Sequence[str], order: str, value: str | Column, how: str, out: str,
             width: int, inclusive: bool = True) -> DataFrame:
     """Add column ``out`` = ``how`` of ``value`` over the rows of the same
     ``keys`` ordered before (``inclusive``: up to and including) this row."""
-    keys = list(keys)
+    names = [c for c in df.columns if c != out]
+    # one struct for the keys: equal in windows and in the join also where a field is NULL
+    group, keys = F.struct(*keys), ["_scan_k"]
     v = value if isinstance(value, Column) else F.col(value)
-    d = df.withColumn("_scan_v", v).withColumn("_scan_c", _chunk(order, width))
+    d = df.withColumn("_scan_v", v).withColumn("_scan_c", _chunk(order, width)).withColumn("_scan_k", group)
     base = Window.partitionBy(*keys, "_scan_c").orderBy(order)
     w_in = base.rangeBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1)
     w_all = base.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -66,5 +70,4 @@ def running(df: DataFrame, keys: Sequence[str], order: str, value: str | Column,
     carries = within.select(*keys, "_scan_c", "_scan_t").dropDuplicates(keys + ["_scan_c"]) \
         .select(*keys, "_scan_c", carry.alias("_scan_carry"))
     return (within.join(carries, keys + ["_scan_c"], "left")
-            .withColumn(out, combine)
-            .drop("_scan_v", "_scan_c", "_scan_in", "_scan_t", "_scan_carry"))
+            .select(*names, combine.alias(out)))

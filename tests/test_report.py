@@ -149,3 +149,89 @@ def test_replay_schedule(spark):
     assert got == {1: 0.0, 2: 0.0, 3: 1.0, 4: 6.0}   # 60 s / 60 = 1 s; 59 min / 60 capped at 5 s
     still = {r.real_time_ms: r.offset_s for r in R.replay_schedule(df, speed=0.0).collect()}
     assert set(still.values()) == {0.0}
+
+
+ODD_VALUES = [0.25, -0.5, 1.5, 1.5, 1e300, -1e300, 5e-324, 0.0, -0.0, 2.0**60, 3.25, 3.25, 3.25, 1e-9]
+
+
+@pytest.fixture()
+def odd_frames(spark):
+    """NULL tag, NULL method, both NULL; fractional values of all sizes, NULL values."""
+    rnd = np.random.default_rng(4)
+    rows, opps = [], []
+    for g, (tag, method) in enumerate([(None, "batch"), ("t", None), (None, None), ("t", "batch")]):
+        vals = [*ODD_VALUES, *(rnd.normal(size=60) * 10.0 ** rnd.integers(-3, 4)).tolist(), None][g:]
+        rows += [(tag, method, i, 3, i % 2, v, 1000 + 250 * i) for i, v in enumerate(vals)]
+        opps += [(tag, method, f"m{i}", v) for i, v in enumerate(vals)]
+    return (spark.createDataFrame(rows, "tag string, method string, batch bigint, rows_read bigint, opps_found bigint, "
+                                        "processing_ms double, wall_time_ms bigint").repartition(3),
+            spark.createDataFrame(opps, "tag string, method string, match_id string, e2e_latency_ms double").repartition(3))
+
+
+def by_group(rows, value):
+    out = {}
+    for r in rows:
+        if r[value] is not None:
+            out.setdefault((r["tag"], r["method"]), []).append(r[value])
+    return out
+
+
+def test_quantiles_of_fractions_and_null_keys_equal_numpy(odd_frames):
+    metrics, opps = odd_frames
+    ps = (0.0, 0.25, 0.5, 0.95, 0.99, 1.0)
+    groups = by_group(metrics.collect(), "processing_ms")
+    got = {(r.tag, r.method): [r[f"q{i}"] for i in range(len(ps))] for r in R.quantiles(metrics, "processing_ms", ["tag", "method"], ps).collect()}
+    assert got.keys() == groups.keys() and len(got) == 4
+    for g, vals in groups.items():
+        assert np.allclose(got[g], np.quantile(vals, ps), rtol=1e-12, atol=0), g
+    s = {(r.tag, r.label): r for r in R.run_summary(metrics, opps).collect()}
+    assert s.keys() == groups.keys()
+    for g, vals in groups.items():
+        assert math.isclose(s[g].proc_ms_p50, round(float(np.quantile(vals, 0.5)), 6), rel_tol=1e-9, abs_tol=1e-6)
+        assert math.isclose(s[g].lat_ms_p95, round(float(np.quantile(vals, 0.95)), 6), rel_tol=1e-9, abs_tol=1e-6)
+
+
+def test_quantiles_of_one_value_and_no_value(spark):
+    df = spark.createDataFrame([("a", 2.5), ("b", None), ("c", float("nan")), ("c", 1.0), ("c", float("-inf"))], "k string, v double")
+    got = {r.k: (r.q0, r.q1) for r in R.quantiles(df, "v", ["k"], (0.0, 0.5)).collect()}
+    assert got == {"a": (2.5, 2.5), "c": (float("-inf"), 1.0)}
+
+
+def test_value_ranges_never_fall(spark):
+    vals = sorted([*ODD_VALUES, float("inf"), float("-inf"), 1.7976931348623157e308, *np.random.default_rng(1).normal(size=500).tolist()])
+    df = spark.createDataFrame([(float(v),) for v in vals] + [(float("nan"),)], "v double")
+    b = [r[1] for r in sorted(df.select("v", R.value_range(F.col("v"))).collect(), key=lambda r: (math.isnan(r[0]), r[0]))]
+    assert b == sorted(b) and b[-1] > b[-2]
+
+
+def test_cdf_timeline_and_box_keep_null_groups(odd_frames):
+    metrics, opps = odd_frames
+    groups = by_group(opps.collect(), "e2e_latency_ms")
+    cdf = {}
+    for r in R.latency_cdf(opps, scale=1.0).collect():
+        cdf.setdefault((r.tag, r.method), []).append((r.x, r.cdf))
+    assert cdf.keys() == groups.keys()
+    for g, vals in groups.items():
+        assert sorted(cdf[g]) == [(v, (i + 1) / len(vals)) for i, v in enumerate(sorted(vals))]
+    times = R.run_timeline(metrics).collect()
+    assert len(times) == metrics.count() and all(r.t_s == 0.25 * r.batch for r in times)
+    for r in R.box_stats(metrics).collect():
+        vals = np.array(groups[(r.tag, r.method)])
+        q1, med, q3 = np.quantile(vals, (0.25, 0.5, 0.75))
+        assert np.allclose([r.q1, r.median, r.q3], [q1, med, q3], rtol=1e-6, atol=1e-6)
+        inside = vals[(vals >= q1 - 1.5 * (q3 - q1)) & (vals <= q3 + 1.5 * (q3 - q1))]
+        assert (r.whisker_low, r.whisker_high, r.n_outliers) == (inside.min(), inside.max(), len(vals) - len(inside))
+    assert R.box_outliers(metrics).count() == sum(r.n_outliers for r in R.box_stats(metrics).collect())
+
+
+def test_decimal_and_text_free_types(spark):
+    df = spark.createDataFrame([(i,) for i in range(11)], "v int").select(F.lit(1).alias("k"), (F.col("v") / 4).cast("decimal(10,2)").alias("v"))
+    assert R.quantiles(df, "v", ["k"], (0.25,)).collect()[0].q0 == np.quantile([i / 4 for i in range(11)], 0.25)
+
+
+def test_quantiles_scan_once(spark):
+    from pricefold.sources import views as V
+    df = R.quantiles(V.run_metrics(spark, "/root/testdata/sf0.001"), "processing_ms", ["tag", "method"])
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[0]
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") <= 5, plan

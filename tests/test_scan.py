@@ -27,6 +27,13 @@ def test_running_matches_plain_windows(spark):
             assert a == b, (inclusive, width)
 
 
+def test_running_keeps_null_keys(spark):
+    rows = [(None, 1, 5), (None, 2, 7), ("a", 1, 1), ("a", 9, 2), (None, 90, 1)]
+    df = spark.createDataFrame(rows, "k string, t long, x long")
+    got = sorted(map(tuple, running(df, ["k"], "t", "x", "sum", "s", 8).select("t", "x", "s").collect()))
+    assert got == [(1, 1, 1), (1, 5, 5), (2, 7, 12), (9, 2, 3), (90, 1, 13)]
+
+
 def test_timeline_chunking_is_exact(spark):
     from conftest import odds_rows
     from pricefold.operators import timeline as TL

@@ -261,6 +261,32 @@ def q_csv_events(spark, sf):
                      "odds_home", "odds_draw", "odds_away", "event_time_ms")
 
 
+def _csv_union_sql() -> str:
+    div, date = "concat('L', o_orderstatus)", "strftime(o_orderdate, '%d/%m/%Y')"
+    home = "concat('The \"Reds\", no. ', o_orderkey % 50)"
+    note = "concat('said \"', o_orderpriority, '\",' || chr(10) || 'then left')"
+    key = "CAST(o_orderkey AS VARCHAR)"
+    full = lambda x: f"CASE WHEN o_orderkey % 5 <> 0 THEN {x} END"
+    cells = [(div, date, home, full(note), full(key), "NULL"), (full(div), date, "NULL", "NULL", "NULL", key),
+             (div, full(date), "NULL", note, "NULL", "NULL")]
+    return "\nUNION ALL\n".join(
+        f"SELECT 'L{k}' AS league, '21' AS season, {c[0]} AS div, {c[1]} AS match_date, {c[2]} AS home, {c[3]} AS note, {c[4]} AS note_1, "
+        f"{c[5]} AS ref FROM orders WHERE o_orderkey % 3 = {k} AND o_orderkey % 7 <> 0" for k, c in enumerate(cells))
+
+
+@register("csv_union", _csv_union_sql())
+def q_csv_union(spark, sf):
+    """Files of three layouts (quoted line ends, doubled quotes, short and long
+    records, a repeated header name), read in splits and unioned by name."""
+    from pricefold.session import run_dir
+    from pricefold.sources import files as FS
+    path = run_dir(spark, "csv_union")
+    V.write_csv_layouts(V.table(spark, sf, "orders"), path)
+    rows = FS.read_odds_csv(spark, f"{path}/layout*", "L*.csv")
+    return rows.select("league", F.substring("season", 1, 2).alias("season"), F.col("Div").alias("div"), F.col("Date").alias("match_date"),
+                       F.col("`Home,Team`").alias("home"), F.col("Note").alias("note"), F.col("`Note.1`").alias("note_1"), F.col("Ref").alias("ref"))
+
+
 # ------------------------------------------------------------- reports ----
 
 @register("count_by_group", f"SELECT match_date, count(DISTINCT match_id) AS matches FROM ({O.ODDS_EV}) GROUP BY match_date")

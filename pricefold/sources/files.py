@@ -9,15 +9,16 @@ from __future__ import annotations
 
 import csv
 from collections import defaultdict
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricefold.functions.text import file_stem_parts
+from pricefold.sources.records import csv_records
 
-EXTRA_COL = "_extra"
 _BOM = "﻿"
 
 
@@ -30,37 +31,38 @@ def _found(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
 
 
 def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """Column names of one CSV: its first record, parsed as CSV (quoted names
-    may hold commas and line ends), byte-order mark removed."""
+    """Column names of one CSV: its first record that is not a blank line,
+    parsed as CSV (quoted names may hold commas and line ends), byte-order mark
+    removed."""
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     stream = p.getFileSystem(spark._jsc.hadoopConfiguration()).open(p)
     try:
         reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        lines = iter(reader.readLine, None)
-        first = next(csv.reader((line.lstrip(_BOM) if k == 0 else line) + "\n" for k, line in enumerate(lines)), [])
+        lines = ((line.lstrip(_BOM) if k == 0 else line) + "\n" for k, line in enumerate(iter(reader.readLine, None)))
+        first = next((r for r in csv.reader(lines) if len(r) > 1 or any(c.strip() for c in r)), [])
     finally:
         stream.close()
     return tuple(name.strip() for name in first)
 
 
-def read_odds_csv(spark: SparkSession, raw_dir: str, pattern: str = "*.csv") -> DataFrame:
-    """All match CSVs of a folder as one all-string DataFrame.
+def column_names(header: Sequence[str]) -> list[str]:
+    """Distinct column names: an empty one becomes ``_c<position>``, a repeated
+    one (names are case-insensitive here) gets ``.1``, ``.2``, ..."""
+    out, taken = [], set()
+    for i, name in enumerate(header):
+        base = name or f"_c{i}"
+        name, k = base, 0
+        while name.lower() in taken:
+            k += 1
+            name = f"{base}.{k}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
-    * files are grouped by header; each group is one distributed read with
-      an explicit schema, and the groups are unioned by column name (a single
-      multi-path read with different headers would shift values silently);
-      headers are the files' first records, opened several at a time;
-    * a UTF-8 byte-order mark is removed;
-    * rows with more fields than the header are dropped, rows with fewer
-      are padded with NULL: the schema carries one extra trailing column and
-      only rows where it is NULL are kept (an over-long row whose surplus
-      fields are all empty cannot be told from a full one and is kept);
-    * ``league`` and ``season`` come from the file name ``<league>_<season>.csv``,
-      ``source_file`` keeps the name.
 
-    Raises FileNotFoundError when the folder has no matching file.
-    """
+def _grouped(spark: SparkSession, raw_dir: str, pattern: str) -> dict[tuple[str, ...], list[str]]:
+    """Files by header; headers are opened several at a time."""
     paths = [p for p, _ in _found(spark, f"{raw_dir.rstrip('/')}/{pattern}")]
     if not paths:
         raise FileNotFoundError(f"{raw_dir} holds no {pattern} file")
@@ -69,23 +71,59 @@ def read_odds_csv(spark: SparkSession, raw_dir: str, pattern: str = "*.csv") ->
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
     for p, header in zip(paths, headers):
         groups[header].append(p)
+    return groups
+
+
+def _file_name(file: str = "file") -> Column:
+    return F.url_decode(F.element_at(F.split(file, "/"), -1))
+
+
+def read_odds_csv(spark: SparkSession, raw_dir: str, pattern: str = "*.csv") -> DataFrame:
+    """All match CSVs of a folder as one all-string DataFrame.
+
+    * files are grouped by header; each group is one distributed read, and the
+      groups are unioned by column name (a single multi-path read with
+      different headers would shift values silently); headers are the files'
+      first records, a repeated name gets a number (``column_names``);
+    * files are read in splits, quoted cells may hold commas, doubled quotes
+      and line ends (``sources.records``); a UTF-8 byte-order mark is removed;
+    * records with more cells than the header are dropped, those with fewer
+      padded with NULL; an empty cell is NULL; ``rejected_records`` tells what
+      was dropped;
+    * ``league`` and ``season`` come from the file name ``<league>_<season>.csv``
+      (columns of these names in the file give way), ``source_file`` keeps the name.
+
+    Raises FileNotFoundError when the folder has no matching file.
+    """
     frames = []
-    for header, files in groups.items():
-        names = [h if h else f"_c{i}" for i, h in enumerate(header)]
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in names]
-                              + [T.StructField(EXTRA_COL, T.StringType())])
-        df = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-              .option("encoding", "UTF-8").option("enforceSchema", True).csv(files))
-        df = df.where(F.col(EXTRA_COL).isNull()).drop(EXTRA_COL)
-        fn = F.col("_metadata.file_name")
+    for header, files in _grouped(spark, raw_dir, pattern).items():
+        names = column_names(header)
+        rows = csv_records(spark, files).where(
+            ~F.col("header") & F.col("reason").isNull() & (F.size("cells") <= len(names)))
+        fn = _file_name()
         league, season = file_stem_parts(fn)
-        frames.append(df.select("*", league.alias("league"), season.alias("season"), fn.alias("source_file")))
+        added = {"league": league, "season": season, "source_file": fn}
+        cells = [F.nullif(F.get("cells", F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(names) if n.lower() not in added]
+        frames.append(rows.select(*cells, *[c.alias(n) for n, c in added.items()]))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
     return out
 
 
+def rejected_records(spark: SparkSession, raw_dir: str, pattern: str = "*.csv") -> DataFrame:
+    """What ``read_odds_csv`` drops: ``source_file``, ``reason`` (``too_many_cells``,
+    ``unclosed_quote``, ``too_long``) and the record's ``cells``."""
+    frames = []
+    for header, files in _grouped(spark, raw_dir, pattern).items():
+        reason = F.coalesce("reason", F.when(F.size("cells") > len(header), F.lit("too_many_cells")))
+        frames.append(csv_records(spark, files).where(~F.col("header")).select(_file_name().alias("source_file"), reason.alias("reason"), "cells"))
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out.where(F.col("reason").isNotNull())
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """JSON lines with a fixed schema; a missing or empty path gives an
     empty typed frame; blank lines are skipped."""

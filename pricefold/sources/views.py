@@ -169,3 +169,43 @@ def wide_matches_from_lineitem(lineitem: DataFrame) -> DataFrame:
             F.when(present, (F.lit(1.5) + F.col("l_tax") * F.lit(30.0 + i)).cast("string")).alias(a),
         ]
     return lineitem.select(*cols)
+
+
+# Headers of three file layouts: a quoted name with a comma and a repeated name; another order; a byte-order mark.
+CSV_HEADERS = ('Div,Date,"Home,Team",Note,Note', "Date,Ref,Div", "\ufeffNote,Div,Date")
+
+
+def csv_layout_lines(orders: DataFrame, layout: int) -> DataFrame:
+    """CSV records (column ``value``) of every third order in one of three
+    layouts.  Notes are quoted and hold doubled quotes, commas and a line end;
+    a fifth of the records lacks its last cells, a seventh has one too many."""
+    key = F.col("o_orderkey")
+    date, div = F.date_format("o_orderdate", "dd/MM/yyyy"), F.concat(F.lit("L"), F.col("o_orderstatus"))
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    home = F.concat(F.lit('The "Reds", no. '), (key % 50).cast("string"))
+    note = F.concat(F.lit('said "'), F.col("o_orderpriority"), F.lit('",\nthen left'))
+    short, comma = key % 5 == 0, F.lit(",")
+    if layout == 0:
+        line = F.concat_ws(",", div, date, quoted(home), F.when(~short, quoted(note)), F.when(~short, key.cast("string")))
+    elif layout == 1:
+        line = F.concat_ws(",", date, key.cast("string"), F.when(~short, div))
+    else:
+        line = F.concat_ws(",", quoted(note), div, F.when(~short, date))
+    line = F.when(key % 7 == 0, F.concat(F.when(short, F.concat(line, F.lit(",,"))).otherwise(line), comma, F.lit("surplus"))).otherwise(line)
+    return orders.where(key % 3 == layout).select(line.alias("value"))
+
+
+def write_csv_layouts(orders: DataFrame, folder: str) -> None:
+    """Files ``L<layout>_21-<number>.csv``, each with its header: the parts of a
+    distributed text write, renamed."""
+    spark = orders.sparkSession
+    for layout, header in enumerate(CSV_HEADERS):
+        end = "\r\n" if layout == 2 else "\n"
+        first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+        lines = csv_layout_lines(orders, layout).repartition(3)
+        lines.select(F.when(first, F.concat(F.lit(header + end), F.col("value"))).otherwise(F.col("value")).alias("value")) \
+            .write.option("lineSep", end).text(f"{folder}/layout{layout}")
+        root = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/layout{layout}")
+        fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+        for k, f in enumerate(s for s in fs.listStatus(root) if s.getPath().getName().startswith("part-")):
+            fs.rename(f.getPath(), spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/layout{layout}/L{layout}_21-{k}.csv"))

@@ -573,6 +573,64 @@ def q_price_view_stream(spark, sf):
     return S.current_prices(spark, f"{base}/out")
 
 
+# -------------------------------------------------------------------- log ----
+
+_LOG_SQL = f"""SELECT *, CAST(n % 3 AS INTEGER) AS partition, row_number() OVER (PARTITION BY n % 3 ORDER BY real_time_ms) - 1 AS "offset",
+  real_time_ms * 2 // (SELECT max(real_time_ms) + 1 FROM ({O.ODDS_EV}) WHERE match_id IS NOT NULL) AS half
+FROM (SELECT *, CAST(regexp_extract(match_id, '^U([0-9]+)', 1) AS BIGINT) AS n FROM ({O.ODDS_EV}) WHERE match_id IS NOT NULL)"""
+_LOG_COLS = ["partition", "offset", "match_id", "bookmaker", "odds_home", "event_time_ms", "real_time_ms"]
+
+
+def _log_halves(spark, sf):
+    """The messages of ``odds_ev`` in two halves by send time."""
+    odds = V.odds_ev(spark, sf).where(F.col("match_id").isNotNull())
+    top = odds.agg(F.max("real_time_ms")).first()[0] + 1
+    half = F.expr(f"real_time_ms * 2 div {top}")
+    return [V.log_messages(odds.where(half == k)) for k in (0, 1)]
+
+
+def _log_rows(raw):
+    return K.decode_events(raw.drop("timestamp"), keep_source_cols=True).select(*_LOG_COLS)
+
+
+@register("log_offset_range", f"""
+SELECT *, CASE WHEN "offset" < n // 4 THEN 0 WHEN "offset" < n - n // 4 THEN 1 ELSE 2 END AS poll
+FROM (SELECT {', '.join(f'"{c}"' for c in _LOG_COLS)}, count(*) OVER (PARTITION BY partition) AS n FROM ({_LOG_SQL}))""")
+def q_log_offset_range(spark, sf):
+    """A consumer's cursor: three bounded reads of consecutive offset ranges,
+    the first from the earliest, the last to the latest offset."""
+    from pricefold.session import run_dir
+    from pricefold.sources import log as L
+    path = run_dir(spark, "log_offset_range") + "/odds"
+    for part in _log_halves(spark, sf):
+        L.append_log(part, path, segment_rows=2000)
+    ends = L.log_ends(path)
+    a, b = {p: n // 4 for p, n in ends.items()}, {p: n - n // 4 for p, n in ends.items()}
+    reads = [_log_rows(L.log_batch(spark, path, s, e)).withColumn("poll", F.lit(k))
+             for k, (s, e) in enumerate([("earliest", a), (a, b), (b, "latest")])]
+    size = F.element_at(F.create_map(*[F.lit(x) for pair in ends.items() for x in pair]), F.col("partition")).cast("bigint")
+    return reads[0].unionByName(reads[1]).unionByName(reads[2]).withColumn("n", size)
+
+
+@register("log_stream_resume", f"""
+SELECT 'earliest' AS started, {', '.join(f'"{c}"' for c in _LOG_COLS)} FROM ({_LOG_SQL})
+UNION ALL SELECT 'latest', {', '.join(f'"{c}"' for c in _LOG_COLS)} FROM ({_LOG_SQL}) WHERE half = 1""")
+def q_log_stream_resume(spark, sf):
+    """Two streams over the log, one from its earliest and one from its latest
+    offset; both stop, the log grows, both are started again and go on from
+    their checkpoints: every message arrives once."""
+    from pricefold.session import run_dir
+    from pricefold.sources import log as L
+    from pricefold.streaming import stream as S
+    base = run_dir(spark, "log_stream_resume")
+    for part in _log_halves(spark, sf):
+        L.append_log(part, f"{base}/odds")
+        for start in ("earliest", "latest"):
+            S.start(_log_rows(L.log_stream(spark, f"{base}/odds", start)), f"{base}/{start}", f"{base}/ckpt-{start}").awaitTermination()
+    read = lambda start: spark.read.parquet(f"{base}/{start}").select(F.lit(start).alias("started"), *_LOG_COLS)
+    return read("earliest").unionByName(read("latest"))
+
+
 # ------------------------------------------------------------------ sinks ----
 
 @register("summary_sink", _SUMMARY_SQL)

@@ -44,22 +44,23 @@ def offsets_json(topic: str, offsets: dict[int, int]) -> str:
 
 
 def kafka_batch(spark: SparkSession, servers: str, topic: str,
-                start: dict[int, int] | str = "earliest", end: dict[int, int] | str = "latest") -> DataFrame:
+                start: dict[int, int] | str = "earliest", end: dict[int, int] | str = "latest",
+                fail_on_data_loss: bool = True) -> DataFrame:
     """Bounded read of ``[start, end)`` per partition (needs the Kafka connector)."""
     s = start if isinstance(start, str) else offsets_json(topic, start)
     e = end if isinstance(end, str) else offsets_json(topic, end)
     return (spark.read.format("kafka").option("kafka.bootstrap.servers", servers)
             .option("subscribe", topic).option("startingOffsets", s).option("endingOffsets", e)
-            .option("failOnDataLoss", "false").load())
+            .option("failOnDataLoss", str(fail_on_data_loss).lower()).load())
 
 
 def kafka_stream(spark: SparkSession, servers: str, topic: str, starting: str = "earliest",
-                 max_offsets_per_trigger: int | None = None) -> DataFrame:
+                 max_offsets_per_trigger: int | None = None, fail_on_data_loss: bool = True) -> DataFrame:
     """Subscribe to ``topic`` (needs the Kafka connector).  The consumed
     position lives in the query checkpoint, so a restart resumes."""
     r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
          .option("subscribe", topic).option("startingOffsets", starting)
-         .option("failOnDataLoss", "false"))
+         .option("failOnDataLoss", str(fail_on_data_loss).lower()))
     if max_offsets_per_trigger:
         r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
     return r.load()

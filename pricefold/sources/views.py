@@ -209,3 +209,13 @@ def write_csv_layouts(orders: DataFrame, folder: str) -> None:
         fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
         for k, f in enumerate(s for s in fs.listStatus(root) if s.getPath().getName().startswith("part-")):
             fs.rename(f.getPath(), spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/layout{layout}/L{layout}_21-{k}.csv"))
+
+
+def log_messages(odds: DataFrame, partitions: int = 3) -> DataFrame:
+    """``odds`` as messages of a log of so many partitions, keyed by match (the
+    number in its id), stamped with the send time."""
+    keyed = odds.where(F.col("match_id").isNotNull())
+    number = F.regexp_extract("match_id", "^U([0-9]+)", 1).cast("bigint")
+    return keyed.select(F.col("match_id").cast("binary").alias("key"),
+                        F.to_json(F.struct(*keyed.columns)).cast("binary").alias("value"),
+                        F.timestamp_millis("real_time_ms").alias("timestamp"), (number % partitions).cast("int").alias("partition"))

@@ -105,11 +105,15 @@ def evaluate(books: dict[str, tuple], eps: float = EPSILON) -> dict | None:
 class OddsRowProcessor(StatefulProcessor):
     """Latest price per source, change-only arbitrage emission per match: one
     read and one write of the packed state per evaluated match and trigger.
-    ``now_ms`` fixes the clock, for replays and tests."""
+    ``now_ms`` fixes the clock, for replays and tests.  With ``expire`` (event-time
+    mode) a match leaves the state once the watermark reaches its newest event
+    time.  Initial state, one row per match with the array ``prices``, counts as
+    a trigger that was judged before."""
 
     def __init__(self, arrival: Sequence[str] = ("real_time_ms",), tolerance: float = EMIT_TOLERANCE,
                  eps: float = EPSILON, state_ttl_ms: int | None = None, method: str = METHOD_STREAM,
-                 now_ms: int | None = None):
+                 now_ms: int | None = None, expire: bool = False):
+        self.expire = expire
         self.arrival = list(arrival)
         self.tolerance = tolerance
         self.eps = eps
@@ -119,8 +123,30 @@ class OddsRowProcessor(StatefulProcessor):
         self.cols = [c.name for c in EVAL_SCHEMA.fields]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.state = handle.getValueState("match", STATE_SCHEMA, self.ttl)
 
+    def _store(self, books: dict[str, tuple], memo: float | None, timers) -> None:
+        last = max(p[0] for p in books.values())
+        if self.expire and last <= timers.getCurrentWatermarkInMs():
+            self.state.clear()
+            return
+        names = list(books)
+        self.state.update((names, *(list(column) for column in zip(*(books[b] for b in names))), memo))
+        if self.expire:
+            self.handle.registerTimer(last)
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        books = {p["bookmaker"]: tuple(p[c] for c in PRICE) for p in initialState["prices"]}
+        found = evaluate(books, self.eps)
+        self._store(books, found["profit_margin"] if found and found["profit_margin"] > self.eps else None, timerValues)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        held = self.state.get()
+        if held is not None and max(held[1]) <= timerValues.getCurrentWatermarkInMs():
+            self.state.clear()  # else a later timer stands
+        return iter([])
+
     def handleInputRows(self, key, rows, timerValues):
         held = self.state.get()
         stored, memo = {}, None
@@ -140,8 +166,7 @@ class OddsRowProcessor(StatefulProcessor):
             elif memo is None or abs(memo - margin) >= self.tolerance:
                 emit, memo = True, margin
             found |= {"detected_at_ms": now, "e2e_latency_ms": now - found["max_real_time_ms"]}
-        names = list(books)
-        self.state.update((names, *(list(column) for column in zip(*(books[b] for b in names))), memo))
+        self._store(books, memo, timerValues)
         row = {"emit": emit, "method": self.method, "match_id": key[0], **(found or {})}
         yield Row(**{c: row.get(c) for c in self.cols})
 

@@ -1,12 +1,12 @@
 """Structured Streaming detection.
 
 ``detect_stream`` is the stateful path (``OddsRowProcessor`` in the executors'
-state store, keyed by match).  ``latest_prices_stream`` is the native path (a
-streaming aggregation per (match, source), no Python): its upsert log holds the
-newest price of every source, from which ``current_prices`` and the batch rule
-give best prices and opportunities at any time.  Both read any streaming
-DataFrame with the odds columns: a Kafka source after ``decode_events``, or a
-file source.
+state store, keyed by match or by bucket).  ``latest_prices_stream`` is the native
+path (a streaming aggregation per (match, source), no Python): its state holds
+the newest price of every source, from which ``current_prices`` and the batch
+rule give best prices and opportunities at any time.  ``detect_window_stream``
+judges event-time windows natively.  All read any streaming DataFrame with
+the odds columns: a message log after ``decode_events``, or a file source.
 
 Trigger metrics come from named ``observe`` metrics in each
 ``StreamingQueryProgress`` (rows decoded, valid rows, evaluated matches,
@@ -24,10 +24,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from pricefold.operators.detect import DETECT_COLUMNS, valid_odds
+from pricefold.operators.detect import DETECT_COLUMNS, best_prices, latest_odds, opportunities, valid_odds
 from pricefold.session import ROCKSDB_PROVIDER, ship_package
 from pricefold.schema import EMIT_TOLERANCE, EPSILON, ODDS_SCHEMA, STREAM_OPP_COLUMNS
-from pricefold.streaming.processor import EVAL_SCHEMA, OddsRowProcessor
+from pricefold.streaming.processor import EVAL_SCHEMA, PRICE, OddsRowProcessor
 
 INPUT_METRICS = "pricefold_input"
 VALID_METRICS = "pricefold_valid"
@@ -36,18 +36,34 @@ EVAL_METRICS = "pricefold_eval"
 
 def detect_stream(odds: DataFrame, arrival: Sequence[str] = ("real_time_ms",), tolerance: float = EMIT_TOLERANCE,
                   eps: float = EPSILON, state_ttl_ms: int | None = None, with_evaluations: bool = False,
-                  now_ms: int | None = None) -> DataFrame:
+                  now_ms: int | None = None, buckets: int | None = None, keep_ms: int | None = None,
+                  history: DataFrame | None = None) -> DataFrame:
     """Change-only arbitrage emissions of a stream of odds updates.
 
     ``arrival``: columns giving the arrival order inside a trigger (e.g.
     ``("partition", "offset")`` for a message log, whose producer keys by
     match so one match stays in one partition).  Updates that
     ``valid_odds`` rejects, such as those without a time, are dropped.
-    ``state_ttl_ms`` drops a match's whole state when no update of it was
-    accepted for that long (off by default); expiry runs in processing-time
-    mode, so use it with a processing-time trigger (``availableNow`` keeps
-    scheduling timer batches in that mode).  ``now_ms`` fixes the clock.
+    ``now_ms`` fixes the clock.
+
+    State: one value per match, or with ``buckets`` one per bucket of matches,
+    folded by array operations (``streaming.batched``); the emissions are the
+    same.  ``keep_ms`` bounds it by event time: a match leaves once an event time
+    ``keep_ms`` after its newest one has been seen, and updates older than
+    that are late and dropped; ``availableNow`` runs clear it too.  ``state_ttl_ms``
+    (per match only) drops a match's whole state when no update of it was
+    accepted for that long; expiry runs in processing-time mode, so use it with
+    a processing-time trigger (``availableNow`` keeps scheduling timer batches in
+    that mode).
+
+    ``history``: updates of the past, judged in batch (their newest price per
+    match and source) and handed over as the state of a new query, so the
+    stream goes on as if it had read them in a trigger before.
     """
+    from pricefold.streaming.batched import BucketProcessor, bucketed
+
+    if state_ttl_ms and (buckets or keep_ms):
+        raise ValueError("state_ttl_ms goes with neither buckets nor keep_ms")
     spark = odds.sparkSession
     ship_package(spark)
     # transformWithState keeps its state in RocksDB; a session conf that
@@ -57,13 +73,27 @@ def detect_stream(odds: DataFrame, arrival: Sequence[str] = ("real_time_ms",), t
     order = list(arrival) or ["real_time_ms"]
     extra = [c for c in order if c not in DETECT_COLUMNS]
     observed = odds.observe(INPUT_METRICS, F.count(F.lit(1)).alias("rows_decoded"))
-    valid = valid_odds(observed).select(*DETECT_COLUMNS, *extra).observe(VALID_METRICS, F.count(F.lit(1)).alias("rows_valid"))
-    evals = valid.groupBy("match_id").transformWithState(
-        statefulProcessor=OddsRowProcessor(arrival=order, tolerance=tolerance, eps=eps, state_ttl_ms=state_ttl_ms, now_ms=now_ms),
-        outputStructType=EVAL_SCHEMA, outputMode="Append",
-        # Processing-time mode schedules extra no-data batches for
-        # timers; it is needed only to expire state by TTL.
-        timeMode="ProcessingTime" if state_ttl_ms else "None")
+    rows = valid_odds(observed).select(*DETECT_COLUMNS, *extra).observe(VALID_METRICS, F.count(F.lit(1)).alias("rows_valid"))
+    past = None if history is None else latest_odds(valid_odds(history).select(*DETECT_COLUMNS))
+    key = "bucket" if buckets else "match_id"
+    if buckets:
+        rows = bucketed(rows, order, buckets)
+        past = past if past is None else bucketed(past, ["real_time_ms"], buckets)
+    elif past is not None:
+        past = past.groupBy("match_id").agg(F.collect_list(F.struct("bookmaker", *PRICE)).alias("prices"))
+    if keep_ms is not None:
+        rows = rows.withColumn("_at", F.timestamp_millis("event_time_ms")).withWatermark("_at", f"{int(keep_ms)} milliseconds")
+    # Processing-time mode schedules extra no-data batches for timers; it is needed only to expire state by TTL.
+    mode = "EventTime" if keep_ms is not None else "ProcessingTime" if state_ttl_ms else "None"
+    common = {"arrival": order, "tolerance": tolerance, "eps": eps, "now_ms": now_ms, "expire": keep_ms is not None}
+    grouped, start = rows.groupBy(key), past.groupBy(key) if past is not None else None
+    if buckets:
+        evals = grouped.transformWithStateInPandas(
+            statefulProcessor=BucketProcessor(**common), outputStructType=EVAL_SCHEMA, outputMode="Append", timeMode=mode, initialState=start)
+    else:
+        evals = grouped.transformWithState(
+            statefulProcessor=OddsRowProcessor(state_ttl_ms=state_ttl_ms, **common), outputStructType=EVAL_SCHEMA, outputMode="Append",
+            timeMode=mode, initialState=start)
     evals = evals.observe(EVAL_METRICS, F.count(F.lit(1)).alias("touched_matches"),
                           F.count_if(F.col("emit")).alias("opps_found"))
     if with_evaluations:
@@ -99,57 +129,59 @@ def start(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", trigg
     return w.start()
 
 
-def start_upserts(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Update-mode aggregation output appended per trigger with its batch id
-    (idempotent: a replayed batch id overwrites its own folder)."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/log/batch_id={batch_id}")
-
-    return (df.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-            .foreachBatch(write).trigger(**(trigger or {"availableNow": True})).start())
-
-
-def _folders(spark: SparkSession, pattern: str) -> list[int]:
-    """Numbers at the end of the folder names that match a pattern."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p) or []
-    return sorted(int(s.getPath().getName().rpartition("=")[2]) for s in found)
+def detect_window_stream(odds: DataFrame, width_ms: int, delay_ms: int, time_col: str = "event_time_ms", now_ms=None,
+                         min_books: int = 2, eps: float = EPSILON) -> DataFrame:
+    """``detect_window`` on a stream, without Python: the newest price per
+    (window, match, source) and the best per (window, match) are two chained
+    streaming aggregations in append mode.  A window's opportunities come out
+    once, when the watermark (``delay_ms`` behind the newest time) passes its
+    end, and its state goes; updates of closed windows are late and dropped.
+    """
+    timed = odds.withColumn("_at", F.timestamp_millis(time_col)).withWatermark("_at", f"{int(delay_ms)} milliseconds")
+    newest = F.max(F.struct("event_time_ms", "real_time_ms", "odds_home", "odds_draw", "odds_away")).alias("_p")
+    latest = (valid_odds(timed).groupBy(F.window("_at", f"{int(width_ms)} milliseconds").alias("window"), "match_id", "bookmaker")
+              .agg(newest).select("window", "match_id", "bookmaker", "_p.*"))
+    best = best_prices(latest, keys=["window", "match_id"])
+    found = opportunities(best, now_ms=now_ms, method="batch", min_books=min_books, eps=eps, keys=["window"])
+    return found.select(F.unix_millis("window.start").alias("window_start_ms"), *[c for c in found.columns if c != "window"])
 
 
-def current_view(spark: SparkSession, path: str, keys: Sequence[str] = ("match_id", "bookmaker")) -> DataFrame:
-    """Latest row per key of an upsert log written by ``start_upserts``: the
-    newest snapshot of ``compact`` and the triggers after it."""
-    snapshots = _folders(spark, f"{path}/snapshot/upto=*")
-    log = spark.read.option("basePath", f"{path}/log").parquet(f"{path}/log")
-    if snapshots:
-        upto = snapshots[-1]
-        held = spark.read.parquet(f"{path}/snapshot/upto={upto}").withColumn("batch_id", F.lit(upto))
-        log = log.where(F.col("batch_id") > upto).unionByName(held)
-    cols = [c for c in log.columns if c not in (*keys, "batch_id")]
-    packed = F.max_by(F.struct(*cols), F.col("batch_id")).alias("_r")
-    return log.groupBy(*keys).agg(packed).select(*keys, "_r.*")
+def start_state(df: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Start an update-mode aggregation whose result is its state, read by
+    ``state_prices``: no rows are written anywhere else."""
+    return (df.writeStream.format("noop").outputMode("update").option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())
 
 
-def compact(spark: SparkSession, path: str, keys: Sequence[str] = ("match_id", "bookmaker")) -> int:
-    """Write the view of all triggers so far as a snapshot, so that later views
-    read it and newer triggers only; returns the last trigger in it.  Nothing
-    is deleted: older folders may be, by whatever retention applies."""
-    upto = _folders(spark, f"{path}/log/batch_id=*")[-1]
-    current_view(spark, path, keys).write.mode("overwrite").parquet(f"{path}/snapshot/upto={upto}")
-    return upto
+def state_prices(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
+    """Newest price per (match, source), as the state of a ``latest_prices_stream``
+    query holds it after its last committed trigger (or after ``batch_id``), by
+    Spark's state data source: one task per state partition."""
+    r = spark.read.format("statestore").option("path", checkpoint)
+    if batch_id is not None:
+        r = r.option("batchId", str(batch_id))
+    state = r.load()
+    value = state.schema["value"].dataType.names[0]
+    return state.select("key.match_id", "key.bookmaker", f"value.`{value}`.*")
 
 
-def current_prices(spark: SparkSession, path: str) -> DataFrame:
-    """Best prices per match from an upsert log of ``latest_prices_stream``."""
-    from pricefold.operators.detect import best_prices
-    return best_prices(current_view(spark, path))
+def current_prices(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Best prices per match from the state of a ``latest_prices_stream`` query."""
+    return best_prices(state_prices(spark, checkpoint))
 
 
-def current_opportunities(spark: SparkSession, path: str, now_ms=None, eps: float = EPSILON) -> DataFrame:
+def current_opportunities(spark: SparkSession, checkpoint: str, now_ms=None, eps: float = EPSILON) -> DataFrame:
     """Opportunities that stand now, with both latency columns: the batch rule
     over the newest prices, so one that has vanished is not among them."""
-    from pricefold.operators.detect import opportunities
-    return opportunities(current_prices(spark, path), now_ms=now_ms, method="stream", eps=eps)
+    return opportunities(current_prices(spark, checkpoint), now_ms=now_ms, method="stream", eps=eps)
+
+
+def match_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Matches in the state of a ``detect_stream`` query (one value per match):
+    ``match_id``, its sources and newest event time, and the margin emitted last."""
+    state = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "match").load()
+    return state.select("key.match_id", F.col("value.books").alias("books"),
+                        F.array_max("value.event_time_ms").alias("max_event_time_ms"), F.col("value.memo").alias("memo"))
 
 
 def start_polling(odds: DataFrame, path: str, checkpoint: str, metrics_path: str | None = None,

@@ -168,13 +168,13 @@ def test_metrics_listener_and_price_view(spark, tmp):
         q = S.start(S.detect_stream(src), f"{tmp}/out", f"{tmp}/ckpt")
         q.awaitTermination()
         view = S.latest_prices_stream(S.file_stream(spark, f"{tmp}/in", max_files_per_trigger=1))
-        S.start_upserts(view, f"{tmp}/view", f"{tmp}/vckpt").awaitTermination()
+        S.start_state(view, f"{tmp}/vckpt").awaitTermination()
     finally:
         spark.streams.removeListener(lst)
     m = lst.to_frame(spark, str(q.id)).collect()
     assert [r.rows_read for r in m] == [len(t) for t in trigs]
     assert sum(r.opps_found for r in m) == len(twin(trigs))
-    cur = {r.match_id: r for r in S.current_prices(spark, f"{tmp}/view").collect()}
+    cur = {r.match_id: r for r in S.current_prices(spark, f"{tmp}/vckpt").collect()}
     assert cur["late"].best_odds_home == NO_A[0]      # newest event time wins in the native view
     assert cur["equal"].best_odds_home == OPP_A[0]    # equal event time: later send time wins
     assert cur["split"].n_books == 2
@@ -185,12 +185,13 @@ def test_native_view_drops_vanished_opportunities(spark, tmp):
     for k in range(len(trigs)):
         write_triggers(f"{tmp}/in", trigs[k:k + 1], start=k)
         prices = S.latest_prices_stream(S.file_stream(spark, f"{tmp}/in"))
-        S.start_upserts(prices, f"{tmp}/out", f"{tmp}/ckpt").awaitTermination()
+        S.start_state(prices, f"{tmp}/ckpt").awaitTermination()
         if k == 1:  # the home price of "vanish" fell in this trigger
-            now = {r.match_id for r in S.current_opportunities(spark, f"{tmp}/out", now_ms=0).collect()}
+            now = {r.match_id for r in S.current_opportunities(spark, f"{tmp}/ckpt", now_ms=0).collect()}
             assert "vanish" not in now and "split" in now
-            assert S.compact(spark, f"{tmp}/out") == 1
-    final = {r.match_id for r in S.current_opportunities(spark, f"{tmp}/out", now_ms=0).collect()}
+            before = {(r.match_id, r.bookmaker): r.odds_home for r in S.state_prices(spark, f"{tmp}/ckpt", 0).collect()}
+            assert before["vanish", "A"] == OPP_A[0]  # an earlier trigger's state can be read too
+    final = {r.match_id for r in S.current_opportunities(spark, f"{tmp}/ckpt", now_ms=0).collect()}
     assert final == {"split", "steady", "drift", "vanish", "equal"}
 
 
@@ -283,10 +284,105 @@ def test_price_view_final_state_equals_batch_when_matches_span_triggers(spark, t
         os.link(f"{tmp}/parts/p{k}/{src}", f"{tmp}/in/t{k:04d}.parquet")
         os.utime(f"{tmp}/in/t{k:04d}.parquet", (1_000_000_000 + k, 1_000_000_000 + k))
     view = S.latest_prices_stream(S.file_stream(spark, f"{tmp}/in", max_files_per_trigger=1))
-    S.start_upserts(view, f"{tmp}/out", f"{tmp}/ckpt").awaitTermination()
+    S.start_state(view, f"{tmp}/ckpt").awaitTermination()
     cols = ["match_id", "n_books", "best_book_home", "best_odds_home", "best_book_draw", "best_odds_draw",
             "best_book_away", "best_odds_away", "max_real_time_ms"]
-    got = S.current_prices(spark, f"{tmp}/out").select(*cols)
+    got = S.current_prices(spark, f"{tmp}/ckpt").select(*cols)
     want = D.best_prices(D.latest_odds(D.valid_odds(odds))).select(*cols)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-    assert spark.read.parquet(f"{tmp}/out/log").select("batch_id").distinct().count() == 4
+
+
+@pytest.mark.parametrize("buckets", [1, 3, 64])
+def test_buckets_emit_what_matches_do(spark, tmp, buckets):
+    trigs = triggers()
+    write_triggers(f"{tmp}/in", trigs)
+    src = S.file_stream(spark, f"{tmp}/in", max_files_per_trigger=1)
+    evals = S.detect_stream(src, buckets=buckets, now_ms=5, with_evaluations=True)
+    S.start(evals, f"{tmp}/out", f"{tmp}/ckpt").awaitTermination()
+    rows = spark.read.parquet(f"{tmp}/out").collect()
+    assert sorted((r.match_id, r.profit_margin) for r in rows if r.emit) == sorted(twin(trigs))
+    alone = [r for r in rows if r.n_books is None]
+    assert {r.match_id for r in alone} == {"split"} and all(r.best_odds_home is None and not r.emit for r in alone)
+
+
+def test_array_fold_equals_row_fold():
+    """Random triggers: the bucket's arrays against the per-match processor's steps."""
+    import random
+    import numpy as np
+    from pricefold.streaming import batched as B
+    from pricefold.streaming.processor import evaluate, merged, newest
+    rnd, names = random.Random(11), ("match_id", "bookmaker", "event_time_ms", "odds_home", "odds_draw", "odds_away", "real_time_ms")
+    state, plain, memo = B.Prices.load(None), {}, {}
+    for trigger in range(60):
+        rows = [(f"m{rnd.randint(0, 6)}", rnd.choice("ABCÄ"), rnd.randint(1, 9), rnd.choice([1.5, 2.0, 9.0]), rnd.choice([3.0, 8.0]),
+                 rnd.choice([2.0, 7.0]), trigger * 100 + i) for i in range(rnd.randint(1, 12))]
+        cols = {n: np.array([r[i] for r in rows], object if i < 2 else None) for i, n in enumerate(names)}
+        keep = B.newest_per_source(cols, ["real_time_ms"])
+        state, new = state.merge({n: v[np.sort(keep)] for n, v in cols.items()}, ["real_time_ms"])
+        found = state.evaluate(new, EPS, TOL) if new.any() else {"match_id": []}
+        state = B.Prices.load(state.dump())
+        want = []
+        for m in sorted({r[0] for r in rows}):
+            books = merged(plain.get(m, {}), newest([dict(zip(names, r)) for r in rows if r[0] == m], ["real_time_ms"]))
+            if books is None:
+                continue
+            plain[m], got, emit = books, evaluate(books), False
+            if got is not None:
+                if got["profit_margin"] <= EPS:
+                    memo.pop(m, None)
+                elif m not in memo or abs(memo[m] - got["profit_margin"]) >= TOL:
+                    emit, memo[m] = True, got["profit_margin"]
+            want.append((m, emit, got and {k: got[k] for k in got}))
+        assert list(found["match_id"]) == [m for m, _, _ in want]
+        for i, (m, emit, got) in enumerate(want):
+            assert bool(found["emit"][i]) == emit
+            if got:
+                assert all(found[k][i] == v for k, v in got.items()), (m, got)
+
+
+@pytest.mark.parametrize("buckets", [None, 2])
+def test_finished_matches_leave_the_state(spark, tmp, buckets):
+    """Event times in seconds 1..40; a match leaves 10 s after its newest event time, under availableNow too."""
+    trigs = [[(f"m{k:02d}", b, h, d, a, 1000 * k, k) for b, (h, d, a) in (("A", OPP_A), ("B", OPP_B))] for k in range(1, 41)]
+    trigs.append([("m01", "A", *NO_A, 1000, 99)])  # late: its match has ended
+    write_triggers(f"{tmp}/in", trigs)
+    src = S.file_stream(spark, f"{tmp}/in", max_files_per_trigger=4)
+    q = S.start(S.detect_stream(src, keep_ms=10_000, buckets=buckets), f"{tmp}/out", f"{tmp}/ckpt")
+    q.awaitTermination()
+    assert {r.match_id for r in spark.read.parquet(f"{tmp}/out").collect()} == {f"m{k:02d}" for k in range(1, 41)}
+    if buckets is None:
+        left = {r.match_id for r in S.match_state(spark, f"{tmp}/ckpt").collect()}
+        assert left == {f"m{k}" for k in range(31, 41)}
+        assert q.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] >= 10
+    else:
+        from pricefold.streaming.batched import Prices
+        state = spark.read.format("statestore").option("path", f"{tmp}/ckpt").option("stateVarName", "bucket").load()
+        held = [Prices.load(bytes(r.value.prices)) for r in state.collect()]
+        assert {m for p in held for m in p.table["match_id"]} == {f"m{k}" for k in range(31, 41)}
+
+
+@pytest.mark.parametrize("buckets", [None, 3])
+def test_history_hands_its_state_over(spark, tmp, buckets):
+    """Two triggers judged in batch, then a stream of the rest: the emissions of one stream over all."""
+    from conftest import odds_rows
+    trigs = triggers()
+    past = odds_rows(spark, trigs[0] + [("late", "A", None, 2.0, 2.0, 99, 99)])
+    write_triggers(f"{tmp}/in", trigs[1:])
+    src = S.file_stream(spark, f"{tmp}/in", max_files_per_trigger=1)
+    S.start(S.detect_stream(src, history=past, buckets=buckets), f"{tmp}/out", f"{tmp}/ckpt").awaitTermination()
+    before = twin(trigs[:1])
+    want = list(twin(trigs))
+    for row in before:
+        want.remove(row)
+    assert sorted((r.match_id, r.profit_margin) for r in spark.read.parquet(f"{tmp}/out").collect()) == sorted(want)
+
+
+def test_window_stream_equals_window_batch(spark, tmp):
+    from conftest import SF001
+    from pricefold.operators import detect as D
+    from pricefold.sources import views as V
+    odds = V.odds_ev(spark, SF001)
+    plan = S.detect_window_stream(odds, 3_600_000, 0, now_ms=5)
+    assert "Python" not in plan._jdf.queryExecution().executedPlan().toString()
+    want = D.detect_window(odds, 3_600_000, time_col="event_time_ms", now_ms=5)
+    assert plan.select(*want.columns).exceptAll(want).count() == 0 and plan.count() == want.count()  # a batch has no watermark

@@ -154,12 +154,13 @@ SELECT * REPLACE (CAST(NULL AS BIGINT) AS event_time_ms, odds_home * 10.0e0 AS o
        (real_time_ms * {triggers}) // ((SELECT max(event_id) FROM events) + 1) FROM ({ODDS_EV}) WHERE real_time_ms % 50 = 0"""
 
 
-def stream_sql(triggers: int = 4, now_ms: int = NOW_MS) -> str:
+def stream_sql(triggers: int = 4, now_ms: int = NOW_MS, past: int = 0) -> str:
     """Emissions of the stateful stream: the state at every trigger's end, the
-    matches it touched, and the change-only fold over them."""
-    best = best_sql(f"SELECT * FROM st SEMI JOIN touched USING (k, match_id)", "k, match_id")
+    matches it touched, and the change-only fold over them.  ``past``: so many
+    first arrival ranges are one trigger, whose emissions are left out."""
+    best = best_sql("SELECT * FROM st SEMI JOIN touched USING (k, match_id)", "k, match_id")
     return f"""
-WITH v AS (SELECT * FROM ({delivered_sql(triggers)}) WHERE {VALID}),
+WITH v AS (SELECT * REPLACE (CASE WHEN trig < {past} THEN 0 ELSE trig END AS trig) FROM ({delivered_sql(triggers)}) WHERE {VALID}),
 ks AS (SELECT unnest(range({triggers})) AS k),
 st AS (SELECT k, match_id, bookmaker, odds_home, odds_draw, odds_away, event_time_ms, real_time_ms FROM v JOIN ks ON v.trig <= k
        QUALIFY row_number() OVER (PARTITION BY k, match_id, bookmaker
@@ -170,7 +171,7 @@ touched AS (SELECT DISTINCT trig AS k, match_id FROM (
 e AS (SELECT *, k AS arrival FROM ({scored_sql(best)}))
 SELECT 'stream' AS method, match_id, best_book_home, best_odds_home, best_book_draw, best_odds_draw, best_book_away,
        best_odds_away, profit_margin, implied_prob_sum, CAST({now_ms} AS BIGINT) AS detected_at_ms, max_real_time_ms,
-       CAST({now_ms} AS BIGINT) - max_real_time_ms AS e2e_latency_ms FROM ({fold_sql("SELECT * FROM e")})"""
+       CAST({now_ms} AS BIGINT) - max_real_time_ms AS e2e_latency_ms FROM ({fold_sql("SELECT * FROM e")}) WHERE arrival >= {past}"""
 
 
 def fold_sql(timeline: str, tol: str = "1.0e-4") -> str:

@@ -515,15 +515,87 @@ def q_detect_stream(spark, sf):
     return spark.read.parquet(f"{base}/out")
 
 
+@register("detect_stream_batched", O.stream_sql(TRIGGERS))
+def q_detect_stream_batched(spark, sf):
+    """The same stream with the state of many matches folded by array operations."""
+    from pricefold.streaming import stream as S
+    base, src, files = _stream_input(spark, sf, "detect_stream_batched")
+    opps = S.detect_stream(S.file_stream(spark, src, max_files_per_trigger=files), now_ms=O.NOW_MS, buckets=8 * files)
+    S.start(opps, f"{base}/out", f"{base}/ckpt").awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
+@register("stream_handover", O.stream_sql(TRIGGERS, past=2))
+def q_stream_handover(spark, sf):
+    """The first two arrival ranges judged in batch, their state handed over to
+    a stream of the other two: it emits what a stream over all would."""
+    from pricefold.session import run_dir
+    from pricefold.streaming import stream as S
+    base, log = run_dir(spark, "stream_handover"), V.delivered(V.odds_ev(spark, sf), TRIGGERS)
+    files = spark.sparkContext.defaultParallelism
+    for k in range(2, TRIGGERS):
+        log.where(F.col("trig") == k).drop("trig").repartition(files).write.mode("append").parquet(f"{base}/in")
+    opps = S.detect_stream(S.file_stream(spark, f"{base}/in", max_files_per_trigger=files), now_ms=O.NOW_MS,
+                           history=log.where("trig < 2").drop("trig"))
+    S.start(opps, f"{base}/out", f"{base}/ckpt").awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
 @register("detect_stream_native", O.opps_sql(O.ODDS_EV, method="stream"))
 def q_detect_stream_native(spark, sf):
     """Native stream (no Python): after the last trigger the opportunities that
-    stand are the snapshot's, those that vanished on the way are gone."""
+    stand, by the state it leaves, are the snapshot's; those that vanished on the
+    way are gone."""
     from pricefold.streaming import stream as S
     base, src, files = _stream_input(spark, sf, "detect_stream_native")
     prices = S.latest_prices_stream(S.file_stream(spark, src, max_files_per_trigger=files))
-    S.start_upserts(prices, f"{base}/out", f"{base}/ckpt").awaitTermination()
-    return S.current_opportunities(spark, f"{base}/out", now_ms=O.NOW_MS)
+    S.start_state(prices, f"{base}/ckpt").awaitTermination()
+    return S.current_opportunities(spark, f"{base}/ckpt", now_ms=O.NOW_MS)
+
+
+def _timed_input(spark, sf, name: str) -> tuple[str, int, int]:
+    """``odds_ev`` in ``TRIGGERS`` ranges of event time, a tenth of it delivered
+    again one range later, and a last file with one update without prices, later
+    than all others by two ranges.  Returns the folder, the files per trigger and a range's span in ms."""
+    from pricefold.session import run_dir
+    base, odds = run_dir(spark, name), V.odds_ev(spark, sf)
+    lo, hi = odds.agg(F.min("event_time_ms"), F.max("event_time_ms")).first()
+    span, files = (hi - lo) // TRIGGERS + 1, spark.sparkContext.defaultParallelism
+    log = odds.withColumn("trig", F.expr(f"(event_time_ms - {lo}) div {span}"))
+    log = log.unionByName(log.where("real_time_ms % 10 = 0").withColumn("trig", F.least(F.col("trig") + 1, F.lit(TRIGGERS - 1))))
+    for k in range(TRIGGERS):
+        log.where(F.col("trig") == k).drop("trig").repartition(files).write.mode("append").parquet(f"{base}/in")
+    last = odds.limit(1).withColumn("event_time_ms", F.lit(hi + 2 * span).cast("bigint"))
+    last.withColumn("odds_home", F.lit(None).cast("double")).write.mode("append").parquet(f"{base}/in")
+    return base, files, span
+
+
+@register("detect_window_stream", O.opps_sql(O.window_src(O.ODDS_EV, HOUR_MS, "event_time_ms"),
+                                             keys="window_start_ms, match_id", extra="window_start_ms, "))
+def q_detect_window_stream(spark, sf):
+    """Event-time windows on a stream of several triggers, each emitted once when
+    the watermark has passed it: equal to ``detect_window``."""
+    from pricefold.streaming import stream as S
+    base, files, span = _timed_input(spark, sf, "detect_window_stream")
+    opps = S.detect_window_stream(S.file_stream(spark, f"{base}/in", max_files_per_trigger=files), HOUR_MS, span, now_ms=O.NOW_MS)
+    S.start(opps, f"{base}/out", f"{base}/ckpt").awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
+@register("stream_state_bound", f"""
+WITH v AS (SELECT * FROM ({O.ODDS_EV}) WHERE {O.VALID}),
+k AS (SELECT (SELECT max(event_time_ms) FROM v) - ((max(event_time_ms) - min(event_time_ms)) // {TRIGGERS} + 1) AS mark FROM ({O.ODDS_EV}))
+SELECT match_id, string_agg(DISTINCT bookmaker, ',' ORDER BY bookmaker) AS books, max(event_time_ms) AS max_event_time_ms
+FROM v GROUP BY match_id HAVING max(event_time_ms) > (SELECT mark FROM k)""")
+def q_stream_state_bound(spark, sf):
+    """The matches left in the state of a stream that keeps them for one range
+    of event time: of all others nothing is held."""
+    from pricefold.streaming import stream as S
+    base, files, span = _timed_input(spark, sf, "stream_state_bound")
+    opps = S.detect_stream(S.file_stream(spark, f"{base}/in", max_files_per_trigger=files), keep_ms=span)
+    S.start(opps, f"{base}/out", f"{base}/ckpt").awaitTermination()
+    return S.match_state(spark, f"{base}/ckpt").select(
+        "match_id", F.array_join(F.array_sort("books"), ",").alias("books"), "max_event_time_ms")
 
 
 _POLL_COLS = ("method, match_id, best_book_home, best_odds_home, best_book_draw, best_odds_draw, best_book_away, "
@@ -563,14 +635,13 @@ def q_polling_metrics(spark, sf):
 SELECT match_id, n_books, best_book_home, best_odds_home, best_book_draw, best_odds_draw, best_book_away,
        best_odds_away, max_event_time_ms, max_real_time_ms FROM ({O.best_sql(O.latest_sql(O.ODDS_EV))})""")
 def q_price_view_stream(spark, sf):
-    """Native (no Python) current prices per (match, source), update mode, the
-    log compacted once; the final view equals the batch best prices."""
+    """Native (no Python) current prices per (match, source), read from the state
+    of the stream: the final view equals the batch best prices."""
     from pricefold.streaming import stream as S
     base, src, files = _stream_input(spark, sf, "price_view_stream")
     view = S.latest_prices_stream(S.file_stream(spark, src, max_files_per_trigger=files))
-    S.start_upserts(view, f"{base}/out", f"{base}/ckpt").awaitTermination()
-    S.compact(spark, f"{base}/out")
-    return S.current_prices(spark, f"{base}/out")
+    S.start_state(view, f"{base}/ckpt").awaitTermination()
+    return S.current_prices(spark, f"{base}/ckpt")
 
 
 # -------------------------------------------------------------------- log ----

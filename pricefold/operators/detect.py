@@ -17,6 +17,7 @@ Scale notes
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -41,6 +42,12 @@ def _now(now_ms) -> Column:
     return now_ms if isinstance(now_ms, Column) else F.lit(int(now_ms)).cast("bigint")
 
 
+def _bucketed_by(odds: DataFrame, key: str) -> bool:
+    """Whether the plan delivers rows hashed by ``key`` alone: a bucketed scan."""
+    partitioning = odds._jdf.queryExecution().sparkPlan().outputPartitioning().toString()
+    return re.match(rf"hashpartitioning\({re.escape(key)}#\d+, ", partitioning) is not None
+
+
 def valid_odds(odds: DataFrame) -> DataFrame:
     """Rows usable for detection: keyed, timed, and all three prices numbers > 1.0."""
     return odds.where(usable())
@@ -61,9 +68,9 @@ def latest_odds(odds: DataFrame, keys: Sequence[str] = ("match_id",), source: st
     aggregation with the same property (measured slightly slower: its
     struct buffer forces a sort-based aggregate).  ``strategy="colocated"``
     shuffles once on the first key and
-    does everything after it without another exchange; use it only when the
-    input is already partitioned by that key (a bucketed table, or a log
-    keyed by match), since it gets no map-side reduction.
+    does everything after it without another exchange, and not even once if the
+    input is a table bucketed by that key (``sinks.write_bucketed``); it gets no
+    map-side reduction.
 
     ``input_partitions`` (off by default) deals the raw rows round-robin to so
     many tasks first; only for an input that is one unsplittable file.
@@ -73,7 +80,8 @@ def latest_odds(odds: DataFrame, keys: Sequence[str] = ("match_id",), source: st
     order = [c for c in LATEST_ORDER if c in odds.columns]
     rest = [c for c in odds.columns if c not in group and c not in order]
     if strategy == "colocated":
-        odds = odds.repartition(keys[0])
+        if not _bucketed_by(odds, keys[0]):
+            odds = odds.repartition(keys[0])
         strategy = "window"
     elif input_partitions:
         odds = odds.repartition(input_partitions)

@@ -628,7 +628,9 @@ FROM (SELECT DISTINCT trig FROM d) t""")
 def q_polling_metrics(spark, sf):
     """The metric record of every trigger, written and read back."""
     base = _polled(spark, sf, "polling_metrics")
-    return spark.read.json(f"{base}/metrics").select("batch", "rows_decoded", "rows_read", "opps_found")
+    from pricefold.streaming import stream as S
+    polls = S.read_polls(spark, f"{base}/metrics").where(F.col("batch").isNotNull())  # a poll may find nothing new
+    return polls.select("batch", "rows_decoded", "rows_read", "opps_found")
 
 
 @register("price_view_stream", f"""
@@ -730,6 +732,106 @@ def q_tagged_results(spark, sf):
     return spark.read.parquet(f"{root}/opps").select("tag", "match_id", "profit_margin")
 
 
+_RUN_SETS = {"metrics": ("batch", "rows_read", "processing_ms"), "opps": ("match_id", "e2e_latency_ms")}
+
+
+@register("run_results", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS tag, '{m}_{n}' AS name, count(*) AS n, CAST(sum({_RUN_SETS[n][-1]}) AS BIGINT) AS total FROM ({src}) "
+    f"WHERE tag = '{t}' AND method = '{m}'" for t in ("h1", "h2") for m in ("batch", "stream")
+    for n, src in (("metrics", O.RUN_METRICS), ("opps", O.RUN_OPPS))))
+def q_run_results(spark, sf):
+    """Four result sets of each of two runs, written twice, then a third write
+    that is cut off before its manifest: readers see the second, whole."""
+    from pricefold.session import run_dir
+    from pricefold.sinks import writers as WR
+    root = run_dir(spark, "run_results")
+    frames = {"metrics": V.run_metrics(spark, sf), "opps": V.run_opps(spark, sf)}
+    pick = lambda t, m, n: frames[n].where((F.col("tag") == t) & (F.col("method") == m)).select(*_RUN_SETS[n])
+    for tag in ("h1", "h2"):
+        sets = {f"{m}_{n}": pick(tag, m, n) for m in ("batch", "stream") for n in _RUN_SETS}
+        WR.write_run({k: v.limit(0) for k, v in sets.items()}, tag, root)
+        WR.write_run(sets, tag, root)
+        sets["batch_opps"].unionByName(sets["batch_opps"]).write.parquet(f"{root}/batch_opps/tag={tag}/write=99999999999999999999-x")
+    total = lambda n: F.sum(_RUN_SETS[n.split("_")[1]][-1]).cast("bigint")
+    read = [WR.read_runs(spark, root, k).groupBy("tag").agg(F.count(F.lit(1)).alias("n"), total(k).alias("total"))
+            .withColumn("name", F.lit(k)) for k in sorted(f"{m}_{n}" for m in ("batch", "stream") for n in _RUN_SETS)]
+    out = read[0]
+    for r in read[1:]:
+        out = out.unionByName(r)
+    return out
+
+
+@register("detect_bucketed", O.opps_sql(O.ODDS_LI))
+def q_detect_bucketed(spark, sf):
+    """Snapshot detection over a table bucketed by match: no shuffle after the write."""
+    from pricefold.session import run_dir
+    from pricefold.sinks import writers as WR
+    path = run_dir(spark, "detect_bucketed")
+    odds = WR.write_bucketed(V.odds_li(spark, sf).select(*D.DETECT_COLUMNS), "odds_" + path.rpartition("-")[2], f"{path}/odds",
+                             buckets=2 * spark.sparkContext.defaultParallelism, sort=("bookmaker",))
+    return D.detect_snapshot(odds, now_ms=O.NOW_MS, strategy="colocated")
+
+
+@register("compare_runs", f"""
+SELECT tag, label, events, opps, lat_ms_p50 AS lat_p50_ms, lat_ms_p95 AS lat_p95_ms, proc_ms_p50 AS proc_p50_ms,
+       proc_ms_p95 AS proc_p95_ms, throughput_ev_s AS throughput FROM ({_SUMMARY_SQL})""")
+def q_compare_runs(spark, sf):
+    """The summary document of each run, read under its tag, united, written as
+    a comparison table and read back."""
+    from pricefold.session import run_dir
+    from pricefold.sinks import writers as WR
+    from pricefold.sources import files as FS
+    base, summary = run_dir(spark, "compare_runs"), _summary(spark, sf)
+    tags = sorted(r.tag for r in summary.select("tag").distinct().collect())  # one a run
+    rows = []
+    for tag in tags:
+        WR.write_summary_document(summary.where(F.col("tag") == tag).drop("tag"), f"{base}/{tag}")
+        rows.append(FS.read_summary(spark, f"{base}/{tag}", tag, summary.drop("tag").schema))
+    table = R.run_compare(rows)
+    WR.write_comparison(table, f"{base}/comparison")
+    return spark.read.schema(table.schema).option("header", True).csv(f"{base}/comparison")
+
+
+@register("run_config", f"SELECT tag, method, count(*) AS batches FROM ({O.RUN_METRICS}) GROUP BY tag, method")
+def q_run_config(spark, sf):
+    """The configuration record of every run, saved and read back."""
+    from pricefold.session import run_dir
+    from pricefold.sinks import writers as WR
+    path = run_dir(spark, "run_config") + "/config"
+    for r in V.run_metrics(spark, sf).groupBy("tag", "method").count().collect():  # one a run and method
+        WR.write_run_config(spark, {"method": r.method, "batches": r["count"]}, r.tag, path)
+    config = spark.read.schema("tag string, saved_at_ms bigint, config string").json(path)
+    return config.where("saved_at_ms > 0").select(
+        "tag", F.get_json_object("config", "$.method").alias("method"), F.get_json_object("config", "$.batches").cast("bigint").alias("batches"))
+
+
+@register("send_stamp", f"SELECT match_id, bookmaker, event_time_ms, odds_home, true AS stamped FROM ({O.ODDS_EV})")
+def q_send_stamp(spark, sf):
+    """Updates stamped with the wall clock as they are sent."""
+    import time
+    before = int(time.time() * 1000) - 1
+    return C.stamp_send_time(V.odds_ev(spark, sf)).select(
+        "match_id", "bookmaker", "event_time_ms", "odds_home", (F.col("real_time_ms") > F.lit(before)).alias("stamped"))
+
+
+@register("opps_jsonl", f"""SELECT 'opps' AS kind, match_id, profit_margin, CAST(NULL AS BIGINT) AS processing_ms FROM ({O.opps_sql(O.ODDS_EV)})
+UNION ALL SELECT 'metrics', tag, NULL, processing_ms FROM ({O.RUN_METRICS})""")
+def q_opps_jsonl(spark, sf):
+    """Opportunities and trigger metrics appended as JSON lines and scanned with their schemas."""
+    from pricefold.session import run_dir
+    from pricefold.sinks import writers as WR
+    from pricefold.sources import files as FS
+    base = run_dir(spark, "opps_jsonl")
+    opps, metrics = D.detect_snapshot(V.odds_ev(spark, sf), now_ms=O.NOW_MS), V.run_metrics(spark, sf)
+    WR.write_opps(opps, f"{base}/opps")
+    for method in ("batch", "stream"):
+        WR.write_metrics(metrics.where(F.col("method") == method), f"{base}/metrics")
+    a, b = FS.read_jsonl(spark, f"{base}/opps", opps.schema), FS.read_jsonl(spark, f"{base}/metrics", metrics.schema)
+    none = lambda t: F.lit(None).cast(t)
+    return a.select(F.lit("opps").alias("kind"), "match_id", "profit_margin", none("bigint").alias("processing_ms")).unionAll(
+        b.select(F.lit("metrics"), "tag", none("double"), "processing_ms"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

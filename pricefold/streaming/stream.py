@@ -17,8 +17,10 @@ metric records.  No data row goes through the driver.
 from __future__ import annotations
 
 import json
-from datetime import datetime
+import uuid
+from collections import deque
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +28,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from pricefold.operators.detect import DETECT_COLUMNS, best_prices, latest_odds, opportunities, valid_odds
 from pricefold.session import ROCKSDB_PROVIDER, ship_package
+from pricefold.sinks.writers import write_file
 from pricefold.schema import EMIT_TOLERANCE, EPSILON, ODDS_SCHEMA, STREAM_OPP_COLUMNS
 from pricefold.streaming.processor import EVAL_SCHEMA, PRICE, OddsRowProcessor
 
@@ -191,7 +194,8 @@ def start_polling(odds: DataFrame, path: str, checkpoint: str, metrics_path: str
     consumer that reads only the offsets of its period.  Opportunities go to
     ``path/batch_id=<id>`` (a replayed batch overwrites its own folder), and
     one metric record per trigger to ``metrics_path``: decoded rows, rows
-    after the latest-per-source step, opportunities, duration, wall clock.
+    after the latest-per-source step, opportunities, duration, wall clock; a
+    trigger without new data has a record of zeros (``read_polls`` reads all).
     Counts come from observations of the one detection job, not extra passes.
     """
     from pyspark.sql import Observation
@@ -217,8 +221,66 @@ def start_polling(odds: DataFrame, path: str, checkpoint: str, metrics_path: str
                      "processing_ms bigint, wall_time_ms bigint").write.mode("overwrite").json(
                 f"{metrics_path}/batch_id={batch_id}")
 
-    return (odds.writeStream.option("checkpointLocation", checkpoint).foreachBatch(per_batch)
-            .trigger(**(trigger or {"availableNow": True})).start())
+    spark = odds.sparkSession
+    idle = None
+    if metrics_path:
+        # a poll without new offsets runs no batch; its record comes from the idle event of every such trigger
+        every = "spark.sql.streaming.noDataProgressEventInterval"
+        before = spark.conf.get(every)
+        idle = _IdlePolls(metrics_path)
+        spark.streams.addListener(idle)
+        spark.conf.set(every, "1")  # taken over by the query when it starts
+    try:
+        query = (odds.writeStream.option("checkpointLocation", checkpoint).foreachBatch(per_batch)
+                 .trigger(**(trigger or {"availableNow": True})).start())
+    finally:
+        if idle is not None:
+            spark.conf.set(every, before)
+    if idle is not None:
+        idle.watch(spark, str(query.runId))
+    return query
+
+
+class _IdlePolls(StreamingQueryListener):
+    """Writes a record of zeros for every trigger of one query that found
+    nothing new, and removes itself when the query ends."""
+
+    def __init__(self, path: str):
+        self.path, self.spark, self.run, self.early = path, None, None, []
+
+    def watch(self, spark: SparkSession, run: str) -> None:
+        self.spark, self.run = spark, run
+        for when in [w for r, w in self.early if r == run]:
+            self._write(when)
+
+    def _write(self, timestamp: str) -> None:
+        when = datetime.strptime(timestamp.replace("Z", "+0000"), "%Y-%m-%dT%H:%M:%S.%f%z")
+        ms = int(when.timestamp() * 1000)
+        record = {"batch": None, "rows_decoded": 0, "rows_read": 0, "opps_found": 0, "processing_ms": 0, "wall_time_ms": ms}
+        write_file(self.spark, f"{self.path}-idle/{ms:015d}-{uuid.uuid4().hex[:8]}.json", json.dumps(record) + "\n")
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        if self.run is None:
+            self.early.append((str(event.runId), event.timestamp))
+        elif str(event.runId) == self.run:
+            self._write(event.timestamp)
+
+    def onQueryTerminated(self, event) -> None:
+        if str(event.runId) == self.run:
+            self.spark.streams.removeListener(self)
+
+
+def read_polls(spark: SparkSession, metrics_path: str) -> DataFrame:
+    """All trigger records of a polling consumer, those of empty polls (beside
+    ``metrics_path``, in ``<metrics_path>-idle``) with no batch number and 0 rows."""
+    schema = "batch bigint, rows_decoded bigint, rows_read bigint, opps_found bigint, processing_ms bigint, wall_time_ms bigint"
+    return spark.read.schema(schema).option("recursiveFileLookup", True).json(f"{metrics_path}*")
 
 
 def run_for(query: StreamingQuery, seconds: float) -> None:
@@ -238,27 +300,41 @@ def run_triggers(query: StreamingQuery, n: int, poll_s: float = 0.1) -> None:
         query.awaitTermination(poll_s)
 
 
+METRIC_FIELDS = ("query_id", "spark_batch_id", "rows_read", "rows_valid", "touched_matches", "opps_found", "processing_ms",
+                 "wall_time_ms")
+
+
 class MetricsListener(StreamingQueryListener):
-    """Collects one metric record per trigger of the watched queries.
+    """One metric record per trigger of the watched queries.
 
     Records: batch (1-based), spark_batch_id, rows_read (decoded rows),
     rows_valid, touched_matches, opps_found, processing_ms (trigger
     duration), wall_time_ms (trigger end).  A trigger without new data is a
     record of 0 rows.  Metadata only: one small record per trigger.
+
+    The newest ``most`` records are held; with ``path`` every record is also
+    written out, as a JSON line file of its own, and ``read_metrics`` reads all.
     """
 
-    def __init__(self):
-        self.records: list[dict] = []
+    def __init__(self, path: str | None = None, most: int = 10_000):
+        self.path, self.records = path, deque(maxlen=most)
+        self.last: dict[str, int] = {}
+
+    def _add(self, record: dict) -> None:
+        self.last[record["query_id"]] = record["spark_batch_id"]
+        self.records.append(record)
+        spark = SparkSession.getActiveSession() or SparkSession._instantiatedSession
+        if self.path and spark is not None:
+            name = f"{record['query_id']}/{record['wall_time_ms']:015d}-{uuid.uuid4().hex[:8]}.json"
+            write_file(spark, f"{self.path}/{name}", json.dumps(record) + "\n")
 
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryIdle(self, event) -> None:
         when = datetime.strptime(event.timestamp.replace("Z", "+0000"), "%Y-%m-%dT%H:%M:%S.%f%z")
-        last = max((r["spark_batch_id"] for r in self.records if r["query_id"] == str(event.id)), default=-1)
-        self.records.append({"query_id": str(event.id), "spark_batch_id": last, "rows_read": 0, "rows_valid": 0,
-                             "touched_matches": 0, "opps_found": 0, "processing_ms": 0,
-                             "wall_time_ms": int(when.timestamp() * 1000)})
+        self._add({"query_id": str(event.id), "spark_batch_id": self.last.get(str(event.id), -1), "rows_read": 0, "rows_valid": 0,
+                   "touched_matches": 0, "opps_found": 0, "processing_ms": 0, "wall_time_ms": int(when.timestamp() * 1000)})
 
     def onQueryTerminated(self, event) -> None:
         pass
@@ -270,7 +346,7 @@ class MetricsListener(StreamingQueryListener):
         ev = obs.get(EVAL_METRICS)
         ts = datetime.strptime(p.timestamp.replace("Z", "+0000"), "%Y-%m-%dT%H:%M:%S.%f%z")
         dur = int(p.durationMs.get("triggerExecution", 0)) if p.durationMs else 0
-        self.records.append({
+        self._add({
             "query_id": str(p.id), "spark_batch_id": int(p.batchId),
             "rows_read": int(inp["rows_decoded"]) if inp is not None else int(p.numInputRows),
             "rows_valid": int(ok["rows_valid"]) if ok is not None else None,
@@ -280,6 +356,12 @@ class MetricsListener(StreamingQueryListener):
             "wall_time_ms": int(ts.timestamp() * 1000) + dur,
         })
 
+    @staticmethod
+    def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+        """All records written under ``path``, of all queries and runs."""
+        types = ", ".join(f"{f} {'string' if f == 'query_id' else 'bigint'}" for f in METRIC_FIELDS)
+        return spark.read.schema(types).json(f"{path}/*/*.json")
+
     def to_frame(self, spark: SparkSession, query_id: str | None = None, tag: str | None = None,
                  method: str | None = None) -> DataFrame:
         """Metric records as a DataFrame; with ``tag``/``method`` it is ready

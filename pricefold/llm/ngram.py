@@ -4,16 +4,20 @@ Counting, in Spark:
 
 - words are counted by 64-bit hash; the sorted hashes are the vocabulary and a
   word's id is its rank;
-- each task counts its n-grams of ids and sends them, as sorted blocks, to
-  shards by the leading bits of the n-gram's hash, so a frequent word's
-  n-grams spread over all shards;
-- a shard sums its blocks and is written as arrays sorted by hash.  It also
-  emits what the next lower order counts (distinct words to the left of each
-  suffix; raw counts after the start of a text) and the sums of each context.
-
-The arrays lie in the shared folder.  Scoring tasks map them into memory and
-look up each chunk's distinct n-grams in hash order, so reads run through the
-files in one direction.
+- each task counts its n-grams of ids and sends them, as sorted and compressed
+  blocks, to shards by the hash of the n-gram's last n - 1 words, so a frequent
+  word's n-grams spread over all shards, and a shard holds all n-grams of a suffix;
+- a shard sums its blocks, writes its entries and sends on, for the next lower
+  order, each suffix with what is counted there (distinct words to its left;
+  raw counts after the start of a text), and each prefix with the sums of that
+  context.  All orders are one chain of shuffles.
+
+A shard's entries are one file of the shared folder: sorted hashes, cut to 40
+bits beyond the leading ones that an index of buckets holds, and a code for
+each entry's count and context sums, which few distinct tuples make up.  (An
+unseen n-gram passes for a seen one with probability 1.5e-11.)  Scoring tasks
+map the files into memory, a bounded number at a time, and look up each chunk's
+distinct n-grams in hash order.
 
 With a(.) the count of its order, S the sum over a context and n_k the number
 of its n-grams counted k times (3: three or more)::
@@ -28,6 +32,7 @@ from __future__ import annotations
 
 import json
 import os
+from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,16 +40,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricefold.llm.shared import fresh, mapped_path, scratch, stage, text_bytes, tidy, write_atomic
+from pricefold.llm.shared import fresh, mapped_path, scratch, text_bytes, tidy, write_atomic
 from pricefold.llm.tokens import NON_SPACE, Chunk, chunks, combine, mix, sums
 
 _U = np.uint64
 END = mix(np.array([0xE0F], np.uint64))  # hash of the token that ends a text
-BOS = np.uint32(0xFFFFFFFF)  # pads the start of a text; never predicted
 SHARD_BYTES = 16 << 20  # text per shard
 FLUSH = 2 << 20  # n-grams that a task holds before it sends them
+OPEN_FILES = 256  # mapped at a time by a worker, for each set of arrays
 
-BLOCK = "shard int, grams binary, vals binary"
+BLOCK = "shard int, kind int, data binary"
+GRAM, CONTEXT, COUNTS = 0, 1, 2
 
 
 # ------------------------------------------------------------ hash arrays --
@@ -57,41 +63,114 @@ def _shard(keys: np.ndarray, bits: int) -> np.ndarray:
     return (keys >> _U(64 - bits)).astype(np.int64)
 
 
-def _save(folder: str, shard: int, **arrays: np.ndarray) -> None:
+def _save(path: str, **arrays: np.ndarray) -> None:
+    """Arrays in one file: a JSON line that tells their places, then their bytes, 8-aligned."""
+    places, at = {}, 0
     for name, a in arrays.items():
-        write_atomic(f"{folder}/{shard:07d}.{name}.npy", lambda f, a=a: np.save(f, a))
+        places[name] = [at, str(a.dtype), list(a.shape)]
+        at += -(-a.nbytes // 8) * 8
+    line = json.dumps(places).encode()
+    line += b" " * (-(len(line) + 1) % 8) + b"\n"
 
+    def write(f):
+        f.write(line)
+        for a in arrays.values():
+            f.write(np.ascontiguousarray(a).tobytes() + bytes(-a.nbytes % 8))
 
-class HashArrays:
-    """Sorted hashes with values, one set of files per shard, memory-mapped."""
+    write_atomic(path, write)
 
-    def __init__(self, folder: str, bits: int):
-        self.folder, self.bits, self.open = folder, bits, {}
 
-    def _file(self, shard: int, name: str):
-        if (shard, name) not in self.open:
-            path = f"{self.folder}/{shard:07d}.{name}.npy"
-            self.open[shard, name] = np.load(path, mmap_mode="r") if os.path.exists(path) else None
-        return self.open[shard, name]
+class ShardFiles:
+    """One file of arrays per shard, mapped into memory; the ``OPEN_FILES`` used
+    last stay open."""
 
-    def find(self, keys: np.ndarray) -> Iterator[tuple[int, slice, np.ndarray, np.ndarray]]:
-        """For sorted keys: per shard their slice, which are there, and where."""
-        shard = _shard(keys, self.bits)
+    def __init__(self, folder: str, bits: int):
+        self.folder, self.bits, self.open = folder, bits, OrderedDict()
+
+    def path(self, shard: int) -> str:
+        return f"{self.folder}/{shard:07d}.arrays"
+
+    def __getitem__(self, shard: int) -> dict[str, np.ndarray] | None:
+        if shard in self.open:
+            self.open.move_to_end(shard)
+            return self.open[shard]
+        got = None
+        if os.path.exists(self.path(shard)):
+            raw = np.memmap(self.path(shard), np.uint8, "r")
+            with open(self.path(shard), "rb") as f:
+                line = f.readline()
+            got = {}
+            for name, (at, kind, shape) in json.loads(line).items():
+                size = int(np.prod(shape)) * np.dtype(kind).itemsize
+                got[name] = raw[len(line) + at : len(line) + at + size].view(kind).reshape(shape)
+        self.open[shard] = got
+        if len(self.open) > OPEN_FILES:
+            self.open.popitem(last=False)
+        return got
+
+    def parts(self, shard: np.ndarray) -> Iterator[tuple[slice, dict[str, np.ndarray]]]:
+        """For sorted shard numbers: the slice of each shard that has a file, and its arrays."""
         cut = np.flatnonzero(np.diff(shard)) + 1
-        for a, b in zip(np.append(0, cut), np.append(cut, len(keys))):
-            if a < b and (have := self._file(int(shard[a]), "keys")) is not None and len(have):
-                at = np.minimum(np.searchsorted(have, keys[a:b]), len(have) - 1)
-                yield int(shard[a]), slice(a, b), have[at] == keys[a:b], at
-
-    def values(self, keys: np.ndarray, name: str, width: int = 1) -> np.ndarray:
-        """Values of the keys, 0 where there is none."""
-        uniq, back = np.unique(keys, return_inverse=True)
-        out = np.zeros((len(uniq), width))
-        for shard, part, there, at in self.find(uniq):
-            got = self._file(shard, name)[at]
-            out[part] = np.where(there[:, None], got.reshape(len(at), width), 0)
+        for a, b in zip(np.append(0, cut), np.append(cut, len(shard))):
+            if a < b and (have := self[int(shard[a])]) is not None:
+                yield slice(a, b), have
+
+
+REST = 40  # bits of a hash that are stored beyond those its bucket tells
+ENTRY = 5  # count; sum over the entry as a context; its n-grams counted once, twice, more often
+
+
+def save_entries(path: str, keys: np.ndarray, values: np.ndarray) -> None:
+    """Entries of a shard: sorted distinct hashes and ``ENTRY`` numbers each."""
+    bits = max(0, int(np.ceil(np.log2(max(len(keys), 1) / 16)))) if len(keys) > 16 else 0
+    bucket = (keys >> _U(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+    rest = (keys << _U(bits)) >> _U(64 - REST)
+    table, code = np.unique(values, axis=0, return_inverse=True)
+    small = np.uint8 if len(table) <= 1 << 8 else np.uint16 if len(table) <= 1 << 16 else np.uint32
+    index = np.searchsorted(bucket, np.arange((1 << bits) + 1))
+    _save(path, bits=np.array([bits]), index=index.astype(np.uint32 if len(keys) < 1 << 32 else np.uint64), high=(rest >> _U(8)).astype(np.uint32),
+          low=(rest & _U(255)).astype(np.uint8), code=code.reshape(-1).astype(small), table=table.reshape(-1, ENTRY).astype(np.uint64))
+
+
+class Entries:
+    """Entries of n-grams over all shards."""
+
+    def __init__(self, folder: str, bits: int):
+        self.files, self.bits = ShardFiles(folder, bits), bits
+
+    def values(self, keys: np.ndarray, owners: np.ndarray) -> np.ndarray:
+        """The ``ENTRY`` numbers of each key, zeros where there is none.
+        ``owners``: the hashes that tell the shards."""
+        uniq, at, back = np.unique(keys, return_index=True, return_inverse=True)
+        shard = _shard(owners[at], self.bits)
+        order = np.argsort(shard, kind="stable")  # within a shard in hash order
+        out = np.zeros((len(uniq), ENTRY))
+        for part, have in self.files.parts(shard[order]):
+            who = order[part]
+            out[who] = self._found(uniq[who], have)
         return out[back.reshape(-1)]
 
+    @staticmethod
+    def _found(keys: np.ndarray, have: dict[str, np.ndarray]) -> np.ndarray:
+        n = len(have["high"])
+        out = np.zeros((len(keys), ENTRY))
+        if not n:
+            return out
+        bits = int(have["bits"][0])
+        bucket = (keys >> _U(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+        rest = (keys << _U(bits)) >> _U(64 - REST)
+        lo, end = have["index"][bucket].astype(np.int64), have["index"][bucket + 1].astype(np.int64)
+        hi = end.copy()
+        read = lambda i: (have["high"][i].astype(np.uint64) << _U(8)) | have["low"][i]
+        for _ in range(int((hi - lo).max(initial=0)).bit_length()):
+            middle = (lo + hi) // 2
+            less = (lo < hi) & (read(np.minimum(middle, n - 1)) < rest)
+            lo, hi = np.where(less, middle + 1, lo), np.where(less, hi, middle)
+        there = lo < end
+        there[there] = read(lo[there]) == rest[there]
+        out[there] = have["table"][have["code"][lo[there]]]
+        return out
+
 
 # --------------------------------------------------------------- counting --
 
@@ -129,12 +208,12 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _write_vocab(folder: str):
-    """Rows (shard, h, c) in order -> arrays; a row (shard, words, tokens) each."""
+    """Rows (shard, h, c) in order -> files; a row (shard, words, tokens) each."""
 
     def flush(shard, parts):
         keys = np.concatenate([p[0] for p in parts]).view(np.uint64)
         counts = np.concatenate([p[1] for p in parts])
-        _save(folder, shard, keys=keys, counts=counts)
+        _save(f"{folder}/{shard:07d}.arrays", keys=keys, counts=counts)
         return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([len(keys)]), pa.array([int(counts.sum())])],
                                           ["shard", "words", "tokens"])
 
@@ -157,26 +236,27 @@ def _write_vocab(folder: str):
 
 
 class Vocabulary:
-    """Ids of word hashes: their rank among all training words."""
-
-    def __init__(self, folder: str, bits: int, sizes: dict[int, int]):
-        self.arrays = HashArrays(folder, bits)
-        first = np.zeros((1 << bits) + 1, np.int64)
-        for k, n in sizes.items():
-            first[k + 1] = n
-        self.first = np.cumsum(first)
+    """Ids of word hashes: their rank among all training words.  ``size`` is an
+    unknown word's id, ``size + 1`` what pads the start of a text."""
+
+    def __init__(self, folder: str, bits: int):
+        self.files, self.bits = ShardFiles(folder, bits), bits
+        self.first = np.load(f"{folder}/first.npy")
         self.size = int(self.first[-1])
-        if self.size >= int(BOS):
-            raise ValueError("more than 2**32 distinct words")
+        self.start = self.size + 1
+        self.kind = np.uint32 if self.start < 1 << 32 else np.uint64
 
     def ids(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Id (an unknown word's: the vocabulary's size) and training count."""
         uniq, back = np.unique(hashes, return_inverse=True)
-        ids = np.full(len(uniq), self.size, np.uint32)
+        ids = np.full(len(uniq), self.size, self.kind)
         counts = np.zeros(len(uniq), np.int64)
-        for shard, part, there, at in self.arrays.find(uniq):
-            ids[part] = np.where(there, at + self.first[shard], self.size)
-            counts[part] = np.where(there, self.arrays._file(shard, "counts")[at], 0)
+        shard = _shard(uniq, self.bits)
+        for part, have in self.files.parts(shard):
+            at = np.minimum(np.searchsorted(have["keys"], uniq[part]), len(have["keys"]) - 1)
+            there = have["keys"][at] == uniq[part]
+            ids[part] = np.where(there, at + self.first[shard[part.start]], self.size)
+            counts[part] = np.where(there, have["counts"][at], 0)
         back = back.reshape(-1)
         return ids[back], counts[back]
 
@@ -189,14 +269,14 @@ def _sequence(c: Chunk, vocab: Vocabulary, order: int):
     n = np.diff(first) + 1
     bound = np.cumsum(np.append(0, n))
     text = np.repeat(np.arange(len(c)), n)
-    token = np.empty(bound[-1], np.uint32)
+    token = np.empty(bound[-1], vocab.kind)
     count = np.empty(bound[-1], np.int64)
     last = np.zeros(bound[-1], bool)
     last[bound[1:] - 1] = True
     token[~last], count[~last] = ids[:-1], counts[:-1]
     token[last], count[last] = ids[-1], counts[-1]
     at = np.arange(bound[-1]) + (text + 1) * (order - 1)
-    flat = np.full(bound[-1] + len(c) * (order - 1), BOS, np.uint32)
+    flat = np.full(bound[-1] + len(c) * (order - 1), vocab.start, vocab.kind)
     flat[at] = token
     return flat, at, count, bound
 
@@ -209,103 +289,145 @@ def _gram_keys(columns: list[np.ndarray]) -> np.ndarray:
     return h
 
 
-def _blocks(grams: np.ndarray, vals: np.ndarray, bits: int, kind: int | None = None):
+def _owners(columns: list[np.ndarray]) -> np.ndarray:
+    """Hash that tells an n-gram's shard: its suffix's, a single word's own."""
+    return _gram_keys(columns[1:] or columns)
+
+
+def _in_order(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Rows sorted by columns, and where each run of equal rows begins."""
+    widths = [int(c.max(initial=0)).bit_length() for c in columns]
+    if sum(widths) <= 64:
+        key = columns[0].astype(np.uint64)
+        for c, w in zip(columns[1:], widths[1:]):
+            key = (key << _U(w)) | c.astype(np.uint64)
+        order = np.argsort(key)
+        key = key[order]
+        new = key[1:] != key[:-1]
+    else:
+        order = np.lexsort(columns[::-1])
+        new = np.logical_or.reduce([c[order][1:] != c[order][:-1] for c in columns])
+    return order, np.flatnonzero(np.append(len(order) > 0, new))
+
+
+def _grouped(grams: np.ndarray, vals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams (rows) in order and their summed values."""
+    if not len(grams):
+        return grams, vals
+    order, head = _in_order([grams[:, k] for k in range(grams.shape[1])])
+    return grams[order[head]], np.add.reduceat(vals[order], head, axis=0)
+
+
+def _packed(grams: np.ndarray, vals: np.ndarray) -> bytes:
+    """A sorted block, compressed: the first words as differences, all
+    columns as planes of bytes of one weight."""
+    first = grams[:, :1].copy()
+    first[1:] -= grams[:-1, :1]
+    ids = np.concatenate([first, grams[:, 1:]], axis=1)
+    planes = [np.ascontiguousarray(ids.T).view(np.uint8).reshape(-1, grams.dtype.itemsize).T.tobytes(),
+              np.ascontiguousarray(vals.T.astype("<i8")).view(np.uint8).reshape(-1, 8).T.tobytes()]
+    raw = b"".join(planes)
+    shape = np.array([*grams.shape, vals.shape[1], grams.dtype.itemsize, len(raw)], "<i8")
+    return shape.tobytes() + pa.compress(raw, "zstd", asbytes=True)
+
+
+def _unpacked(data) -> tuple[np.ndarray, np.ndarray]:
+    n, k, m, width, size = np.frombuffer(data, "<i8", 5)
+    raw = np.frombuffer(pa.decompress(memoryview(data)[40:], int(size), "zstd", asbytes=True), np.uint8)
+    cut = n * k * width
+    ids = np.ascontiguousarray(raw[:cut].reshape(width, -1).T).view(f"<u{width}").reshape(k, n).T.copy()
+    ids[:, 0] = np.cumsum(ids[:, 0], dtype=ids.dtype)
+    return ids, np.ascontiguousarray(raw[cut:].reshape(8, -1).T).view("<i8").reshape(m, n).T
+
+
+def _blocks(grams: np.ndarray, vals: np.ndarray, bits: int, kind: int):
     """One row per shard of n-grams (n x order) and their values."""
     if not len(grams):
         return
-    key = _gram_keys([grams[:, k] for k in range(grams.shape[1])])
-    order = np.argsort(key)
-    shard = _shard(key[order], bits)
+    columns = [grams[:, k] for k in range(grams.shape[1])]
+    shard = _shard(_owners(columns), bits)
+    order, _ = _in_order([shard, *columns])
+    shard, grams, vals = shard[order], grams[order], vals[order]
     cut = np.append(np.append(0, np.flatnonzero(np.diff(shard)) + 1), len(shard))
-    grams, vals = grams[order], vals[order]
-    cols = [pa.array(shard[cut[:-1]], pa.int32()),
-            pa.array([np.asfortranarray(grams[a:b]).tobytes("F") for a, b in zip(cut[:-1], cut[1:])], pa.binary()),
-            pa.array([vals[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())]
-    names = ["shard", "grams", "vals"]
-    if kind is not None:
-        cols.append(pa.array(np.full(len(cut) - 1, kind), pa.int32()))
-        names.append("kind")
-    yield pa.RecordBatch.from_arrays(cols, names)
-
-
-def _grouped(grams: np.ndarray, vals: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct n-grams in key order, their keys and summed values."""
-    key = _gram_keys([grams[:, k] for k in range(grams.shape[1])])
-    order = np.argsort(key, kind="stable")
-    key = key[order]
-    head = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-    return key[head], grams[order[head]], np.add.reduceat(vals[order], head, axis=0)
-
-
-def _count_grams(vocab: Vocabulary, order: int, bits: int):
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(shard[cut[:-1]], pa.int32()), pa.array(np.full(len(cut) - 1, kind), pa.int32()),
+         pa.array([_packed(grams[a:b], vals[a:b]) for a, b in zip(cut[:-1], cut[1:])], pa.binary())], ["shard", "kind", "data"])
+
+
+def _count_grams(folder: str, vocab_bits: int, order: int, bits: int):
     def run(batches):
-        grams, vals = np.zeros((0, order), np.uint32), np.zeros(0)
+        vocab = Vocabulary(folder, vocab_bits)
+        grams, vals = np.zeros((0, order), vocab.kind), np.zeros((0, 1), np.int64)
         for batch in batches:
             for c in chunks(batch.column("text"), fold=True):
                 flat, at, _, _ = _sequence(c, vocab, order)
                 new = np.stack([flat[at - order + 1 + k] for k in range(order)], axis=1)
-                _, new, n = _grouped(new, np.ones(len(new)))
+                new, n = _grouped(new, np.ones((len(new), 1), np.int64))
                 grams, vals = np.concatenate([grams, new]), np.concatenate([vals, n])
                 if len(grams) > FLUSH:
-                    _, grams, vals = _grouped(grams, vals)
+                    grams, vals = _grouped(grams, vals)
                     if 2 * len(grams) > FLUSH:
-                        yield from _blocks(grams, vals.astype(np.float32), bits)
+                        yield from _blocks(grams, vals, bits, GRAM)
                         grams, vals = grams[:0], vals[:0]
-        if len(grams):
-            _, grams, vals = _grouped(grams, vals)
-            yield from _blocks(grams, vals.astype(np.float32), bits)
+        yield from _blocks(*_grouped(grams, vals), bits, GRAM)
 
     return tidy(run)
 
 
-def _shards(batches, order: int, width: int):
-    """Whole shards of sorted block rows: (shard, grams, values)."""
-    now, grams, vals = None, [], []
-    for batch in batches:
-        for k, g, v in zip(batch.column("shard").to_pylist(), batch.column("grams"), batch.column("vals")):
-            if k != now and grams:
-                yield now, np.concatenate(grams), np.concatenate(vals)
-                grams, vals = [], []
-            now = k
-            grams.append(np.frombuffer(g.as_buffer(), np.uint32).reshape(order, -1).T)
-            vals.append(np.frombuffer(v.as_buffer(), np.float32).reshape(-1, width))
-    if grams:
-        yield now, np.concatenate(grams), np.concatenate(vals)
-
+def _shards(batches, order: int, kind):
+    """Whole shards of sorted block rows: (shard, n-grams and their counts,
+    contexts and their sums).  Rows of counts come through as they are."""
+    none = lambda m: (np.zeros((0, order), kind), np.zeros((0, m), np.int64))
+    now, held = None, {GRAM: [none(1)], CONTEXT: [none(4)]}
 
-NEXT, CONTEXT, COUNTS = 0, 1, 2
+    def done():
+        return [(np.concatenate([g for g, _ in held[k]]), np.concatenate([v for _, v in held[k]])) for k in (GRAM, CONTEXT)]
 
-
-def _merge_order(folder: str, order: int, bits: int):
-    """Sum one order's blocks, write its arrays, and emit what the next lower
+    for batch in batches:
+        for shard, what, data in zip(batch.column("shard").to_pylist(), batch.column("kind").to_pylist(), batch.column("data")):
+            if what == COUNTS:
+                yield shard, data.as_py(), None
+                continue
+            if shard != now and now is not None:
+                yield now, *done()
+                held = {GRAM: [none(1)], CONTEXT: [none(4)]}
+            now = shard
+            held[what].append(_unpacked(data.as_buffer()))
+    if now is not None:
+        yield now, *done()
+
+
+def _counts_row(shard: int, data: bytes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([COUNTS], pa.int32()), pa.array([data], pa.binary())],
+                                      ["shard", "kind", "data"])
+
+
+def _merge_order(folder: str, order: int, bits: int, start: int):
+    """Sum one order's blocks, write its entries, and send what the next lower
     order and the contexts need, and how many n-grams are counted 1 to 4 times."""
+    kind = np.uint32 if start < 1 << 32 else np.uint64
 
     def run(batches):
-        for shard, grams, vals in _shards(batches, order, 1):
-            key, grams, a = _grouped(grams, vals.astype(np.float64))
+        for shard, found, contexts in _shards(batches, order, kind):
+            if contexts is None:
+                yield _counts_row(shard, found)
+                continue
+            grams, a = _grouped(*found)
+            heads, of_heads = _grouped(*contexts)
             a = a[:, 0]
-            _save(folder, shard, keys=key, counts=a.astype(np.float32))
-            once = np.stack([a, a == 1, a == 2, a >= 3], axis=1)
-            if order > 1:
-                tail = grams[:, 1:]
-                _, tail, n = _grouped(tail, np.where(tail[:, 0] == BOS, a, 1.0))
-                yield from _blocks(tail, n.astype(np.float32), bits, NEXT)
-                _, head, n = _grouped(grams[:, :-1], once)
-                yield from _blocks(head, n.astype(np.float32), bits, CONTEXT)
-            total = np.concatenate([[(a == k).sum() for k in (1, 2, 3, 4)], once.sum(axis=0)])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([shard], pa.int32()), pa.nulls(1, pa.binary()), pa.array([total.tobytes()], pa.binary()),
-                 pa.array([COUNTS], pa.int32())], ["shard", "grams", "vals", "kind"])
-
-    return tidy(run)
-
-
-def _merge_contexts(folder: str, order: int):
-    def run(batches):
-        for shard, grams, vals in _shards(batches, order, 4):
-            key, _, sums_ = _grouped(grams, vals.astype(np.float64))
-            _save(folder, shard, keys=key, sums=sums_)
-            yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32())], ["shard"])
+            key, head_key = (_gram_keys([g[:, k] for k in range(order)]) for g in (grams, heads))
+            every = np.unique(np.concatenate([key, head_key]))
+            values = np.zeros((len(every), ENTRY), np.int64)
+            values[np.searchsorted(every, key), 0] = a
+            values[np.searchsorted(every, head_key), 1:] = of_heads
+            save_entries(f"{folder}/{shard:07d}.arrays", every, values)
+            once = np.stack([a, a == 1, a == 2, a >= 3], axis=1).astype(np.int64)
+            if order > 1 and len(grams):
+                tail, n = _grouped(grams[:, 1:], np.where(grams[:, 1] == start, a, 1)[:, None])
+                yield from _blocks(tail, n, bits, GRAM)
+                yield from _blocks(*_grouped(grams[:, :-1], once), bits, CONTEXT)
+            total = np.concatenate([[order], [(a == k).sum() for k in (1, 2, 3, 4)], once.sum(axis=0)])
+            yield _counts_row(shard, total.astype("<i8").tobytes())
 
     return tidy(run)
 
@@ -315,6 +437,17 @@ def _by_shard(blocks: DataFrame, bits: int) -> DataFrame:
     return blocks.repartitionById(1 << bits, F.col("shard")).sortWithinPartitions("shard")
 
 
+@tidy
+def _totals(batches):
+    for batch in batches:
+        rows = [np.frombuffer(d.as_buffer(), "<i8") for d in batch.column("data")]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array([int(r[i]) for r in rows]) for i in range(9)], _TOTAL)
+
+
+_TOTAL = ["n", *(f"c{i}" for i in range(8))]
+
+
 def discounts(n: np.ndarray) -> np.ndarray:
     """D1, D2, D3+ from the numbers of n-grams counted 1, 2, 3 and 4 times."""
     if (n[:4] <= 0).any():
@@ -325,14 +458,13 @@ def discounts(n: np.ndarray) -> np.ndarray:
 
 
 class KneserNey:
-    """A trained model: where its arrays lie and the few numbers beside them."""
+    """A trained model: where its files lie and the few numbers beside them."""
 
-    def __init__(self, folder, order, vocab_bits, bits, sizes, tokens, counts):
-        self.folder, self.order, self.vocab_bits, self.bits = folder, order, vocab_bits, bits
-        self.sizes, self.tokens, self.counts = sizes, tokens, counts
+    def __init__(self, folder, order, bits, tokens, counts):
+        self.folder, self.order, self.bits, self.tokens, self.counts = folder, order, bits, tokens, counts
 
     def save(self) -> None:
-        """Write the numbers beside the arrays, as JSON."""
+        """Write the numbers beside the files, as JSON."""
         state = {k: v for k, v in vars(self).items() if k not in ("folder", "counts")}
         state["counts"] = [list(map(float, c)) for c in self.counts]
         write_atomic(f"{self.folder}/model.json", lambda f: f.write(json.dumps(state).encode()))
@@ -341,24 +473,23 @@ class KneserNey:
     def load(folder: str) -> KneserNey:
         with open(f"{folder}/model.json") as f:
             s = json.load(f)
-        return KneserNey(folder, s["order"], s["vocab_bits"], s["bits"], {int(k): v for k, v in s["sizes"].items()},
-                         s["tokens"], [np.array(c) for c in s["counts"]])
+        return KneserNey(folder, s["order"], s["bits"], s["tokens"], [np.array(c) for c in s["counts"]])
 
     def vocabulary(self) -> Vocabulary:
-        return Vocabulary(f"{self.folder}/vocab", self.vocab_bits, self.sizes)
+        return Vocabulary(f"{self.folder}/vocab", self.bits)
 
-    def log10(self, flat: np.ndarray, at: np.ndarray, vocab: Vocabulary, arrays: list, contexts: list) -> np.ndarray:
+    def log10(self, flat: np.ndarray, at: np.ndarray, vocab: Vocabulary, entries: list[Entries]) -> np.ndarray:
         """log10 p of the tokens at ``at`` given what stands before them."""
         p = np.full(len(at), 1.0 / (vocab.size + 1))
         for n in range(1, self.order + 1):
             c = self.counts[n - 1]
             d = discounts(c)
             cols = [flat[at - n + 1 + k] for k in range(n)]
-            a = arrays[n - 1].values(_gram_keys(cols), "counts")[:, 0]
+            a = entries[n - 1].values(_gram_keys(cols), _owners(cols))[:, 0]
             if n == 1:
                 s = np.broadcast_to(c[4:8], (len(at), 4))
             else:
-                s = contexts[n - 2].values(_gram_keys(cols[:-1]), "sums", 4)
+                s = entries[n - 2].values(_gram_keys(cols[:-1]), _owners(cols[:-1]))[:, 1:]
             off = np.where(a >= 3, d[2], np.where(a == 2, d[1], np.where(a > 0, d[0], 0.0)))
             with np.errstate(divide="ignore", invalid="ignore"):
                 q = (np.maximum(a - off, 0) + (s[:, 1:] @ d) * p) / s[:, 0]
@@ -368,7 +499,11 @@ class KneserNey:
 
 def train(docs: DataFrame, order: int = 3, text: str = "text") -> KneserNey:
     """Count a model of the texts of all rows.  Null texts count as empty: an
-    end only.  An empty table gives a model of no words (all scores uniform)."""
+    end only.  Repeated rows count each time; other columns, whatever their
+    names, are ignored.  An empty table gives a model of no words (all scores
+    uniform).  Where a corpus has no n-gram counted 1, 2, 3 or 4 times, the
+    usual discounts are undefined and 0.5, 1 and 1.5 stand for that order; others
+    are kept between 0.05 and their count."""
     spark = docs.sparkSession
     folder = mapped_path(scratch(spark, "kneser-ney"))
     docs = docs.select(F.col(text).cast("string").alias("text"))
@@ -376,23 +511,20 @@ def train(docs: DataFrame, order: int = 3, text: str = "text") -> KneserNey:
     words = docs.mapInArrow(_word_counts, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
     words = words.select(F.shiftrightunsigned("h", 64 - bits).cast("int").alias("shard"), "h", "c")
     done = (words.repartitionById(1 << bits, F.col("shard")).sortWithinPartitions("shard", "h")
-            .mapInArrow(_write_vocab(f"{folder}/vocab"), "shard int, words long, tokens long").collect())
-    model = KneserNey(folder, order, bits, bits, {r["shard"]: r["words"] for r in done}, sum(r["tokens"] for r in done), [])
-    vocab = model.vocabulary()
-    blocks = docs.mapInArrow(_count_grams(vocab, order, bits), BLOCK)
-    found = {}
+            .mapInArrow(_write_vocab(f"{folder}/vocab"), "shard int, words long, tokens long").collect())  # one row a shard
+    first = np.zeros((1 << bits) + 1, np.int64)
+    for r in done:
+        first[r["shard"] + 1] = r["words"]
+    write_atomic(f"{folder}/vocab/first.npy", lambda f: np.save(f, np.cumsum(first)))
+    start = int(first.sum()) + 1
+    rows = docs.mapInArrow(_count_grams(f"{folder}/vocab", bits, order, bits), BLOCK)
     for n in range(order, 0, -1):
-        out = stage(_by_shard(blocks, bits).mapInArrow(_merge_order(f"{folder}/order{n}", n, bits), BLOCK + ", kind int"),
-                    folder, f"emitted{n}")
-        total = np.zeros(8)
-        for r in out.where(F.col("kind") == COUNTS).select("vals").collect():
-            total += np.frombuffer(r["vals"])
-        found[n] = total
-        blocks = out.where(F.col("kind") == NEXT).drop("kind")
-        if n > 1:
-            _by_shard(out.where(F.col("kind") == CONTEXT).drop("kind"), bits).mapInArrow(
-                _merge_contexts(f"{folder}/context{n}", n - 1), "shard int").count()
-    model.counts = [found[n] for n in range(1, order + 1)]
+        rows = _by_shard(rows, bits).mapInArrow(_merge_order(f"{folder}/order{n}", n, bits, start), BLOCK)
+    found = {n: np.zeros(8) for n in range(1, order + 1)}
+    totals = rows.mapInArrow(_totals, ", ".join(f"{c} long" for c in _TOTAL)).groupBy("n").agg(*[F.sum(c) for c in _TOTAL[1:]])
+    for r in totals.collect():  # one row an order
+        found[r[0]] = np.array(r[1:], float)
+    model = KneserNey(folder, order, bits, sum(r["tokens"] for r in done), [found[n] for n in range(1, order + 1)])
     model.save()
     return model
 
@@ -401,12 +533,11 @@ _loaded: dict[str, tuple] = {}
 
 
 def _opened(folder: str):
-    """The model's mapped arrays, opened once per worker."""
+    """The model's mapped files, opened once per worker."""
     if folder not in _loaded:
         _loaded.clear()
         m = KneserNey.load(folder)
-        _loaded[folder] = (m, m.vocabulary(), [HashArrays(f"{folder}/order{n}", m.bits) for n in range(1, m.order + 1)],
-                           [HashArrays(f"{folder}/context{n}", m.bits) for n in range(2, m.order + 1)])
+        _loaded[folder] = (m, m.vocabulary(), [Entries(f"{folder}/order{n}", m.bits) for n in range(1, m.order + 1)])
     return _loaded[folder]
 
 
@@ -415,12 +546,12 @@ SCORES = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
 def _score(folder: str, column: str):
     def run(batches):
-        model, vocab, arrays, contexts = _opened(folder)
+        model, vocab, entries = _opened(folder)
         for batch in batches:
             for c in chunks(batch.column(column), fold=True):
                 flat, at, count, bound = _sequence(c, vocab, model.order)
                 base = np.log10((count + 1.0) / (model.tokens + vocab.size + 1.0))
-                score = model.log10(flat, at, vocab, arrays, contexts)
+                score = model.log10(flat, at, vocab, entries)
                 part = batch.slice(c.start, len(c)).drop_columns([column])
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(np.diff(bound), pa.int64()), pa.array(sums(count > 0, bound), pa.int64()),
@@ -434,7 +565,9 @@ def score(docs: DataFrame, model: KneserNey, text: str = "text", keep: list[str]
     """``keep`` columns of every row with its tokens (the end is one), those
     seen in training, the training tokens, the add-one unigram score and the
     model's score, both log10 probabilities of the text.  A null text is an
-    empty one: its end alone.  Perplexity: ``10 ** (-score / n_tokens)``."""
+    empty one: its end alone.  Perplexity: ``10 ** (-score / n_tokens)``.
+    Repeated rows score alike, an empty table gives no rows, columns of ``docs``
+    that are not kept do not matter, whatever their names."""
     column = fresh(keep, "text")
     rows = docs.select(*keep, F.col(text).cast("string").alias(column))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != column)

@@ -2,11 +2,11 @@
 
 Counting, in Spark:
 
-- words are counted by 64-bit hash; the sorted hashes are the vocabulary and a
-  word's id is its rank;
+- words are counted by 64-bit hash; the sorted hashes are the vocabulary, and
+  ids are dealt by falling count, so frequent words have small ones;
 - each task counts its n-grams of ids and sends them, as sorted and compressed
-  blocks, to shards by the hash of the n-gram's last n - 1 words, so a frequent
-  word's n-grams spread over all shards, and a shard holds all n-grams of a suffix;
+  blocks, to shards by the hash of the n-gram's first n - 1 words, so a frequent
+  word's n-grams spread over all shards, and a shard holds all n-grams of a context;
 - a shard sums its blocks, writes its entries and sends on, for the next lower
   order, each suffix with what is counted there (distinct words to its left;
   raw counts after the start of a text), and each prefix with the sums of that
@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricefold.llm.shared import fresh, mapped_path, scratch, text_bytes, tidy, write_atomic
-from pricefold.llm.tokens import NON_SPACE, Chunk, chunks, combine, mix, sums
+from pricefold.llm.tokens import CHUNK, NON_SPACE, Chunk, chunks, combine, mix, sums
 
 _U = np.uint64
 END = mix(np.array([0xE0F], np.uint64))  # hash of the token that ends a text
@@ -125,11 +125,33 @@ def save_entries(path: str, keys: np.ndarray, values: np.ndarray) -> None:
     bits = max(0, int(np.ceil(np.log2(max(len(keys), 1) / 16)))) if len(keys) > 16 else 0
     bucket = (keys >> _U(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
     rest = (keys << _U(bits)) >> _U(64 - REST)
-    table, code = np.unique(values, axis=0, return_inverse=True)
+    table, code = _coded(values)
     small = np.uint8 if len(table) <= 1 << 8 else np.uint16 if len(table) <= 1 << 16 else np.uint32
     index = np.searchsorted(bucket, np.arange((1 << bits) + 1))
     _save(path, bits=np.array([bits]), index=index.astype(np.uint32 if len(keys) < 1 << 32 else np.uint64), high=(rest >> _U(8)).astype(np.uint32),
-          low=(rest & _U(255)).astype(np.uint8), code=code.reshape(-1).astype(small), table=table.reshape(-1, ENTRY).astype(np.uint64))
+          low=(rest & _U(255)).astype(np.uint8), code=code.astype(small), table=table.astype(np.uint64))
+
+
+def _coded(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows and each row's number among them."""
+    widths = [int(c.max(initial=0)).bit_length() for c in values.T]
+    if sum(widths) > 62:
+        table, code = np.unique(values, axis=0, return_inverse=True)
+        return table, code.reshape(-1)
+    key = np.zeros(len(values), np.int64)
+    for c, w in zip(values.T, widths):
+        key = (key << w) | c
+    if sum(widths) <= 20:  # few enough to be counted off
+        seen = np.zeros(1 << sum(widths), bool)
+        seen[key] = True
+        found, code = np.flatnonzero(seen), (np.cumsum(seen) - 1)[key]
+    else:
+        found, code = np.unique(key, return_inverse=True)
+    columns = []
+    for w in reversed(widths):
+        columns.append(found & ((1 << w) - 1))
+        found = found >> w
+    return np.stack(columns[::-1], axis=1), code.reshape(-1)
 
 
 class Entries:
@@ -138,66 +160,77 @@ class Entries:
     def __init__(self, folder: str, bits: int):
         self.files, self.bits = ShardFiles(folder, bits), bits
 
-    def values(self, keys: np.ndarray, owners: np.ndarray) -> np.ndarray:
-        """The ``ENTRY`` numbers of each key, zeros where there is none.
-        ``owners``: the hashes that tell the shards."""
-        uniq, at, back = np.unique(keys, return_index=True, return_inverse=True)
-        shard = _shard(owners[at], self.bits)
-        order = np.argsort(shard, kind="stable")  # within a shard in hash order
-        out = np.zeros((len(uniq), ENTRY))
-        for part, have in self.files.parts(shard[order]):
-            who = order[part]
-            out[who] = self._found(uniq[who], have)
-        return out[back.reshape(-1)]
+    def values(self, keys: np.ndarray) -> np.ndarray:
+        """The ``ENTRY`` numbers of each key, zeros where there is none."""
+        order = np.argsort(keys)  # by shard, then hash
+        found = keys[order]
+        new = np.append(len(found) > 0, found[1:] != found[:-1])
+        uniq = found[new]
+        got = np.zeros((len(uniq), ENTRY))
+        for part, have in self.files.parts(_shard(uniq, self.bits)):
+            self._find(uniq[part] << _U(self.bits), have, got[part])
+        out = np.empty((len(keys), ENTRY))
+        out[order] = got[np.cumsum(new) - 1]
+        return out
 
     @staticmethod
-    def _found(keys: np.ndarray, have: dict[str, np.ndarray]) -> np.ndarray:
-        n = len(have["high"])
-        out = np.zeros((len(keys), ENTRY))
+    def _find(keys: np.ndarray, have: dict[str, np.ndarray], out: np.ndarray) -> None:
+        high, low, n = have["high"], have["low"], len(have["high"])
         if not n:
-            return out
+            return
         bits = int(have["bits"][0])
         bucket = (keys >> _U(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
         rest = (keys << _U(bits)) >> _U(64 - REST)
+        want, last = (rest >> _U(8)).astype(np.uint32), (rest & _U(255)).astype(np.uint8)
         lo, end = have["index"][bucket].astype(np.int64), have["index"][bucket + 1].astype(np.int64)
         hi = end.copy()
-        read = lambda i: (have["high"][i].astype(np.uint64) << _U(8)) | have["low"][i]
         for _ in range(int((hi - lo).max(initial=0)).bit_length()):
-            middle = (lo + hi) // 2
-            less = (lo < hi) & (read(np.minimum(middle, n - 1)) < rest)
+            middle = (lo + hi) >> 1
+            less = (lo < hi) & (high[np.minimum(middle, n - 1)] < want)
             lo, hi = np.where(less, middle + 1, lo), np.where(less, hi, middle)
-        there = lo < end
-        there[there] = read(lo[there]) == rest[there]
-        out[there] = have["table"][have["code"][lo[there]]]
-        return out
+        live = np.flatnonzero(lo < end)
+        live = live[high[lo[live]] == want[live]]
+        while len(live):  # nearly always the first
+            hit = low[lo[live]] == last[live]
+            out[live[hit]] = have["table"][have["code"][lo[live[hit]]]]
+            live = live[~hit]
+            lo[live] += 1
+            live = live[lo[live] < end[live]]
+            live = live[high[lo[live]] == want[live]]
 
 
 # --------------------------------------------------------------- counting --
 
-@tidy
-def _word_counts(batches):
-    """(hash, count) of words and ends, summed over what a task holds."""
-    keys, counts, pending = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+def _word_counts(bits: int):
+    """Sorted blocks (shard, hashes, counts) of words and ends, summed over what a task holds."""
 
     def rows(k, n):
-        return pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(n)], ["h", "c"])
+        shard = _shard(k, bits)
+        cut = np.append(np.append(0, np.flatnonzero(np.diff(shard)) + 1), len(shard))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(shard[cut[:-1]], pa.int32()), pa.array(np.zeros(len(cut) - 1), pa.int32()),
+             pa.array([_packed(k[a:b, None], n[a:b, None]) for a, b in zip(cut[:-1], cut[1:])], pa.binary())], ["shard", "kind", "data"])
 
-    for batch in batches:
-        for c in chunks(batch.column("text"), fold=True):
-            s, e, _ = c.spans(NON_SPACE)
-            u, n = np.unique(c.hashes(s, e), return_counts=True)
-            keys += [u, END]
-            counts += [n, np.array([len(c)])]
-            pending += len(u)
-            if pending > FLUSH // 4:
-                k, n = _summed(np.concatenate(keys), np.concatenate(counts))
-                if len(k) > FLUSH:
-                    yield rows(k, n)
-                    k, n = k[:0], n[:0]
-                keys, counts, pending = [k], [n], 0
-    k, n = _summed(np.concatenate(keys), np.concatenate(counts))
-    if len(k):
-        yield rows(k, n)
+    def run(batches):
+        keys, counts, pending = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+        for batch in batches:
+            for c in chunks(batch.column("text"), fold=True):
+                s, e, _ = c.spans(NON_SPACE)
+                u, n = np.unique(c.hashes(s, e), return_counts=True)
+                keys += [u, END]
+                counts += [n, np.array([len(c)])]
+                pending += len(u)
+                if pending > FLUSH // 4:
+                    k, n = _summed(np.concatenate(keys), np.concatenate(counts))
+                    if len(k) > FLUSH:
+                        yield rows(k, n)
+                        k, n = k[:0], n[:0]
+                    keys, counts, pending = [k], [n], 0
+        k, n = _summed(np.concatenate(keys), np.concatenate(counts))
+        if len(k):
+            yield rows(k, n)
+
+    return tidy(run)
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -208,27 +241,25 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _write_vocab(folder: str):
-    """Rows (shard, h, c) in order -> files; a row (shard, words, tokens) each."""
+    """Blocks of words, shard by shard -> files; a row (shard, words, tokens) each."""
 
     def flush(shard, parts):
-        keys = np.concatenate([p[0] for p in parts]).view(np.uint64)
-        counts = np.concatenate([p[1] for p in parts])
-        _save(f"{folder}/{shard:07d}.arrays", keys=keys, counts=counts)
+        keys, counts = _summed(np.concatenate([k[:, 0] for k, _ in parts]), np.concatenate([c[:, 0] for _, c in parts]))
+        rank = np.empty(len(keys), np.int64)
+        rank[np.argsort(-counts, kind="stable")] = np.arange(len(keys))
+        _save(f"{folder}/{shard:07d}.arrays", keys=keys, counts=counts, rank=rank)
         return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([len(keys)]), pa.array([int(counts.sum())])],
                                           ["shard", "words", "tokens"])
 
     def run(batches):
         now, parts = None, []
         for batch in batches:
-            shard, h, c = (batch.column(n).to_numpy() for n in ("shard", "h", "c"))
-            cut = np.append(np.append(0, np.flatnonzero(np.diff(shard)) + 1), len(shard))
-            for a, b in zip(cut[:-1], cut[1:]):
-                if a < b:
-                    if parts and shard[a] != now:
-                        yield flush(now, parts)
-                        parts = []
-                    now = int(shard[a])
-                    parts.append((h[a:b], c[a:b]))
+            for shard, data in zip(batch.column("shard").to_pylist(), batch.column("data")):
+                if shard != now and parts:
+                    yield flush(now, parts)
+                    parts = []
+                now = shard
+                parts.append(_unpacked(data.as_buffer()))
         if parts:
             yield flush(now, parts)
 
@@ -236,31 +267,35 @@ def _write_vocab(folder: str):
 
 
 class Vocabulary:
-    """Ids of word hashes: their rank among all training words.  ``size`` is an
-    unknown word's id, ``size + 1`` what pads the start of a text."""
+    """Ids of word hashes: rank by count within a shard, dealt over the shards in
+    turn.  ``unknown`` is an unknown word's id, ``start`` what pads the start of a text."""
 
-    def __init__(self, folder: str, bits: int):
-        self.files, self.bits = ShardFiles(folder, bits), bits
-        self.first = np.load(f"{folder}/first.npy")
-        self.size = int(self.first[-1])
-        self.start = self.size + 1
-        self.kind = np.uint32 if self.start < 1 << 32 else np.uint64
+    def __init__(self, folder: str):
+        with open(f"{folder}/sizes.json") as f:
+            sizes = json.load(f)
+        self.files, self.bits, self.size, self.unknown = ShardFiles(folder, sizes["bits"]), sizes["bits"], sizes["size"], sizes["unknown"]
+        self.start = self.unknown + 1
+        self.kind = _kind(self.start)
 
     def ids(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Id (an unknown word's: the vocabulary's size) and training count."""
+        """Id and training count of every word."""
         uniq, back = np.unique(hashes, return_inverse=True)
-        ids = np.full(len(uniq), self.size, self.kind)
+        ids = np.full(len(uniq), self.unknown, self.kind)
         counts = np.zeros(len(uniq), np.int64)
         shard = _shard(uniq, self.bits)
         for part, have in self.files.parts(shard):
             at = np.minimum(np.searchsorted(have["keys"], uniq[part]), len(have["keys"]) - 1)
             there = have["keys"][at] == uniq[part]
-            ids[part] = np.where(there, at + self.first[shard[part.start]], self.size)
+            ids[part] = np.where(there, (have["rank"][at] << self.bits) + shard[part.start], self.unknown)
             counts[part] = np.where(there, have["counts"][at], 0)
         back = back.reshape(-1)
         return ids[back], counts[back]
 
 
+def _kind(largest: int):
+    return np.uint32 if largest < 1 << 32 else np.uint64
+
+
 def _sequence(c: Chunk, vocab: Vocabulary, order: int):
     """The chunk's ids with ``order - 1`` starts before each text and an end
     after it; where its tokens lie; each token's count; tokens before each text."""
@@ -281,17 +316,14 @@ def _sequence(c: Chunk, vocab: Vocabulary, order: int):
     return flat, at, count, bound
 
 
-def _gram_keys(columns: list[np.ndarray]) -> np.ndarray:
-    """Hash of n-grams given as columns of ids, first word first."""
+def _gram_keys(columns: list[np.ndarray], bits: int) -> np.ndarray:
+    """Keys of n-grams given as columns of ids, first word first: the shard, by
+    the hash of the context (a single word's own), then bits of the n-gram's hash."""
     h = mix(columns[0].astype(np.uint64) + _U(1))
+    owner = h
     for c in columns[1:]:
-        h = combine(h, c.astype(np.uint64))
-    return h
-
-
-def _owners(columns: list[np.ndarray]) -> np.ndarray:
-    """Hash that tells an n-gram's shard: its suffix's, a single word's own."""
-    return _gram_keys(columns[1:] or columns)
+        owner, h = h, combine(h, c.astype(np.uint64))
+    return (owner >> _U(64 - bits) << _U(64 - bits)) | (h >> _U(bits))
 
 
 def _in_order(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -315,7 +347,13 @@ def _grouped(grams: np.ndarray, vals: np.ndarray) -> tuple[np.ndarray, np.ndarra
     if not len(grams):
         return grams, vals
     order, head = _in_order([grams[:, k] for k in range(grams.shape[1])])
-    return grams[order[head]], np.add.reduceat(vals[order], head, axis=0)
+    return grams[order[head]], _summed_runs(vals[order], head)
+
+
+def _summed_runs(vals: np.ndarray, head: np.ndarray) -> np.ndarray:
+    if len(head) == len(vals):
+        return vals
+    return np.stack([np.add.reduceat(np.ascontiguousarray(v), head) for v in vals.T], axis=1)
 
 
 def _packed(grams: np.ndarray, vals: np.ndarray) -> bytes:
@@ -341,12 +379,11 @@ def _unpacked(data) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _blocks(grams: np.ndarray, vals: np.ndarray, bits: int, kind: int):
-    """One row per shard of n-grams (n x order) and their values."""
+    """One row per shard of sorted n-grams (n x order) and their values."""
     if not len(grams):
         return
-    columns = [grams[:, k] for k in range(grams.shape[1])]
-    shard = _shard(_owners(columns), bits)
-    order, _ = _in_order([shard, *columns])
+    shard = _shard(_gram_keys([grams[:, k] for k in range(grams.shape[1])], bits), bits)
+    order = np.argsort(shard.astype(np.uint16) if bits <= 16 else shard, kind="stable")
     shard, grams, vals = shard[order], grams[order], vals[order]
     cut = np.append(np.append(0, np.flatnonzero(np.diff(shard)) + 1), len(shard))
     yield pa.RecordBatch.from_arrays(
@@ -354,46 +391,52 @@ def _blocks(grams: np.ndarray, vals: np.ndarray, bits: int, kind: int):
          pa.array([_packed(grams[a:b], vals[a:b]) for a, b in zip(cut[:-1], cut[1:])], pa.binary())], ["shard", "kind", "data"])
 
 
-def _count_grams(folder: str, vocab_bits: int, order: int, bits: int):
+def _count_grams(folder: str, order: int, bits: int):
     def run(batches):
-        vocab = Vocabulary(folder, vocab_bits)
-        grams, vals = np.zeros((0, order), vocab.kind), np.zeros((0, 1), np.int64)
+        vocab = Vocabulary(folder)
+        grams, vals, size = [np.zeros((0, order), vocab.kind)], [np.zeros((0, 1), np.int64)], 0
         for batch in batches:
             for c in chunks(batch.column("text"), fold=True):
                 flat, at, _, _ = _sequence(c, vocab, order)
-                new = np.stack([flat[at - order + 1 + k] for k in range(order)], axis=1)
-                new, n = _grouped(new, np.ones((len(new), 1), np.int64))
-                grams, vals = np.concatenate([grams, new]), np.concatenate([vals, n])
-                if len(grams) > FLUSH:
-                    grams, vals = _grouped(grams, vals)
-                    if 2 * len(grams) > FLUSH:
-                        yield from _blocks(grams, vals, bits, GRAM)
-                        grams, vals = grams[:0], vals[:0]
-        yield from _blocks(*_grouped(grams, vals), bits, GRAM)
+                grams.append(np.stack([flat[at - order + 1 + k] for k in range(order)], axis=1))
+                vals.append(np.ones((len(at), 1), np.int64))
+                size += len(at)
+                if size > FLUSH:
+                    g, v = _grouped(np.concatenate(grams), np.concatenate(vals))
+                    if 2 * len(g) > FLUSH:
+                        yield from _blocks(g, v, bits, GRAM)
+                        g, v = g[:0], v[:0]
+                    grams, vals, size = [g], [v], len(g)
+        yield from _blocks(*_grouped(np.concatenate(grams), np.concatenate(vals)), bits, GRAM)
 
     return tidy(run)
 
 
 def _shards(batches, order: int, kind):
-    """Whole shards of sorted block rows: (shard, n-grams and their counts,
-    contexts and their sums).  Rows of counts come through as they are."""
-    none = lambda m: (np.zeros((0, order), kind), np.zeros((0, m), np.int64))
-    now, held = None, {GRAM: [none(1)], CONTEXT: [none(4)]}
+    """Whole shards of sorted block rows: the n-grams and the ``ENTRY`` numbers
+    that their rows add up to.  Rows of counts come through as they are."""
+    now, held = None, []
 
     def done():
-        return [(np.concatenate([g for g, _ in held[k]]), np.concatenate([v for _, v in held[k]])) for k in (GRAM, CONTEXT)]
+        grams = np.concatenate([g for _, g, _ in held])
+        vals = np.zeros((len(grams), ENTRY), np.int64)
+        at = 0
+        for what, g, v in held:
+            vals[at : at + len(g), slice(0, 1) if what == GRAM else slice(1, ENTRY)] = v
+            at += len(g)
+        return _grouped(grams, vals)
 
     for batch in batches:
         for shard, what, data in zip(batch.column("shard").to_pylist(), batch.column("kind").to_pylist(), batch.column("data")):
             if what == COUNTS:
-                yield shard, data.as_py(), None
+                yield shard, None, data.as_py()
                 continue
-            if shard != now and now is not None:
+            if shard != now and held:
                 yield now, *done()
-                held = {GRAM: [none(1)], CONTEXT: [none(4)]}
+                held = []
             now = shard
-            held[what].append(_unpacked(data.as_buffer()))
-    if now is not None:
+            held.append((what, *_unpacked(data.as_buffer())))
+    if held:
         yield now, *done()
 
 
@@ -405,27 +448,24 @@ def _counts_row(shard: int, data: bytes) -> pa.RecordBatch:
 def _merge_order(folder: str, order: int, bits: int, start: int):
     """Sum one order's blocks, write its entries, and send what the next lower
     order and the contexts need, and how many n-grams are counted 1 to 4 times."""
-    kind = np.uint32 if start < 1 << 32 else np.uint64
+    kind = _kind(start)
 
     def run(batches):
-        for shard, found, contexts in _shards(batches, order, kind):
-            if contexts is None:
-                yield _counts_row(shard, found)
+        for shard, grams, values in _shards(batches, order, kind):
+            if grams is None:
+                yield _counts_row(shard, values)
                 continue
-            grams, a = _grouped(*found)
-            heads, of_heads = _grouped(*contexts)
-            a = a[:, 0]
-            key, head_key = (_gram_keys([g[:, k] for k in range(order)]) for g in (grams, heads))
-            every = np.unique(np.concatenate([key, head_key]))
-            values = np.zeros((len(every), ENTRY), np.int64)
-            values[np.searchsorted(every, key), 0] = a
-            values[np.searchsorted(every, head_key), 1:] = of_heads
-            save_entries(f"{folder}/{shard:07d}.arrays", every, values)
+            key = _gram_keys([grams[:, k] for k in range(order)], bits)
+            by_key = np.argsort(key)
+            save_entries(f"{folder}/{shard:07d}.arrays", key[by_key] << _U(bits), values[by_key])
+            seen = values[:, 0] > 0  # others are contexts only
+            grams, a = grams[seen], values[seen, 0]
             once = np.stack([a, a == 1, a == 2, a >= 3], axis=1).astype(np.int64)
             if order > 1 and len(grams):
-                tail, n = _grouped(grams[:, 1:], np.where(grams[:, 1] == start, a, 1)[:, None])
-                yield from _blocks(tail, n, bits, GRAM)
-                yield from _blocks(*_grouped(grams[:, :-1], once), bits, CONTEXT)
+                yield from _blocks(*_grouped(grams[:, 1:], np.where(grams[:, 1] == start, a, 1)[:, None]), bits, GRAM)
+                head = np.ascontiguousarray(grams[:, :-1])  # in order already
+                first = np.flatnonzero(np.append(True, (head[1:] != head[:-1]).any(axis=1)))
+                yield from _blocks(head[first], _summed_runs(once, first), bits, CONTEXT)
             total = np.concatenate([[order], [(a == k).sum() for k in (1, 2, 3, 4)], once.sum(axis=0)])
             yield _counts_row(shard, total.astype("<i8").tobytes())
 
@@ -476,24 +516,25 @@ class KneserNey:
         return KneserNey(folder, s["order"], s["bits"], s["tokens"], [np.array(c) for c in s["counts"]])
 
     def vocabulary(self) -> Vocabulary:
-        return Vocabulary(f"{self.folder}/vocab", self.bits)
+        return Vocabulary(f"{self.folder}/vocab")
 
     def log10(self, flat: np.ndarray, at: np.ndarray, vocab: Vocabulary, entries: list[Entries]) -> np.ndarray:
         """log10 p of the tokens at ``at`` given what stands before them."""
         p = np.full(len(at), 1.0 / (vocab.size + 1))
+        before = None  # numbers of the (n - 1)-gram that ends at each place: the context of what follows
         for n in range(1, self.order + 1):
             c = self.counts[n - 1]
             d = discounts(c)
-            cols = [flat[at - n + 1 + k] for k in range(n)]
-            a = entries[n - 1].values(_gram_keys(cols), _owners(cols))[:, 0]
-            if n == 1:
-                s = np.broadcast_to(c[4:8], (len(at), 4))
-            else:
-                s = entries[n - 2].values(_gram_keys(cols[:-1]), _owners(cols[:-1]))[:, 1:]
+            found = np.zeros((len(flat), ENTRY))
+            if len(flat) >= n:
+                found[n - 1 :] = entries[n - 1].values(_gram_keys([flat[k : len(flat) - n + 1 + k] for k in range(n)], self.bits))
+            a = found[at, 0]
+            s = np.broadcast_to(c[4:8], (len(at), 4)) if n == 1 else before[at - 1, 1:]
             off = np.where(a >= 3, d[2], np.where(a == 2, d[1], np.where(a > 0, d[0], 0.0)))
             with np.errstate(divide="ignore", invalid="ignore"):
                 q = (np.maximum(a - off, 0) + (s[:, 1:] @ d) * p) / s[:, 0]
             p = np.where(s[:, 0] > 0, q, p)
+            before = found
         return np.log10(p)
 
 
@@ -508,23 +549,21 @@ def train(docs: DataFrame, order: int = 3, text: str = "text") -> KneserNey:
     folder = mapped_path(scratch(spark, "kneser-ney"))
     docs = docs.select(F.col(text).cast("string").alias("text"))
     bits = _bits(text_bytes(docs))
-    words = docs.mapInArrow(_word_counts, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
-    words = words.select(F.shiftrightunsigned("h", 64 - bits).cast("int").alias("shard"), "h", "c")
-    done = (words.repartitionById(1 << bits, F.col("shard")).sortWithinPartitions("shard", "h")
-            .mapInArrow(_write_vocab(f"{folder}/vocab"), "shard int, words long, tokens long").collect())  # one row a shard
-    first = np.zeros((1 << bits) + 1, np.int64)
-    for r in done:
-        first[r["shard"] + 1] = r["words"]
-    write_atomic(f"{folder}/vocab/first.npy", lambda f: np.save(f, np.cumsum(first)))
-    start = int(first.sum()) + 1
-    rows = docs.mapInArrow(_count_grams(f"{folder}/vocab", bits, order, bits), BLOCK)
+    word_bits = max(1, bits - 5)  # words are few beside their text
+    words = _by_shard(docs.mapInArrow(_word_counts(word_bits), BLOCK), word_bits)
+    done = words.mapInArrow(_write_vocab(f"{folder}/vocab"), "shard int, words long, tokens long")
+    most, size, tokens = done.agg(F.max("words"), F.sum("words"), F.sum("tokens")).first()
+    unknown = (most or 0) << word_bits
+    write_atomic(f"{folder}/vocab/sizes.json", lambda f: f.write(json.dumps({"bits": word_bits, "size": size or 0, "unknown": unknown}).encode()))
+    start = unknown + 1
+    rows = docs.mapInArrow(_count_grams(f"{folder}/vocab", order, bits), BLOCK)
     for n in range(order, 0, -1):
         rows = _by_shard(rows, bits).mapInArrow(_merge_order(f"{folder}/order{n}", n, bits, start), BLOCK)
     found = {n: np.zeros(8) for n in range(1, order + 1)}
     totals = rows.mapInArrow(_totals, ", ".join(f"{c} long" for c in _TOTAL)).groupBy("n").agg(*[F.sum(c) for c in _TOTAL[1:]])
     for r in totals.collect():  # one row an order
         found[r[0]] = np.array(r[1:], float)
-    model = KneserNey(folder, order, bits, sum(r["tokens"] for r in done), [found[n] for n in range(1, order + 1)])
+    model = KneserNey(folder, order, bits, tokens or 0, [found[n] for n in range(1, order + 1)])
     model.save()
     return model
 
@@ -548,7 +587,7 @@ def _score(folder: str, column: str):
     def run(batches):
         model, vocab, entries = _opened(folder)
         for batch in batches:
-            for c in chunks(batch.column(column), fold=True):
+            for c in chunks(batch.column(column), limit=4 * CHUNK, fold=True):  # long runs of look-ups in each file
                 flat, at, count, bound = _sequence(c, vocab, model.order)
                 base = np.log10((count + 1.0) / (model.tokens + vocab.size + 1.0))
                 score = model.log10(flat, at, vocab, entries)

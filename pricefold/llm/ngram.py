@@ -96,7 +96,7 @@ class ShardFiles:
             return self.open[shard]
         got = None
         if os.path.exists(self.path(shard)):
-            raw = np.memmap(self.path(shard), np.uint8, "r")
+            raw = np.asarray(np.memmap(self.path(shard), np.uint8, "r"))
             with open(self.path(shard), "rb") as f:
                 line = f.readline()
             got = {}
@@ -160,21 +160,22 @@ class Entries:
     def __init__(self, folder: str, bits: int):
         self.files, self.bits = ShardFiles(folder, bits), bits
 
-    def values(self, keys: np.ndarray) -> np.ndarray:
-        """The ``ENTRY`` numbers of each key, zeros where there is none."""
+    def values(self, keys: np.ndarray, weigh) -> np.ndarray:
+        """What ``weigh`` makes of the ``ENTRY`` numbers of each key (a table's rows
+        -> rows); zeros where there is none."""
         order = np.argsort(keys)  # by shard, then hash
         found = keys[order]
         new = np.append(len(found) > 0, found[1:] != found[:-1])
         uniq = found[new]
-        got = np.zeros((len(uniq), ENTRY))
+        got = np.zeros((len(uniq), weigh(np.zeros((1, ENTRY))).shape[1]))
         for part, have in self.files.parts(_shard(uniq, self.bits)):
-            self._find(uniq[part] << _U(self.bits), have, got[part])
-        out = np.empty((len(keys), ENTRY))
+            self._find(uniq[part] << _U(self.bits), have, weigh(have["table"].astype(float)), got[part])
+        out = np.empty((len(keys), got.shape[1]))
         out[order] = got[np.cumsum(new) - 1]
         return out
 
     @staticmethod
-    def _find(keys: np.ndarray, have: dict[str, np.ndarray], out: np.ndarray) -> None:
+    def _find(keys: np.ndarray, have: dict[str, np.ndarray], table: np.ndarray, out: np.ndarray) -> None:
         high, low, n = have["high"], have["low"], len(have["high"])
         if not n:
             return
@@ -192,7 +193,7 @@ class Entries:
         live = live[high[lo[live]] == want[live]]
         while len(live):  # nearly always the first
             hit = low[lo[live]] == last[live]
-            out[live[hit]] = have["table"][have["code"][lo[live[hit]]]]
+            out[live[hit]] = table[have["code"][lo[live[hit]]]]
             live = live[~hit]
             lo[live] += 1
             live = live[lo[live] < end[live]]
@@ -356,26 +357,38 @@ def _summed_runs(vals: np.ndarray, head: np.ndarray) -> np.ndarray:
     return np.stack([np.add.reduceat(np.ascontiguousarray(v), head) for v in vals.T], axis=1)
 
 
+def _planes(a: np.ndarray) -> tuple[int, bytes]:
+    """Columns of numbers as planes of bytes of one weight, as many as the largest needs."""
+    n = max(1, -(-int(a.max(initial=0)).bit_length() // 8))
+    return n, b"".join((a.T >> a.dtype.type(8 * k)).astype(np.uint8).tobytes() for k in range(n))
+
+
+def _from_planes(raw: np.ndarray, planes: int, rows: int, columns: int, kind) -> np.ndarray:
+    parts = raw.reshape(planes, columns, rows)
+    out = parts[0].astype(kind)
+    for k in range(1, planes):
+        out |= parts[k].astype(kind) << kind(8 * k)
+    return out.T
+
+
 def _packed(grams: np.ndarray, vals: np.ndarray) -> bytes:
-    """A sorted block, compressed: the first words as differences, all
-    columns as planes of bytes of one weight."""
-    first = grams[:, :1].copy()
-    first[1:] -= grams[:-1, :1]
-    ids = np.concatenate([first, grams[:, 1:]], axis=1)
-    planes = [np.ascontiguousarray(ids.T).view(np.uint8).reshape(-1, grams.dtype.itemsize).T.tobytes(),
-              np.ascontiguousarray(vals.T.astype("<i8")).view(np.uint8).reshape(-1, 8).T.tobytes()]
-    raw = b"".join(planes)
-    shape = np.array([*grams.shape, vals.shape[1], grams.dtype.itemsize, len(raw)], "<i8")
-    return shape.tobytes() + pa.compress(raw, "zstd", asbytes=True)
+    """A sorted block, compressed: the first words as differences, all columns
+    as planes of bytes."""
+    ids = grams.copy()
+    ids[1:, 0] -= grams[:-1, 0]
+    wide, first = _planes(ids)
+    deep, second = _planes(vals)
+    shape = np.array([*grams.shape, vals.shape[1], grams.dtype.itemsize, wide, deep], "<i8")
+    return shape.tobytes() + pa.compress(first + second, "zstd", asbytes=True)
 
 
 def _unpacked(data) -> tuple[np.ndarray, np.ndarray]:
-    n, k, m, width, size = np.frombuffer(data, "<i8", 5)
-    raw = np.frombuffer(pa.decompress(memoryview(data)[40:], int(size), "zstd", asbytes=True), np.uint8)
-    cut = n * k * width
-    ids = np.ascontiguousarray(raw[:cut].reshape(width, -1).T).view(f"<u{width}").reshape(k, n).T.copy()
+    n, k, m, width, wide, deep = np.frombuffer(data, "<i8", 6).tolist()
+    cut = n * k * wide
+    raw = np.frombuffer(pa.decompress(memoryview(data)[48:], cut + n * m * deep, "zstd", asbytes=True), np.uint8)
+    ids = _from_planes(raw[:cut], wide, n, k, np.uint32 if width == 4 else np.uint64)
     ids[:, 0] = np.cumsum(ids[:, 0], dtype=ids.dtype)
-    return ids, np.ascontiguousarray(raw[cut:].reshape(8, -1).T).view("<i8").reshape(m, n).T
+    return ids, _from_planes(raw[cut:], deep, n, m, np.int64)
 
 
 def _blocks(grams: np.ndarray, vals: np.ndarray, bits: int, kind: int):
@@ -521,20 +534,22 @@ class KneserNey:
     def log10(self, flat: np.ndarray, at: np.ndarray, vocab: Vocabulary, entries: list[Entries]) -> np.ndarray:
         """log10 p of the tokens at ``at`` given what stands before them."""
         p = np.full(len(at), 1.0 / (vocab.size + 1))
-        before = None  # numbers of the (n - 1)-gram that ends at each place: the context of what follows
+        cut = [discounts(c) for c in self.counts]
+        # the sums of the empty context; then, for each place, those of the (n - 1)-gram that ends before it
+        s, back = self.counts[0][4], self.counts[0][5:8] @ cut[0]
         for n in range(1, self.order + 1):
-            c = self.counts[n - 1]
-            d = discounts(c)
-            found = np.zeros((len(flat), ENTRY))
-            if len(flat) >= n:
-                found[n - 1 :] = entries[n - 1].values(_gram_keys([flat[k : len(flat) - n + 1 + k] for k in range(n)], self.bits))
-            a = found[at, 0]
-            s = np.broadcast_to(c[4:8], (len(at), 4)) if n == 1 else before[at - 1, 1:]
+            d, rest = cut[n - 1], cut[n] if n < self.order else None
+            # count; as a context of the next order: sum, and what its discounts leave over
+            weigh = lambda t, rest=rest: t[:, :1] if rest is None else np.stack([t[:, 0], t[:, 1], t[:, 2:] @ rest], axis=1)
+            keys = _gram_keys([flat[k : len(flat) - n + 1 + k] for k in range(n)], self.bits) if len(flat) >= n else np.zeros(0, np.uint64)
+            found = entries[n - 1].values(keys, weigh)
+            a = found[at - n + 1, 0]
             off = np.where(a >= 3, d[2], np.where(a == 2, d[1], np.where(a > 0, d[0], 0.0)))
             with np.errstate(divide="ignore", invalid="ignore"):
-                q = (np.maximum(a - off, 0) + (s[:, 1:] @ d) * p) / s[:, 0]
-            p = np.where(s[:, 0] > 0, q, p)
-            before = found
+                q = (np.maximum(a - off, 0) + back * p) / s
+            p = np.where(s > 0, q, p)
+            if rest is not None:
+                s, back = found[at - n, 1], found[at - n, 2]
         return np.log10(p)
 
 
@@ -549,7 +564,7 @@ def train(docs: DataFrame, order: int = 3, text: str = "text") -> KneserNey:
     folder = mapped_path(scratch(spark, "kneser-ney"))
     docs = docs.select(F.col(text).cast("string").alias("text"))
     bits = _bits(text_bytes(docs))
-    word_bits = max(1, bits - 5)  # words are few beside their text
+    word_bits = max(1, bits - 3)  # words are few beside their text
     words = _by_shard(docs.mapInArrow(_word_counts(word_bits), BLOCK), word_bits)
     done = words.mapInArrow(_write_vocab(f"{folder}/vocab"), "shard int, words long, tokens long")
     most, size, tokens = done.agg(F.max("words"), F.sum("words"), F.sum("tokens")).first()

@@ -122,15 +122,18 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str =
     """Learn ``label`` (0 or 1) from the labelled rows of ``docs``.
 
     Rows with a null doc_id, label or text are not learned from; a doc_id with
-    both labels counts for both; without any row all scores are 1/2.  Texts of
-    more than ``MAX_BYTES`` are passed over.
+    both labels counts for both, one with several texts for each, and one that
+    repeats a text for one; without any row all scores are 1/2.  Texts of more
+    than ``MAX_BYTES`` are passed over.  Other columns are not looked at.
     """
     folder = scratch(docs.sparkSession, "classifier")
     marks = (labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("label"))
              .where("id is not null and label in (0, 1)").distinct())
-    sizes = docs.select(F.col(doc_id).alias("id"), F.octet_length(F.col(text).cast("string")).cast("long").alias("size"))
-    known = (sizes.where("size is not null").groupBy("id").agg(F.max("size").alias("size")).join(marks, "id")
-             .select("id", "label", "size", F.xxhash64("id", "label").alias("h")))
+    body = F.col(text).cast("string")
+    sizes = docs.select(F.col(doc_id).alias("id"), F.xxhash64(body).alias("text_hash"), F.octet_length(body).cast("long").alias("size"))
+    # a text that an id holds many times is one candidate
+    known = (sizes.where("size is not null").groupBy("id", "text_hash").agg(F.max("size").alias("size")).join(marks, "id")
+             .select("id", "text_hash", "label", "size", F.xxhash64("id", "text_hash", "label").alias("h")))
     sample = drawn(stage(known.where(F.col("size") <= MAX_BYTES), folder, "known"), "h", MAX_ROWS)
     # over MAX_ROWS rows at most: long texts up to a quarter of the bytes, the others, the remaining long ones
     long = F.when(F.col("size") > LONG, F.col("size"))
@@ -138,9 +141,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str =
     turn = F.when(long.isNull(), 1).when(quarter, 0).otherwise(2)
     order = W.orderBy("turn", long.asc_nulls_last(), "h").rowsBetween(W.unboundedPreceding, 0)
     sample = sample.withColumn("turn", turn).withColumn("bytes", F.sum("size").over(order)).where(F.col("bytes") <= MAX_BYTES)
-    sample = stage(sample.withColumn("rank", F.row_number().over(W.orderBy("h"))).select("id", "label", "rank"), folder, "sample")
-    rows = (docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"))
-            .join(F.broadcast(sample), "id").select("text", "label", "rank")
+    sample = stage(sample.withColumn("rank", F.row_number().over(W.orderBy("h"))).select("id", "text_hash", "label", "rank"), folder, "sample")
+    held = docs.select(F.col(doc_id).alias("id"), F.xxhash64(body).alias("text_hash"), body.alias("text"))
+    # at most MAX_ROWS sampled rows; of repeated ones the map side passes on one
+    rows = (held.join(F.broadcast(sample), ["id", "text_hash"]).groupBy("rank").agg(F.first("label").alias("label"), F.first("text").alias("text"))
             .mapInArrow(_sparse, "label int, rank int, idx binary, cnt binary").collect())
     rows.sort(key=lambda r: (r["rank"], r["idx"]))
     return SubwordModel.fit([(r["label"], np.frombuffer(r["idx"], np.int32), np.frombuffer(r["cnt"], np.int32)) for r in rows])
@@ -159,7 +163,9 @@ def _scored(held, column: str, names: list[str]):
 
 def score(docs: DataFrame, model: SubwordModel, text: str = "text", keep: list[str] = ("doc_id",)) -> DataFrame:
     """``keep`` columns of every row and ``score``, the probability of label 1.
-    Null texts count as empty ones, which get the bias alone."""
+    Null texts count as empty ones, which get the bias alone.  Repeated rows
+    score alike, an empty table gives no rows, columns that are not kept do not
+    matter, whatever their names, and a long text is scored whole."""
     column, names = fresh(keep, "text"), [*keep, "score"]
     rows = docs.select(*keep, F.col(text).cast("string").alias(column))
     kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema if f.name != column)
@@ -180,6 +186,7 @@ def _accepted(held, column: str, threshold: float):
 
 def accept(docs: DataFrame, model: SubwordModel, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
     """The rows of ``docs`` with a score of ``threshold`` or more, all columns
-    as they are."""
+    as they are, whatever their names.  Null and empty texts have the bias's
+    score; repeated rows stay or go together; an empty table gives no rows."""
     held = docs.sparkSession.sparkContext.broadcast(model)
     return docs.mapInArrow(_accepted(held, text, threshold), docs.schema)

@@ -34,23 +34,29 @@ _ITEM_WORDS = r"regexp_extract_all({0}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 @register("op3_decontamination", f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_ITEM_WORDS.format(_LOW.format("coalesce(text, '')"))} AS w FROM documents),
-b AS (SELECT item_id, {_ITEM_WORDS.format(_LOW.format("coalesce(text, '')"))} AS w FROM benchmark),
-win AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS g FROM (
-    SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)),
+b AS (SELECT row_number() OVER () AS b, CAST(item_id AS VARCHAR) AS item_id, {_ITEM_WORDS.format(_LOW.format("coalesce(text, '')"))} AS w
+      FROM benchmark),
+win AS (SELECT b, item_id, n, i AS a, array_to_string(w[i:i + n - 1], ' ') AS g FROM (
+    SELECT b, item_id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)),
 dw AS (SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS g FROM (
     SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
-occ AS (SELECT r, i, n, item_id FROM dw JOIN win USING (n, g)),
+occ AS MATERIALIZED (SELECT r, i, n, b, a, item_id FROM dw JOIN win USING (n, g)),
 hit AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT r, i, n FROM occ)) GROUP BY r),
 it AS (SELECT r, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS items
-       FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS x FROM occ WHERE item_id IS NOT NULL) GROUP BY r)
+       FROM (SELECT DISTINCT r, item_id AS x FROM occ WHERE item_id IS NOT NULL) GROUP BY r),
+run AS (SELECT r, any_value(item_id) AS item_id, min(a) - 1 AS iw, min(i) - 1 AS dw, count(*) + any_value(n) - 1 AS len
+        FROM (SELECT *, i - row_number() OVER (PARTITION BY r, b, i - a ORDER BY i) AS island FROM occ) GROUP BY r, b, i - a, island),
+top AS (SELECT * FROM run QUALIFY row_number() OVER (PARTITION BY r ORDER BY len DESC, item_id NULLS LAST, iw, dw) = 1)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN hit USING (r) LEFT JOIN it USING (r)""")
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(top.len, 0) AS longest_words,
+       top.item_id AS longest_item, top.iw AS longest_item_word, top.dw AS longest_doc_word
+FROM d LEFT JOIN hit USING (r) LEFT JOIN it USING (r) LEFT JOIN top USING (r)""")
 def op3(spark: SparkSession, sf: str) -> DataFrame:
     from pricefold.llm.suffix import contamination
     found = contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"), width=10)
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+                        "longest_words", "longest_item", "longest_item_word", "longest_doc_word")
 
 
 def _remainder(column: str, divisor: int):
@@ -77,9 +83,9 @@ def _secret_oracle() -> str:
     from pricefold.llm.secrets import RULES
     quoted = lambda s: "'" + s.replace("'", "''") + "'"
     parts = " UNION ALL ".join(
-        f"SELECT r, {i} AS k, {quoted(x.kind)} AS kind, {x.least} AS least, string_split_regex(t, {quoted(x.pattern)}) AS p, "
-        f"regexp_extract_all(t, {quoted(x.pattern)}, 0) AS m, regexp_extract_all(t, {quoted(x.pattern)}, {x.group}) AS g "
-        f"FROM d WHERE regexp_matches(t, {quoted(x.pattern)})" for i, x in enumerate(RULES))
+        f"SELECT r, {i} AS k, {quoted(x.kind)} AS kind, {x.least} AS least, string_split_regex(t, {quoted(x.portable)}) AS p, "
+        f"regexp_extract_all(t, {quoted(x.portable)}, 0) AS m, regexp_extract_all(t, {quoted(x.portable)}, {x.group}) AS g "
+        f"FROM d WHERE regexp_matches(t, {quoted(x.portable)})" for i, x in enumerate(RULES))
     return f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
 m AS ({parts}),

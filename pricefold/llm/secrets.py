@@ -18,6 +18,7 @@ are code points, end exclusive.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from functools import reduce
 
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pricefold.llm.shared import scratch, stage
+from pricefold.llm.shared import fresh, scratch, stage
 from pricefold.llm.trigrams import trigram_query
 
 
@@ -44,15 +45,23 @@ class Rule:
     early: bool = False
 
 
+    @property
+    def portable(self) -> str:
+        """The pattern without possessive marks, for engines that have none: a
+        loop marked so stops where nothing of it could be given back."""
+        return re.sub(r"\)([*+])\+", r")\1", self.pattern)
+
+
 _B64 = "A-Za-z0-9+/="
 _KEY = r"[A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
 # From BEGIN through END, whatever lies between but another such line; without
-# END through the armor headers and the base64 lines that follow (indented ones
-# in a bounded loop, as loops are recursive in Java; or with written-out line ends).
+# END through the armor headers and the base64 lines that follow, indented ones
+# too, or with written-out line ends.  Loops over groups are possessive: Java
+# runs those without recursion, however long the key is.
 _PRIVATE_KEY = (
-    rf"-----BEGIN {_KEY}(?:[^-]*(?:-{{1,4}}[^-]+){{0,200}}-----END {_KEY}"
-    rf"|(?:[ \t]*\r?\n[ \t]*[A-Za-z][A-Za-z0-9-]*:[^\r\n]*){{0,9}}[ \t\r\n]+[{_B64}]{{16,}}"
-    rf"(?:[{_B64}\r\n]*[{_B64}](?:\r?\n|$)|(?:[ \t]*\r?\n[ \t]+[{_B64}]+){{1,400}})?"
+    rf"-----BEGIN {_KEY}(?:[^-]*(?:-{{1,4}}[^-]+)*+-----END {_KEY}"
+    rf"|(?:[ \t]*\r?\n[ \t]*[A-Za-z][A-Za-z0-9-]*:[^\r\n]*)*+[ \t\r\n]+[{_B64}]{{16,}}"
+    rf"(?:[{_B64}\r\n]*[{_B64}](?:\r?\n|$)|(?:[ \t]*\r?\n[ \t]+[{_B64}]+)++)?"
     rf"|(?:\\[rn])+[{_B64}\\]*)?")
 
 # The base rules in their listed order, then further secret
@@ -114,11 +123,11 @@ class _Scan:
         """(doc_id, text_hash, rank, kind, start, end) of all matches that count."""
         def tried(i: int, r: Rule) -> Column:
             text = F.col("d.text")
-            re = F.lit(r.pattern)
+            pattern = F.lit(r.pattern)
             return F.when(self.runs(i) & text.rlike(r.strict or r.pattern), F.struct(
                 F.lit(i).alias("rank"), F.split(text, r.pattern, -1).alias("between"),
-                F.regexp_extract_all(text, re, F.lit(0)).alias("whole"),
-                F.regexp_extract_all(text, re, F.lit(r.group)).alias("part")))
+                F.regexp_extract_all(text, pattern, F.lit(0)).alias("whole"),
+                F.regexp_extract_all(text, pattern, F.lit(r.group)).alias("part")))
 
         found = (self.chosen(self.docs).select("d.doc_id", F.xxhash64("d.text").alias("text_hash"), F.explode(
             F.array_compact(F.array(*(tried(i, r) for i, r in enumerate(self.rules))))).alias("m"))
@@ -161,21 +170,26 @@ def redact(docs: DataFrame, rules: list[Rule] = RULES, mark: str = "[SECRET]", t
            n_chars: str | None = "n_chars") -> DataFrame:
     """``docs`` with every secret replaced by ``mark``, all columns as they are;
     ``n_chars``, where there is such a column, follows a changed text.  Rules
-    are applied in order, early ones first, each only to its candidates."""
+    are applied in order, early ones first, each only to its candidates.
+
+    Null and empty texts stay as they are, null doc_ids count as one id,
+    repeated rows are changed alike, other columns may have any name, an empty
+    table gives no rows, and texts are taken whole, however long."""
     scan = _Scan(docs, rules, text, doc_id)
     chosen = scan.chosen(docs, doc_id)
     new = F.col(f"d.`{text}`")
     for i, r in sorted(enumerate(rules), key=lambda x: not x[1].early):
         new = F.when(scan.runs(i), F.regexp_replace(new, r.strict or r.pattern, mark)).otherwise(new)
     names = docs.columns
-    rows = chosen.select(*(F.col(f"d.`{c}`") for c in names), new.alias("__new"))
+    changed = fresh(names, "new")
+    rows = chosen.select(*(F.col(f"d.`{c}`") for c in names), new.alias(changed))
     out = []
     for c in names:
         if c == text:
-            out.append(F.col("__new").alias(c))
+            out.append(F.col(changed).alias(c))
         elif c == n_chars:
-            changed = ~F.col("__new").eqNullSafe(F.col(f"`{text}`"))
-            out.append(F.when(changed, F.length("__new").cast(docs.schema[c].dataType)).otherwise(F.col(f"`{c}`")).alias(c))
+            differs = ~F.col(changed).eqNullSafe(F.col(f"`{text}`"))
+            out.append(F.when(differs, F.length(changed).cast(docs.schema[c].dataType)).otherwise(F.col(f"`{c}`")).alias(c))
         else:
             out.append(F.col(f"`{c}`"))
     return rows.select(*out)

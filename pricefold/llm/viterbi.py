@@ -1,8 +1,10 @@
 """Operator 10: token counts by count-only Viterbi.
 
-A text is cut before every space into units.  For each distinct unit,
-Aho-Corasick finds all vocabulary pieces, and a dynamic program carries the
-best score and the number of pieces to every character; no path is kept.
+A text is cut before every run of spaces into units, which no piece crosses
+(a vocabulary whose pieces have a space after another character cuts nothing,
+so every listed piece can match).  For each distinct unit, Aho-Corasick finds
+all vocabulary pieces, and a dynamic program carries the best score and the
+number of pieces to every character; no path is kept.
 
 Tie rules are those of unigram tokenizers: ends are reached from starts in
 ascending order and only a greater score replaces one, so of equal scores the
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 
 from pricefold.llm.lattice import SPACE, Pieces, pieces, searched
 from pricefold.llm.shared import fresh, prepare, read_model, tidy
-from pricefold.llm.tokens import BYTES, Chunk, chunks, sums
+from pricefold.llm.tokens import BYTES, Chunk, chunks, combine, sums
 
 CACHE = 1 << 19  # distinct units whose counts a task keeps
 _SPACE = BYTES == 32
@@ -33,8 +35,8 @@ class Counter:
 
     def __init__(self, vocab: Pieces):
         self.vocab = vocab
-        listed = [i for i, p in enumerate(vocab.names) if SPACE not in p[1:]]  # units have one space at most
-        self.automaton = vocab.automaton(np.array(listed))
+        self.whole = any(SPACE in p.lstrip(SPACE) for p in vocab.names)  # pieces that would cross units
+        self.automaton = vocab.automaton(np.arange(len(vocab.names)))
         self.lengths = np.array([len(p) for p in vocab.names])
         self.keys = np.zeros(0, np.uint64)
         self.counts = np.zeros(0, np.int64)
@@ -55,33 +57,30 @@ class Counter:
             count[ends] = g.before(count, arcs)[first] + g.cost[arcs][first]
         return count[g.ends], best[g.ends]
 
-    def units(self, c: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """What follows the opening space of each unit: starts, ends, and each
-        text's first unit."""
-        spaces = np.flatnonzero(_SPACE[c.data])
-        size = np.diff(c.off)
-        opens = np.zeros(len(c), bool)
-        opens[size > 0] = _SPACE[c.data[c.off[:-1][size > 0]]]
-        extra = c.off[:-1][(size > 0) & ~opens]  # texts given a space
-        s = np.concatenate([spaces + 1, extra])
-        order = np.lexsort((np.append(np.zeros(len(spaces), np.int8), np.ones(len(extra), np.int8)), s))
-        s = s[order]
-        mark = np.concatenate([spaces, extra])[order]  # inside the text, unlike s
-        first = np.searchsorted(mark, c.off)
-        text = np.repeat(np.arange(len(c)), np.diff(first))
-        nxt = np.append(spaces, len(c.data))
-        e = np.minimum(nxt[np.searchsorted(spaces, s)], c.off[1:][text])
-        return s, e, first
+    def units(self, c: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Starts and ends of units, whether each is given an opening space, and
+        each text's first unit."""
+        space = _SPACE[c.data]
+        cut = space.copy()
+        cut[1:] &= ~space[:-1]
+        if self.whole:
+            cut[:] = False
+        begins = c.off[:-1][np.diff(c.off) > 0]
+        cut[begins] = True
+        s = np.flatnonzero(cut)
+        opens = np.zeros(len(c.data), bool)
+        opens[begins] = ~space[begins]
+        return s, np.append(s[1:], len(c.data)), opens[s], np.searchsorted(s, c.off)
 
     def count(self, c: Chunk) -> tuple[np.ndarray, np.ndarray]:
         """Tokens and best score of each text."""
-        s, e, first = self.units(c)
-        key, at, back = np.unique(c.hashes(s, e), return_index=True, return_inverse=True)
+        s, e, opens, first = self.units(c)
+        key, at, back = np.unique(combine(c.hashes(s, e), opens.astype(np.uint64)), return_index=True, return_inverse=True)
         slot = np.minimum(np.searchsorted(self.keys, key), max(len(self.keys) - 1, 0))
         known = self.keys[slot] == key if len(self.keys) else np.zeros(len(key), bool)
         new = np.flatnonzero(~known)
         raw = c.data.tobytes()
-        counts, scores = self.solve([" " + raw[s[i] : e[i]].decode("utf-8", "replace") for i in at[new]])
+        counts, scores = self.solve([" " * int(opens[i]) + raw[s[i] : e[i]].decode("utf-8", "replace") for i in at[new]])
         n, x = np.zeros(len(key), np.int64), np.zeros(len(key))
         n[new], x[new] = counts, scores
         if known.any():
@@ -115,7 +114,8 @@ def token_counts(docs: DataFrame, model_file: str, text: str = "text", keep: lis
     """``keep`` columns of every row with ``n_tokens`` of its whole text and
     ``best_score``, the sum of its units' best scores.  Null and empty texts
     have no tokens; an empty table gives no rows; repeated rows are rows of
-    their own."""
+    their own; columns that are not kept do not matter, whatever their names; a
+    very long text is counted whole."""
     prepare(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(read_model(model_file))
     column, names = fresh([*keep, "n_tokens", "best_score"], "text"), [*keep, "n_tokens", "best_score"]

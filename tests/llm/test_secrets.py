@@ -116,3 +116,26 @@ def test_main_path_is_native(spark):
     df = find_secrets(spark.createDataFrame([(1, "token=abcdefgh")], "doc_id long, text string"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_long_keys_and_clashing_columns(spark):
+    """Keys of any length, indented or with many dashes, go whole; a column may be named as the inner ones."""
+    body = ["MIIE" + "Ab9+/" * 12] * 3000
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    headers = "\n".join(f"H-{k}: v" for k in range(40))
+    rows = ["x\n  " + begin + "\n" + "\n".join("    " + b for b in body) + "\nrest of it",
+            begin + "\n" + "\n".join(body) + "\nrest of it", "a " + begin + "\n" + "-- \n".join(body) + end + " b",
+            begin + "\n" + headers + "\n\n" + "\n".join(body[:3]) + "\nrest of it", begin + " " + begin + " " + "x-" * 100_000]
+    df = spark.createDataFrame([(i, t, "n", 1, "r") for i, t in enumerate(rows)], "doc_id long, text string, new string, rank int, rules string")
+    out = {r.doc_id: r for r in redact(df).collect()}
+    assert redact(df).columns == df.columns
+    assert [out[i].text for i in range(4)] == ["x\n  [SECRET]\nrest of it", "[SECRET]rest of it", "a [SECRET] b", "[SECRET]rest of it"]
+    assert out[4].text.startswith("[SECRET] [SECRET]") and out[4].text.endswith("x-")
+    assert redact(df.where("false")).count() == 0
+
+
+def test_a_text_above_a_megabyte(spark):
+    text = "plain words of a text " * 60_000 + "token=abcdefgh1 end"
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    s = find_secrets(df).select(span_list(F.col("spans")).alias("s")).first().s
+    assert s == brute(text) and s == f"assign:{22 * 60_000}:{22 * 60_000 + 15}"

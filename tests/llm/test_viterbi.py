@@ -16,7 +16,7 @@ MODEL = read_model(public_model())
 
 def reference(vocab):
     t = Tokenizer(models.Unigram(list(zip(vocab.names, map(float, vocab.weight))), unk_id=0, byte_fallback=True))
-    t.pre_tokenizer = pre_tokenizers.Metaspace(replacement="▁", prepend_scheme="always", split=True)
+    t.pre_tokenizer = pre_tokenizers.Metaspace(replacement="▁", prepend_scheme="always", split=False)
     return t
 
 
@@ -24,7 +24,7 @@ def texts(seed, n=200):
     rnd = random.Random(seed)
     vocab = Pieces(MODEL)
     bits = [vocab.names[rnd.randrange(259, 32000)].replace("▁", " ") for _ in range(400)]
-    bits += [" ", "  ", "\n", "\t", "é", "日本", "🙂", "▁", "internationalisation", "aaaaaaaa", "<s>", "<0x41>", "́", "0123"]
+    bits += [" ", "  ", "   ", " " * 16, " " * 21, "\n", "\t", "é", "日本", "🙂", "▁", "internationalisation", "aaaaaaaa", "<s>", "<0x41>", "́", "0123"]
     return ["".join(rnd.choices(bits, k=rnd.randint(0, 25))) for _ in range(n)] + ["", " ", "   ", "a", "🙂🙂", "▁▁x", "x" * 3000]
 
 
@@ -69,3 +69,42 @@ def test_rows_nulls_and_clashing_columns(spark):
     n = len(reference(Pieces(MODEL)).encode("the  end").ids)
     assert got == sorted([(1, n), (None, 0), (1, 0), (1, n)], key=repr)
     assert token_counts(df.limit(0), public_model()).count() == 0
+
+
+def test_runs_of_spaces_take_their_pieces():
+    """Indented text: pieces of several spaces count as one."""
+    import pyarrow as pa
+
+    from pricefold.llm.tokens import chunks
+    vocab = Pieces(MODEL, [-1.0] * 32000)
+    rows = ["def f():" + "\n" + " " * n + "return 1" for n in range(40)] + [" " * 16, "a" + " " * 16]
+    counter = Counter(vocab)
+    got = [x for c in chunks(pa.array(rows)) for x in counter.count(c)[0].tolist()]
+    assert got == [len(reference(vocab).encode(t, add_special_tokens=False).ids) for t in rows]
+    assert got[-2] == 1
+
+
+def test_pieces_across_words_are_found():
+    """A vocabulary with a space inside a piece: texts are one unit each."""
+    import pyarrow as pa
+
+    from pricefold.llm.tokens import chunks
+    vocab = Pieces(MODEL, [-1.0] * 32000)
+    vocab.names[500] = "of▁the"
+    vocab.bytes[500] = b"of the"
+    counter = Counter(vocab)
+    rows = ["one of the two", "of the", "  of  the"]
+    got = [x for c in chunks(pa.array(rows)) for x in counter.count(c)[0].tolist()]
+    assert got == [len(reference(vocab).encode(t, add_special_tokens=False).ids) for t in rows]
+
+
+def test_a_text_longer_than_a_chunk():
+    import pyarrow as pa
+
+    from pricefold.llm.tokens import CHUNK, chunks
+    vocab = Pieces(MODEL)
+    text = "the quick  brown fox " * (CHUNK // 15)
+    counter = Counter(vocab)
+    got = [x for c in chunks(pa.array(["a", text, "b"])) for x in counter.count(c)[0].tolist()]
+    part = len(reference(vocab).encode("the quick  brown fox").ids)
+    assert len(text) > CHUNK and got[1] >= part * (CHUNK // 15) and got[0] == got[2] == 1

@@ -1,26 +1,33 @@
 """License scans against a plain comparison of every unit and template."""
 
+import os
 import random
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from pricefold.llm.licenses import TEMPLATES, THRESHOLD, bigrams, find_licenses, key_words
+from pricefold.llm.licenses import TEMPLATES, THRESHOLD, bigrams, cuts, find_licenses, key_words
 
 
 def brute(text, templates=TEMPLATES, t=THRESHOLD):
     low = re.sub(r"[^a-z0-9\n\x80-\U0010ffff]", " ", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
     units = set(low.split("\n")) | set(re.split(r"\n *\n", low)) | {low}
+    units = [(None, None, [x for x in u.replace("\n", " ").split(" ") if x]) for u in units]
+    every = [x for x in low.replace("\n", " ").split(" ") if x]
+    for anchor, before, size in cuts(templates):
+        units += [(max(i - before, 0), size, every[max(i - before, 0):][:size]) for i, x in enumerate(every) if x == anchor]
     found = []
-    for u in units:
-        w = [x for x in u.replace("\n", " ").split(" ") if x]
-        a = {f"{x} {y}" for x, y in zip(w, w[1:])}
+    for at, size, w in units:
+        a, near = {f"{x} {y}" for x, y in zip(w, w[1:])}, []
         for name, body in templates:
             b = set(bigrams(body))
             if a and b and (d := 2.0 * len(a & b) / (len(a) + len(b))) >= t:
-                found.append((-d, name))
-    return (min(found)[1], -min(found)[0], ",".join(sorted({n for _, n in found}))) if found else (None, None, "")
+                near.append((-d, -len(b), name))
+        found += [(*m, at, size) for m in near if m[0] == min(near)[0]]
+    over = lambda x, y: x[3] is not None and y[3] is not None and x[3] < y[3] + y[4] and y[3] < x[3] + x[4]
+    found = [m[:3] for m in found if not any(o[0] < m[0] and over(o, m) for o in found)]
+    return (min(found)[2], -min(found)[0], ",".join(sorted({n for _, _, n in found}))) if found else (None, None, "")
 
 
 def texts(seed, n=80):
@@ -97,3 +104,37 @@ def test_standard_texts_have_their_own_version(spark):
              ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2.")]
     got = find_licenses(spark.createDataFrame([(i, t) for i, (_, t) in enumerate(cases)], "doc_id int, text string")).collect()
     assert {r.doc_id: r.license for r in got} == {i: name for i, (name, _) in enumerate(cases)}
+
+
+def scan(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    return {r.doc_id: (r.license, r.licenses.split(",")) for r in find_licenses(df).collect()}
+
+
+def test_notices_within_longer_lines_and_identifiers(spark):
+    lgpl = ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+            "License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.")
+    cases = [("Apache-2.0", "Copyright 2020 Example Inc. All rights reserved. Licensed under the Apache License, Version 2.0. And on it goes."),
+             ("GPL-2.0", "// SPDX-License-Identifier: GPL-2.0-only"), ("GPL-3.0", "x = 1  # SPDX-License-Identifier: GPL-3.0-or-later"),
+             ("LGPL-2.1", "words before " + lgpl + " and words after it, many of them, so that the line is long"),
+             ("MIT", "in a line: Released under the MIT License. Then more of the same line"), (None, "a library of free programs under the terms")]
+    got = scan(spark, [t for _, t in cases])
+    assert {i: x[0] for i, x in got.items()} == {i: n for i, (n, _) in enumerate(cases)}
+    assert got[3][1] == ["LGPL-2.1"] and scan(spark, [GPL.format(2)])[0][1] == ["GPL-2.0"]
+
+
+COMMON = {"Apache-2.0": "Apache-2.0", "Artistic": "Artistic-1.0", "BSD": "BSD-3-Clause", "CC0-1.0": "CC0-1.0", "GFDL-1.2": "GFDL-1.2",
+          "GFDL-1.3": "GFDL-1.3", "GPL-1": "GPL-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2": "LGPL-2.0", "LGPL-2.1": "LGPL-2.1",
+          "LGPL-3": "LGPL-3.0", "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0"}
+
+
+@pytest.mark.skipif(not os.path.isdir("/usr/share/common-licenses"), reason="no license texts here")
+def test_full_texts(spark):
+    texts = [open(f"/usr/share/common-licenses/{f}", encoding="utf-8", errors="replace").read() for f in COMMON]
+    got = scan(spark, texts)
+    assert {f: got[i][0] for i, f in enumerate(COMMON)} == COMMON
+
+
+def test_a_text_above_a_megabyte(spark):
+    text = "some words of no license at all\n" * 40_000
+    assert scan(spark, [text + "Released under the MIT License.", text]) == {0: ("MIT", ["MIT"]), 1: (None, [""])}

@@ -4,13 +4,12 @@ Text is normalised (A-Z lower-cased, every other ASCII character but a-z, 0-9
 and line ends a space) and taken in units: each line, each paragraph, the whole
 text, and, wherever one of a template's anchors (its longest words) stands, the
 run of as many words as the template has, placed so that the anchor falls on its
-place in it.  So a notice within a longer line, or over several lines, is a unit
+place in it; all runs at one anchor are one unit, of which the nearest counts.  So a notice within a longer line, or over several lines, is a unit
 too.  A unit is compared with a template by their sets of word bigrams::
 
     dice = 2 |A & B| / (|A| + |B|)
 
-and matches the templates that reach the threshold and no less than any other;
-a run gives way to one that overlaps it and comes nearer to its template.
+and matches the templates that reach the threshold and no less than any other.
 
 Sizes bound it: a template of n bigrams can only reach ``t`` with units of
 ``n t / (2 - t)`` to ``n (2 - t) / t`` bigrams, so other templates are pruned
@@ -132,7 +131,8 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _OTHER = "".join(chr(i) for i in range(128) if not (chr(i).isalnum() or chr(i) in "\n\x00"))
 
 
-ANCHORS = 3  # words of a template at which runs of the text are placed
+ANCHORS = 2  # words of a template at which runs of the text are placed
+NO_ANCHORS = {"license", "public", "general"}  # too frequent beside any notice
 
 
 def words_of(text: str) -> list[str]:
@@ -147,7 +147,7 @@ def cuts(templates: list[tuple[str, str]]) -> list[tuple[str, int, int]]:
     for _, body in templates:
         words = words_of(body)
         if len(words) > 1:
-            for w in sorted(set(words), key=lambda w: (-len(w), w))[:ANCHORS]:
+            for w in sorted(set(words) - NO_ANCHORS, key=lambda w: (-len(w), w))[:ANCHORS]:
                 out.add((w, words.index(w), len(words)))
     return sorted(out)
 
@@ -190,23 +190,20 @@ def _bigram_set(w: Column) -> Column:
                                        F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b)))
 
 
-def _runs_at_anchors(w: Column, templates: list[tuple[str, str]]) -> Column:
-    """Runs of the text's words (first word, number of words, words), one for
-    each anchor in it and cut of that anchor."""
+_SETS = "array<array<array<string>>>"
+_MATCHES = "array<struct<dice:double,name:string,n:int>>"
+
+
+def _at_anchors(w: Column, templates: list[tuple[str, str]]) -> Column:
+    """For each anchor in the text the bigram sets of the runs placed at it."""
     of = cuts(templates)
     anchors = F.array(*map(F.lit, sorted({a for a, _, _ in of})))
     held = F.array(*(F.struct(F.lit(a).alias("word"), F.lit(o).alias("before"), F.lit(n).alias("size")) for a, o, n in of))
     at = F.filter(F.transform(w, lambda x, i: F.when(F.array_contains(anchors, x), F.struct(x.alias("word"), i.alias("at")))),
                   lambda x: x.isNotNull())
-    spans = F.flatten(F.transform(at, lambda p: F.transform(
-        F.filter(held, lambda c: c["word"] == p["word"]),
-        lambda c: F.struct((F.greatest(p["at"] - c["before"], F.lit(0)) + 1).alias("first"), c["size"].alias("size")))))
-    runs = F.transform(F.array_distinct(spans), lambda x: F.struct(x["first"], x["size"], F.slice(w, x["first"], x["size"]).alias("w")))
-    return F.when(F.arrays_overlap(w, anchors), runs).otherwise(F.array().cast(_UNITS))
-
-
-_UNITS = "array<struct<first:int,size:int,w:array<string>>>"
-_MATCHES = "array<struct<dice:double,name:string,n:int,first:int,size:int>>"
+    runs = F.transform(at, lambda p: F.transform(F.filter(held, lambda c: c["word"] == p["word"]), lambda c: _bigram_set(
+        F.slice(w, F.greatest(p["at"] - c["before"], F.lit(0)) + 1, c["size"]))))
+    return F.when(F.arrays_overlap(w, anchors), runs).otherwise(F.array().cast(_SETS))
 
 
 def find_licenses(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD, text: str = "text",
@@ -231,29 +228,23 @@ def find_licenses(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
         # units: lines, paragraphs, the whole text; a repeated one counts once
         units = F.array_distinct(F.concat(F.split("low", "\n"), F.split("low", r"\n *\n"), F.array("low")))
         units = F.filter(F.transform(units, _words), lambda w: F.arrays_overlap(w, keys))
-        none = F.lit(None).cast("int")
-        units = F.transform(units, lambda w: F.struct(none.alias("first"), none.alias("size"), w.alias("w")))
-        units = F.when(F.arrays_overlap("words", keys), units).otherwise(F.array().cast(_UNITS))
+        units = F.when(F.arrays_overlap("words", keys), F.transform(units, lambda w: F.array(_bigram_set(w)))).otherwise(F.array().cast(_SETS))
         held = F.array(*(F.struct(F.lit(name).alias("name"), F.lit(len(b)).alias("n"), F.lit(bounds(len(b), threshold)[0]).alias("least"),
                                   F.lit(bounds(len(b), threshold)[1]).alias("most"), F.array(*map(F.lit, b)).alias("b"))
                          for name, b in sets))
-        rows = rows.withColumn("units", F.transform(F.concat(units, _runs_at_anchors(F.col("words"), templates)), lambda u: F.struct(
-            u["first"].alias("first"), u["size"].alias("size"), _bigram_set(u["w"]).alias("b"))))
+        rows = rows.withColumn("units", F.concat(units, _at_anchors(F.col("words"), templates)))
 
-        def against(unit: Column) -> Column:
-            n = F.size(unit["b"])
-            fit = F.filter(held, lambda t: (n >= t["least"]) & (n <= t["most"]))
+        def against(grams: Column) -> Column:
+            fit = F.filter(held, lambda t: (F.size(grams) >= t["least"]) & (F.size(grams) <= t["most"]))
             near = F.transform(fit, lambda t: F.struct(
-                (F.lit(2.0) * F.size(F.array_intersect(unit["b"], t["b"])) / (n + t["n"])).alias("dice"), t["name"].alias("name"),
-                t["n"].alias("n"), unit["first"].alias("first"), unit["size"].alias("size")))
+                (F.lit(2.0) * F.size(F.array_intersect(grams, t["b"])) / (F.size(grams) + t["n"])).alias("dice"), t["name"].alias("name"),
+                t["n"].alias("n")))
             return F.filter(near, lambda m: m["dice"] >= threshold)
 
-        rows = rows.withColumn("matches", F.filter(F.transform("units", against), lambda m: F.size(m) > 0))
-        # of a unit the templates that come nearest to it; of overlapping runs the nearest
-        best = F.transform("matches", lambda m: F.filter(m, lambda x: x["dice"] == F.array_max(F.transform(m, lambda y: y["dice"]))))
-        rows = rows.withColumn("best", F.flatten(best))
-        found = F.filter("best", lambda m: ~F.exists("best", lambda o: F.coalesce(
-            (o["first"] < m["first"] + m["size"]) & (m["first"] < o["first"] + o["size"]) & (o["dice"] > m["dice"]), F.lit(False))))
+        each = F.transform("units", lambda u: F.flatten(F.transform(u, against)))
+        rows = rows.withColumn("matches", F.filter(each, lambda m: F.size(m) > 0))
+        # of a unit the templates that come nearest to it
+        found = F.flatten(F.transform("matches", lambda m: F.filter(m, lambda x: x["dice"] == F.array_max(F.transform(m, lambda y: y["dice"])))))
     rows = rows.withColumn("found", F.coalesce(found, F.array().cast(_MATCHES)))
     names = F.array_sort(F.array_distinct(F.transform("found", lambda m: m["name"])))
     top = F.array_max(F.transform("found", lambda m: m["dice"]))

@@ -169,15 +169,14 @@ u AS (SELECT r, unnest(string_split(x, chr(10))) AS u FROM d UNION SELECT r, unn
 a AS (SELECT * FROM (VALUES {placed}) AS t(word, before, size)),
 f0 AS MATERIALIZED (SELECT r, list_filter(string_split(replace(x, chr(10), ' '), ' '), lambda y: y <> '') AS w FROM d),
 p AS (SELECT r, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM f0),
-s AS (SELECT DISTINCT r, greatest(i - 1 - before, 0) + 1 AS a, size FROM p JOIN a USING (word)),
-w AS (SELECT r, NULL AS a, NULL AS size, list_filter(string_split(replace(u, chr(10), ' '), ' '), lambda y: y <> '') AS w FROM u
-      UNION ALL SELECT r, a, size, w[s.a:s.a + size - 1] FROM s JOIN f0 USING (r)),
-b AS (SELECT row_number() OVER () AS k, r, a, size, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS b FROM w WHERE len(w) > 1),
+s AS (SELECT r, i, greatest(i - 1 - before, 0) + 1 AS a, size FROM p JOIN a USING (word)),
+w AS (SELECT r, -row_number() OVER () AS k, list_filter(string_split(replace(u, chr(10), ' '), ' '), lambda y: y <> '') AS w FROM u
+      UNION ALL SELECT r, i, w[s.a:s.a + size - 1] FROM s JOIN f0 USING (r)),
+b AS (SELECT r, k, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS b FROM w WHERE len(w) > 1),
 t AS (SELECT * FROM (VALUES {held}) AS t(name, g)),
-m AS (SELECT k, r, a, size, name, len(g) AS n, 2.0::DOUBLE * len(list_intersect(b, g)) / (len(b) + len(g)) AS dice FROM b, t
+m AS (SELECT k, r, name, len(g) AS n, 2.0::DOUBLE * len(list_intersect(b, g)) / (len(b) + len(g)) AS dice FROM b, t
       WHERE len(b) BETWEEN 0.5 * len(g) AND 2 * len(g) AND list_has_any(b, g)),
-e AS (SELECT * FROM m WHERE dice >= {THRESHOLD} QUALIFY dice = max(dice) OVER (PARTITION BY k)),
-o AS (SELECT * FROM e WHERE NOT EXISTS (SELECT 1 FROM e x WHERE x.r = e.r AND x.a < e.a + e.size AND e.a < x.a + x.size AND x.dice > e.dice)),
+o AS (SELECT * FROM m WHERE dice >= {THRESHOLD} QUALIFY dice = max(dice) OVER (PARTITION BY r, k)),
 f AS (SELECT r, max(dice) AS dice, string_agg(DISTINCT name, ',' ORDER BY name) AS licenses FROM o GROUP BY r),
 n AS (SELECT r, name AS license FROM o JOIN f USING (r, dice) QUALIFY row_number() OVER (PARTITION BY r ORDER BY n DESC, name) = 1)
 SELECT doc_id, license, dice, coalesce(licenses, '') AS licenses FROM d LEFT JOIN f USING (r) LEFT JOIN n USING (r)"""

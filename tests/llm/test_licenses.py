@@ -13,20 +13,20 @@ from pricefold.llm.licenses import TEMPLATES, THRESHOLD, bigrams, cuts, find_lic
 def brute(text, templates=TEMPLATES, t=THRESHOLD):
     low = re.sub(r"[^a-z0-9\n\x80-\U0010ffff]", " ", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
     units = set(low.split("\n")) | set(re.split(r"\n *\n", low)) | {low}
-    units = [(None, None, [x for x in u.replace("\n", " ").split(" ") if x]) for u in units]
+    units = [[[x for x in u.replace("\n", " ").split(" ") if x]] for u in units]
     every = [x for x in low.replace("\n", " ").split(" ") if x]
-    for anchor, before, size in cuts(templates):
-        units += [(max(i - before, 0), size, every[max(i - before, 0):][:size]) for i, x in enumerate(every) if x == anchor]
+    for i, x in enumerate(every):  # the runs at one anchor are one unit
+        units.append([every[max(i - before, 0):][:size] for anchor, before, size in cuts(templates) if x == anchor])
     found = []
-    for at, size, w in units:
-        a, near = {f"{x} {y}" for x, y in zip(w, w[1:])}, []
-        for name, body in templates:
-            b = set(bigrams(body))
-            if a and b and (d := 2.0 * len(a & b) / (len(a) + len(b))) >= t:
-                near.append((-d, -len(b), name))
-        found += [(*m, at, size) for m in near if m[0] == min(near)[0]]
-    over = lambda x, y: x[3] is not None and y[3] is not None and x[3] < y[3] + y[4] and y[3] < x[3] + x[4]
-    found = [m[:3] for m in found if not any(o[0] < m[0] and over(o, m) for o in found)]
+    for unit in units:
+        near = []
+        for w in unit:
+            a = {f"{x} {y}" for x, y in zip(w, w[1:])}
+            for name, body in templates:
+                b = set(bigrams(body))
+                if a and b and (d := 2.0 * len(a & b) / (len(a) + len(b))) >= t:
+                    near.append((-d, -len(b), name))
+        found += [m for m in near if m[0] == min(near)[0]]
     return (min(found)[2], -min(found)[0], ",".join(sorted({n for _, _, n in found}))) if found else (None, None, "")
 
 

@@ -70,13 +70,14 @@ def _key(u: np.ndarray) -> bytes | None:
     return hashlib.blake2b(u.tobytes(), digest_size=16).digest() if len(u) else None
 
 
-PROFILE = "doc_id long, n int, key binary, text_hash long, block int, counts binary"
+PROFILE = "n int, key binary, text_hash long, block int, counts binary"
 
 
 def _profile(width: int):
     def run(batches):
-        counts = np.zeros(1 << SKETCH_BITS, np.uint32)
+        counts, id_type = np.zeros(1 << SKETCH_BITS, np.uint32), None
         for batch in batches:
+            id_type = batch.schema.field("doc_id").type
             for c in chunks(batch.column("text"), fold=True):
                 n, key, seen = [], [], []
                 for u in _sets(c, width):
@@ -93,7 +94,7 @@ def _profile(width: int):
         for b in range(len(blocks)):
             if blocks[b].any():
                 yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64()),
+                    [pa.nulls(1, id_type), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64()),
                      pa.array([b], pa.int32()), pa.array([blocks[b].tobytes()], pa.binary())],
                     ["doc_id", "n", "key", "text_hash", "block", "counts"])
 
@@ -209,7 +210,7 @@ class ShingleJoin:
         self.spark, self.num, self.den, self.width = docs.sparkSession, num, den, width
         self.folder = scratch(self.spark, "jaccard")
         self.texts = docs.select(F.col(text).cast("string").alias("text"))
-        self.rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"),
+        self.rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"),
                                 F.xxhash64(F.col(text).cast("string")).alias("text_hash"))
 
     def _fits(self, a: str, b: str, ell: str = "1") -> str:
@@ -256,7 +257,8 @@ class ShingleJoin:
 
     def components(self) -> tuple[DataFrame, DataFrame]:
         """Rows (doc_id, n, key, text_hash) and the root of each linked class."""
-        profile = stage(self.rows.mapInArrow(_profile(self.width), PROFILE), self.folder, "profile")
+        kind = self.rows.schema["doc_id"].dataType.simpleString()
+        profile = stage(self.rows.mapInArrow(_profile(self.width), f"doc_id {kind}, {PROFILE}"), self.folder, "profile")
         rows = profile.where("block is null").select("doc_id", "n", "key", "text_hash")
         post = self._postings(profile)
 
@@ -313,7 +315,8 @@ def shingle_components(docs: DataFrame, num: int = 8, den: int = 10, width: int
     Texts (A-Z lower-cased, words split at ASCII white space) link when their
     sets of distinct ``width``-word shingles have a Jaccard similarity of at
     least ``num/den``.  A text of fewer words is one shingle of them all.
-    ``component_id`` is the smallest doc_id reachable by links.
+    ``component_id`` is the smallest doc_id reachable by links (ids of any
+    ordered type).
 
     - null or wordless text: 0 shingles, its own component;
     - null doc_id: the row still links its neighbours; its component_id is the
@@ -330,8 +333,9 @@ def shingle_components(docs: DataFrame, num: int = 8, den: int = 10, width: int
 def keep_one(docs: DataFrame, num: int = 8, den: int = 10, width: int = 5, text: str = "text",
              doc_id: str = "doc_id") -> DataFrame:
     """``docs`` with one row of each component: that of the smallest doc_id
-    (null last).  Wordless rows all stay.  Rows that repeat both doc_id and
-    text of the row that stays are dropped but one."""
+    (null last; ids of any ordered type).  Wordless rows all stay.  Rows that
+    repeat both doc_id and text of the row that stays are dropped but one.  Other
+    columns may have any name; an empty table gives no rows."""
     job, rows, tops = _components(docs, num, den, width, text, doc_id)
     gone = (rows.where("key is not null").join(tops.select("key", "top"), "key")
             .groupBy("doc_id", "text_hash").agg(
@@ -341,7 +345,7 @@ def keep_one(docs: DataFrame, num: int = 8, den: int = 10, width: int = 5, text:
     gone = stage(gone, job.folder, "gone").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__th"),
                                                   "stays", "copies").alias("g")
     cols = [F.col(f"d.`{c}`") for c in docs.columns]
-    marked = docs.alias("d").join(gone, F.col(f"d.`{doc_id}`").cast("long").eqNullSafe(F.col("g.__id"))
+    marked = docs.alias("d").join(gone, F.col(f"d.`{doc_id}`").eqNullSafe(F.col("g.__id"))
                                   & (F.xxhash64(F.col(f"d.`{text}`").cast("string")) == F.col("g.__th")), "left")
     out = marked.where("g.stays is null").select(*cols)
     if gone.where("stays = 1").isEmpty():

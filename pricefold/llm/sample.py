@@ -27,7 +27,7 @@ from pricefold.llm.lattice import Lattice, Pieces, PieceTable, looked_up, pieces
 from pricefold.llm.shared import fresh, prepare, read_model, tidy
 from pricefold.llm.tokens import BYTES, Chunk, chunks, combine, lists, mix
 
-CHUNK = 1 << 21
+CHUNK = 1 << 19  # bytes of text whose lattice a task holds; a longer text is on its own
 ALPHA = 1.0
 _SPACE = BYTES == 32
 _U = np.uint64

@@ -14,9 +14,10 @@ found by digest, so page bodies are shuffled once at most, by page.
 from __future__ import annotations
 
 import base64
-import gzip
 import hashlib
 import io
+import mmap
+import os
 import re
 import uuid
 import zlib
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 
 from pricefold.llm.shared import mapped_path, scratch, stage, tidy, write_atomic
 
+SALTS = 16
 FILE_BYTES = 16 << 20  # compressed size at which a file is closed
 LEVEL = 5
 
@@ -118,7 +120,10 @@ def write_warc(pages: DataFrame, min_bytes: int = 0, page_id: str = "page_id", u
     light = rows.where(F.octet_length("html") >= min_bytes).select("page_id", "sha")
     first = (light.groupBy("sha").agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n"))
              .where("n > 1 and refers_to is not null").drop("n"))
-    again = stage(light.join(first, "sha").where("not (page_id <=> refers_to)").distinct(), folder, "revisits").alias("a")
+    # one payload, such as the empty one, may be that of a third of all pages: its pages are dealt over salts
+    light = light.withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int"))
+    first = first.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    again = stage(light.join(first, ["sha", "salt"]).drop("salt").where("not (page_id <=> refers_to)").distinct(), folder, "revisits").alias("a")
     marked = rows.alias("r").join(again, F.col("r.page_id").eqNullSafe(F.col("a.page_id")) & (F.col("r.sha") == F.col("a.sha")), "left")
     marked = marked.select("r.page_id", "r.url", "r.html", "a.refers_to", F.col("a.sha").isNotNull().alias("revisit"))
     return stage(marked.mapInArrow(_write(mapped_path(folder) + "/archive", date, file_bytes), "path string, captures long"),
@@ -164,23 +169,72 @@ def _parsed(h: dict[str, str], block: bytes, payloads: bool) -> tuple:
             named, size, ok, block)
 
 
+REJECTED = "rejected"  # warc_type of what is no whole record
+
+
+def _members(raw) -> Iterator[tuple[int, bytes | None]]:
+    """Members of a gzip file: where each begins, and its content, or None for
+    what is no member or not a whole one.  After such the search goes on at the
+    next bytes that open a member."""
+    at = 0
+    while at < len(raw):
+        out, upto, d = [], at, zlib.decompressobj(31)
+        try:
+            while upto < len(raw) and not d.eof:
+                part = raw[upto : upto + (1 << 16)]
+                out.append(d.decompress(part))
+                upto += len(part) - len(d.unused_data)
+        except zlib.error:
+            pass
+        if d.eof:
+            yield at, b"".join(out)
+            at = upto
+        else:
+            yield at, None
+            at = raw.find(b"\x1f\x8b\x08", at + 1)
+            if at < 0:
+                return
+
+
+def _records(content: bytes, payloads: bool) -> Iterator[tuple | str]:
+    """Records of a member, parsed; a reason in place of what cannot be one."""
+    f = io.BytesIO(content)
+    while (h := _headers(f)) is not None:
+        size = h.get("content-length", "")
+        if not size.isascii() or not size.isdigit():
+            yield "content length"  # where the next record begins is not known
+            return
+        block = f.read(int(size))
+        if len(block) < int(size):
+            yield "truncated record"
+            return
+        yield _parsed(h, block, payloads)
+
+
 def _read(payloads: bool):
     schema = pa.schema([pa.field(n, t) for n, t in zip(_NAMES, [pa.string()] * 6 + [pa.int64(), pa.bool_(), pa.binary()])])
 
+    def batch_of(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+
     def run(batches):
         for batch in batches:
             for path in batch.column("path").to_pylist():
-                with gzip.open(path, "rb") as f:
-                    rows, held = [], 0
-                    while (h := _headers(f)) is not None:
-                        block = f.read(int(h.get("content-length", 0)))
-                        rows.append(_parsed(h, block, payloads))
-                        held += len(block)
+                if not os.path.getsize(path):
+                    continue
+                rows, held = [], 0
+                with open(path, "rb") as f, mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ) as raw:
+                    for at, content in _members(raw):
+                        for record in ("gzip member",) if content is None else _records(content, payloads):
+                            if isinstance(record, str):
+                                record = (None, REJECTED, None, path, None, None, at, None, record.encode())
+                            rows.append(record)
+                            held += len(record[-1] or b"")
                         if held > 4 << 20 or len(rows) >= 4096:
-                            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+                            yield batch_of(rows)
                             rows, held = [], 0
-                    if rows:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+                if rows:
+                    yield batch_of(rows)
 
     return tidy(run)
 
@@ -190,26 +244,42 @@ def read_warc(files: DataFrame, payloads: bool = True) -> DataFrame:
     per record).  payload_bytes and payload_digest (base32 SHA-1) are those of
     the whole payload: counted for a response, as stated for a revisit.
     ``digest_ok`` is whether a response's payload has its stated digest.
-    Without ``payloads`` the blocks of responses are left out."""
+    Without ``payloads`` the blocks of responses are left out.
+
+    What is no whole record (a broken or cut-off member, a record without a
+    numeric content length or shorter than it says) is a row of type
+    ``rejected``, see ``rejects``; reading goes on with the next member.  A file
+    listed twice is read twice; an empty file has no records; a member is held
+    whole in a task."""
     n = max(1, min(files.count(), 4 * files.sparkSession.sparkContext.defaultParallelism))
     return files.select("path").repartition(n).mapInArrow(_read(payloads), RECORD)
 
 
+def rejects(records: DataFrame) -> DataFrame:
+    """``(path, position, reason)`` of what ``read_warc`` could not read as a
+    record; position: the byte at which its member begins."""
+    return records.where(F.col("warc_type") == REJECTED).select(
+        F.col("target_uri").alias("path"), F.col("payload_bytes").alias("position"), F.decode("block", "UTF-8").alias("reason"))
+
+
 def captures(records: DataFrame) -> DataFrame:
     """``(record_id, response, request, metadata)``, one nested row for each
-    response or revisit, joined through concurrent-to.  Missing records are
-    null; of several of a kind the one of the greatest record id counts;
-    records without a capture are not captures."""
+    response or revisit, joined through concurrent-to: one grouping of the
+    records, by what they are concurrent to or their own id.  Missing records
+    are null; of several requests or metadata the one of the greatest record id
+    counts; main records that repeat an id are captures of their own; records
+    without a capture are not captures."""
     fields = [c for c in records.columns if c != "concurrent_to"]
-    whole = F.struct(*fields)
-
-    def beside(kind: str) -> DataFrame:
-        return (records.where(F.col("warc_type") == kind).where("concurrent_to is not null").groupBy(F.col("concurrent_to").alias("record_id"))
-                .agg(F.max(whole).alias(kind)))
-
-    # merge joins: the planner takes the records to be as few as their files and would broadcast them
-    main = records.where(F.col("warc_type").isin("response", "revisit")).select("record_id", whole.alias("response")).hint("merge")
-    return main.join(beside("request").hint("merge"), "record_id", "left").join(beside("metadata").hint("merge"), "record_id", "left")
+    whole, kind = F.struct(*fields), F.col("warc_type")
+    main = kind.isin("response", "revisit")
+    keyed = records.where(main | kind.isin("request", "metadata")).select(
+        F.when(main, F.col("record_id")).otherwise(F.col("concurrent_to")).alias("id"), kind.alias("kind"), main.alias("main"), whole.alias("r"))
+    grouped = keyed.where(F.col("id").isNotNull() | F.col("main")).groupBy("id").agg(
+        F.collect_list(F.when(F.col("main"), F.col("r"))).alias("mains"),
+        F.max(F.when(F.col("kind") == "request", F.col("r"))).alias("request"),
+        F.max(F.when(F.col("kind") == "metadata", F.col("r"))).alias("metadata"))
+    return grouped.select(F.col("id").alias("record_id"), F.explode("mains").alias("response"), "request", "metadata").select(
+        "record_id", "response", "request", "metadata")
 
 
 def metadata_field(name: str) -> Column:

@@ -100,3 +100,14 @@ def test_long_chain_and_hub_components(spark, tmp):
     for node, root in roots:
         groups.setdefault(root, set()).add(node)
     assert sorted(map(len, groups.values())) == [200, 301]
+
+
+def test_text_ids(spark):
+    rows = [("b", "one two three four five six"), ("a", "one two three four five six"), ("10", "nothing like the others at all here"), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id string, text string").withColumn("g", F.lit(1)).withColumn("stays", F.lit(2))
+    from pricefold.llm.jaccard import keep_one, shingle_components
+    got = {r.doc_id: r.component_id for r in shingle_components(df).collect()}
+    assert got == {"a": "a", "b": "a", "10": "10", None: None}
+    kept = keep_one(df)
+    assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == {"a", "10", None}
+    assert keep_one(df.where("false")).count() == 0

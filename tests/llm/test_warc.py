@@ -76,3 +76,35 @@ def test_a_wrong_digest_is_told(spark, tmp):
     files = spark.createDataFrame([(f"{tmp}/x.warc.gz",)], "path string")
     got = {r.warc_type: r.digest_ok for r in warc.read_warc(files).collect()}
     assert got == {"response": False, "request": None, "metadata": None}
+
+
+def test_broken_archives_give_rejects_and_the_rest(spark, tmp):
+    """Cut-off, corrupt and foreign bytes: what is whole is read, the rest is told."""
+    one = lambda i: b"".join(warc.capture_records(i, "http://a/", b"payload %d" % i, None, False, "2000-01-01T00:00:00Z"))
+    import gzip
+    bad = gzip.compress(b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: many\r\n\r\nxyz\r\n\r\n")
+    short = gzip.compress(b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 900\r\n\r\nxyz")
+    broken = bytearray(one(3))
+    broken[40:60] = bytes(20)  # within the first member
+    files = {"cut": one(1) + one(2)[:-30], "length": one(4) + bad + one(5), "short": short + one(6), "broken": bytes(broken) + one(7),
+             "foreign": b"no gzip at all", "empty": b"", "good": one(8)}
+    for name, raw in files.items():
+        with open(f"{tmp}/{name}", "wb") as f:
+            f.write(raw)
+    records = warc.read_warc(spark.createDataFrame([(f"{tmp}/{n}",) for n in files], "path string"))
+    got = sorted(r.i for r in warc.captures(records).select(warc.metadata_field("page-id").alias("i")).collect() if r.i is not None)
+    assert got == [1, 4, 5, 6, 7, 8]
+    told = {(r.path.rsplit("/", 1)[1], r.reason) for r in warc.rejects(records).collect()}
+    assert {("cut", "gzip member"), ("length", "content length"), ("short", "truncated record"), ("broken", "gzip member"),
+            ("foreign", "gzip member")} <= told and not {n for n, _ in told} & {"good", "empty"}
+    assert warc.captures(records).where("response.warc_type = 'response'").count() >= 7  # page 2's response is whole
+
+
+def test_a_payload_above_a_megabyte_and_one_reading(spark):
+    body = "Ü" * 1_500_000
+    df = spark.createDataFrame([(1, "u", body), (2, "u", body), (3, "u", "x")], "page_id long, url string, html string")
+    found = warc.captures(warc.read_warc(warc.write_warc(df)))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Join" not in plan
+    got = {r.i: (r.response.warc_type, r.response.payload_bytes) for r in found.select("response", warc.metadata_field("page-id").alias("i")).collect()}
+    assert got == {1: ("revisit", 3_000_000), 2: ("response", 3_000_000), 3: ("response", 1)}

@@ -41,12 +41,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricefold.llm.shared import fresh, mapped_path, scratch, text_bytes, tidy, write_atomic
-from pricefold.llm.tokens import CHUNK, NON_SPACE, Chunk, chunks, combine, mix, sums
+from pricefold.llm.tokens import NON_SPACE, Chunk, chunks, combine, mix, sums
 
 _U = np.uint64
 END = mix(np.array([0xE0F], np.uint64))  # hash of the token that ends a text
 SHARD_BYTES = 16 << 20  # text per shard
-FLUSH = 2 << 20  # n-grams that a task holds before it sends them
+FLUSH = 1 << 20  # n-grams that a task holds before it sends them
 OPEN_FILES = 256  # mapped at a time by a worker, for each set of arrays
 
 BLOCK = "shard int, kind int, data binary"
@@ -602,7 +602,7 @@ def _score(folder: str, column: str):
     def run(batches):
         model, vocab, entries = _opened(folder)
         for batch in batches:
-            for c in chunks(batch.column(column), limit=4 * CHUNK, fold=True):  # long runs of look-ups in each file
+            for c in chunks(batch.column(column), fold=True):
                 flat, at, count, bound = _sequence(c, vocab, model.order)
                 base = np.log10((count + 1.0) / (model.tokens + vocab.size + 1.0))
                 score = model.log10(flat, at, vocab, entries)

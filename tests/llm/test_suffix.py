@@ -15,7 +15,7 @@ def words(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
 
 
-def brute(docs, bench, width):
+def brute(docs, bench, width, longest=True):
     wins = {}
     for i, t in bench:
         w = words(t)
@@ -31,7 +31,7 @@ def brute(docs, bench, width):
                 if got:
                     hit |= set(range(a, a + n))
                     items |= {str(x) for x in got if x is not None}
-        for i, x in bench:  # every maximal match of a window or more
+        for i, x in bench if longest else ():  # every maximal match of a window or more
             x = words(x)
             n = min(width, len(x))
             for a in range(len(x)):

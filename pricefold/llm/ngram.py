@@ -116,16 +116,31 @@ class ShardFiles:
                 yield slice(a, b), have
 
 
+def _sorting(keys: np.ndarray, alike: int = 0) -> np.ndarray:
+    """The order that sorts hashes with ``alike`` leading bits in common.  Their
+    next bits are sorted as one number with their places, much faster than
+    places alone; the few that agree there are put right after."""
+    keys = keys << _U(alike)
+    low = _U((1 << len(keys).bit_length()) - 1)
+    both = (keys & ~low) | np.arange(len(keys), dtype=np.uint64)
+    both.sort()
+    order = (both & low).astype(np.int64)
+    keys = keys[order]
+    return order[np.argsort(keys, kind="stable")] if (keys[1:] < keys[:-1]).any() else order
+
+
 REST = 40  # bits of a hash that are stored beyond those its bucket tells
 ENTRY = 5  # count; sum over the entry as a context; its n-grams counted once, twice, more often
 
 
 def save_entries(path: str, keys: np.ndarray, values: np.ndarray) -> None:
-    """Entries of a shard: sorted distinct hashes and ``ENTRY`` numbers each."""
+    """Entries of a shard: sorted distinct hashes and ``ENTRY`` numbers each, of
+    which the last ones may be left out where all are 0."""
     bits = max(0, int(np.ceil(np.log2(max(len(keys), 1) / 16)))) if len(keys) > 16 else 0
     bucket = (keys >> _U(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
     rest = (keys << _U(bits)) >> _U(64 - REST)
     table, code = _coded(values)
+    table = np.pad(table, ((0, 0), (0, ENTRY - values.shape[1])))
     small = np.uint8 if len(table) <= 1 << 8 else np.uint16 if len(table) <= 1 << 16 else np.uint32
     index = np.searchsorted(bucket, np.arange((1 << bits) + 1))
     _save(path, bits=np.array([bits]), index=index.astype(np.uint32 if len(keys) < 1 << 32 else np.uint64), high=(rest >> _U(8)).astype(np.uint32),
@@ -163,7 +178,7 @@ class Entries:
     def values(self, keys: np.ndarray, weigh) -> np.ndarray:
         """What ``weigh`` makes of the ``ENTRY`` numbers of each key (a table's rows
         -> rows); zeros where there is none."""
-        order = np.argsort(keys)  # by shard, then hash
+        order = _sorting(keys)  # by shard, then hash
         found = keys[order]
         new = np.append(len(found) > 0, found[1:] != found[:-1])
         uniq = found[new]
@@ -334,7 +349,7 @@ def _in_order(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         key = columns[0].astype(np.uint64)
         for c, w in zip(columns[1:], widths[1:]):
             key = (key << _U(w)) | c.astype(np.uint64)
-        order = np.argsort(key)
+        order = np.argsort(key, kind="stable")  # rows come as a few sorted runs
         key = key[order]
         new = key[1:] != key[:-1]
     else:
@@ -351,6 +366,25 @@ def _grouped(grams: np.ndarray, vals: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return grams[order[head]], _summed_runs(vals[order], head)
 
 
+def _counted(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams (rows) in order and how often each is there."""
+    widths = [int(c.max(initial=0)).bit_length() for c in grams.T]
+    if not len(grams) or sum(widths) > 64:
+        return _grouped(grams, np.ones((len(grams), 1), np.int64))
+    key = grams[:, 0].astype(np.uint64)
+    for c, w in zip(grams.T[1:], widths[1:]):
+        key = (key << _U(w)) | c
+    key.sort()
+    head = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    count = np.diff(np.append(head, len(key)))
+    key, out = key[head], np.empty((len(head), grams.shape[1]), grams.dtype)
+    for k in range(grams.shape[1] - 1, -1, -1):
+        out[:, k] = key & _U((1 << widths[k]) - 1)
+        if k:
+            key = key >> _U(widths[k])
+    return out, count[:, None]
+
+
 def _summed_runs(vals: np.ndarray, head: np.ndarray) -> np.ndarray:
     if len(head) == len(vals):
         return vals
@@ -407,31 +441,39 @@ def _blocks(grams: np.ndarray, vals: np.ndarray, bits: int, kind: int):
 def _count_grams(folder: str, order: int, bits: int):
     def run(batches):
         vocab = Vocabulary(folder)
-        grams, vals, size = [np.zeros((0, order), vocab.kind)], [np.zeros((0, 1), np.int64)], 0
+        held, vals = np.zeros((0, order), vocab.kind), np.zeros((0, 1), np.int64)
+        grams, size = [held], 0
+
+        def all_held():
+            g, v = _counted(np.concatenate(grams))
+            return _grouped(np.concatenate([held, g]), np.concatenate([vals, v])) if len(held) else (g, v)
+
         for batch in batches:
             for c in chunks(batch.column("text"), fold=True):
                 flat, at, _, _ = _sequence(c, vocab, order)
                 grams.append(np.stack([flat[at - order + 1 + k] for k in range(order)], axis=1))
-                vals.append(np.ones((len(at), 1), np.int64))
                 size += len(at)
                 if size > FLUSH:
-                    g, v = _grouped(np.concatenate(grams), np.concatenate(vals))
-                    if 2 * len(g) > FLUSH:
-                        yield from _blocks(g, v, bits, GRAM)
-                        g, v = g[:0], v[:0]
-                    grams, vals, size = [g], [v], len(g)
-        yield from _blocks(*_grouped(np.concatenate(grams), np.concatenate(vals)), bits, GRAM)
+                    held, vals = all_held()
+                    if 2 * len(held) > FLUSH:
+                        yield from _blocks(held, vals, bits, GRAM)
+                        held, vals = held[:0], vals[:0]
+                    grams, size = [held[:0]], len(held)
+        yield from _blocks(*all_held(), bits, GRAM)
 
     return tidy(run)
 
 
 def _shards(batches, order: int, kind):
     """Whole shards of sorted block rows: the n-grams and the ``ENTRY`` numbers
-    that their rows add up to.  Rows of counts come through as they are."""
+    that their rows add up to, the count alone where none is a context.  Rows of
+    counts come through as they are."""
     now, held = None, []
 
     def done():
         grams = np.concatenate([g for _, g, _ in held])
+        if all(what == GRAM for what, _, _ in held):
+            return _grouped(grams, np.concatenate([v for _, _, v in held]))
         vals = np.zeros((len(grams), ENTRY), np.int64)
         at = 0
         for what, g, v in held:
@@ -469,17 +511,19 @@ def _merge_order(folder: str, order: int, bits: int, start: int):
                 yield _counts_row(shard, values)
                 continue
             key = _gram_keys([grams[:, k] for k in range(order)], bits)
-            by_key = np.argsort(key)
+            by_key = _sorting(key, bits)
             save_entries(f"{folder}/{shard:07d}.arrays", key[by_key] << _U(bits), values[by_key])
             seen = values[:, 0] > 0  # others are contexts only
-            grams, a = grams[seen], values[seen, 0]
-            once = np.stack([a, a == 1, a == 2, a >= 3], axis=1).astype(np.int64)
+            grams, a = (grams, values[:, 0]) if seen.all() else (grams[seen], values[seen, 0])
+            once = [a, a == 1, a == 2, a >= 3]
             if order > 1 and len(grams):
-                yield from _blocks(*_grouped(grams[:, 1:], np.where(grams[:, 1] == start, a, 1)[:, None]), bits, GRAM)
-                head = np.ascontiguousarray(grams[:, :-1])  # in order already
-                first = np.flatnonzero(np.append(True, (head[1:] != head[:-1]).any(axis=1)))
-                yield from _blocks(head[first], _summed_runs(once, first), bits, CONTEXT)
-            total = np.concatenate([[order], [(a == k).sum() for k in (1, 2, 3, 4)], once.sum(axis=0)])
+                opens = grams[:, 1] == start  # the greatest id, so these follow the others
+                count = _counted(grams[~opens, 1:]), _grouped(grams[opens, 1:], a[opens, None])
+                yield from _blocks(*(np.concatenate(x) for x in zip(*count)), bits, GRAM)
+                head = grams[:, :-1]  # in order already
+                first = np.flatnonzero(np.append(True, np.logical_or.reduce([c[1:] != c[:-1] for c in head.T])))
+                yield from _blocks(head[first], np.stack([np.add.reduceat(x, first, dtype=np.int64) for x in once], axis=1), bits, CONTEXT)
+            total = np.array([order, *((a == k).sum() for k in (1, 2, 3, 4)), *(x.sum() for x in once)])
             yield _counts_row(shard, total.astype("<i8").tobytes())
 
     return tidy(run)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricefold.functions.odds import invalid_reason, usable, valid_prices
-from pricefold.functions.text import build_match_id, epoch_ms, iso_date, parse_kickoff
+from pricefold.functions.text import build_match_id, epoch_ms, iso_date, once, parse_kickoff
 from pricefold.schema import BOOKMAKERS, MISSING_TEAM, ODDS_FIELDS
 
 
@@ -109,7 +109,7 @@ def matches_to_events(wide: DataFrame, league_col: str = "league",
     away = F.col("AwayTeam") if "AwayTeam" in wide.columns else F.lit(MISSING_TEAM)
     league = F.col(league_col) if league_col in wide.columns else F.lit(None).cast("string")
     base = wide.select(
-        "*", kickoff.alias("_kickoff"), home.cast("string").alias("_home"),
+        "*", once(kickoff).alias("_kickoff"), home.cast("string").alias("_home"),
         away.cast("string").alias("_away"), league.alias("_league"),
     ).where(F.col("_kickoff").isNotNull())
     base = base.withColumn("_date", iso_date("_kickoff"))

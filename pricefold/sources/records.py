@@ -25,6 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pricefold.functions.text import once
 from pricefold.session import ship_package
 
 #: A record longer than this is rejected, not held: an unclosed quote may swallow a file.
@@ -262,9 +263,10 @@ def csv_records(spark: SparkSession, paths: list[str], max_record: int = MAX_REC
         _cut(max_record), _CUT_DDL)
     whole = cut.where("start and done and not long")
     text = F.regexp_replace(F.make_valid_utf8(F.col("line").cast("string")), "\r$", "")
-    plain = whole.where("cells is null").select("file", "head", text.alias("text")).where(F.trim("text", F.lit(" \t")) != "")
-    plain = plain.select("file", "head", F.split("text", ",", -1).alias("cells"))
-    ready = plain.unionByName(whole.where("cells is not null").select("file", "head", "cells")).withColumn(
+    # one pass for both: lines the cutter left whole are split here
+    records = whole.select("file", "head", "cells", once(F.when(F.col("cells").isNull(), text)).alias("text"))
+    records = records.where(F.col("cells").isNotNull() | (F.trim("text", F.lit(" \t")) != ""))
+    ready = records.select("file", "head", once(F.coalesce("cells", F.split("text", ",", -1))).alias("cells")).withColumn(
         "reason", F.lit(None).cast("string"))
 
     parts = cut.where("not (start and done) or long").select("file", "block", "start", "done", "head", "long", "line")
@@ -274,10 +276,10 @@ def csv_records(spark: SparkSession, paths: list[str], max_record: int = MAX_REC
     one = Window.partitionBy("file", "record")
     parts = parts.withColumn("long", F.max("long").over(one) | (F.sum(F.octet_length("line") + 1).over(one) > max_record))
     parts = parts.withColumn("line", F.when(~F.col("long"), F.col("line")))  # nothing long is gathered
-    lines_ = F.transform(F.array_sort(F.collect_list(F.struct("block", "line"))), lambda p: p["line"])
+    gathered = F.transform(F.array_sort(F.collect_list(F.struct("block", "line"))), lambda p: p["line"])
     joined = parts.groupBy("file", "record").agg(
         F.max("head").alias("head"), F.max("done").alias("closed"), F.max("long").alias("long"),
-        F.aggregate(lines_, F.lit(None).cast("binary"),
+        F.aggregate(gathered, F.lit(None).cast("binary"),
                     lambda a, x: F.when(a.isNull(), x).otherwise(F.concat(a, F.lit(b"\n"), x))).alias("line"))
     reason = F.when(F.col("long"), F.lit("too_long")).when(~F.col("closed"), F.lit("unclosed_quote"))
     joined = joined.select("file", "head", reason.alias("reason"), "line").mapInArrow(

@@ -199,3 +199,31 @@ def test_csv_headers_quotes_two_layouts_and_uris(spark, tmp):
     with open(f"{tmp}/s.json", "w") as f:
         f.write('[{"a": 1}]')
     assert FS.read_summary(spark, f"file://{tmp}/s.json", "t").collect()[0].tag == "t"
+
+
+def test_kickoff_forms_equal_both_patterns(spark):
+    """Every form parses as by the two patterns one after the other."""
+    from pyspark.sql import functions as F
+    dates = ["5/12/2021", "05/12/21", "29/02/68", "29/02/72", "29/2/1900", "31/12/69", "01/01/68", "1/1/00", " 7/8/99 ", "32/1/21", "1/13/2021",
+             "1/2/021", "1/2/20211", "001/2/21", "1/2/+2021", "x", "", None, "1/2/21 ", "1/2/21\n", "٣/2/21", "1-2-21", "0/1/2021"]
+    times = ["12:30", "7:5", "007:5", "24:00", "x", "", " 9:15 ", None, "12:30:01"]
+    df = spark.createDataFrame([(d, t) for d in dates for t in times], "d string, t string")
+    text = F.concat(F.trim("d"), F.lit(" "), F.coalesce(T.blank_to_null("t"), F.lit("12:00")))
+    two = F.try_to_timestamp(text, F.lit("d/M/yy H:m"))
+    two = F.when(F.year(two) >= 2069, F.make_timestamp(F.year(two) - 100, F.month(two), F.dayofmonth(two), F.hour(two), F.minute(two), F.second(two))).otherwise(two)
+    want = F.coalesce(F.try_to_timestamp(text, F.lit("d/M/yyyy H:m")), two)
+    rows = df.select("d", "t", T.parse_kickoff("d", "t").alias("got"), want.alias("want")).collect()
+    assert [(r.d, r.t, r.got) for r in rows] == [(r.d, r.t, r.want) for r in rows]
+    assert sum(r.got is not None for r in rows) > 40
+
+
+def test_cells_and_kickoff_are_computed_once(spark, tmp):
+    path = f"{tmp}/raw"
+    import os
+    os.makedirs(path)
+    with open(f"{path}/E0_21.csv", "w") as f:
+        f.write("Div,Date,Time,HomeTeam,AwayTeam,B365H,B365D,B365A\nE0,05/12/21,12:30,A,B,2,3,4\nE0,x,12:30,A,B,2,3,4\n")
+    events = C.matches_to_events(files.read_odds_csv(spark, path), league_col="Div")
+    assert [(r.match_id, r.odds_draw) for r in events.collect()] == [("E0-2021-12-05-A-B", 3.0)]
+    plan = events._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") <= 4 and plan.count("gettimestamp(") <= 12, plan

@@ -386,3 +386,44 @@ def test_window_stream_equals_window_batch(spark, tmp):
     assert "Python" not in plan._jdf.queryExecution().executedPlan().toString()
     want = D.detect_window(odds, 3_600_000, time_col="event_time_ms", now_ms=5)
     assert plan.select(*want.columns).exceptAll(want).count() == 0 and plan.count() == want.count()  # a batch has no watermark
+
+
+def test_state_is_held_by_buckets_unless_told_otherwise(spark, tmp):
+    """One state value per bucket of matches, and ``match_state`` reads both layouts alike."""
+    from pricefold.streaming.batched import BUCKETS
+    trigs = [[(f"m{k}", b, h, d, a, k, k) for k in range(3000) for b, (h, d, a) in (("A", OPP_A), ("B", OPP_B))], [("m1", "C", *NO_A, 5000, 1)]]
+    write_triggers(f"{tmp}/in", trigs)
+    left = {}
+    for name, buckets in (("default", None), ("single", 0)):
+        src = S.file_stream(spark, f"{tmp}/in", max_files_per_trigger=1)
+        q = S.start(S.detect_stream(src, buckets=buckets), f"{tmp}/{name}", f"{tmp}/ckpt-{name}")
+        q.awaitTermination()
+        held = q.recentProgress[-1]["stateOperators"][0]["numRowsTotal"]
+        assert held <= BUCKETS if buckets is None else held >= 3000
+        left[name] = sorted((r.match_id, sorted(r.books), r.max_event_time_ms, r.memo) for r in S.match_state(spark, f"{tmp}/ckpt-{name}").collect())
+    assert left["default"] == left["single"] and len(left["single"]) == 3000
+
+
+def test_history_in_parts_leaves_the_margin_of_the_whole():
+    import pandas as pd
+    from pricefold.streaming.batched import BucketProcessor
+
+    class Value:
+        held = None
+
+        def get(self):
+            return self.held
+
+        def update(self, value):
+            self.held = value
+
+    columns = ["match_id", "bookmaker", "odds_home", "odds_draw", "odds_away", "event_time_ms", "real_time_ms"]
+    rows = [("m", "A", *OPP_A, 1, 1), ("m", "B", *OPP_B, 1, 1), ("m", "C", 3.0001, 1.01, 1.01, 1, 1)]
+    memos = []
+    for parts in ([rows], [rows[:2], rows[2:]]):
+        p = BucketProcessor(["real_time_ms"])
+        p.state = Value()
+        for part in parts:
+            p.handleInitialState((0,), pd.DataFrame(part, columns=columns), None)
+        memos.append(p._load().table["memo"].tolist())
+    assert memos[0] == memos[1]

@@ -12,12 +12,15 @@ Counting, in Spark:
   raw counts after the start of a text), and each prefix with the sums of that
   context.  All orders are one chain of shuffles.
 
-A shard's entries are one file of the shared folder: sorted hashes, cut to 40
-bits beyond the leading ones that an index of buckets holds, and a code for
-each entry's count and context sums, which few distinct tuples make up.  (An
-unseen n-gram passes for a seen one with probability 1.5e-11.)  Scoring tasks
-map the files into memory, a bounded number at a time, and look up each chunk's
-distinct n-grams in hash order.
+A shard's entries are a part of a file of the shared folder: sorted hashes, cut
+to 40 bits beyond the leading ones that an index of buckets holds, and a code
+for each entry's count and context sums, which few distinct tuples make up.  (An
+unseen n-gram passes for a seen one with probability 1.5e-11.)  Files hold the
+more shards the more there are, so that their number grows as the square root
+of the text's size.  Scoring tasks map them into memory and look up the
+distinct n-grams of several chunks at a time in hash order, a file at a time.
+
+Lower orders have fewer n-grams and so fewer shards.
 
 With a(.) the count of its order, S the sum over a context and n_k the number
 of its n-grams counted k times (3: three or more)::
@@ -31,7 +34,9 @@ one unknown word sum to 1.
 from __future__ import annotations
 
 import json
+import mmap
 import os
+import uuid
 from collections import OrderedDict
 from collections.abc import Iterator
 
@@ -47,7 +52,8 @@ _U = np.uint64
 END = mix(np.array([0xE0F], np.uint64))  # hash of the token that ends a text
 SHARD_BYTES = 16 << 20  # text per shard
 FLUSH = 1 << 20  # n-grams that a task holds before it sends them
-OPEN_FILES = 256  # mapped at a time by a worker, for each set of arrays
+LOOKUP = 1 << 19  # tokens that are looked up together
+OPEN_FILES = 4096  # mapped at a time by a worker, for each set of arrays
 
 BLOCK = "shard int, kind int, data binary"
 GRAM, CONTEXT, COUNTS = 0, 1, 2
@@ -59,6 +65,16 @@ def _bits(n_bytes: int) -> int:
     return max(1, int(np.ceil(np.log2(max(n_bytes / SHARD_BYTES, 1)))))
 
 
+def _order_bits(n: int, bits: int) -> int:
+    """Shards of order n, of which the lower ones have fewer n-grams."""
+    return bits if n > 2 else max(1, bits - (1 if n == 2 else 3))
+
+
+def _file_bits(bits: int) -> int:
+    """Files that hold an order's shards: one each up to 128, then as the square root."""
+    return min(bits, (bits + 7) // 2)
+
+
 def _shard(keys: np.ndarray, bits: int) -> np.ndarray:
     return (keys >> _U(64 - bits)).astype(np.int64)
 
@@ -80,39 +96,52 @@ def _save(path: str, **arrays: np.ndarray) -> None:
     write_atomic(path, write)
 
 
+def _mapped(path: str) -> np.ndarray:
+    """The bytes of a file, mapped into memory; no file stays open where that can be helped."""
+    with open(path, "rb") as f:
+        try:
+            return np.frombuffer(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ, trackfd=False), np.uint8)
+        except TypeError:  # before Python 3.13
+            return np.frombuffer(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ), np.uint8)
+
+
+def _arrays(path: str) -> dict[str, np.ndarray]:
+    """What ``_save`` wrote."""
+    raw = _mapped(path)
+    with open(path, "rb") as f:
+        line = f.readline()
+    got = {}
+    for name, (at, kind, shape) in json.loads(line).items():
+        size = int(np.prod(shape)) * np.dtype(kind).itemsize
+        got[name] = raw[len(line) + at : len(line) + at + size].view(kind).reshape(shape)
+    return got
+
+
 class ShardFiles:
-    """One file of arrays per shard, mapped into memory; the ``OPEN_FILES`` used
-    last stay open."""
+    """Files by the leading bits of hashes, read by mapping them into memory; the
+    ``OPEN_FILES`` used last stay open."""
 
-    def __init__(self, folder: str, bits: int):
-        self.folder, self.bits, self.open = folder, bits, OrderedDict()
-
-    def path(self, shard: int) -> str:
-        return f"{self.folder}/{shard:07d}.arrays"
-
-    def __getitem__(self, shard: int) -> dict[str, np.ndarray] | None:
-        if shard in self.open:
-            self.open.move_to_end(shard)
-            return self.open[shard]
-        got = None
-        if os.path.exists(self.path(shard)):
-            raw = np.asarray(np.memmap(self.path(shard), np.uint8, "r"))
-            with open(self.path(shard), "rb") as f:
-                line = f.readline()
-            got = {}
-            for name, (at, kind, shape) in json.loads(line).items():
-                size = int(np.prod(shape)) * np.dtype(kind).itemsize
-                got[name] = raw[len(line) + at : len(line) + at + size].view(kind).reshape(shape)
-        self.open[shard] = got
+    def __init__(self, folder: str, bits: int, read=_arrays):
+        self.folder, self.bits, self.read, self.open = folder, bits, read, OrderedDict()
+
+    def path(self, number: int) -> str:
+        return f"{self.folder}/{number:07d}.arrays"
+
+    def __getitem__(self, number: int):
+        if number in self.open:
+            self.open.move_to_end(number)
+            return self.open[number]
+        got = self.read(self.path(number)) if os.path.exists(self.path(number)) else None
+        self.open[number] = got
         if len(self.open) > OPEN_FILES:
             self.open.popitem(last=False)
         return got
 
-    def parts(self, shard: np.ndarray) -> Iterator[tuple[slice, dict[str, np.ndarray]]]:
-        """For sorted shard numbers: the slice of each shard that has a file, and its arrays."""
-        cut = np.flatnonzero(np.diff(shard)) + 1
-        for a, b in zip(np.append(0, cut), np.append(cut, len(shard))):
-            if a < b and (have := self[int(shard[a])]) is not None:
+    def parts(self, number: np.ndarray) -> Iterator[tuple]:
+        """For sorted file numbers: the slice of each file that is there, and what it holds."""
+        cut = np.flatnonzero(np.diff(number)) + 1
+        for a, b in zip(np.append(0, cut), np.append(cut, len(number))):
+            if a < b and (have := self[int(number[a])]) is not None:
                 yield slice(a, b), have
 
 
@@ -133,86 +162,163 @@ REST = 40  # bits of a hash that are stored beyond those its bucket tells
 ENTRY = 5  # count; sum over the entry as a context; its n-grams counted once, twice, more often
 
 
-def save_entries(path: str, keys: np.ndarray, values: np.ndarray) -> None:
-    """Entries of a shard: sorted distinct hashes and ``ENTRY`` numbers each, of
-    which the last ones may be left out where all are 0."""
-    bits = max(0, int(np.ceil(np.log2(max(len(keys), 1) / 16)))) if len(keys) > 16 else 0
-    bucket = (keys >> _U(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
-    rest = (keys << _U(bits)) >> _U(64 - REST)
-    table, code = _coded(values)
-    table = np.pad(table, ((0, 0), (0, ENTRY - values.shape[1])))
-    small = np.uint8 if len(table) <= 1 << 8 else np.uint16 if len(table) <= 1 << 16 else np.uint32
-    index = np.searchsorted(bucket, np.arange((1 << bits) + 1))
-    _save(path, bits=np.array([bits]), index=index.astype(np.uint32 if len(keys) < 1 << 32 else np.uint64), high=(rest >> _U(8)).astype(np.uint32),
-          low=(rest & _U(255)).astype(np.uint8), code=code.astype(small), table=table.astype(np.uint64))
+# of a shard in its file: leading bits that tell the bucket; where the index, the entries' high
+# and low bits, their codes and the table of codes lie, in items; bytes of a code
+DEPTH, INDEX, HIGH, LOW, CODE, TABLE, WIDTH, PLACES = range(8)
+
+
+class EntryFile:
+    """Writes a file of shards one after another, under a name of its own until
+    it is whole: a retried or speculative task replaces it by the same bytes."""
+
+    def __init__(self, path: str, shards: int):
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        self.path, self.part = path, f"{path}.{uuid.uuid4().hex}"
+        self.file, self.at = open(self.part, "wb"), 0
+        self.places = np.zeros((shards, PLACES), np.int64)  # of a shard without entries: a bucket of none
+        self.places[:, WIDTH] = 1
+        self._put(np.zeros(2, np.uint32))
+
+    def _put(self, a: np.ndarray) -> int:
+        """Append an array, 8-aligned; its place in items."""
+        at = self.at
+        self.file.write(np.ascontiguousarray(a).data)
+        self.file.write(bytes(-a.nbytes % 8))
+        self.at += -(-a.nbytes // 8) * 8
+        return at // a.dtype.itemsize
+
+    def add(self, shard: int, keys: np.ndarray, values: np.ndarray) -> None:
+        """Entries of a shard: sorted distinct hashes without the shard's bits, and
+        ``ENTRY`` numbers each, of which the last ones may be left out where all are 0."""
+        if not len(keys):
+            return
+        bits = max(0, int(np.ceil(np.log2(len(keys) / 16)))) if len(keys) > 16 else 0
+        bucket = (keys >> _U(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+        rest = (keys << _U(bits)) >> _U(64 - REST)
+        table, code = _coded(values)
+        width = 1 if len(table) <= 1 << 8 else 2 if len(table) <= 1 << 16 else 4
+        row = self.places[shard]
+        row[DEPTH], row[WIDTH] = bits, width
+        row[INDEX] = self._put(np.append(0, np.cumsum(np.bincount(bucket, minlength=1 << bits))).astype(np.uint32))
+        row[HIGH] = self._put((rest >> _U(8)).astype(np.uint32))
+        row[LOW] = self._put((rest & _U(255)).astype(np.uint8))
+        row[CODE] = self._put(code.astype(f"u{width}"))
+        row[TABLE] = self._put(np.pad(table, ((0, 0), (0, ENTRY - values.shape[1]))).astype(np.int64))
+
+    def close(self) -> None:
+        self._put(self.places)
+        self.file.close()
+        os.replace(self.part, self.path)
+
+
+SMALL = (3, 4, 4, 3, 2)  # bits of numbers that most entries are made of
 
 
 def _coded(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct rows and each row's number among them."""
-    widths = [int(c.max(initial=0)).bit_length() for c in values.T]
-    if sum(widths) > 62:
-        table, code = np.unique(values, axis=0, return_inverse=True)
-        return table, code.reshape(-1)
-    key = np.zeros(len(values), np.int64)
-    for c, w in zip(values.T, widths):
+    columns = list(values.T)
+    widths = [int(c.max(initial=0)).bit_length() for c in columns]
+    if sum(widths) > 20:  # too many to be counted off, but for the small ones
+        small = np.logical_and.reduce([c < 1 << w for c, w in zip(columns, SMALL)])
+        large = np.flatnonzero(~small)
+        code = np.empty(len(values), np.int64)
+        table, code[small] = _coded(values[small])
+        more, number = np.unique(values[large], axis=0, return_inverse=True) if sum(widths) > 62 else _sorted_rows(values[large], widths)
+        code[large] = number.reshape(-1) + len(table)
+        return np.concatenate([table, more]), code
+    key = _row_keys(columns, widths)
+    seen = np.zeros(1 << sum(widths), bool)
+    seen[key] = True
+    return _key_rows(np.flatnonzero(seen), widths), (np.cumsum(seen) - 1)[key]
+
+
+def _row_keys(columns: list[np.ndarray], widths: list[int]) -> np.ndarray:
+    key = np.zeros(len(columns[0]), np.int64)
+    for c, w in zip(columns, widths):
         key = (key << w) | c
-    if sum(widths) <= 20:  # few enough to be counted off
-        seen = np.zeros(1 << sum(widths), bool)
-        seen[key] = True
-        found, code = np.flatnonzero(seen), (np.cumsum(seen) - 1)[key]
-    else:
-        found, code = np.unique(key, return_inverse=True)
+    return key
+
+
+def _key_rows(keys: np.ndarray, widths: list[int]) -> np.ndarray:
     columns = []
     for w in reversed(widths):
-        columns.append(found & ((1 << w) - 1))
-        found = found >> w
-    return np.stack(columns[::-1], axis=1), code.reshape(-1)
+        columns.append(keys & ((1 << w) - 1))
+        keys = keys >> w
+    return np.stack(columns[::-1], axis=1)
+
+
+def _sorted_rows(values: np.ndarray, widths: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    found, code = np.unique(_row_keys(list(values.T), widths), return_inverse=True)
+    return _key_rows(found, widths), code
 
 
 class Entries:
     """Entries of n-grams over all shards."""
 
     def __init__(self, folder: str, bits: int):
-        self.files, self.bits = ShardFiles(folder, bits), bits
+        self.files, self.bits = ShardFiles(folder, _file_bits(bits), _mapped), bits
 
-    def values(self, keys: np.ndarray, weigh) -> np.ndarray:
-        """What ``weigh`` makes of the ``ENTRY`` numbers of each key (a table's rows
-        -> rows); zeros where there is none."""
+    def values(self, keys: np.ndarray, weigh, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ``n`` values that ``weigh`` makes of the ``ENTRY`` numbers of each distinct
+        key, zeros where there is none; and for each key its place there.  ``weigh``
+        is given a function that reads one of the numbers for all keys found."""
         order = _sorting(keys)  # by shard, then hash
         found = keys[order]
         new = np.append(len(found) > 0, found[1:] != found[:-1])
         uniq = found[new]
-        got = np.zeros((len(uniq), weigh(np.zeros((1, ENTRY))).shape[1]))
-        for part, have in self.files.parts(_shard(uniq, self.bits)):
-            self._find(uniq[part] << _U(self.bits), have, weigh(have["table"].astype(float)), got[part])
-        out = np.empty((len(keys), got.shape[1]))
-        out[order] = got[np.cumsum(new) - 1]
-        return out
-
-    @staticmethod
-    def _find(keys: np.ndarray, have: dict[str, np.ndarray], table: np.ndarray, out: np.ndarray) -> None:
-        high, low, n = have["high"], have["low"], len(have["high"])
-        if not n:
-            return
-        bits = int(have["bits"][0])
-        bucket = (keys >> _U(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
-        rest = (keys << _U(bits)) >> _U(64 - REST)
-        want, last = (rest >> _U(8)).astype(np.uint32), (rest & _U(255)).astype(np.uint8)
-        lo, end = have["index"][bucket].astype(np.int64), have["index"][bucket + 1].astype(np.int64)
-        hi = end.copy()
-        for _ in range(int((hi - lo).max(initial=0)).bit_length()):
-            middle = (lo + hi) >> 1
-            less = (lo < hi) & (high[np.minimum(middle, n - 1)] < want)
-            lo, hi = np.where(less, middle + 1, lo), np.where(less, hi, middle)
-        live = np.flatnonzero(lo < end)
-        live = live[high[lo[live]] == want[live]]
+        got = np.zeros((n, len(uniq)))
+        for part, raw in self.files.parts(_shard(uniq, self.files.bits)):
+            self._find(uniq[part] << _U(self.files.bits), raw, weigh, got[:, part])
+        place = np.empty(len(keys), np.int64)
+        place[order] = np.cumsum(new) - 1
+        return got, place
+
+    def _find(self, keys: np.ndarray, raw: np.ndarray, weigh, out: np.ndarray) -> None:
+        more = self.bits - self.files.bits  # bits that tell the shard in the file
+        places = raw[-8 * PLACES << more :].view(np.int64).reshape(1 << more, PLACES)
+        raw = raw[: len(raw) // 8 * 8]
+        words = raw.view(np.uint32)
+        shard = (keys >> _U(64 - more)).astype(np.int64) if more else np.zeros(1, np.int64)
+        keys = keys << _U(more)
+        depth = places[shard, DEPTH].astype(np.uint64)
+        at = ((keys >> _U(1)) >> (_U(63) - depth)).astype(np.int64) + places[shard, INDEX]
+        rest = (keys << depth) >> _U(64 - REST)
+        want = (rest >> _U(8)).astype(np.uint32)
+        base = places[shard, HIGH]
+        lo, end = words[at] + base, words[at + 1] + base
+        # hashes are spread evenly: begin where each would lie and go on to the first that is not less
+        here = lo + ((rest >> _U(8)).astype(np.int64) * (end - lo) >> (REST - 8))
+        live = np.flatnonzero((here < end) & (words[here] < want))
+        while len(live):
+            here[live] += 1
+            live = live[here[live] < end[live]]
+            live = live[words[here[live]] < want[live]]
+        live = np.flatnonzero((here > lo) & (words[here - 1] >= want))
+        while len(live):
+            here[live] -= 1
+            live = live[here[live] > lo[live]]
+            live = live[words[here[live] - 1] >= want[live]]
+        live = np.flatnonzero((here < end) & (words[here] == want))
+        last = (rest & _U(255)).astype(np.uint8)
+        of = (lambda c, i: places[shard[i], c]) if more else lambda c, i: places[0, c]
+        in_shard = here - base
+        hits = []
         while len(live):  # nearly always the first
-            hit = low[lo[live]] == last[live]
-            out[live[hit]] = table[have["code"][lo[live[hit]]]]
+            hit = raw[in_shard[live] + of(LOW, live)] == last[live]
+            hits.append(live[hit])
             live = live[~hit]
-            lo[live] += 1
-            live = live[lo[live] < end[live]]
-            live = live[high[lo[live]] == want[live]]
+            here[live] += 1
+            in_shard[live] += 1
+            live = live[here[live] < end[live]]
+            live = live[words[here[live]] == want[live]]
+        hits = np.concatenate(hits) if hits else live
+        numbers = raw.view(np.int64)
+        for size in set(places[:, WIDTH].tolist()):
+            some = hits[of(WIDTH, hits) == size] if more else hits
+            code = raw.view(f"u{size}")[in_shard[some] + of(CODE, some)].astype(np.int64)
+            at = of(TABLE, some) + code * ENTRY
+            for row, numbers_of in zip(out, weigh(lambda k, at=at: numbers[at + k])):
+                row[some] = numbers_of
 
 
 # --------------------------------------------------------------- counting --
@@ -250,7 +356,7 @@ def _word_counts(bits: int):
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys, kind="stable")
+    order = _sorting(keys)
     keys, counts = keys[order], counts[order]
     head = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
     return keys[head], np.add.reduceat(counts, head) if len(head) else counts[:0]
@@ -295,7 +401,11 @@ class Vocabulary:
 
     def ids(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Id and training count of every word."""
-        uniq, back = np.unique(hashes, return_inverse=True)
+        order = _sorting(hashes)
+        found = hashes[order]
+        new = np.append(len(found) > 0, found[1:] != found[:-1])
+        uniq, back = found[new], np.empty(len(found), np.int64)
+        back[order] = np.cumsum(new) - 1
         ids = np.full(len(uniq), self.unknown, self.kind)
         counts = np.zeros(len(uniq), np.int64)
         shard = _shard(uniq, self.bits)
@@ -304,7 +414,6 @@ class Vocabulary:
             there = have["keys"][at] == uniq[part]
             ids[part] = np.where(there, (have["rank"][at] << self.bits) + shard[part.start], self.unknown)
             counts[part] = np.where(there, have["counts"][at], 0)
-        back = back.reshape(-1)
         return ids[back], counts[back]
 
 
@@ -342,42 +451,77 @@ def _gram_keys(columns: list[np.ndarray], bits: int) -> np.ndarray:
     return (owner >> _U(64 - bits) << _U(64 - bits)) | (h >> _U(bits))
 
 
+def _places(key: np.ndarray) -> np.ndarray:
+    """The order that sorts numbers; those that come as a few sorted runs are merged."""
+    few = np.count_nonzero(key[1:] < key[:-1]) < 64
+    return np.argsort(key, kind="stable" if few else None)
+
+
 def _in_order(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Rows sorted by columns, and where each run of equal rows begins."""
+    """An order of rows in which equal rows follow one another and all columns but
+    the last are sorted, and where each run of equal rows begins."""
     widths = [int(c.max(initial=0)).bit_length() for c in columns]
-    if sum(widths) <= 64:
-        key = columns[0].astype(np.uint64)
-        for c, w in zip(columns[1:], widths[1:]):
-            key = (key << _U(w)) | c.astype(np.uint64)
-        order = np.argsort(key, kind="stable")  # rows come as a few sorted runs
-        key = key[order]
-        new = key[1:] != key[:-1]
-    else:
+    if sum(widths[:-1]) > 56:
         order = np.lexsort(columns[::-1])
         new = np.logical_or.reduce([c[order][1:] != c[order][:-1] for c in columns])
-    return order, np.flatnonzero(np.append(len(order) > 0, new))
+        return order, np.flatnonzero(np.append(len(order) > 0, new))
+    key = np.zeros(len(columns[0]), np.uint64)
+    for c, w in zip(columns[:-1], widths):
+        key = (key << _U(w)) | c.astype(np.uint64)
+    last, w, room = columns[-1].astype(np.uint64), widths[-1], 64 - sum(widths[:-1])
+    if w <= room:
+        key = (key << _U(w)) | last
+        order = _places(key)
+        key = key[order]
+        return order, np.flatnonzero(np.append(len(order) > 0, key[1:] != key[:-1]))
+    # the leading bits of a product that differs for different last words
+    with np.errstate(over="ignore"):
+        key = (key << _U(room)) | ((last * _U(0x9E3779B97F4A7C15) & _U((1 << w) - 1)) >> _U(w - room))
+    order = _places(key)
+    key, last = key[order], last[order]
+    same, other = key[1:] == key[:-1], last[1:] != last[:-1]
+    if (same & other).any():  # few words agree there: sort them on
+        run = np.cumsum(np.append(False, ~same))
+        mixed = np.zeros(run[-1] + 1, bool)
+        mixed[run[1:][same & other]] = True
+        some = np.flatnonzero(mixed[run])
+        order[some] = order[some[np.lexsort((last[some], run[some]))]]
+        last = columns[-1][order]
+        other = last[1:] != last[:-1]
+    return order, np.flatnonzero(np.append(len(order) > 0, ~same | other))
+
+
+def _rows(a: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Rows of a table that is held by columns."""
+    return np.stack([c.take(at) for c in a.T]).T
+
+
+def _joined(tables: list[np.ndarray]) -> np.ndarray:
+    """Tables one below the other, held by columns."""
+    return np.concatenate([t.T for t in tables], axis=1).T
 
 
 def _grouped(grams: np.ndarray, vals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct n-grams (rows) in order and their summed values."""
+    """Distinct n-grams (rows), ``_in_order``, and their summed values."""
     if not len(grams):
         return grams, vals
-    order, head = _in_order([grams[:, k] for k in range(grams.shape[1])])
-    return grams[order[head]], _summed_runs(vals[order], head)
+    order, head = _in_order(list(grams.T))
+    return _rows(grams, order[head]), _summed_runs(_rows(vals, order), head)
 
 
 def _counted(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct n-grams (rows) in order and how often each is there."""
+    """Distinct n-grams (rows), ``_in_order``, and how often each is there."""
     widths = [int(c.max(initial=0)).bit_length() for c in grams.T]
     if not len(grams) or sum(widths) > 64:
-        return _grouped(grams, np.ones((len(grams), 1), np.int64))
+        order, head = _in_order(list(grams.T))
+        return _rows(grams, order[head]), np.diff(np.append(head, len(order)))[:, None]
     key = grams[:, 0].astype(np.uint64)
     for c, w in zip(grams.T[1:], widths[1:]):
         key = (key << _U(w)) | c
     key.sort()
     head = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
     count = np.diff(np.append(head, len(key)))
-    key, out = key[head], np.empty((len(head), grams.shape[1]), grams.dtype)
+    key, out = key[head], np.empty((grams.shape[1], len(head)), grams.dtype).T
     for k in range(grams.shape[1] - 1, -1, -1):
         out[:, k] = key & _U((1 << widths[k]) - 1)
         if k:
@@ -388,21 +532,20 @@ def _counted(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _summed_runs(vals: np.ndarray, head: np.ndarray) -> np.ndarray:
     if len(head) == len(vals):
         return vals
-    return np.stack([np.add.reduceat(np.ascontiguousarray(v), head) for v in vals.T], axis=1)
+    return np.stack([np.add.reduceat(v, head) for v in vals.T]).T
 
 
 def _planes(a: np.ndarray) -> tuple[int, bytes]:
     """Columns of numbers as planes of bytes of one weight, as many as the largest needs."""
     n = max(1, -(-int(a.max(initial=0)).bit_length() // 8))
-    return n, b"".join((a.T >> a.dtype.type(8 * k)).astype(np.uint8).tobytes() for k in range(n))
+    columns = np.ascontiguousarray(a.T)
+    return n, columns.view(np.uint8).reshape(*columns.shape, -1).transpose(2, 0, 1)[:n].tobytes()
 
 
 def _from_planes(raw: np.ndarray, planes: int, rows: int, columns: int, kind) -> np.ndarray:
-    parts = raw.reshape(planes, columns, rows)
-    out = parts[0].astype(kind)
-    for k in range(1, planes):
-        out |= parts[k].astype(kind) << kind(8 * k)
-    return out.T
+    out = np.zeros((columns, rows, np.dtype(kind).itemsize), np.uint8)
+    out[:, :, :planes] = raw.reshape(planes, columns, rows).transpose(1, 2, 0)
+    return out.view(kind)[:, :, 0].T
 
 
 def _packed(grams: np.ndarray, vals: np.ndarray) -> bytes:
@@ -431,7 +574,7 @@ def _blocks(grams: np.ndarray, vals: np.ndarray, bits: int, kind: int):
         return
     shard = _shard(_gram_keys([grams[:, k] for k in range(grams.shape[1])], bits), bits)
     order = np.argsort(shard.astype(np.uint16) if bits <= 16 else shard, kind="stable")
-    shard, grams, vals = shard[order], grams[order], vals[order]
+    shard, grams, vals = shard[order], _rows(grams, order), _rows(vals, order)
     cut = np.append(np.append(0, np.flatnonzero(np.diff(shard)) + 1), len(shard))
     yield pa.RecordBatch.from_arrays(
         [pa.array(shard[cut[:-1]], pa.int32()), pa.array(np.full(len(cut) - 1, kind), pa.int32()),
@@ -445,13 +588,13 @@ def _count_grams(folder: str, order: int, bits: int):
         grams, size = [held], 0
 
         def all_held():
-            g, v = _counted(np.concatenate(grams))
-            return _grouped(np.concatenate([held, g]), np.concatenate([vals, v])) if len(held) else (g, v)
+            g, v = _counted(_joined(grams))
+            return _grouped(_joined([held, g]), _joined([vals, v])) if len(held) else (g, v)
 
         for batch in batches:
             for c in chunks(batch.column("text"), fold=True):
                 flat, at, _, _ = _sequence(c, vocab, order)
-                grams.append(np.stack([flat[at - order + 1 + k] for k in range(order)], axis=1))
+                grams.append(np.stack([flat[at - order + 1 + k] for k in range(order)]).T)
                 size += len(at)
                 if size > FLUSH:
                     held, vals = all_held()
@@ -471,10 +614,10 @@ def _shards(batches, order: int, kind):
     now, held = None, []
 
     def done():
-        grams = np.concatenate([g for _, g, _ in held])
+        grams = _joined([g for _, g, _ in held])
         if all(what == GRAM for what, _, _ in held):
-            return _grouped(grams, np.concatenate([v for _, _, v in held]))
-        vals = np.zeros((len(grams), ENTRY), np.int64)
+            return _grouped(grams, _joined([v for _, _, v in held]))
+        vals = np.zeros((ENTRY, len(grams)), np.int64).T
         at = 0
         for what, g, v in held:
             vals[at : at + len(g), slice(0, 1) if what == GRAM else slice(1, ENTRY)] = v
@@ -500,38 +643,49 @@ def _counts_row(shard: int, data: bytes) -> pa.RecordBatch:
                                       ["shard", "kind", "data"])
 
 
-def _merge_order(folder: str, order: int, bits: int, start: int):
+def _merge_order(folder: str, order: int, bits: int, lower: int, start: int):
     """Sum one order's blocks, write its entries, and send what the next lower
-    order and the contexts need, and how many n-grams are counted 1 to 4 times."""
+    order (of 2 ** ``lower`` shards) and the contexts need, and how many n-grams
+    are counted 1 to 4 times."""
     kind = _kind(start)
+    more = bits - _file_bits(bits)
 
     def run(batches):
+        number, file = None, None
         for shard, grams, values in _shards(batches, order, kind):
             if grams is None:
                 yield _counts_row(shard, values)
                 continue
-            key = _gram_keys([grams[:, k] for k in range(order)], bits)
+            if shard >> more != number:
+                if file:
+                    file.close()
+                number = shard >> more
+                file = EntryFile(f"{folder}/{number:07d}.arrays", 1 << more)
+            key = _gram_keys(list(grams.T), bits)
             by_key = _sorting(key, bits)
-            save_entries(f"{folder}/{shard:07d}.arrays", key[by_key] << _U(bits), values[by_key])
+            file.add(shard & ((1 << more) - 1), key[by_key] << _U(bits), _rows(values, by_key))
             seen = values[:, 0] > 0  # others are contexts only
-            grams, a = (grams, values[:, 0]) if seen.all() else (grams[seen], values[seen, 0])
+            grams, a = (grams, values[:, 0]) if seen.all() else (_rows(grams, np.flatnonzero(seen)), values[seen, 0])
             once = [a, a == 1, a == 2, a >= 3]
             if order > 1 and len(grams):
                 opens = grams[:, 1] == start  # the greatest id, so these follow the others
-                count = _counted(grams[~opens, 1:]), _grouped(grams[opens, 1:], a[opens, None])
-                yield from _blocks(*(np.concatenate(x) for x in zip(*count)), bits, GRAM)
+                inner, outer = np.flatnonzero(~opens), np.flatnonzero(opens)
+                count = _counted(_rows(grams[:, 1:], inner)), _grouped(_rows(grams[:, 1:], outer), a[outer, None])
+                yield from _blocks(*map(_joined, zip(*count)), lower, GRAM)
                 head = grams[:, :-1]  # in order already
                 first = np.flatnonzero(np.append(True, np.logical_or.reduce([c[1:] != c[:-1] for c in head.T])))
-                yield from _blocks(head[first], np.stack([np.add.reduceat(x, first, dtype=np.int64) for x in once], axis=1), bits, CONTEXT)
+                yield from _blocks(_rows(head, first), np.stack([np.add.reduceat(x, first, dtype=np.int64) for x in once]).T, lower, CONTEXT)
             total = np.array([order, *((a == k).sum() for k in (1, 2, 3, 4)), *(x.sum() for x in once)])
             yield _counts_row(shard, total.astype("<i8").tobytes())
+        if file:
+            file.close()
 
     return tidy(run)
 
 
-def _by_shard(blocks: DataFrame, bits: int) -> DataFrame:
-    """Blocks dealt to one task per shard, a shard's blocks one after another."""
-    return blocks.repartitionById(1 << bits, F.col("shard")).sortWithinPartitions("shard")
+def _by_shard(blocks: DataFrame, bits: int, files: int) -> DataFrame:
+    """Blocks dealt to one task per file of shards, a shard's blocks one after another."""
+    return blocks.repartitionById(1 << files, F.shiftright("shard", bits - files)).sortWithinPartitions("shard")
 
 
 @tidy
@@ -584,16 +738,17 @@ class KneserNey:
         for n in range(1, self.order + 1):
             d, rest = cut[n - 1], cut[n] if n < self.order else None
             # count; as a context of the next order: sum, and what its discounts leave over
-            weigh = lambda t, rest=rest: t[:, :1] if rest is None else np.stack([t[:, 0], t[:, 1], t[:, 2:] @ rest], axis=1)
-            keys = _gram_keys([flat[k : len(flat) - n + 1 + k] for k in range(n)], self.bits) if len(flat) >= n else np.zeros(0, np.uint64)
-            found = entries[n - 1].values(keys, weigh)
-            a = found[at - n + 1, 0]
-            off = np.where(a >= 3, d[2], np.where(a == 2, d[1], np.where(a > 0, d[0], 0.0)))
+            weigh = lambda of, rest=rest: [of(0)] if rest is None else [of(0), of(1), sum(of(2 + k) * rest[k] for k in range(3))]
+            bits = _order_bits(n, self.bits)
+            keys = _gram_keys([flat[k : len(flat) - n + 1 + k] for k in range(n)], bits) if len(flat) >= n else np.zeros(0, np.uint64)
+            found, place = entries[n - 1].values(keys, weigh, 1 if rest is None else 3)
+            a = found[0][place[at - n + 1]]
+            off = np.concatenate([[0.0], d])[np.minimum(a, 3).astype(np.int8)]
             with np.errstate(divide="ignore", invalid="ignore"):
                 q = (np.maximum(a - off, 0) + back * p) / s
             p = np.where(s > 0, q, p)
             if rest is not None:
-                s, back = found[at - n, 1], found[at - n, 2]
+                s, back = found[1:, place[at - n]]
         return np.log10(p)
 
 
@@ -609,15 +764,16 @@ def train(docs: DataFrame, order: int = 3, text: str = "text") -> KneserNey:
     docs = docs.select(F.col(text).cast("string").alias("text"))
     bits = _bits(text_bytes(docs))
     word_bits = max(1, bits - 3)  # words are few beside their text
-    words = _by_shard(docs.mapInArrow(_word_counts(word_bits), BLOCK), word_bits)
+    words = _by_shard(docs.mapInArrow(_word_counts(word_bits), BLOCK), word_bits, word_bits)
     done = words.mapInArrow(_write_vocab(f"{folder}/vocab"), "shard int, words long, tokens long")
     most, size, tokens = done.agg(F.max("words"), F.sum("words"), F.sum("tokens")).first()
     unknown = (most or 0) << word_bits
     write_atomic(f"{folder}/vocab/sizes.json", lambda f: f.write(json.dumps({"bits": word_bits, "size": size or 0, "unknown": unknown}).encode()))
     start = unknown + 1
-    rows = docs.mapInArrow(_count_grams(f"{folder}/vocab", order, bits), BLOCK)
+    rows = docs.mapInArrow(_count_grams(f"{folder}/vocab", order, _order_bits(order, bits)), BLOCK)
     for n in range(order, 0, -1):
-        rows = _by_shard(rows, bits).mapInArrow(_merge_order(f"{folder}/order{n}", n, bits, start), BLOCK)
+        own, lower = _order_bits(n, bits), _order_bits(max(n - 1, 1), bits)
+        rows = _by_shard(rows, own, _file_bits(own)).mapInArrow(_merge_order(f"{folder}/order{n}", n, own, lower, start), BLOCK)
     found = {n: np.zeros(8) for n in range(1, order + 1)}
     totals = rows.mapInArrow(_totals, ", ".join(f"{c} long" for c in _TOTAL)).groupBy("n").agg(*[F.sum(c) for c in _TOTAL[1:]])
     for r in totals.collect():  # one row an order
@@ -635,7 +791,7 @@ def _opened(folder: str):
     if folder not in _loaded:
         _loaded.clear()
         m = KneserNey.load(folder)
-        _loaded[folder] = (m, m.vocabulary(), [Entries(f"{folder}/order{n}", m.bits) for n in range(1, m.order + 1)])
+        _loaded[folder] = (m, m.vocabulary(), [Entries(f"{folder}/order{n}", _order_bits(n, m.bits)) for n in range(1, m.order + 1)])
     return _loaded[folder]
 
 
@@ -645,16 +801,32 @@ SCORES = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
 def _score(folder: str, column: str):
     def run(batches):
         model, vocab, entries = _opened(folder)
-        for batch in batches:
-            for c in chunks(batch.column(column), fold=True):
-                flat, at, count, bound = _sequence(c, vocab, model.order)
+
+        def scored(held):
+            """Rows of chunks, their tokens looked up together."""
+            ends = np.cumsum([0, *(len(flat) for _, flat, _, _, _ in held)])
+            score = model.log10(np.concatenate([flat for _, flat, _, _, _ in held]),
+                                np.concatenate([at + end for (_, _, at, _, _), end in zip(held, ends)]), vocab, entries)
+            for part, _, at, count, bound in held:
+                own, score = score[: len(at)], score[len(at) :]
                 base = np.log10((count + 1.0) / (model.tokens + vocab.size + 1.0))
-                score = model.log10(flat, at, vocab, entries)
-                part = batch.slice(c.start, len(c)).drop_columns([column])
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(np.diff(bound), pa.int64()), pa.array(sums(count > 0, bound), pa.int64()),
-                     pa.array(np.full(len(c), model.tokens), pa.int64()), pa.array(sums(base, bound), pa.float64()),
-                     pa.array(sums(score, bound), pa.float64())], [*part.schema.names, *SCORES])
+                     pa.array(np.full(len(bound) - 1, model.tokens), pa.int64()), pa.array(sums(base, bound), pa.float64()),
+                     pa.array(sums(own, bound), pa.float64())], [*part.schema.names, *SCORES])
+
+        held, size = [], 0
+        for batch in batches:
+            others = batch.drop_columns([column])
+            for c in chunks(batch.column(column), fold=True):
+                flat, at, count, bound = _sequence(c, vocab, model.order)
+                held.append((others.slice(c.start, len(c)), flat, at, count, bound))
+                size += len(at)
+                if size > LOOKUP:
+                    yield from scored(held)
+                    held, size = [], 0
+        if held:
+            yield from scored(held)
 
     return tidy(run)
 

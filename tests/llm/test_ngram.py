@@ -1,12 +1,14 @@
 """Kneser-Ney scores against a plain dictionary implementation."""
 
 import math
+import os
 import random
 import re
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,6 +107,68 @@ def test_shards_and_flushes_change_nothing(spark, monkeypatch):
         assert tuple(x) == pytest.approx(tuple(y))
 
 
+def test_many_shards_share_files_that_stay_open(spark, monkeypatch):
+    rows = corpus(9, 300)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    plain = ngram.score(df, ngram.train(df, 3)).collect()
+    monkeypatch.setattr(ngram, "SHARD_BYTES", 20)
+    model = ngram.train(df, 3)
+    assert model.bits >= 10
+    kept = [[os.path.basename(f) for f in os.listdir(f"{model.folder}/order{n}")] for n in (1, 2, 3)]
+    assert max(map(len, kept)) <= 2 ** ((model.bits + 7) // 2)
+    key = lambda r: (repr(r.doc_id), r.n_tokens, r.score)
+    for x, y in zip(sorted(plain, key=key), sorted(ngram.score(df, model).collect(), key=key), strict=True):
+        assert tuple(x) == pytest.approx(tuple(y))
+    texts = [t for _, t in rows if t]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    run = ngram._score(model.folder, "text")
+    list(run(iter([batch])))
+    files = [e.files.open for e in ngram._opened(model.folder)[2]]
+    before = [dict(f) for f in files]
+    list(run(iter([batch])))
+    for was, now in zip(before, files):
+        assert len(was) > 30 and all(now[k] is v for k, v in was.items())
+
+
+def test_tokens_looked_up_together_change_nothing(spark, monkeypatch):
+    df = spark.createDataFrame(corpus(10), "doc_id long, text string").coalesce(1)
+    model = ngram.train(df, 3)
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(6)), "text": ["the of", None, "", "w1 w2 of", "a", "of the"] })
+    alike = pa.RecordBatch.from_pydict({"doc_id": [], "text": []}, schema=batch.schema)
+    for most in (0, 3, 1 << 19):
+        monkeypatch.setattr(ngram, "LOOKUP", most)
+        got = pa.Table.from_batches(ngram._score(model.folder, "text")(iter([batch, alike, batch]))).to_pylist()
+        if not most:
+            want = got
+        assert [r["doc_id"] for r in got] == [*range(6)] * 2
+        assert got == want
+
+
+@pytest.mark.parametrize("words, columns", [(9, 3), (1 << 21, 3), (1 << 26, 3), (1 << 26, 2), ((1 << 32) - 1, 3), (1 << 25, 4)])
+def test_equal_grams_come_together_whatever_the_vocabulary(words, columns):
+    rnd = np.random.default_rng(words % 1000)
+    some = np.append(rnd.integers(0, words, 60), words)
+    grams = np.stack([rnd.choice(some[: 7 + 18 * k], 5000) for k in range(columns)]).T.astype(np.uint32)
+    grams[:, -1] ^= rnd.integers(0, 4, 5000).astype(np.uint32)  # words that differ in their last bits alone
+    counts = Counter(map(tuple, grams.tolist()))
+    vals = rnd.integers(0, 9, (5000, 2))
+    sums = defaultdict(lambda: [0, 0])
+    for g, v in zip(grams.tolist(), vals.tolist()):
+        sums[tuple(g)] = [a + b for a, b in zip(sums[tuple(g)], v)]
+    for got, value, want in [(*ngram._counted(grams), {k: [v] for k, v in counts.items()}), (*ngram._grouped(grams, vals), dict(sums))]:
+        assert dict(zip(map(tuple, got.tolist()), value.tolist())) == want and len(got) == len(want)
+        heads = [tuple(g[:-1]) for g in got.tolist()]
+        assert heads == sorted(heads)
+
+
+def test_large_and_small_numbers_are_coded():
+    rnd = np.random.default_rng(4)
+    values = np.concatenate([rnd.integers(0, 5, (3000, 5)), rnd.integers(0, 1 << 40, (50, 5)), rnd.integers(0, 3000, (500, 5))])
+    for part in (values, values[:3000], values[3050:], values[3000:3050], values[:, :1], values[:0]):
+        table, code = ngram._coded(part)
+        assert (table[code] == part).all() and len(np.unique(table, axis=0)) == len(table)
+
+
 def test_empty_training_and_empty_table(spark):
     df = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     model = ngram.train(df.limit(0), 2)

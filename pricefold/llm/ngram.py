@@ -52,7 +52,7 @@ _U = np.uint64
 END = mix(np.array([0xE0F], np.uint64))  # hash of the token that ends a text
 SHARD_BYTES = 16 << 20  # text per shard
 FLUSH = 1 << 20  # n-grams that a task holds before it sends them
-LOOKUP = 1 << 19  # tokens that are looked up together
+LOOKUP = 1 << 18  # tokens that are looked up together
 OPEN_FILES = 4096  # mapped at a time by a worker, for each set of arrays
 
 BLOCK = "shard int, kind int, data binary"
@@ -151,9 +151,11 @@ def _sorting(keys: np.ndarray, alike: int = 0) -> np.ndarray:
     places alone; the few that agree there are put right after."""
     keys = keys << _U(alike)
     low = _U((1 << len(keys).bit_length()) - 1)
-    both = (keys & ~low) | np.arange(len(keys), dtype=np.uint64)
+    both = keys & ~low
+    both |= np.arange(len(keys), dtype=np.uint64)
     both.sort()
-    order = (both & low).astype(np.int64)
+    both &= low
+    order = both.view(np.int64)
     keys = keys[order]
     return order[np.argsort(keys, kind="stable")] if (keys[1:] < keys[:-1]).any() else order
 
@@ -266,11 +268,12 @@ class Entries:
         found = keys[order]
         new = np.append(len(found) > 0, found[1:] != found[:-1])
         uniq = found[new]
+        place = np.empty(len(keys), np.int32)
+        place[order] = np.cumsum(new, dtype=np.int32) - 1
+        del order, found, new
         got = np.zeros((n, len(uniq)))
         for part, raw in self.files.parts(_shard(uniq, self.files.bits)):
             self._find(uniq[part] << _U(self.files.bits), raw, weigh, got[:, part])
-        place = np.empty(len(keys), np.int64)
-        place[order] = np.cumsum(new) - 1
         return got, place
 
     def _find(self, keys: np.ndarray, raw: np.ndarray, weigh, out: np.ndarray) -> None:
@@ -467,28 +470,34 @@ def _in_order(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         return order, np.flatnonzero(np.append(len(order) > 0, new))
     key = np.zeros(len(columns[0]), np.uint64)
     for c, w in zip(columns[:-1], widths):
-        key = (key << _U(w)) | c.astype(np.uint64)
+        key <<= _U(w)
+        key |= c
     last, w, room = columns[-1].astype(np.uint64), widths[-1], 64 - sum(widths[:-1])
-    if w <= room:
-        key = (key << _U(w)) | last
-        order = _places(key)
-        key = key[order]
-        return order, np.flatnonzero(np.append(len(order) > 0, key[1:] != key[:-1]))
-    # the leading bits of a product that differs for different last words
-    with np.errstate(over="ignore"):
-        key = (key << _U(room)) | ((last * _U(0x9E3779B97F4A7C15) & _U((1 << w) - 1)) >> _U(w - room))
+    fits = w <= room
+    if not fits:  # the leading bits of a product that differs for different last words
+        last *= _U(0x9E3779B97F4A7C15)
+        last &= _U((1 << w) - 1)
+        last >>= _U(w - room)
+    key <<= _U(min(w, room))
+    key |= last
+    del last
     order = _places(key)
-    key, last = key[order], last[order]
-    same, other = key[1:] == key[:-1], last[1:] != last[:-1]
-    if (same & other).any():  # few words agree there: sort them on
-        run = np.cumsum(np.append(False, ~same))
-        mixed = np.zeros(run[-1] + 1, bool)
-        mixed[run[1:][same & other]] = True
-        some = np.flatnonzero(mixed[run])
-        order[some] = order[some[np.lexsort((last[some], run[some]))]]
+    key = key[order]
+    new = key[1:] != key[:-1]
+    if not fits:
         last = columns[-1][order]
         other = last[1:] != last[:-1]
-    return order, np.flatnonzero(np.append(len(order) > 0, ~same | other))
+        mixed = np.flatnonzero(other & ~new)
+        if len(mixed):  # few words agree there: sort them on
+            run = np.cumsum(np.append(False, new))
+            part = np.zeros(run[-1] + 1, bool)
+            part[run[mixed]] = True
+            some = np.flatnonzero(part[run])
+            order[some] = order[some[np.lexsort((last[some], run[some]))]]
+            last = columns[-1][order]
+            other = last[1:] != last[:-1]
+        new |= other
+    return order, np.flatnonzero(np.append(len(order) > 0, new))
 
 
 def _rows(a: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -616,12 +625,14 @@ def _shards(batches, order: int, kind):
     def done():
         grams = _joined([g for _, g, _ in held])
         if all(what == GRAM for what, _, _ in held):
-            return _grouped(grams, _joined([v for _, _, v in held]))
-        vals = np.zeros((ENTRY, len(grams)), np.int64).T
-        at = 0
-        for what, g, v in held:
-            vals[at : at + len(g), slice(0, 1) if what == GRAM else slice(1, ENTRY)] = v
-            at += len(g)
+            vals = _joined([v for _, _, v in held])
+        else:
+            vals = np.zeros((ENTRY, len(grams)), np.int64).T
+            at = 0
+            for what, g, v in held:
+                vals[at : at + len(g), slice(0, 1) if what == GRAM else slice(1, ENTRY)] = v
+                at += len(g)
+        held.clear()  # before sorting
         return _grouped(grams, vals)
 
     for batch in batches:
@@ -631,7 +642,6 @@ def _shards(batches, order: int, kind):
                 continue
             if shard != now and held:
                 yield now, *done()
-                held = []
             now = shard
             held.append((what, *_unpacked(data.as_buffer())))
     if held:
@@ -650,6 +660,28 @@ def _merge_order(folder: str, order: int, bits: int, lower: int, start: int):
     kind = _kind(start)
     more = bits - _file_bits(bits)
 
+    def merged(file, shard, grams, values):
+        key = _gram_keys(list(grams.T), bits)
+        by_key = _sorting(key, bits)
+        file.add(shard & ((1 << more) - 1), key[by_key] << _U(bits), _rows(values, by_key))
+        del key, by_key
+        seen = values[:, 0] > 0  # others are contexts only
+        grams, a = (grams, values[:, 0]) if seen.all() else (_rows(grams, np.flatnonzero(seen)), values[seen, 0])
+        del values
+        once = [a, a == 1, a == 2, a >= 3]
+        if order > 1 and len(grams):
+            opens = grams[:, 1] == start  # the greatest id, so these follow the others
+            inner, outer = np.flatnonzero(~opens), np.flatnonzero(opens)
+            count = _counted(_rows(grams[:, 1:], inner)), _grouped(_rows(grams[:, 1:], outer), a[outer, None])
+            del inner, outer
+            yield from _blocks(*map(_joined, zip(*count)), lower, GRAM)
+            del count
+            head = grams[:, :-1]  # in order already
+            first = np.flatnonzero(np.append(True, np.logical_or.reduce([c[1:] != c[:-1] for c in head.T])))
+            yield from _blocks(_rows(head, first), np.stack([np.add.reduceat(x, first, dtype=np.int64) for x in once]).T, lower, CONTEXT)
+        total = np.array([order, *((a == k).sum() for k in (1, 2, 3, 4)), *(x.sum() for x in once)])
+        yield _counts_row(shard, total.astype("<i8").tobytes())
+
     def run(batches):
         number, file = None, None
         for shard, grams, values in _shards(batches, order, kind):
@@ -661,22 +693,9 @@ def _merge_order(folder: str, order: int, bits: int, lower: int, start: int):
                     file.close()
                 number = shard >> more
                 file = EntryFile(f"{folder}/{number:07d}.arrays", 1 << more)
-            key = _gram_keys(list(grams.T), bits)
-            by_key = _sorting(key, bits)
-            file.add(shard & ((1 << more) - 1), key[by_key] << _U(bits), _rows(values, by_key))
-            seen = values[:, 0] > 0  # others are contexts only
-            grams, a = (grams, values[:, 0]) if seen.all() else (_rows(grams, np.flatnonzero(seen)), values[seen, 0])
-            once = [a, a == 1, a == 2, a >= 3]
-            if order > 1 and len(grams):
-                opens = grams[:, 1] == start  # the greatest id, so these follow the others
-                inner, outer = np.flatnonzero(~opens), np.flatnonzero(opens)
-                count = _counted(_rows(grams[:, 1:], inner)), _grouped(_rows(grams[:, 1:], outer), a[outer, None])
-                yield from _blocks(*map(_joined, zip(*count)), lower, GRAM)
-                head = grams[:, :-1]  # in order already
-                first = np.flatnonzero(np.append(True, np.logical_or.reduce([c[1:] != c[:-1] for c in head.T])))
-                yield from _blocks(_rows(head, first), np.stack([np.add.reduceat(x, first, dtype=np.int64) for x in once]).T, lower, CONTEXT)
-            total = np.array([order, *((a == k).sum() for k in (1, 2, 3, 4)), *(x.sum() for x in once)])
-            yield _counts_row(shard, total.astype("<i8").tobytes())
+            work = merged(file, shard, grams, values)
+            del grams, values  # not to be held beside the next shard's
+            yield from work
         if file:
             file.close()
 
@@ -802,31 +821,31 @@ def _score(folder: str, column: str):
     def run(batches):
         model, vocab, entries = _opened(folder)
 
-        def scored(held):
+        def scored(held, names):
             """Rows of chunks, their tokens looked up together."""
-            ends = np.cumsum([0, *(len(flat) for _, flat, _, _, _ in held)])
-            score = model.log10(np.concatenate([flat for _, flat, _, _, _ in held]),
-                                np.concatenate([at + end for (_, _, at, _, _), end in zip(held, ends)]), vocab, entries)
-            for part, _, at, count, bound in held:
+            ends = np.cumsum([0, *(len(flat) for _, flat, _, _ in held)])
+            score = model.log10(np.concatenate([flat for _, flat, _, _ in held]),
+                                np.concatenate([at + end for (_, _, at, _), end in zip(held, ends)]), vocab, entries)
+            for columns, _, at, bound in held:
                 own, score = score[: len(at)], score[len(at) :]
-                base = np.log10((count + 1.0) / (model.tokens + vocab.size + 1.0))
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(np.diff(bound), pa.int64()), pa.array(sums(count > 0, bound), pa.int64()),
-                     pa.array(np.full(len(bound) - 1, model.tokens), pa.int64()), pa.array(sums(base, bound), pa.float64()),
-                     pa.array(sums(own, bound), pa.float64())], [*part.schema.names, *SCORES])
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(sums(own, bound), pa.float64())], names)
 
         held, size = [], 0
         for batch in batches:
             others = batch.drop_columns([column])
+            names = [*others.schema.names, *SCORES]
             for c in chunks(batch.column(column), fold=True):
                 flat, at, count, bound = _sequence(c, vocab, model.order)
-                held.append((others.slice(c.start, len(c)), flat, at, count, bound))
+                base = np.log10((count + 1.0) / (model.tokens + vocab.size + 1.0))
+                columns = [*others.slice(c.start, len(c)).columns, pa.array(np.diff(bound), pa.int64()), pa.array(sums(count > 0, bound), pa.int64()),
+                           pa.array(np.full(len(c), model.tokens), pa.int64()), pa.array(sums(base, bound), pa.float64())]
+                held.append((columns, flat, at, bound))
                 size += len(at)
                 if size > LOOKUP:
-                    yield from scored(held)
+                    yield from scored(held, names)
                     held, size = [], 0
         if held:
-            yield from scored(held)
+            yield from scored(held, names)
 
     return tidy(run)
 

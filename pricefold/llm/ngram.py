@@ -20,7 +20,7 @@ more shards the more there are, so that their number grows as the square root
 of the text's size.  Scoring tasks map them into memory and look up the
 distinct n-grams of several chunks at a time in hash order, a file at a time.
 
-Lower orders have fewer n-grams and so fewer shards.
+Single words are fewer and have fewer shards.
 
 With a(.) the count of its order, S the sum over a context and n_k the number
 of its n-grams counted k times (3: three or more)::
@@ -66,8 +66,8 @@ def _bits(n_bytes: int) -> int:
 
 
 def _order_bits(n: int, bits: int) -> int:
-    """Shards of order n, of which the lower ones have fewer n-grams."""
-    return bits if n > 2 else max(1, bits - (1 if n == 2 else 3))
+    """Shards of order n: single words are few beside their text."""
+    return bits if n > 1 else max(1, bits - 3)
 
 
 def _file_bits(bits: int) -> int:
@@ -624,16 +624,15 @@ def _shards(batches, order: int, kind):
 
     def done():
         grams = _joined([g for _, g, _ in held])
-        if all(what == GRAM for what, _, _ in held):
-            vals = _joined([v for _, _, v in held])
-        else:
-            vals = np.zeros((ENTRY, len(grams)), np.int64).T
-            at = 0
-            for what, g, v in held:
-                vals[at : at + len(g), slice(0, 1) if what == GRAM else slice(1, ENTRY)] = v
-                at += len(g)
+        parts = [(what, v) for what, _, v in held]
         held.clear()  # before sorting
-        return _grouped(grams, vals)
+        places, head = _in_order(list(grams.T))
+        grams = _rows(grams, places[head])
+        sums = []
+        for k in range(1 if all(what == GRAM for what, _ in parts) else ENTRY):  # one at a time, as they are many
+            own = [v[:, k] if what == GRAM and not k else v[:, k - 1] if what == CONTEXT and k else np.zeros(len(v), np.int64) for what, v in parts]
+            sums.append(np.add.reduceat(np.concatenate(own).take(places), head))
+        return grams, np.stack(sums).T
 
     for batch in batches:
         for shard, what, data in zip(batch.column("shard").to_pylist(), batch.column("kind").to_pylist(), batch.column("data")):
@@ -782,7 +781,7 @@ def train(docs: DataFrame, order: int = 3, text: str = "text") -> KneserNey:
     folder = mapped_path(scratch(spark, "kneser-ney"))
     docs = docs.select(F.col(text).cast("string").alias("text"))
     bits = _bits(text_bytes(docs))
-    word_bits = max(1, bits - 3)  # words are few beside their text
+    word_bits = _order_bits(1, bits)
     words = _by_shard(docs.mapInArrow(_word_counts(word_bits), BLOCK), word_bits, word_bits)
     done = words.mapInArrow(_write_vocab(f"{folder}/vocab"), "shard int, words long, tokens long")
     most, size, tokens = done.agg(F.max("words"), F.sum("words"), F.sum("tokens")).first()
